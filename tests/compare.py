@@ -1,0 +1,101 @@
+"""Run the registered queries beside their SQL and compare the results.
+
+    python tests/compare.py [sf_dir] [name ...]
+"""
+
+from __future__ import annotations
+
+import math
+import sys
+import time
+from datetime import date, datetime
+from pathlib import Path
+
+import duckdb
+
+ROOT = Path(__file__).resolve().parent.parent
+sys.path.insert(0, str(ROOT))
+
+TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events", "documents",
+          "embeddings", "pages", "benchmark", "labels", "conversations")
+
+
+def connect(sf_dir: str) -> duckdb.DuckDBPyConnection:
+    con = duckdb.connect()
+    for table in TABLES:
+        con.execute(f"CREATE VIEW {table} AS SELECT * FROM '{sf_dir}/{table}.parquet'")
+    return con
+
+
+def _cell(value):
+    if value is None or isinstance(value, (bool, str)):
+        return value
+    if isinstance(value, float):
+        return "nan" if math.isnan(value) else float(f"{value:.9g}")
+    if isinstance(value, (int,)):
+        return float(f"{value:.9g}") if abs(value) < 2**53 else value
+    if isinstance(value, datetime):
+        return value.replace(tzinfo=None).isoformat()
+    if isinstance(value, date):
+        return value.isoformat()
+    return str(value)
+
+
+def normal(columns, rows):
+    order = sorted(range(len(columns)), key=lambda i: columns[i])
+    shaped = [tuple(_cell(row[i]) for i in order) for row in rows]
+    return sorted(columns), sorted(shaped, key=lambda r: tuple((v is None, str(v)) for v in r))
+
+
+def spark_result(df):
+    return normal(df.columns, [tuple(r) for r in df.collect()])
+
+
+def duck_result(con, sql):
+    cursor = con.execute(sql)
+    columns = [d[0] for d in cursor.description]
+    return normal(columns, cursor.fetchall())
+
+
+def difference(ours, theirs) -> str | None:
+    if ours[0] != theirs[0]:
+        return f"columns {ours[0]} against {theirs[0]}"
+    if len(ours[1]) != len(theirs[1]):
+        return f"{len(ours[1])} rows against {len(theirs[1])}"
+    unequal = [(a, b) for a, b in zip(ours[1], theirs[1]) if a != b]
+    return f"{len(unequal)} rows differ, first {unequal[0]}" if unequal else None
+
+
+def main() -> int:
+    from pyspark.sql import SparkSession
+
+    import __spark_entry__ as driver
+
+    args = sys.argv[1:]
+    sf_dir = args.pop(0) if args and args[0].startswith("/") else "/root/testdata/sf0.01"
+    spark = (
+        SparkSession.builder.master("local[8]").config("spark.sql.shuffle.partitions", "8")
+        .config("spark.ui.enabled", "false").config("spark.sql.session.timeZone", "UTC")
+        .config("spark.driver.memory", "8g").getOrCreate())
+    spark.sparkContext.setLogLevel("ERROR")
+    con = connect(sf_dir)
+    oracle = driver.oracle_sql()
+    bad = 0
+    for name, query in driver.queries().items():
+        if args and name not in args:
+            continue
+        try:
+            start = time.time()
+            ours = spark_result(query(spark, sf_dir))
+            spent = time.time() - start
+            problem = difference(ours, duck_result(con, oracle[name])) if name in oracle else "no SQL"
+        except Exception as error:  # report and go on with the next query
+            problem, spent, ours = f"{type(error).__name__}: {str(error)[:600]}", 0.0, ([], [])
+        bad += problem is not None
+        print(f"{name:34s} {spent:6.2f}s {len(ours[1]):7d} rows  {problem or 'equal'}", flush=True)
+    print(f"{bad} problems")
+    return bad
+
+
+if __name__ == "__main__":
+    sys.exit(main() > 0)
