@@ -7,18 +7,13 @@ from lakeassay.functions.rows import (
     row_hash,
     with_row_hash,
 )
-from lakeassay.functions.text import iso_text, number_text, share, truth_text
 
 __all__ = [
     "active_rows",
     "business_columns",
-    "iso_text",
     "key_of",
     "latest_per_key",
-    "number_text",
     "quoted",
     "row_hash",
-    "share",
-    "truth_text",
     "with_row_hash",
 ]

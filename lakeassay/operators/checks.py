@@ -14,9 +14,10 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import NumericType, StructType
+from pyspark.sql.types import NumericType, StringType, StructType
 
-from lakeassay.functions import active_rows, business_columns, number_text, quoted, share
+from lakeassay.functions import active_rows, business_columns, quoted
+from lakeassay.functions.text import literal, name, number_text, share
 from lakeassay.model import RunContext, TableSpec, Thresholds
 from lakeassay.schemas import CHECK_NAMES, METRIC_SCHEMA
 
@@ -24,6 +25,9 @@ from lakeassay.schemas import CHECK_NAMES, METRIC_SCHEMA
 # table costs no extra input but keeps the generated code small.
 BATCH_COLUMNS = 100
 
+# Bytes beyond which a text is grouped by its digest, which is 64 bytes long.
+LONG_TEXT = 64
+
 
 @dataclass(frozen=True)
 class Subject:
@@ -34,28 +38,33 @@ class Subject:
     run: RunContext
 
 
-def _metric(check: str, column: str, value: Column, threshold: float, passed: Column,
-            details: Column, digits: int = 4) -> Column:
-    return F.struct(
-        F.lit(check).alias("check_name"),
-        F.lit(column).alias("column_name"),
-        F.round(value, digits).alias("metric_value"),
-        F.lit(float(threshold)).alias("threshold"),
-        passed.alias("passed"),
-        details.alias("details"),
-    )
-
-
-def _emit(summary: DataFrame, subject: Subject, metrics: Sequence[Column]) -> DataFrame:
-    """Turn a one-row summary into one row per metric."""
-    context = {
-        "run_id": F.lit(subject.run.run_id),
-        "run_timestamp": subject.run.timestamp,
-        "table_name": F.lit(subject.table_name),
-        "layer": F.lit(subject.layer),
+def _measure(check: str, column: str, value: str, threshold: float, details: str) -> str:
+    """One metric as a SQL struct; `value` and `details` are SQL over the summary row."""
+    fields = {
+        "check_name": literal(check),
+        "column_name": literal(column),
+        "value": value,
+        "threshold": f"double({float(threshold)!r})",
+        "details": details,
     }
-    rows = summary.select(F.inline(F.array(*metrics)))
-    return rows.withColumns(context).select(*METRIC_SCHEMA.fieldNames())
+    return "struct(" + ", ".join(f"{sql} AS {field}" for field, sql in fields.items()) + ")"
+
+
+def _emit(summary: DataFrame, subject: Subject, measures: Sequence[str]) -> DataFrame:
+    """Turn a one-row summary into one row per metric. Values pass or fail before rounding."""
+    rows = summary.selectExpr(f"inline(array({', '.join(measures)}))")
+    return rows.select(
+        F.lit(subject.run.run_id).alias("run_id"),
+        subject.run.timestamp.alias("run_timestamp"),
+        F.lit(subject.table_name).alias("table_name"),
+        F.lit(subject.layer).alias("layer"),
+        "check_name",
+        "column_name",
+        F.expr("if(check_name = 'freshness_hours', round(value, 2), round(value, 4)) AS metric_value"),
+        "threshold",
+        F.expr("if(check_name = 'schema_conformity', value >= threshold, value <= threshold) AS passed"),
+        "details",
+    )
 
 
 def _union(frames: Iterable[DataFrame]) -> DataFrame:
@@ -66,63 +75,56 @@ def numeric_columns(df: DataFrame) -> list[str]:
     return [f.name for f in df.schema.fields if isinstance(f.dataType, NumericType)]
 
 
-def _moment(df: DataFrame, column: str) -> Column:
-    return quoted(column).try_cast("timestamp")
-
-
 def _column_checks(df: DataFrame, subject: Subject, limits: Thresholds, *,
                    nulls: Sequence[str] = (), numbers: Sequence[str] = (),
                    timestamp: str | None = None) -> DataFrame:
     """Null, outlier and freshness metrics of a batch of columns."""
-    measures = [F.count(F.lit(1)).alias("total")]
-    measures += [F.count(quoted(c)).alias(f"filled_{i}") for i, c in enumerate(nulls)]
+    wanted = ["count(1) AS total"]
+    wanted += [f"count({name(c)}) AS filled_{i}" for i, c in enumerate(nulls)]
     for i, column in enumerate(numbers):
-        number = quoted(column).cast("double")
-        measures += [F.avg(number).alias(f"mean_{i}"), F.stddev_samp(number).alias(f"std_{i}")]
+        number = f"double({name(column)})"
+        wanted += [f"avg({number}) AS mean_{i}", f"stddev_samp({number}) AS std_{i}"]
     if timestamp:
-        measures.append(F.max(_moment(df, timestamp)).alias("latest"))
-    profile = df.agg(F.struct(*measures).alias("profile"))
-
+        wanted.append(f"max(try_cast({name(timestamp)} AS timestamp)) AS latest")
+    summary = df.agg(F.expr(f"struct({', '.join(wanted)}) AS profile"))
     if numbers:
-        # The profile is one row, read as a scalar subquery; both uses below are the same
-        # subquery, which Spark runs once.
-        known = df.select(*map(quoted, numbers), profile.scalar().alias("_profile"))
-        far = []
-        for i, column in enumerate(numbers):
-            mean, std = F.col(f"_profile.mean_{i}"), F.col(f"_profile.std_{i}")
-            # NaN compares as greater than any number, so it is ruled out by name.
-            measurable = (std > 0) & ~F.isnan(std)
-            zscore = F.abs((quoted(column).cast("double") - mean) / std)
-            far.append(F.count_if(measurable & (zscore > limits.outlier_zscore)).alias(f"far_{i}"))
-        summary = known.agg(*far).withColumn("profile", profile.scalar())
-    else:
-        summary = profile
-
-    total = F.col("profile.total")
-    metrics = []
+        summary = _with_outlier_counts(df, summary, numbers, limits.outlier_zscore)
+
+    measures = []
     for i, column in enumerate(nulls):
-        missing = total - F.col(f"profile.filled_{i}")
-        rate = share(missing, total)
-        metrics.append(_metric(
-            "null_rate", column, rate, limits.null_rate, rate <= limits.null_rate,
-            F.format_string("%d nulls out of %d active rows", missing, total)))
+        missing = f"profile.total - profile.filled_{i}"
+        measures.append(_measure(
+            "null_rate", column, share(missing, "profile.total"), limits.null_rate,
+            f"format_string('%d nulls out of %d active rows', {missing}, profile.total)"))
     for i, column in enumerate(numbers):
-        mean, std = F.col(f"profile.mean_{i}"), F.col(f"profile.std_{i}")
-        rate = share(F.col(f"far_{i}"), total)
-        flat = std.isNull() | (std == 0)
-        details = F.concat(F.lit("mean="), number_text(mean), F.lit(", std="), number_text(std))
-        metrics.append(_metric(
-            "outlier_rate", column, rate, limits.outlier_rate, rate <= limits.outlier_rate,
-            F.when(flat, "std=0").otherwise(details)))
+        mean, std = f"profile.mean_{i}", f"profile.std_{i}"
+        spread = f"concat('mean=', {number_text(mean)}, ', std=', {number_text(std)})"
+        measures.append(_measure(
+            "outlier_rate", column, share(f"far_{i}", "profile.total"), limits.outlier_rate,
+            f"CASE WHEN {std} IS NULL OR {std} = 0 THEN 'std=0' ELSE {spread} END"))
     if timestamp:
-        latest = F.col("profile.latest")
-        seconds = (F.unix_micros(subject.run.timestamp) - F.unix_micros(latest)) / 1e6
-        age = F.coalesce(seconds / 3600.0, F.lit(float("inf")))
-        text = F.concat(F.lit("latest active record at "), F.coalesce(latest.cast("string"), F.lit("None")))
-        metrics.append(_metric(
-            "freshness_hours", timestamp, age, limits.freshness_hours,
-            age <= limits.freshness_hours, text, digits=2))
-    return _emit(summary, subject, metrics)
+        now = literal(subject.run.as_of.isoformat(sep=" "))
+        hours = f"double(unix_micros(timestamp {now}) - unix_micros(profile.latest)) / 1e6D / 3600D"
+        measures.append(_measure(
+            "freshness_hours", timestamp, f"coalesce({hours}, double('infinity'))", limits.freshness_hours,
+            "concat('latest active record at ', coalesce(string(profile.latest), 'None'))"))
+    return _emit(summary, subject, measures)
+
+
+def _with_outlier_counts(df: DataFrame, profile: DataFrame, numbers: Sequence[str], limit: float) -> DataFrame:
+    """The profile and, per numeric column, how many values lie beyond the z-score limit.
+
+    The profile is one row, read as a scalar subquery. Both uses below are the same
+    subquery, which Spark runs once.
+    """
+    values = df.selectExpr(*[f"double({name(c)}) AS x_{i}" for i, c in enumerate(numbers)])
+    known = values.withColumn("profile", profile.scalar())
+    # NaN compares as greater than any number, so a NaN spread is ruled out by name.
+    counts = [
+        f"count_if(profile.std_{i} > 0 AND NOT isnan(profile.std_{i}) "
+        f"AND abs((x_{i} - profile.mean_{i}) / profile.std_{i}) > {limit!r}D) AS far_{i}"
+        for i in range(len(numbers))]
+    return known.agg(*map(F.expr, counts)).withColumn("profile", profile.scalar())
 
 
 def _batched(df: DataFrame, subject: Subject, limits: Thresholds, nulls: Sequence[str],
@@ -165,20 +167,24 @@ def freshness(df: DataFrame, subject: Subject, timestamp: str, limits: Threshold
     return _column_checks(df, subject, limits, timestamp=timestamp)
 
 
+def _compact(df: DataFrame, column: str) -> Column:
+    """The column, with long text replaced by its SHA-256, so that whole texts are not shuffled."""
+    value = quoted(column)
+    if not isinstance(df.schema[column].dataType, StringType):
+        return value
+    return F.when(F.octet_length(value) > LONG_TEXT, F.sha2(value, 256)).otherwise(value)
+
+
 def duplicate_rate(df: DataFrame, subject: Subject, limits: Thresholds = Thresholds(), *,
                    keys: Sequence[str] = ()) -> DataFrame:
     """Share of rows beyond the first of their key, or of all data columns. Null equals null."""
     keys = list(keys) or business_columns(df)
-    groups = df.groupBy(*map(quoted, keys)).agg(F.count(F.lit(1)).alias("copies"))
-    summary = groups.agg(
-        F.coalesce(F.sum("copies"), F.lit(0)).alias("total"),
-        F.count(F.lit(1)).alias("distinct"))
-    extra, total = F.col("total") - F.col("distinct"), F.col("total")
-    rate = share(extra, total)
-    details = F.format_string("%d duplicates out of %d active rows", extra, total)
-    return _emit(summary, subject, [_metric(
-        "duplicate_rate", ",".join(keys), rate, limits.duplicate_rate,
-        rate <= limits.duplicate_rate, details)])
+    compact = [_compact(df, c).alias(f"k{i}") for i, c in enumerate(keys)]
+    groups = df.groupBy(*compact).agg(F.count(F.lit(1)).alias("copies"))
+    summary = groups.agg(F.expr("coalesce(sum(copies), 0) AS total"), F.expr("count(1) AS kinds"))
+    return _emit(summary, subject, [_measure(
+        "duplicate_rate", ",".join(keys), share("total - kinds", "total"), limits.duplicate_rate,
+        "format_string('%d duplicates out of %d active rows', total - kinds, total)")])
 
 
 def schema_conformity(df: DataFrame, subject: Subject, expected: StructType, *,
@@ -188,21 +194,20 @@ def schema_conformity(df: DataFrame, subject: Subject, expected: StructType, *,
     `report_extra` adds a failing row for each data column the expectation does not name.
     """
     actual = {f.name: str(f.dataType) for f in df.schema.fields}
-    metrics = []
+    measures = []
     for field in expected.fields:
         found = actual.get(field.name, "MISSING")
         fits = found == str(field.dataType)
         details = "" if fits else f"expected {field.dataType}, got {found}"
-        metrics.append(_metric("schema_conformity", field.name, F.lit(float(fits)), 1.0,
-                               F.lit(fits), F.lit(details)))
+        measures.append(_measure("schema_conformity", field.name, "1D" if fits else "0D", 1.0, literal(details)))
     if report_extra:
-        for name in business_columns(df):
-            if name not in expected.fieldNames():
-                metrics.append(_metric("schema_conformity", name, F.lit(0.0), 1.0, F.lit(False),
-                                       F.lit(f"unexpected {actual[name]}")))
-    if not metrics:
+        for extra in business_columns(df):
+            if extra not in expected.fieldNames():
+                measures.append(_measure(
+                    "schema_conformity", extra, "0D", 1.0, literal(f"unexpected {actual[extra]}")))
+    if not measures:
         return _empty(df)
-    return _emit(df.sparkSession.range(1), subject, metrics)
+    return _emit(df.sparkSession.range(1), subject, measures)
 
 
 def referential_integrity(df: DataFrame, reference: DataFrame, subject: Subject, *, column: str,
@@ -216,31 +221,30 @@ def referential_integrity(df: DataFrame, reference: DataFrame, subject: Subject,
     children = (
         df.select(quoted(column).alias("fk")).where("fk IS NOT NULL")
         .groupBy("fk").agg(F.count(F.lit(1)).alias("rows")))
-    parents = _reference_keys(reference, ref_column, ref_include_deleted)
+    parents = _reference_keys(reference, ref_column, ref_include_deleted).distinct()
     matched = children.join(parents, F.col("fk") == F.col("ref"), "left")
     summary = matched.agg(
-        F.coalesce(F.sum("rows"), F.lit(0)).alias("checked"),
-        F.coalesce(F.sum(F.when(F.col("ref").isNull(), F.col("rows"))), F.lit(0)).alias("orphans"))
-    rate = share(F.col("orphans"), F.col("checked"))
-    details = F.concat(
-        F.format_string("%d orphan rows out of %d checked against ", F.col("orphans"), F.col("checked")),
-        F.lit(f"{ref_table}.{ref_column}"))
-    return _emit(summary, subject, [_metric(
-        "referential_integrity", column, rate, limits.orphan_rate,
-        rate <= limits.orphan_rate, details)])
+        F.expr("coalesce(sum(rows), 0) AS checked"),
+        F.expr("coalesce(sum(if(ref IS NULL, rows, 0)), 0) AS orphans"))
+    against = literal(f" checked against {ref_table}.{ref_column}")
+    return _emit(summary, subject, [_measure(
+        "referential_integrity", column, share("orphans", "checked"), limits.orphan_rate,
+        f"concat(orphans, ' orphan rows out of ', checked, {against})")])
 
 
 def orphan_rows(df: DataFrame, reference: DataFrame, *, column: str, ref_column: str,
                 ref_include_deleted: bool = False) -> DataFrame:
     """The rows behind a referential failure."""
     children = df.where(quoted(column).isNotNull())
+    # Not reduced to distinct keys: with both inputs straight from a shuffle Spark can
+    # split the children of a popular key over several tasks.
     parents = _reference_keys(reference, ref_column, ref_include_deleted)
     return children.join(parents, quoted(column) == F.col("ref"), "left_anti")
 
 
 def _reference_keys(reference: DataFrame, column: str, include_deleted: bool) -> DataFrame:
     rows = active_rows(reference, include_deleted=include_deleted)
-    return rows.select(quoted(column).alias("ref")).where("ref IS NOT NULL").distinct()
+    return rows.select(quoted(column).alias("ref")).where("ref IS NOT NULL")
 
 
 def run_checks(df: DataFrame, spec: TableSpec, run: RunContext, *,

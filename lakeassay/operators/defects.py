@@ -9,25 +9,31 @@ from pyspark.sql.types import IntegralType
 from lakeassay.functions import quoted
 from lakeassay.model import DefectSpec
 
-# Multiplier and modulus of the row selection. The modulus is prime; the
-# key is reduced by it first so that the product fits a long for any key.
-MULTIPLIER = 2654435761
-MODULUS = 1000003
+# The row selection works modulo a prime. Keys are reduced by it first, so that no product
+# leaves the range of a long, however large the keys are.
+PRIME = 1000003
+MULTIPLIER = 427799
+SEED_STEP = 7919
 
 
 def selected(df: DataFrame, key: str, rate: float, seed: int | Column) -> Column:
-    """True for about `rate` of the keys; the same rows each time for the same seed."""
+    """True for about `rate` of the keys; the same rows each time for the same seed.
+
+    The shifted key is squared: runs of consecutive keys then scatter, and different
+    seeds pick unrelated rows, which a linear formula would not do.
+    """
     number = quoted(key) if isinstance(df.schema[key].dataType, IntegralType) else F.xxhash64(quoted(key))
-    reduced = F.pmod(number.cast("bigint"), F.lit(MODULUS).cast("bigint"))
     seed = seed if isinstance(seed, Column) else F.lit(seed)
-    drawn = F.pmod(reduced * F.lit(MULTIPLIER) + seed, F.lit(MODULUS))
-    return F.coalesce(drawn < F.lit(rate * MODULUS), F.lit(False))
+    prime = F.lit(PRIME).cast("bigint")
+    shifted = F.pmod(F.pmod(number.cast("bigint"), prime) + seed * F.lit(SEED_STEP), prime)
+    drawn = F.pmod(shifted * shifted * F.lit(MULTIPLIER), prime)
+    return F.coalesce(drawn < F.lit(rate * PRIME), F.lit(False))
 
 
 def inject_nulls(df: DataFrame, key: str, columns: list[str] | tuple[str, ...], rate: float = 0.05, seed: int = 0) -> DataFrame:
     """Null out a share of each column, chosen anew per column."""
     emptied = {
-        c: F.when(~selected(df, key, rate, seed + 7919 * i), quoted(c))
+        c: F.when(~selected(df, key, rate, seed + 10 * i), quoted(c))
         for i, c in enumerate(columns)}
     return df.withColumns(emptied)
 
@@ -64,7 +70,7 @@ def corrupt(df: DataFrame, spec: DefectSpec, as_of: Column) -> DataFrame:
     df = df.withColumn("_origin", quoted(spec.key))
     df = inject_nulls(df, "_origin", spec.null_columns, spec.null_rate, spec.seed)
     df = inject_duplicates(df, "_origin", spec.duplicate_rate, spec.seed + 1, mark="_copy")
-    per_copy = F.lit(104729) * F.col("_copy")
+    per_copy = F.lit(100) * F.col("_copy")
     if spec.outlier_column:
         df = inject_outliers(df, "_origin", spec.outlier_column, spec.outlier_rate,
                              spec.outlier_factor, F.lit(spec.seed + 2) + per_copy)

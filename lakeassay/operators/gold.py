@@ -22,16 +22,10 @@ def phase_summary(studies: DataFrame) -> DataFrame:
     return distinct_counts(studies, ["phase", "study_type"], "nct_id")
 
 
-def _attributes(studies: DataFrame, children: DataFrame, attribute: str) -> DataFrame:
-    """Each study with each distinct value of a child attribute, or with null if it has no child.
-
-    This is a left join written as its two halves: in either half the side that may hold
-    a study with very many children is one that Spark can split over several tasks.
-    """
-    values = children.select("nct_id", attribute).distinct()
-    matched = values.join(studies, "nct_id", "left_semi")
-    childless = studies.join(children.select("nct_id").distinct(), "nct_id", "left_anti")
-    return matched.unionByName(childless, allowMissingColumns=True)
+def _with_childless(values: DataFrame, keys: DataFrame, children: DataFrame) -> DataFrame:
+    """Attribute values per study, and one row with null for each study without children."""
+    childless = keys.join(children.select("nct_id").distinct(), "nct_id", "left_anti")
+    return values.unionByName(childless, allowMissingColumns=True)
 
 
 def condition_intervention_summary(studies: DataFrame, conditions: DataFrame, interventions: DataFrame) -> DataFrame:
@@ -39,12 +33,23 @@ def condition_intervention_summary(studies: DataFrame, conditions: DataFrame, in
 
     The children are reduced to distinct values before they meet, so each study comes out
     once per pair and a plain count is already the distinct count.
+
+    Left joins are written as an inner join plus the studies without children. Spark can
+    split a skewed key on either side of an inner join, but never on the right of a left
+    join, where a study with very many children would sit. For the split both inputs must
+    come straight from a shuffle: hence the join on a struct, by which nothing below it is
+    partitioned yet.
     """
-    keys = studies.select("nct_id").where("nct_id IS NOT NULL").distinct()
-    named = _attributes(keys, conditions.select("nct_id", F.col("name").alias("condition_name")), "condition_name")
-    typed = _attributes(keys, interventions, "intervention_type")
+    present = studies.select("nct_id").where("nct_id IS NOT NULL")
+    keys = present.distinct()
+    names = conditions.select("nct_id", F.col("name").alias("condition_name")).distinct()
+    types = interventions.select("nct_id", "intervention_type").distinct().join(present, "nct_id", "left_semi")
+
+    study = F.struct("nct_id").alias("study")
+    named = _with_childless(names, keys, conditions).select(study, "condition_name")
+    typed = _with_childless(types, keys, interventions).select(study, "intervention_type")
     return (
-        named.join(typed, "nct_id")
+        named.join(typed, "study")
         .groupBy("condition_name", "intervention_type")
         .agg(F.count(F.lit(1)).alias("study_count"))
         .orderBy(F.col("study_count").desc(), "condition_name", "intervention_type"))

@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
-from lakeassay.functions import iso_text, number_text, share, truth_text
+from lakeassay.functions.text import iso_text, literal, number_text, share, truth_text
 from lakeassay.operators.monitor import latest_run
 from lakeassay.schemas import INSIGHT_SCHEMA, RESPONSE_SCHEMA, SEVERITIES
 
@@ -62,9 +62,10 @@ def pass_fail_counts(metrics: DataFrame) -> DataFrame:
         F.count_if(~F.col("passed") & structural).alias("failed_structural_count"))
 
 
-def _line(*fields: tuple[str, Column]) -> Column:
-    parts = [F.concat(F.lit(f"{name}="), F.coalesce(value, F.lit("None"))) for name, value in fields]
-    return F.concat_ws(" | ", *parts)
+def _line(**fields: str) -> Column:
+    """`label=value` parts; the values are SQL over a metric row."""
+    parts = [f"concat({literal(label + '=')}, coalesce({value}, 'None'))" for label, value in fields.items()]
+    return F.expr(f"concat_ws(' | ', {', '.join(parts)})")
 
 
 def _joined(lines: Column) -> Column:
@@ -80,13 +81,12 @@ def _joined(lines: Column) -> Column:
 def metric_lines(metrics: DataFrame, max_metrics: int = 150, domain: str = DOMAIN) -> DataFrame:
     """Per run: a headline and one line per ranked metric, as `metrics_summary`."""
     line = _line(
-        ("layer", F.col("layer")), ("table", F.col("table_name")), ("check", F.col("check_name")),
-        ("column", F.col("column_name")), ("value", number_text(F.col("metric_value"))),
-        ("threshold", number_text(F.col("threshold"))), ("passed", truth_text(F.col("passed"))),
-        ("details", F.col("details")))
+        layer="layer", table="table_name", check="check_name", column="column_name",
+        value=number_text("metric_value"), threshold=number_text("threshold"),
+        passed=truth_text("passed"), details="details")
     lines = ranked_metrics(metrics, max_metrics).groupBy("run_timestamp").agg(_joined(line).alias("lines"))
     headline = F.concat(
-        F.lit("Latest run timestamp: "), iso_text(F.col("run_timestamp")),
+        F.lit("Latest run timestamp: "), F.expr(iso_text("run_timestamp")),
         F.format_string("\nTotal checks: %d | Passed: %d | Failed: %d\n",
                         "total_checks", "passed_check_count", "failed_check_count"),
         F.lit(f"Dataset domain: {domain}"))
@@ -98,9 +98,8 @@ def metric_lines(metrics: DataFrame, max_metrics: int = 150, domain: str = DOMAI
 def top_failures(metrics: DataFrame, top: int = 12) -> DataFrame:
     """Per run: its first failures as text, or a sentence saying that there are none."""
     line = _line(
-        ("layer", F.col("layer")), ("table", F.col("table_name")), ("column", F.col("column_name")),
-        ("check", F.col("check_name")), ("value", number_text(F.col("metric_value"))),
-        ("threshold", number_text(F.col("threshold"))), ("details", F.col("details")))
+        layer="layer", table="table_name", column="column_name", check="check_name",
+        value=number_text("metric_value"), threshold=number_text("threshold"), details="details")
     # Failures rank first, so the first `top` ranks hold the first failures.
     text = _joined(F.when(~F.col("passed"), line))
     return (
@@ -136,7 +135,7 @@ def rule_based_responses(metrics: DataFrame) -> DataFrame:
         ranked_metrics(metrics, 1)
         .select("run_timestamp", "passed", "layer", "table_name", "check_name", "column_name", "metric_value"))
     failed, total = F.col("failed_check_count"), F.col("total_checks")
-    failed_share = share(failed, total)
+    failed_share = F.expr(share("failed_check_count", "total_checks"))
     severity = (
         F.when(failed == 0, "low")
         .when(failed_share >= 0.5, "critical")
@@ -150,7 +149,7 @@ def rule_based_responses(metrics: DataFrame) -> DataFrame:
     clean = failed == 0
     summary = F.when(clean, F.format_string("All %d checks passed.", total)).otherwise(F.concat(
         F.format_string("%d of %d checks failed. The first is ", failed, total),
-        F.col("check_name"), F.lit(" on "), where, F.lit(" at "), number_text(F.col("metric_value")), F.lit(".")))
+        F.col("check_name"), F.lit(" on "), where, F.lit(" at "), F.expr(number_text("metric_value")), F.lit(".")))
     response = F.struct(
         summary.alias("summary"),
         F.when(clean, "").otherwise(F.concat(where, F.lit(": "), cause)).alias("root_cause"),

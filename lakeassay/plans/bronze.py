@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from dataclasses import dataclass
+from functools import partial
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -18,12 +19,16 @@ from lakeassay.operators.ingest import (
     merge_snapshot,
     stamp_lineage,
 )
+from lakeassay.plans.jobs import run_together
 from lakeassay.sources import tables
 
 
 @dataclass(frozen=True)
 class LoadResult:
-    """What a load did: `initial`, `merged` or `skipped`, and the rows per kind of change."""
+    """What a load did: `initial`, `merged` or `skipped`, and the rows per kind of change.
+
+    Tables merged in place keep such counts in their own history and leave them out here.
+    """
 
     table: str
     outcome: str
@@ -58,6 +63,9 @@ def load_table(spark: SparkSession, table: str, source: DataFrame, run: RunConte
     if not loaded:
         tables.publish(batch.observe(counted, F.count(F.lit(1)).alias("insert")), target_name, fmt=fmt)
         return LoadResult(target_name, "initial", dict(counted.get))
+    if tables.supports_row_changes(fmt):
+        tables.merge_into(batch, target_name, project.KEYS[table], as_of=run.timestamp, full_extract=column is None)
+        return LoadResult(target_name, "merged", {})
     merged = merge_snapshot(
         spark.table(target_name), batch, project.KEYS[table], as_of=run.timestamp,
         full_extract=column is None)
@@ -69,4 +77,5 @@ def load_table(spark: SparkSession, table: str, source: DataFrame, run: RunConte
 def load_all(spark: SparkSession, read: Callable[[str], DataFrame], run: RunContext, **options) -> list[LoadResult]:
     """Load every source table; `read` gives the lazy scan of a table by its short name."""
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {options.get('database', project.DATABASE)}")
-    return [load_table(spark, table, read(table), run, **options) for table in project.KEYS]
+    return run_together([
+        partial(load_table, spark, table, read(table), run, **options) for table in project.KEYS])

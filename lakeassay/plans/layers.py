@@ -2,18 +2,24 @@
 
 from __future__ import annotations
 
+from functools import partial
+
 from pyspark.sql import SparkSession
 
 from lakeassay import project
 from lakeassay.operators import gold
 from lakeassay.operators.silver import standardise
+from lakeassay.plans.jobs import run_together
 from lakeassay.sources import tables
 
 
 def build_silver(spark: SparkSession, *, database: str = project.DATABASE, fmt: str = "parquet") -> None:
-    for table, spec in project.SILVER.items():
+    def build(table: str) -> None:
         bronze = spark.table(project.table_name(f"bronze_{table}", database))
-        tables.publish(standardise(bronze, spec), project.table_name(f"silver_{table}", database), fmt=fmt)
+        cleaned = standardise(bronze, project.SILVER[table])
+        tables.publish(cleaned, project.table_name(f"silver_{table}", database), fmt=fmt)
+
+    run_together([partial(build, table) for table in project.SILVER])
 
 
 def build_gold(spark: SparkSession, *, database: str = project.DATABASE, fmt: str = "parquet") -> None:
@@ -26,5 +32,6 @@ def build_gold(spark: SparkSession, *, database: str = project.DATABASE, fmt: st
         "gold_condition_intervention_summary": gold.condition_intervention_summary(
             studies, conditions, interventions),
     }
-    for short, frame in results.items():
-        tables.publish(frame, project.table_name(short, database), fmt=fmt)
+    run_together([
+        partial(tables.publish, frame, project.table_name(short, database), fmt=fmt)
+        for short, frame in results.items()])

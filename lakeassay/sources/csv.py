@@ -5,14 +5,16 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
-# Quotes are doubled inside quoted values; empty text is written quoted and so stays
-# apart from null, and whitespace around values is data.
+# Quotes are doubled inside quoted values, and whitespace around values is data. Null is
+# written as nothing and empty text as a pair of quotes. To keep them apart on reading, the
+# text that stands for null must be one that is not empty and never occurs.
 _WRITE = {"header": "true", "escape": '"', "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false"}
 _READ = {
     "header": "true",
     "escape": '"',
     "multiLine": "false",
     "mode": "PERMISSIVE",
+    "nullValue": "\u0000",
     "ignoreLeadingWhiteSpace": "false",
     "ignoreTrailingWhiteSpace": "false",
 }

@@ -4,8 +4,17 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Sequence
+from functools import cache, reduce
+from operator import and_
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from lakeassay.functions import latest_per_key
+
+# Table formats, by name, whose connectors implement MERGE.
+ROW_LEVEL_FORMATS = ("delta", "iceberg")
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -19,9 +28,13 @@ def shared_folder(spark: SparkSession) -> str:
         return folder.rstrip("/")
     if not spark.conf.get("spark.master", "").startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-    folder = tempfile.mkdtemp(prefix="lakeassay-")
-    spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
+    return _local_folder().name
+
+
+@cache
+def _local_folder() -> tempfile.TemporaryDirectory:
+    """One folder for this process, removed when it ends."""
+    return tempfile.TemporaryDirectory(prefix="lakeassay-")
 
 
 def stage(df: DataFrame, name: str) -> DataFrame:
@@ -49,9 +62,13 @@ def publish(df: DataFrame, name: str, *, fmt: str = "parquet", partition_by: tup
 
     The rows go to a table of their own, and the view `name` is pointed at it as the last
     step, so readers see the old rows or the new ones and a failed write changes nothing.
-    The newest `keep` snapshots stay.
+    The newest `keep` snapshots stay. Formats with versions of their own are overwritten.
     """
     spark = df.sparkSession
+    if supports_row_changes(fmt):
+        writer = df.write.format(fmt).mode("overwrite").option("overwriteSchema", "true")
+        (writer.partitionBy(*partition_by) if partition_by else writer).saveAsTable(name)
+        return name
     database, table = split_name(name)
     version = _next_version(spark, database, table)
     snapshot = f"{name}__v{version:08d}"
@@ -73,6 +90,31 @@ def _next_version(spark: SparkSession, database: str | None, table: str) -> int:
     return max(_versions(spark, database, table), default=0) + 1
 
 
+def supports_row_changes(fmt: str) -> bool:
+    return fmt in ROW_LEVEL_FORMATS
+
+
+def merge_into(source: DataFrame, name: str, keys: Sequence[str], *, as_of: Column, full_extract: bool) -> None:
+    """Merge a stamped batch into a table whose format supports row-level changes.
+
+    One MERGE with the rules of `merge_snapshot`. It rewrites only files that hold changed
+    rows, where plain files mean writing the whole table again.
+    """
+    target = split_name(name)[1]
+    batch = latest_per_key(source, keys).alias("batch")
+
+    def old(column: str) -> Column:
+        return F.col(f"{target}.{column}")
+
+    same_key = reduce(and_, [old(k).eqNullSafe(F.col(f"batch.{k}")) for k in keys])
+    deleted = F.coalesce(old("_is_deleted"), F.lit(False))
+    differs = ~old("_row_hash").eqNullSafe(F.col("batch._row_hash"))
+    merge = batch.mergeInto(name, same_key).whenMatched(deleted | differs).updateAll().whenNotMatched().insertAll()
+    if full_extract:
+        merge = merge.whenNotMatchedBySource(~deleted).update({"_is_deleted": F.lit(True), "_deleted_at": as_of})
+    merge.merge()
+
+
 def append(df: DataFrame, name: str, *, fmt: str = "parquet", partition_by: tuple[str, ...] = ()) -> None:
     writer = df.write.format(fmt).mode("append")
     (writer.partitionBy(*partition_by) if partition_by else writer).saveAsTable(name)

@@ -390,17 +390,18 @@ PARSED = f"""WITH r AS (SELECT o_orderkey, CASE WHEN starts_with({_BARE}, '```')
 
 
 def drawn(rate: float, seed: str, key: str = "o_orderkey") -> str:
-    return f"((({key} % 1000003) * 2654435761 + {seed}) % 1000003 < {rate} * 1000003)"
+    shifted = f"(({key} % 1000003 + ({seed}) * 7919) % 1000003)"
+    return f"(({shifted} * {shifted} * 427799) % 1000003 < {rate} * 1000003)"
 
 
 def corrupted() -> str:
     nulls = ", ".join(
-        f"CASE WHEN NOT {drawn(0.05, str(42 + 7919 * i))} THEN {c} END AS {c}"
+        f"CASE WHEN NOT {drawn(0.05, str(42 + 10 * i))} THEN {c} END AS {c}"
         for i, c in enumerate(("o_custkey", "o_totalprice", "o_orderstatus")))
     copies = f"unnest(CASE WHEN {drawn(0.03, '43')} THEN [0, 1] ELSE [0] END) AS _copy"
     return f"""SELECT o_orderkey, o_custkey, o_orderstatus,
-        CASE WHEN {drawn(0.01, '44 + 104729 * _copy')} THEN o_totalprice * 100.0 ELSE o_totalprice END AS o_totalprice,
-        CASE WHEN {drawn(0.02, '45 + 104729 * _copy')} THEN timestamp '{AS_OF}' - interval '730' day ELSE o_orderdate END AS o_orderdate
+        CASE WHEN {drawn(0.01, '44 + 100 * _copy')} THEN o_totalprice * 100.0 ELSE o_totalprice END AS o_totalprice,
+        CASE WHEN {drawn(0.02, '45 + 100 * _copy')} THEN timestamp '{AS_OF}' - interval '730' day ELSE o_orderdate END AS o_orderdate
         FROM (SELECT o_orderkey, o_orderdate, {nulls}, {copies} FROM orders)"""
 
 
@@ -510,7 +511,7 @@ def oracle_sql() -> dict[str, str]:
         "insight_latest": over_metrics(
             f"SELECT * FROM ({RULE_INSIGHTS}) WHERE metrics_run_timestamp = (SELECT max(run_timestamp) FROM m)"),
         "inject_nulls": f"""SELECT * REPLACE (CASE WHEN NOT {drawn(0.05, '7')} THEN o_custkey END AS o_custkey,
-            CASE WHEN NOT {drawn(0.05, '7926')} THEN o_totalprice END AS o_totalprice) FROM orders""",
+            CASE WHEN NOT {drawn(0.05, '17')} THEN o_totalprice END AS o_totalprice) FROM orders""",
         "inject_duplicates": f"SELECT * FROM orders UNION ALL SELECT * FROM orders WHERE {drawn(0.03, '5')}",
         "inject_outliers": f"""SELECT * REPLACE (CASE WHEN {drawn(0.01, '11')} THEN o_totalprice * 100.0 ELSE o_totalprice END
             AS o_totalprice) FROM orders""",

@@ -13,6 +13,7 @@ from lakeassay import project
 from lakeassay.functions import active_rows, latest_per_key, with_row_hash
 from lakeassay.model import DefectSpec, ForeignKey, SilverSpec, TableSpec
 from lakeassay.operators import checks, defects, gold, ingest, insights, monitor, silver
+from lakeassay.plans.jobs import run_together
 from lakeassay.plans.suite import run_suite
 from lakeassay.sources import csv, tables
 from registry import frames, shapes
@@ -249,17 +250,21 @@ def staged_layers(spark, sf):
         df.write.parquet(f"{folder}/{short}")
         return spark.read.parquet(f"{folder}/{short}")
 
-    bronze = {t: written(f"bronze_{t}", frames.bronze(spark, sf, t)) for t in project.KEYS}
-    clean = {t: written(f"silver_{t}", silver.standardise(bronze[t], project.SILVER[t])) for t in project.KEYS}
-    totals = {
-        "gold_study_status_counts": gold.study_status_counts(clean["studies"]),
-        "gold_phase_summary": gold.phase_summary(clean["studies"]),
+    def together(planned):
+        results = run_together([partial(written, short, df) for short, df in planned.items()])
+        return dict(zip(planned, results))
+
+    bronze = together({f"bronze_{t}": frames.bronze(spark, sf, t) for t in project.KEYS})
+    clean = together({
+        f"silver_{t}": silver.standardise(bronze[f"bronze_{t}"], spec) for t, spec in project.SILVER.items()})
+    studies = clean["silver_studies"]
+    totals = together({
+        "gold_study_status_counts": gold.study_status_counts(studies),
+        "gold_phase_summary": gold.phase_summary(studies),
         "gold_condition_intervention_summary": gold.condition_intervention_summary(
-            clean["studies"], clean["conditions"], clean["interventions"]),
-    }
-    built = {f"bronze_{t}": df for t, df in bronze.items()} | {f"silver_{t}": df for t, df in clean.items()}
-    built |= {short: written(short, df) for short, df in totals.items()}
-    return {project.table_name(short): df for short, df in built.items()}
+            studies, clean["silver_conditions"], clean["silver_interventions"]),
+    })
+    return {project.table_name(short): df for short, df in {**bronze, **clean, **totals}.items()}
 
 
 def dq_suite(spark, sf):

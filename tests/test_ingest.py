@@ -1,0 +1,174 @@
+import random
+from datetime import datetime
+
+import pytest
+from conftest import executed_plan
+from pyspark.sql import functions as F
+
+from lakeassay.functions import latest_per_key, with_row_hash
+from lakeassay.model import instant
+from lakeassay.operators import ingest
+
+T0, T1 = datetime(2024, 1, 1), datetime(2024, 2, 1)
+KEYS = ("a", "b")
+LAYOUT = "a string, b int, v string"
+
+
+def loaded(spark, rows, at):
+    return with_row_hash(ingest.stamp_lineage(
+        spark.createDataFrame(rows, LAYOUT), system="s", schema="c", table="t", ingested_at=instant(at)))
+
+
+def merge(target, source, full=True, at=T1):
+    return ingest.merge_snapshot(target, source, KEYS, as_of=instant(at), full_extract=full)
+
+
+def content(df):
+    return sorted(((r.a, r.b, r.v, r._is_deleted, r._deleted_at, r._ingested_at, r._op) for r in df.collect()), key=str)
+
+
+def test_stamp_uses_one_time_for_the_batch(spark):
+    df = ingest.stamp_lineage(spark.range(3), system="s", schema="c", table="t")
+    assert df.select("_ingested_at").distinct().count() == 1
+    row = df.first()
+    assert (row._source_system, row._source_schema, row._source_table, row._is_deleted, row._deleted_at) == (
+        "s", "c", "t", False, None)
+
+
+def test_row_hash_covers_data_columns_only(spark):
+    df = spark.createDataFrame([("x", None, "m")], "a string, b int, _m string")
+    assert with_row_hash(df).first()._row_hash == with_row_hash(df.withColumn("_m", F.lit("n"))).first()._row_hash
+    assert with_row_hash(df).first()._row_hash == spark.sql("SELECT md5('x||<NULL>') AS h").first().h
+
+
+def test_safe_row_hash_tells_apart_what_the_joined_form_confuses(spark):
+    df = spark.createDataFrame([("a||b", "c"), ("a", "b||c")], "x string, y string")
+    assert with_row_hash(df).select("_row_hash").distinct().count() == 1
+    assert with_row_hash(df, mode="safe").select("_row_hash").distinct().count() == 2
+    with pytest.raises(ValueError):
+        with_row_hash(df, mode="fast")
+
+
+def test_safe_row_hash_tells_null_from_missing_text(spark):
+    df = spark.createDataFrame([("<NULL>",), (None,)], "x string")
+    assert with_row_hash(df, mode="safe").select("_row_hash").distinct().count() == 2
+
+
+def test_watermark(spark):
+    df = spark.createDataFrame([(1, 10), (2, 20), (3, 20), (4, None)], "id int, w int")
+    newest = ingest.high_watermark(df.where("id <= 2"), "w")
+    assert newest.first().max_watermark == 20
+    more = df.union(spark.createDataFrame([(5, 21)], df.schema))
+    assert [r.id for r in ingest.after_watermark(more, "w", newest).collect()] == [5]
+    assert [r.id for r in ingest.after_watermark(more, "w", 20, inclusive=True).collect()] == [2, 3, 5]
+    assert ingest.after_watermark(more, "w", None).count() == 5
+    assert ingest.after_watermark(more, "w", ingest.high_watermark(df.where("false"), "w")).count() == 5
+
+
+def test_watermark_filter_reaches_the_scan(spark):
+    orders = spark.read.parquet("/root/testdata/sf0.001/orders.parquet")
+    plan = ingest.after_watermark(orders, "o_orderkey", 700)._jdf.queryExecution().executedPlan().toString()
+    assert "PushedFilters: [IsNotNull(o_orderkey), GreaterThan(o_orderkey,700)]" in plan
+
+
+def test_merge_kinds(spark):
+    target = loaded(spark, [("k", 1, "same"), ("k", 2, "old"), ("k", 3, "gone")], T0)
+    source = loaded(spark, [("k", 1, "same"), ("k", 2, "new"), ("k", 4, "fresh")], T1)
+    assert content(merge(target, source)) == [
+        ("k", 1, "same", False, None, T0, "unchanged"), ("k", 2, "new", False, None, T1, "update"),
+        ("k", 3, "gone", True, T1, T0, "delete"), ("k", 4, "fresh", False, None, T1, "insert")]
+    assert {r._op: r.row_count for r in ingest.change_summary(merge(target, source)).collect()} == {
+        "unchanged": 1, "update": 1, "delete": 1, "insert": 1}
+
+
+def test_incremental_merge_deletes_nothing(spark):
+    target = loaded(spark, [("k", 1, "x")], T0)
+    source = loaded(spark, [("k", 2, "y")], T1)
+    assert {r[-1] for r in content(merge(target, source, full=False))} == {"unchanged", "insert"}
+
+
+def test_merging_the_same_batch_again_changes_nothing(spark):
+    target = loaded(spark, [("k", 1, "x"), (None, None, "n")], T0)
+    source = loaded(spark, [("k", 1, "y"), (None, None, "n"), (None, 3, "z")], T1)
+    once = merge(target, source)
+    twice = merge(once.drop("_op"), source)
+    assert {r[-1] for r in content(twice)} == {"unchanged"}
+    assert [r[:-1] for r in content(twice)] == [r[:-1] for r in content(once)]
+
+
+def test_deleted_key_stays_deleted_with_its_first_time_and_comes_back(spark):
+    target = loaded(spark, [("k", 1, "x"), ("k", 2, "y")], T0)
+    without = merge(target, loaded(spark, [("k", 2, "y")], T1)).drop("_op")
+    later = datetime(2024, 3, 1)
+    again = merge(without, loaded(spark, [("k", 2, "y")], later), at=later)
+    assert ("k", 1, "x", True, T1, T0, "unchanged") in content(again)
+    back = merge(again.drop("_op"), loaded(spark, [("k", 1, "x"), ("k", 2, "y")], later), at=later)
+    assert ("k", 1, "x", False, None, later, "resurrect") in content(back)
+
+
+def test_null_delete_flag_counts_as_active(spark):
+    target = loaded(spark, [("k", 1, "x"), ("k", 2, "y")], T0).withColumn("_is_deleted", F.lit(None).cast("boolean"))
+    merged = content(merge(target, loaded(spark, [("k", 1, "x")], T1)))
+    assert [r[-1] for r in merged] == ["unchanged", "delete"]
+
+
+def test_repeated_source_keys_keep_the_latest(spark):
+    early = loaded(spark, [("k", 1, "early")], T0)
+    late = loaded(spark, [("k", 1, "late"), ("k", 2, "q")], T1)
+    merged = content(merge(loaded(spark, [("k", 1, "x")], T0), early.union(late)))
+    assert [(r[2], r[-1]) for r in merged] == [("late", "update"), ("q", "insert")]
+    surplus = ingest.surplus_keys(early.union(late), KEYS).collect()
+    assert [(r.a, r.b, r.copies) for r in surplus] == [("k", 1, 2)]
+
+
+def test_ties_are_broken_the_same_way_every_time(spark):
+    rows = [("k", 1, str(i)) for i in range(50)]
+    picks = {latest_per_key(loaded(spark, rows, T0).repartition(n), KEYS).first().v for n in (1, 3, 7)}
+    assert len(picks) == 1
+
+
+def test_merge_against_a_plain_python_model(spark):
+    rng = random.Random(5)
+
+    def draw(n):
+        return [(rng.choice(["p", "q", None]), rng.choice([1, 2, 3, None]), rng.choice("xyz")) for _ in range(n)]
+
+    for _ in range(4):
+        first, second = draw(8), list({(a, b): (a, b, v) for a, b, v in draw(8)}.values())
+        target, source = loaded(spark, first, T0), loaded(spark, second, T1)
+        new = {(a, b): v for a, b, v in second}
+        expected = []
+        for a, b, v in first:
+            if (a, b) not in new:
+                expected.append((a, b, v, True, T1, T0, "delete"))
+            elif new[a, b] != v:
+                expected.append((a, b, new[a, b], False, None, T1, "update"))
+            else:
+                expected.append((a, b, v, False, None, T0, "unchanged"))
+        had = {(a, b) for a, b, _ in first}
+        expected += [(a, b, v, False, None, T1, "insert") for a, b, v in second if (a, b) not in had]
+        assert content(merge(target, source)) == sorted(expected, key=str)
+
+
+def test_hot_key_is_split_and_the_source_shuffled_once(spark, conf):
+    conf(spark__sql__autoBroadcastJoinThreshold="-1",
+         spark__sql__adaptive__skewJoin__skewedPartitionThresholdInBytes="64KB",
+         spark__sql__adaptive__skewJoin__skewedPartitionFactor="2",
+         spark__sql__adaptive__advisoryPartitionSizeInBytes="64KB")
+    wide = spark.range(30000).repartition(16).select(
+        F.lit("k").alias("a"), F.when(F.col("id") % 3 == 0, 0).otherwise(F.col("id")).cast("int").alias("b"),
+        F.sha2(F.col("id").cast("string"), 256).alias("v"))
+    target = with_row_hash(ingest.stamp_lineage(wide, system="s", schema="c", table="t", ingested_at=instant(T0)))
+    source = with_row_hash(ingest.stamp_lineage(wide, system="s", schema="c", table="t", ingested_at=instant(T1)))
+    merged = merge(target, source)
+    plan = executed_plan(merged)
+    assert "SortMergeJoin(skew=true)" in plan
+    assert "ReusedExchange" in plan
+    assert merged.count() == 30000
+
+
+def test_choosing_the_latest_limits_a_hot_key_before_the_shuffle(spark):
+    df = with_row_hash(spark.range(100).select((F.col("id") % 3).alias("k"), F.col("id").alias("v")))
+    plan = latest_per_key(df, ["k"])._jdf.queryExecution().executedPlan().toString()
+    shuffle = plan.index("Exchange hashpartitioning")
+    assert plan.index("Final") < shuffle < plan.index("Partial")
