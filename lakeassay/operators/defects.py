@@ -61,6 +61,11 @@ def drop_columns(df: DataFrame, *columns: str) -> DataFrame:
     return df.drop(*columns)
 
 
+def shuffle_rows(df: DataFrame, seed: int = 0) -> DataFrame:
+    """Rows in random order, for an export whose readers take the order as it comes."""
+    return df.orderBy(F.rand(seed))
+
+
 def corrupt(df: DataFrame, spec: DefectSpec, as_of: Column) -> DataFrame:
     """Nulls, duplicates, outliers, stale dates and drift, in that order.
 

@@ -10,8 +10,14 @@ BASELINE_DAYS = 7
 
 
 def latest_run(metrics: DataFrame) -> DataFrame:
-    """Rows of the newest run; none for an empty table."""
-    newest = metrics.agg(F.max("run_timestamp").alias("newest"))
+    """Rows of the newest run; none for an empty table.
+
+    A stored metrics table is kept by `run_date`, so only its newest day is read.
+    """
+    if "run_date" in metrics.columns:
+        newest_day = metrics.agg(F.max("run_date"))
+        metrics = metrics.where(F.col("run_date") == newest_day.scalar())
+    newest = metrics.agg(F.max("run_timestamp"))
     return metrics.where(F.col("run_timestamp") == newest.scalar())
 
 

@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable, Mapping, Sequence
-from functools import reduce
+from functools import partial, reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -12,16 +13,33 @@ from lakeassay import project
 from lakeassay.model import RunContext, TableSpec, Thresholds
 from lakeassay.operators.checks import run_checks
 from lakeassay.operators.insights import insights_for_latest_run
+from lakeassay.plans.jobs import run_together
 from lakeassay.sources import tables
 
 
 def run_suite(frames: Mapping[str, DataFrame], specs: Sequence[TableSpec], run: RunContext,
               limits: Thresholds = Thresholds()) -> DataFrame:
-    """Metrics of all tables as one lazy DataFrame, so that their scans run side by side."""
+    """Metrics of all tables as one lazy DataFrame."""
     results = [run_checks(frames[s.name], s, run, references=frames, limits=limits) for s in specs]
     return reduce(DataFrame.unionByName, results)
 
 
+def staged_suite(frames: Mapping[str, DataFrame], specs: Sequence[TableSpec], run: RunContext,
+                 limits: Thresholds = Thresholds(), at_once: int = 4) -> DataFrame:
+    """The same metrics, computed now, several tables at a time.
+
+    One plan over many tables waits for each table's profile before it starts the next
+    scan, and losing it means starting over. Here each table is a job of its own.
+    """
+    attempt = f"metrics/{run.run_id}-{uuid.uuid4().hex}"
+
+    def check(spec: TableSpec) -> DataFrame:
+        metrics = run_checks(frames[spec.name], spec, run, references=frames, limits=limits)
+        return tables.stage(metrics.coalesce(1), f"{attempt}/{spec.name}")
+
+    return reduce(DataFrame.unionByName, run_together([partial(check, s) for s in specs], at_once))
+
+
 def write_metrics(metrics: DataFrame, table: str, *, fmt: str = "parquet") -> None:
     """Append metric rows, kept by day so that the newest run is found without a full scan."""
     dated = metrics.withColumn("run_date", F.to_date("run_timestamp"))
@@ -35,14 +53,20 @@ def check_tables(spark: SparkSession, run: RunContext, *, database: str = projec
     specs = specs if specs is not None else project.quality_specs(database)
     frames = {s.name: spark.table(s.name) for s in specs}
     name = project.table_name(project.METRICS_TABLE, database)
-    write_metrics(run_suite(frames, specs, run), name, fmt=fmt)
+    write_metrics(staged_suite(frames, specs, run), name, fmt=fmt)
     return name
 
 
 def write_insight(spark: SparkSession, run: RunContext, *, database: str = project.DATABASE,
-                  respond: Callable[[str], str] | None = None, fmt: str = "parquet") -> str:
-    """Append the insight of the newest run; returns the insights table."""
+                  respond: Callable[[str], str] | None = None, top_n_failures: int = 12,
+                  max_metrics: int = 150, fmt: str = "parquet") -> str:
+    """Append the insight of the newest run, if there is one; returns the insights table.
+
+    The rows are staged before the append, so a model is asked once even if a write is retried.
+    """
     metrics = spark.table(project.table_name(project.METRICS_TABLE, database))
     name = project.table_name(project.INSIGHTS_TABLE, database)
-    tables.append(insights_for_latest_run(metrics, run.timestamp, respond=respond), name, fmt=fmt)
+    rows = insights_for_latest_run(
+        metrics, run.timestamp, respond=respond, top_n_failures=top_n_failures, max_metrics=max_metrics)
+    tables.append(tables.stage(rows, f"insights/{run.run_id}-{uuid.uuid4().hex}"), name, fmt=fmt)
     return name

@@ -14,7 +14,7 @@ from lakeassay.functions import active_rows, latest_per_key, with_row_hash
 from lakeassay.model import DefectSpec, ForeignKey, SilverSpec, TableSpec
 from lakeassay.operators import checks, defects, gold, ingest, insights, monitor, silver
 from lakeassay.plans.jobs import run_together
-from lakeassay.plans.suite import run_suite
+from lakeassay.plans.suite import run_suite, staged_suite
 from lakeassay.sources import csv, tables
 from registry import frames, shapes
 from registry.frames import RUN, given, moment, plain, shaped
@@ -269,7 +269,7 @@ def staged_layers(spark, sf):
 
 def dq_suite(spark, sf):
     """All checks of all nineteen tables as one run."""
-    return plain(run_suite(staged_layers(spark, sf), project.quality_specs(), RUN))
+    return plain(staged_suite(staged_layers(spark, sf), project.quality_specs(), RUN))
 
 
 # Insights -------------------------------------------------------------------------------

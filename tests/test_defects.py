@@ -63,6 +63,11 @@ def test_drift(orders):
     assert "quantity" not in defects.drop_columns(orders, "quantity").columns
 
 
+def test_shuffled_rows_are_the_same_rows(orders):
+    mixed = [r.order_id for r in defects.shuffle_rows(orders, 3).collect()]
+    assert mixed != sorted(mixed) and sorted(mixed) == list(range(20000))
+
+
 def test_checks_find_what_was_injected(orders):
     spec = DefectSpec(
         key="order_id", null_columns=("customer_id", "amount", "status"), outlier_column="amount",

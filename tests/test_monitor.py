@@ -1,6 +1,9 @@
+import re
 from datetime import date, datetime
 
 import pytest
+from conftest import planned
+from pyspark.sql import functions as F
 
 from lakeassay.operators import monitor
 
@@ -53,6 +56,14 @@ def test_no_metrics(metrics):
     assert rows(monitor.latest_run(none)) == []
 
 
+def test_stored_metrics_are_read_for_the_newest_day_only(spark, metrics, tmp_path):
+    metrics.withColumn("run_date", F.to_date("run_timestamp")).write.partitionBy("run_date").parquet(str(tmp_path / "m"))
+    stored = spark.read.parquet(str(tmp_path / "m"))
+    newest = monitor.latest_run(stored)
+    assert re.search(r"PartitionFilters: \[isnotnull\(run_date#\d+\), \(run_date#\d+ = Subquery", planned(newest))
+    assert newest.count() == 5
+
+
 def test_insight_queries(spark):
     insights = spark.createDataFrame(
         [(D1, D1, "high", 1, 2, "s1", "r", "a"), (D2, D2, "low", 0, 3, "s2", "r", "a"), (D2, D1, "low", 0, 3, "s3", "r", "a")],

@@ -110,6 +110,18 @@ def test_layers_checks_and_insight(spark, loads):
     assert row.metrics_run_timestamp == DAY3.as_of
 
 
+def test_tables_answer_dashboard_sql(spark, loads):
+    newest = f"run_timestamp = (SELECT MAX(run_timestamp) FROM {DB}.quality_metrics)"
+    score = "ROUND(AVG(CASE WHEN passed THEN 1.0 ELSE 0.0 END) * 100, 1) AS score"
+    by_table = spark.sql(f"SELECT table_name, {score} FROM {DB}.quality_metrics WHERE {newest} GROUP BY 1 ORDER BY 2, 1")
+    ours = monitor.score_by_table(spark.table(f"{DB}.quality_metrics")).collect()
+    assert [(r.table_name, float(r.score)) for r in by_table.collect()] == [tuple(r) for r in ours]
+    trend = spark.sql(f"SELECT DATE(run_timestamp) AS run_date, layer, {score} FROM {DB}.quality_metrics GROUP BY 1, 2")
+    assert trend.count() == monitor.score_by_layer(spark.table(f"{DB}.quality_metrics")).count()
+    severities = spark.sql(f"SELECT DATE(run_timestamp), severity, COUNT(*) AS n FROM {DB}.ai_insights GROUP BY 1, 2")
+    assert severities.selectExpr("sum(n)").first()[0] == 2
+
+
 def test_suite_covers_the_declared_relations():
     specs = project.quality_specs()
     assert len(specs) == 19
