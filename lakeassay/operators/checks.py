@@ -170,7 +170,8 @@ def freshness(df: DataFrame, subject: Subject, timestamp: str, limits: Threshold
 def _compact(df: DataFrame, column: str) -> Column:
     """The column, with long text replaced by its SHA-256, so that whole texts are not shuffled."""
     value = quoted(column)
-    if not isinstance(df.schema[column].dataType, StringType):
+    # Texts of another collation may be equal without having the same bytes.
+    if df.schema[column].dataType != StringType():
         return value
     return F.when(F.octet_length(value) > LONG_TEXT, F.sha2(value, 256)).otherwise(value)
 

@@ -19,6 +19,8 @@ from lakeassay.operators.monitor import latest_run
 from lakeassay.schemas import INSIGHT_SCHEMA, RESPONSE_SCHEMA, SEVERITIES
 
 PROMPT_TEMPLATE = (Path(__file__).parent.parent / "prompts" / "quality_insight.md").read_text(encoding="utf-8")
+
+# Wording that readers of the summaries and prompts rely on.
 DOMAIN = "AACT clinical trials with CDC-aware Bronze and Silver layers"
 NO_FAILURES = "No failing checks in the latest run."
 

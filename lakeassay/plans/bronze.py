@@ -74,8 +74,13 @@ def load_table(spark: SparkSession, table: str, source: DataFrame, run: RunConte
     return LoadResult(target_name, "merged", dict(counted.get))
 
 
-def load_all(spark: SparkSession, read: Callable[[str], DataFrame], run: RunContext, **options) -> list[LoadResult]:
-    """Load every source table; `read` gives the lazy scan of a table by its short name."""
+def load_all(spark: SparkSession, read: Callable[[str], DataFrame], run: RunContext, *,
+             at_once: int = 4, **options) -> list[LoadResult]:
+    """Load every source table, `at_once` of them at a time.
+
+    `read` gives the lazy scan of a table by its short name; the other options are those of
+    `load_table`.
+    """
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {options.get('database', project.DATABASE)}")
     return run_together([
-        partial(load_table, spark, table, read(table), run, **options) for table in project.KEYS])
+        partial(load_table, spark, table, read(table), run, **options) for table in project.KEYS], at_once)

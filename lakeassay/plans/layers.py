@@ -13,13 +13,13 @@ from lakeassay.plans.jobs import run_together
 from lakeassay.sources import tables
 
 
-def build_silver(spark: SparkSession, *, database: str = project.DATABASE, fmt: str = "parquet") -> None:
+def build_silver(spark: SparkSession, *, database: str = project.DATABASE, fmt: str = "parquet", at_once: int = 4) -> None:
     def build(table: str) -> None:
         bronze = spark.table(project.table_name(f"bronze_{table}", database))
         cleaned = standardise(bronze, project.SILVER[table])
         tables.publish(cleaned, project.table_name(f"silver_{table}", database), fmt=fmt)
 
-    run_together([partial(build, table) for table in project.SILVER])
+    run_together([partial(build, table) for table in project.SILVER], at_once)
 
 
 def build_gold(spark: SparkSession, *, database: str = project.DATABASE, fmt: str = "parquet") -> None:

@@ -62,7 +62,8 @@ def publish(df: DataFrame, name: str, *, fmt: str = "parquet", partition_by: tup
 
     The rows go to a table of their own, and the view `name` is pointed at it as the last
     step, so readers see the old rows or the new ones and a failed write changes nothing.
-    The newest `keep` snapshots stay. Formats with versions of their own are overwritten.
+    The newest `keep` snapshots stay. One writer at a time. Formats with versions of their
+    own are overwritten.
     """
     spark = df.sparkSession
     if supports_row_changes(fmt):

@@ -327,8 +327,8 @@ def over_insights(query: str) -> str:
 
 
 SCORE = "round(avg(CASE WHEN passed THEN 1.0 ELSE 0.0 END) * 100, 1) AS quality_score_pct"
-RANKED = """(SELECT *, row_number() OVER (PARTITION BY run_timestamp ORDER BY passed, layer, table_name, check_name,
-    column_name, metric_value, details) AS rank FROM m)"""
+RANKED = """(SELECT *, CAST(row_number() OVER (PARTITION BY run_timestamp ORDER BY passed, layer, table_name, check_name,
+    column_name, metric_value, details) AS integer) AS rank FROM m)"""
 COUNTS = """(SELECT run_timestamp, count(*) AS total_checks, count(*) FILTER (WHERE passed) AS passed_check_count,
     count(*) FILTER (WHERE NOT passed) AS failed_check_count,
     count(*) FILTER (WHERE NOT passed AND check_name IN ('referential_integrity', 'schema_conformity')) AS failed_structural_count
