@@ -42,6 +42,14 @@ def score_by_layer(metrics: DataFrame) -> DataFrame:
         .agg(_score()).orderBy("run_date", "layer"))
 
 
+def score_by_stage(metrics: DataFrame) -> DataFrame:
+    """Score per day and per stage: the layer names of tables begin with bronze, silver or gold."""
+    stage = F.split_part("layer", F.lit("_"), F.lit(1)).alias("stage")
+    return (
+        metrics.groupBy(F.to_date("run_timestamp").alias("run_date"), stage)
+        .agg(_score()).orderBy("run_date", "stage"))
+
+
 def score_by_table(metrics: DataFrame) -> DataFrame:
     """Score per table in the newest run, worst first."""
     return latest_run(metrics).groupBy("table_name").agg(_score()).orderBy("quality_score_pct", "table_name")

@@ -472,6 +472,8 @@ def oracle_sql() -> dict[str, str]:
         "mon_failed_checks": over_metrics("SELECT count(*) AS failed_checks FROM newest WHERE NOT passed"),
         "mon_score_by_layer": over_metrics(
             f"SELECT CAST(run_timestamp AS date) AS run_date, layer, {SCORE} FROM m GROUP BY 1, 2 ORDER BY 1, 2"),
+        "mon_score_by_stage": over_metrics(
+            f"SELECT CAST(run_timestamp AS date) AS run_date, split_part(layer, '_', 1) AS stage, {SCORE} FROM m GROUP BY 1, 2"),
         "mon_score_by_table": over_metrics(f"SELECT table_name, {SCORE} FROM newest GROUP BY 1 ORDER BY 2, 1"),
         "mon_failing_checks": over_metrics(
             """SELECT layer, table_name, check_name, column_name, metric_value, threshold, details FROM newest

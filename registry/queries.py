@@ -384,6 +384,7 @@ QUERIES: dict[str, Query] = {
     "mon_quality_score": partial(_on_metrics, monitor.quality_score),
     "mon_failed_checks": partial(_on_metrics, monitor.failed_checks),
     "mon_score_by_layer": partial(_on_metrics, monitor.score_by_layer),
+    "mon_score_by_stage": partial(_on_metrics, monitor.score_by_stage),
     "mon_score_by_table": partial(_on_metrics, monitor.score_by_table),
     "mon_failing_checks": partial(_on_metrics, monitor.failing_checks),
     "mon_ri_failures": partial(_on_metrics, monitor.referential_failures),

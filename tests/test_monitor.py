@@ -36,6 +36,8 @@ def test_scores(metrics):
     assert rows(monitor.score_by_layer(metrics)) == [
         (date(2024, 1, 1), "silver_a", 0.0), (date(2024, 1, 2), "gold_b", 0.0),
         (date(2024, 1, 2), "gold_c", 100.0), (date(2024, 1, 2), "silver_a", 33.3)]
+    assert rows(monitor.score_by_stage(metrics)) == [
+        (date(2024, 1, 1), "silver", 0.0), (date(2024, 1, 2), "gold", 50.0), (date(2024, 1, 2), "silver", 33.3)]
 
 
 def test_lists(metrics):
