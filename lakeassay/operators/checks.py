@@ -119,10 +119,10 @@ def _with_outlier_counts(df: DataFrame, profile: DataFrame, numbers: Sequence[st
     """
     values = df.selectExpr(*[f"double({name(c)}) AS x_{i}" for i, c in enumerate(numbers)])
     known = values.withColumn("profile", profile.scalar())
-    # NaN compares as greater than any number, so a NaN spread is ruled out by name.
+    # A spread of zero gives null. NaN compares as greater than any number, so it is ruled out by name.
     counts = [
-        f"count_if(profile.std_{i} > 0 AND NOT isnan(profile.std_{i}) "
-        f"AND abs((x_{i} - profile.mean_{i}) / profile.std_{i}) > {limit!r}D) AS far_{i}"
+        f"count_if(NOT isnan(profile.std_{i}) "
+        f"AND abs(try_divide(x_{i} - profile.mean_{i}, profile.std_{i})) > {limit!r}D) AS far_{i}"
         for i in range(len(numbers))]
     return known.agg(*map(F.expr, counts)).withColumn("profile", profile.scalar())
 
