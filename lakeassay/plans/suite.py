@@ -48,12 +48,12 @@ def write_metrics(metrics: DataFrame, table: str, *, fmt: str = "parquet") -> No
 
 
 def check_tables(spark: SparkSession, run: RunContext, *, database: str = project.DATABASE,
-                 specs: Sequence[TableSpec] | None = None, fmt: str = "parquet") -> str:
+                 specs: Sequence[TableSpec] | None = None, fmt: str = "parquet", at_once: int = 4) -> str:
     """Check every table of the project and append the metrics; returns the metrics table."""
     specs = specs if specs is not None else project.quality_specs(database)
     frames = {s.name: spark.table(s.name) for s in specs}
     name = project.table_name(project.METRICS_TABLE, database)
-    write_metrics(staged_suite(frames, specs, run), name, fmt=fmt)
+    write_metrics(staged_suite(frames, specs, run, at_once=at_once), name, fmt=fmt)
     return name
 
 
