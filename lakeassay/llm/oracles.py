@@ -15,3 +15,40 @@ FROM marked GROUP BY rid
 """
 
 ORACLES = {"op2_line_dedup": LINE_DEDUP}
+
+QUALITY_RULES = r"""
+WITH docs AS (SELECT row_number() OVER () AS rid, doc_id, coalesce(text, '') AS body FROM documents),
+words AS (
+  SELECT rid, unnest(w) AS word, unnest(range(len(w))) AS pos
+  FROM (SELECT rid, regexp_extract_all(body, '[^\x20\x09-\x0D]+') AS w FROM docs)),
+counts AS (
+  SELECT rid, count(*) AS n_words, sum(length(word)) AS word_chars,
+         count(*) FILTER (WHERE regexp_matches(word, '[A-Za-z\x{80}-\x{10FFFF}]')) AS n_lettered
+  FROM words GROUP BY rid),
+windows AS (
+  SELECT rid, pos, word, lead(word, 1) OVER w AS second, lead(word, 2) OVER w AS third
+  FROM words WINDOW w AS (PARTITION BY rid ORDER BY pos)),
+repeated AS (
+  SELECT rid, pos, count(*) OVER (PARTITION BY rid, word, second, third) AS n FROM windows WHERE third IS NOT NULL),
+covered AS (
+  SELECT rid, count(DISTINCT pos + k) AS n_repeat_words
+  FROM repeated CROSS JOIN (VALUES (0), (1), (2)) AS t(k) WHERE n > 1 GROUP BY rid),
+lines AS (
+  SELECT rid, count(*) AS n_lines, count(*) - count(DISTINCT line) AS n_dup_lines
+  FROM (SELECT rid, unnest(string_split(body, E'\n')) AS line FROM docs)
+  WHERE regexp_matches(line, '[^\x20\x09-\x0D]') GROUP BY rid),
+measures AS (
+  SELECT rid, doc_id, coalesce(n_words, 0) AS n_words, coalesce(word_chars, 0)::BIGINT AS word_chars,
+         len(regexp_extract_all(body, '[#*$%&|<>]')) AS n_symbols, coalesce(n_dup_lines, 0) AS n_dup_lines,
+         coalesce(n_repeat_words, 0) AS n_repeat_words, coalesce(n_lines, 0) AS n_lines,
+         coalesce(n_lettered, 0) AS n_lettered, len(regexp_extract_all(body, '[A-Z]')) AS n_capitals,
+         len(regexp_extract_all(body, '[a-z]')) AS n_small
+  FROM docs LEFT JOIN counts USING (rid) LEFT JOIN lines USING (rid) LEFT JOIN covered USING (rid)),
+based AS (SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed FROM measures)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+       NOT (base_failed OR 10 * n_symbols > n_words OR 2 * n_dup_lines > n_lines OR word_chars < 2 * n_words
+            OR word_chars > 20 * n_words OR n_capitals > n_small OR 10 * n_lettered < 7 * n_words) AS kept
+FROM based
+"""
+
+ORACLES["op10_quality_rules"] = QUALITY_RULES

@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakeassay.llm import bpe, common, linededup, mixing, quality, simhash
+from lakeassay.llm import bpe, common, langid, linededup, mixing, quality, rules, simhash
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -26,6 +26,12 @@ def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(_table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken", "copies")
 
 
+def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, path = _table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model")
+    found = langid.predict(docs.select("doc_id", "text"), langid.train(docs, path), path)
+    return found.select("doc_id", common.held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score")
+
+
 def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents")
     model = quality.train(docs, _table(spark, sf_dir, "labels"))
@@ -39,4 +45,10 @@ def op9_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _table(spark, sf_dir, "documents").select("doc_id", trip.alias("r")).select("doc_id", "r.*")
 
 
-QUERIES = {f.__name__: f for f in (op1_simhash, op2_line_dedup, op3_mixing, op6_quality, op9_byte_bpe)}
+def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rules.base_and_verdict(_table(spark, sf_dir, "documents")).select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
+
+
+QUERIES = {f.__name__: f for f in (
+    op1_simhash, op2_line_dedup, op3_mixing, op4_language_id, op6_quality, op9_byte_bpe, op10_quality_rules)}
