@@ -158,10 +158,10 @@ def train(docs: DataFrame, path: str, id_column: str = "doc_id", text: str = "te
                .groupBy("lang", "piece").agg(F.sum("amount").alias("amount")))
     # Batches, not rows: a model of many languages arrives as it is sent.
     languages = sorted(r.lang for r in learn.select(F.col(f"`{lang}`").cast("string").alias("lang")).distinct()
-                       .limit(MODEL_LIMIT // (8 * pieces.total) + 1).collect())
-    if 8 * len(languages) * pieces.total > MODEL_LIMIT:
+                       .limit(MODEL_LIMIT // (8 * len(pieces.texts)) + 1).collect())
+    if 8 * len(languages) * len(pieces.texts) > MODEL_LIMIT:
         raise ValueError(f"more languages than a model of {MODEL_LIMIT} bytes holds")
-    counts = np.full((pieces.total, max(1, len(languages))), smoothing)
+    counts = np.full((len(pieces.texts), max(1, len(languages))), smoothing)
     column = {name: i for i, name in enumerate(languages)}
     found = counted.toArrow()
     np.add.at(counts, (found["piece"].to_numpy(), np.array([column[x] for x in found["lang"].to_pylist()], np.int64)),
