@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakeassay.llm import bpe, common, langid, linededup, mixing, quality, rules, simhash
+from lakeassay.llm import ann, bpe, common, langid, linededup, mixing, quality, rules, simhash
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -39,6 +39,10 @@ def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", common.held_out(F.col("doc_id")).alias("held_out"), "score", (F.col("score") >= 0.7).cast("int").alias("predicted"))
 
 
+def op7_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ann.nearest(_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0, top=20)
+
+
 def op9_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     vocabulary = bpe.read_vocabulary(public_tokenizers.path("byte_bpe_50k.tiktoken"))
     trip = bpe.round_trip(F.col("text"), vocabulary, public_tokenizers.PATTERN)
@@ -51,4 +55,4 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    op1_simhash, op2_line_dedup, op3_mixing, op4_language_id, op6_quality, op9_byte_bpe, op10_quality_rules)}
+    op1_simhash, op2_line_dedup, op3_mixing, op4_language_id, op6_quality, op7_nearest_neighbours, op9_byte_bpe, op10_quality_rules)}
