@@ -6,7 +6,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakeassay.llm import ann, bpe, common, langid, linededup, mixing, quality, rules, simhash
+from lakeassay.llm import ann, bpe, common, htmltext, langid, licensescan, linededup, mixing, quality, rules, simhash
+from lakeassay.llm.licenses import standard_templates
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -32,6 +33,11 @@ def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", common.held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score")
 
 
+def op5_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = licensescan.license_matches(_table(spark, sf_dir, "documents"), standard_templates(), min_coverage=0.8)
+    return found.select("doc_id", F.explode("licenses").alias("m")).select("doc_id", "m.*")
+
+
 def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents")
     model = quality.train(docs, _table(spark, sf_dir, "labels"))
@@ -43,6 +49,11 @@ def op7_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ann.nearest(_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0, top=20)
 
 
+def op8_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = htmltext.main_text(_table(spark, sf_dir, "pages"))
+    return found.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
+
+
 def op9_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     vocabulary = bpe.read_vocabulary(public_tokenizers.path("byte_bpe_50k.tiktoken"))
     trip = bpe.round_trip(F.col("text"), vocabulary, public_tokenizers.PATTERN)
@@ -55,4 +66,4 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    op1_simhash, op2_line_dedup, op3_mixing, op4_language_id, op6_quality, op7_nearest_neighbours, op9_byte_bpe, op10_quality_rules)}
+    op1_simhash, op2_line_dedup, op3_mixing, op4_language_id, op5_license_scan, op6_quality, op7_nearest_neighbours, op8_main_text, op9_byte_bpe, op10_quality_rules)}
