@@ -65,17 +65,15 @@ def best(agree: np.ndarray, own: np.ndarray, query: np.ndarray, vectors: np.ndar
     agree = np.where(own, -1, agree)
     others = int((~own).sum())
     floor = np.partition(agree, -min(RERANK, others))[-min(RERANK, others)] if others else 0
-    seen, scores = np.zeros(0, np.int64), np.zeros(0)
+    seen, first, scores = 0, np.zeros(0, np.int64), np.zeros(0)
     while True:
         rows = np.flatnonzero((agree >= floor) & ~own)
-        if len(rows) == len(seen):
-            return ids[order], scores_at
-        seen, scores = rows, vectors[rows] @ query
-        first = np.lexsort((ids[rows], -scores))[:top]
-        order, scores_at = rows[first], scores[first]
-        if not len(first):
-            return ids[order], scores_at
-        floor = min(floor, REACH * agree[order].min())
+        if len(rows) == seen:
+            return ids[first], scores
+        seen, products = len(rows), vectors[rows] @ query
+        order = np.lexsort((ids[rows], -products))[:top]
+        first, scores = rows[order], products[order]
+        floor = min(floor, REACH * agree[first].min())
 
 
 def _matrix(column: pd.Series, dtype) -> np.ndarray:

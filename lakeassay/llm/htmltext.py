@@ -8,6 +8,7 @@ from html import unescape
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StringType, StructType
 
 from lakeassay.llm.common import OWN
 
@@ -178,7 +179,7 @@ class Page:
         return [text for element, text, _ in self.blocks if inside[element]]
 
 
-@F.pandas_udf("path string, chars bigint")
+@F.pandas_udf(StructType().add("path", StringType()).add("chars", LongType()))
 def _vote(pages: pd.Series) -> pd.DataFrame:
     """The generalised path of each page's best container and the characters below it; null without one."""
     rows = []
@@ -189,7 +190,7 @@ def _vote(pages: pd.Series) -> pd.DataFrame:
     return pd.DataFrame(rows, columns=["path", "chars"])
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(StringType())
 def _text(pages: pd.Series, paths: pd.Series) -> pd.Series:
     return pd.Series([Page(html or "").text(path) for html, path in zip(pages, paths)], dtype=object)
 

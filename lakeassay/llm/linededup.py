@@ -6,6 +6,7 @@ import pandas as pd
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, BinaryType, LongType, StringType, StructType
 
 from lakeassay.llm.common import KEYS, OWN, SPACE, row_key
 
@@ -19,13 +20,13 @@ def _digest(line: bytes) -> bytes | None:
     return xxhash.xxh3_128_digest(key) if key else None
 
 
-@F.pandas_udf("array<binary>")
+@F.pandas_udf(ArrayType(BinaryType()))
 def _line_keys(texts: pd.Series) -> pd.Series:
     """The distinct line keys of each text."""
     return pd.Series([list({d for line in (t or b"").split(b"\n") if (d := _digest(line))}) for t in texts])
 
 
-@F.pandas_udf("n_lines bigint, n_dropped bigint, kept string")
+@F.pandas_udf(StructType().add("n_lines", LongType()).add("n_dropped", LongType()).add("kept", StringType()))
 def _without(texts: pd.Series, dropped: pd.Series) -> pd.DataFrame:
     rows = []
     for text, keys in zip(texts, dropped):

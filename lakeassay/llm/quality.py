@@ -10,6 +10,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, DoubleType
 
 from lakeassay.llm.common import held_out
 
@@ -58,7 +59,7 @@ def statistics_of(text: bytes | None) -> list[float]:
     ]
 
 
-@F.pandas_udf("array<double>")
+@F.pandas_udf(ArrayType(DoubleType()))
 def _statistics(texts: pd.Series) -> pd.Series:
     return pd.Series([statistics_of(t) for t in texts])
 

@@ -1,0 +1,76 @@
+import html as markup
+import re
+
+import pytest
+from text_cases import SF, given
+
+from lakeassay.llm import htmltext, queries
+
+
+def text_of(html, path=None):
+    return htmltext.Page(html).text(path)
+
+
+@pytest.mark.parametrize("html, wanted", [
+    ("", ""), ("plain words", "plain words"), ("<p>a<p>b", "a\n\nb"), ("<p>a &amp; b&nbsp;&lt;c&#233; &am</p>", "a & b <cé &am"),
+    ("<body><nav>menu</nav><article><h1>T</h1><p>x  y\n z</p></article><footer>f</footer>", "T\n\nx y z"),
+    ("<article><p>a<script>var t='</p>';</script> b<style>p{}</style></p><!-- c --><p>d", "a b\n\nd"),
+    ("<div class='content'><p>long enough text here</p></div><div class='post-comments'><p>reader said a lot of things here, much more</p></div>",
+     "long enough text here"),
+    ("<main><ul><li>one<li>two</ul><table><tr><td>c1<td>c2</table></main>", "one\n\ntwo\n\nc1\n\nc2"),
+    ("<article><p>keep<aside>no</aside></p><div class=ad>no</div><div id='cookie-notice'>no</div><form>no<input></form><p>also</p></article>",
+     "keep\n\nalso"),
+    ("<div><p><b>bold <i>both</b> end</i></p>", "bold both end"), ("<p>line<br>break", "line break"),
+    ("<article><![CDATA[raw &amp; text]]></article>", "raw &amp; text"), ("<a href=\"x>y\">l</a> t < 5 <3", "l t < 5 <3"),
+    ("<article><p>t</p><div hidden>h</div></article", "t"), ("<p title=\"open>x", "x"), ("<script>never closed <p>x", ""),
+    ("<div class='entry-header'><h1>Title</h1></div>", "Title"), ("<!DOCTYPE html><!-- open comment <p>x", ""),
+])
+def test_pages(html, wanted):
+    assert text_of(html) == wanted
+
+
+def test_paths_are_generalised():
+    page = htmltext.Page('<body><div class="post-12 Wide"><p>words of the text</p></div>')
+    assert page.paths[page.best_container()] == ">body>div.post-.wide"
+
+
+def test_a_winning_path_overrules_the_page():
+    html = "<body><div class='c'><p>short</p></div><div class='x'><p>a much longer paragraph stands here</p></div>"
+    assert text_of(html) == "a much longer paragraph stands here"
+    assert text_of(html, ">body>div.c") == "short"
+    assert text_of(html, ">body>section") == "a much longer paragraph stands here"
+
+
+def test_long_pages_take_linear_time():
+    assert len(text_of("<div>" * 3000 + "<p>x</p>" * 3000)) > 0
+    assert text_of("<a '" * 20000 + ">") is not None
+    assert text_of("<p>" + "word " * 500_000) == ("word " * 500_000).strip()
+
+
+def test_hosts_vote(spark):
+    usual = "<body><div class='c{0}'><p>the text of the article number {0} stands here and goes on</p></div><div class='x'><p>x</p></div>"
+    odd = "<body><div class='c'><p>short</p></div><div class='x'><p>a much longer paragraph than the text of this article stands here</p></div>"
+    rows = [(i, f"http://A.example/{i}", usual.format(i)) for i in range(5)] + [(9, "https://a.example:80/odd", odd), (10, "http://b.example", odd)]
+    df = spark.createDataFrame([(*r, "taken") for r in rows], "page_id long, url string, html string, text string")
+    found = {r.page_id: r.text for r in htmltext.main_text(df).collect()}
+    assert found[9] == "short" and found[10].startswith("a much longer") and found[0].startswith("the text")
+    assert {r.host: r.path for r in htmltext.host_paths(df).collect()} == {"a.example": ">body>div.c", "b.example": ">body>div.x"}
+
+
+def test_odd_pages(spark):
+    rows = [(1, None, None), (2, "http://a.example/", ""), (2, "http://a.example/", ""), (None, "not a url", "<p>x</p>"), (4, None, "<p>y</p>")]
+    df = spark.createDataFrame([(*r, "taken") for r in rows], "page_id long, url string, html string, `__llm_x` string")
+    assert sorted((str(r.page_id), r.text) for r in htmltext.main_text(df).collect()) == [
+        ("1", ""), ("2", ""), ("2", ""), ("4", "y"), ("None", "x")]
+    assert htmltext.main_text(df.limit(0)).collect() == []
+
+
+def test_given_pages(spark):
+    """The article of these pages by patterns."""
+    pages = {r.page_id: r for r in given(spark, "pages").collect()}
+    found = queries.op8_main_text(spark, SF).collect()
+    assert len(found) == len(pages)
+    for r in found:
+        article = re.sub("</?b>", "", re.search("(?s)<article>(.*?)</article>", pages[r.page_id].html)[1]).replace("<br>", " ")
+        blocks = [" ".join(markup.unescape(x).split()) for x in re.split("</?(?:p|h1)>", article)]
+        assert r.text == "\n\n".join(b for b in blocks if b) and r.n_chars == len(r.text)

@@ -1,0 +1,105 @@
+import zlib
+
+import numpy as np
+import public_tokenizers
+import pytest
+from pyspark.sql import functions as F
+from text_cases import documents, empty, given
+
+from lakeassay.llm import common, langid, queries
+
+PATH = public_tokenizers.path("piece_bpe_32k.model")
+
+
+@pytest.fixture(scope="module")
+def pieces():
+    with open(PATH, "rb") as file:
+        return langid.read_pieces(file.read())
+
+
+def model_of(pieces, languages=3):
+    p = np.random.default_rng(4).dirichlet(np.ones(len(pieces.texts)), languages).T + 1e-9
+    return langid.LanguageModel([f"l{i}" for i in range(languages)], np.log(p / p.sum(axis=0)))
+
+
+def over_all_segmentations(word, pieces, log_p):
+    """Summed by recursion over the first piece."""
+    ids = {t: i for i, t in enumerate(pieces.texts) if t}
+
+    def total(rest):
+        if not rest:
+            return np.zeros(log_p.shape[1])
+        ways = [log_p[ids[rest[:k]]] + total(rest[k:]) for k in range(1, len(rest) + 1) if rest[:k] in ids]
+        if rest[0] not in ids:
+            ways.append(log_p[[pieces.byte_ids[b] for b in rest[0].encode()]].sum(axis=0) + total(rest[1:]))
+        return np.logaddexp.reduce(ways)
+
+    return total(word)
+
+
+@pytest.mark.parametrize("word", ["▁the", "▁entionth", "▁über", "▁ꙮab", "▁a", "x" * 14, "▁日本語"])
+def test_forward_sums_all_segmentations(pieces, word):
+    model = model_of(pieces)
+    found = langid.Scorer(pieces, model).forward([word, word])
+    assert found == pytest.approx(np.stack([over_all_segmentations(word, pieces, model.log_p)] * 2))
+
+
+def test_every_piece_is_found_by_its_hash(pieces):
+    index = langid.PieceIndex(pieces.texts)
+    for i, text in enumerate(pieces.texts):
+        if text:
+            hashes = index.prefixes(langid._points([text], len(text)))
+            assert index.find(hashes[:, -1])[0] == i
+    hashes = index.prefixes(langid._points(["qzxqzxqzx"], 9))
+    assert index.find(hashes[:, -1])[0] == -1
+
+
+def test_long_runs_and_memory(pieces, monkeypatch):
+    monkeypatch.setattr(langid, "MEMORY", 20)
+    scorer = langid.Scorer(pieces, model_of(pieces))
+    for i in range(5):
+        words = {f"w{chr(97 + j)}{chr(97 + i)}" for j in range(26)} | {"a" * 500}
+        scorer.learn(words)
+        assert np.isfinite(scorer.rows[[scorer.row[w] for w in words]]).all()
+
+
+def test_unseen_quarter_is_told_apart(spark):
+    sf = "/root/testdata/sf0.01"
+    truth = {r.doc_id: r.lang for r in given(spark, "documents", sf).collect()}
+    found = queries.op4_language_id(spark, sf).collect()
+    assert len(found) == len(truth) and all(0 <= r.score <= 1 for r in found)
+    unseen = [r for r in found if r.held_out]
+    assert len(unseen) > 150 and sum(r.lang_pred == truth[r.doc_id] for r in unseen) >= 0.97 * len(unseen)
+
+
+def test_language_of_held_out_rows_is_not_read(spark):
+    docs = given(spark, "documents")
+    spoilt = docs.selectExpr("doc_id", "text", "case when crc32(cast(doc_id as string)) % 4 = 2 then 'zz' else lang end as lang")
+    model = langid.train(spoilt, PATH)
+    assert "zz" not in model.languages and np.allclose(model.log_p, langid.train(docs, PATH).log_p)
+
+
+def test_odd_documents(spark):
+    docs = documents(spark)
+    model = langid.train(docs, PATH)
+    assert model.languages == ["de", "en"]
+    found = langid.predict(docs, model, PATH)
+    assert found.columns.count("lang_pred") == 1 and found.columns.count("score") == 1
+    rows = found.collect()
+    assert len(rows) == docs.count()
+    for r in rows:
+        lettered = any(map(str.isalpha, r.text or ""))
+        assert (r.lang_pred == "und") == (not lettered) and 0 <= r.score <= 1
+    assert langid.predict(empty(spark), model, PATH).collect() == []
+
+
+def test_without_labels_nothing_is_determined(spark):
+    model = langid.train(documents(spark).selectExpr("doc_id", "text", "cast(null as string) as lang"), PATH)
+    assert model.languages == []
+    assert {r.lang_pred for r in langid.predict(documents(spark), model, PATH).collect()} == {"und"}
+
+
+def test_held_out_is_a_quarter_by_crc(spark):
+    found = spark.range(1000).select("id", common.held_out(F.col("id")).alias("x")).collect()
+    assert all(r.x == (zlib.crc32(str(r.id).encode()) % 4 == 2) for r in found)
+    assert spark.sql("select cast(null as long) id").select(common.held_out(F.col("id")).alias("x")).first().x

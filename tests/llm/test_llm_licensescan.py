@@ -1,0 +1,76 @@
+import random
+
+import pytest
+from text_cases import SF, documents, empty, given
+
+from lakeassay.llm import licensescan, queries
+from lakeassay.llm.licenses import standard_templates
+
+TEMPLATES = standard_templates()
+FILLER = "thndly of the in is this and or to be a work "
+
+
+def lcs(a, b):
+    row = [0] * (len(b) + 1)
+    for x in a:
+        new = [0]
+        for j, y in enumerate(b):
+            new.append(row[j] + 1 if x == y else max(row[j + 1], new[j]))
+        row = new
+    return row[-1]
+
+
+def test_alignment_ascends_and_is_no_longer_than_the_longest():
+    dice = random.Random(1)
+    for _ in range(300):
+        a, b = ([dice.choice("abcdefghij") for _ in range(dice.randint(0, 12))] for _ in "ab")
+        pairs = licensescan.patience(a, b)
+        assert all(a[i] == b[j] for i, j in pairs) and len(pairs) <= lcs(a, b)
+        assert all(p < r and q < s for (p, q), (r, s) in zip(pairs, pairs[1:]))
+        assert licensescan.patience(a, a) == [(i, i) for i in range(len(a))]
+
+
+def test_longest_ascending_run():
+    dice = random.Random(2)
+    for _ in range(200):
+        places = dice.sample(range(30), 8)
+        found = licensescan._ascending(list(enumerate(places)))
+        assert len(found) == lcs(sorted(places), places) and all(x < y for x, y in zip(found, found[1:]))
+        assert all(p[1] < q[1] for p, q in zip(found, found[1:]))
+
+
+@pytest.mark.parametrize("name", TEMPLATES)
+def test_each_template_is_found_wherever_it_stands(name):
+    scanner = licensescan.Scanner(TEMPLATES, 0.8)
+    text = FILLER * 30 + TEMPLATES[name] + " " + FILLER * 3 + TEMPLATES[name].upper().replace("\n", " * ") + FILLER * 300
+    found = scanner.scan(text)
+    assert [(m[0], m[1]) for m in found] == [(name, 1.0)] * 2
+    for m in found:
+        words = licensescan.WORDS.findall(text.lower()[m[5] : m[6]])
+        assert words == scanner.templates[name] and m[4] - m[3] == len(words) - 1
+
+
+def test_changed_templates():
+    scanner = licensescan.Scanner(TEMPLATES, 0.8)
+    words = TEMPLATES["MIT"].split()
+    changed = " ".join(w for i, w in enumerate(words) if i % 9)  # a ninth is missing
+    (m,) = scanner.scan(FILLER * 50 + changed + FILLER * 50)
+    assert m[0] == "MIT" and 0.85 <= m[1] < 0.95
+    assert not scanner.scan(" ".join(w for i, w in enumerate(words) if i % 3))
+    shuffled = words[:]
+    random.Random(3).shuffle(shuffled)
+    assert not scanner.scan(" ".join(shuffled))
+
+
+def test_given_documents(spark):
+    named = {n: t for n, t in TEMPLATES.items() if n.endswith("(named)") or n == "CC-BY-NC-4.0 (named)"}
+    wanted = sorted((r.doc_id, n) for r in given(spark, "documents").collect() for n, t in named.items() for _ in range(r.text.count(t)))
+    assert sorted((r.doc_id, r.license) for r in queries.op5_license_scan(spark, SF).collect()) == wanted
+
+
+def test_odd_documents(spark):
+    docs = documents(spark)
+    found = licensescan.license_matches(docs, TEMPLATES)
+    assert found.schema.names == docs.schema.names and all(r.licenses == [] for r in found.collect())
+    assert licensescan.license_matches(empty(spark), TEMPLATES).collect() == []
+    assert licensescan.license_matches(docs, {}).where("size(licenses) > 0").count() == 0
