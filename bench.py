@@ -11,7 +11,6 @@ from __future__ import annotations
 import json
 import os
 import sys
-import tempfile
 import time
 from pathlib import Path
 
@@ -56,7 +55,6 @@ def session(cpus: str) -> SparkSession:
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.ui.enabled", "false")
         .config("spark.driver.memory", "8g")
-        .config("spark.checkpoint.dir", tempfile.mkdtemp(prefix="bench-"))
         .getOrCreate())
     spark.sparkContext.setLogLevel("ERROR")
     return spark

@@ -33,7 +33,7 @@ def after_watermark(source: DataFrame, column: str, watermark, *, inclusive: boo
     """Source rows newer than a watermark; everything when there is none yet.
 
     `watermark` is a value, which reaches the source as a pushed-down filter, or a
-    one-row DataFrame from `high_watermark`, read as a scalar subquery.
+    one-row DataFrame from `high_watermark`, read as a scalar subquery, which does not.
 
     The strict form misses rows that arrive late with exactly the watermark's value.
     `inclusive` reads those again, which is safe: merging an equal row changes nothing.
@@ -51,7 +51,7 @@ def after_watermark(source: DataFrame, column: str, watermark, *, inclusive: boo
 
 
 def merge_snapshot(target: DataFrame, source: DataFrame, keys: Sequence[str], *, as_of: Column,
-                   full_extract: bool) -> DataFrame:
+                   full_extract: bool, new_columns: str = "add") -> DataFrame:
     """The target after the source's changes, plus an `_op` column saying what happened.
 
     Both sides carry lineage and a row hash. Rows whose hash changed are updated, new keys
@@ -59,25 +59,32 @@ def merge_snapshot(target: DataFrame, source: DataFrame, keys: Sequence[str], *,
     target keys that the source lacks are marked deleted at `as_of`. Keys match null to
     null. Of several source rows with one key the latest counts.
 
-    The target streams through a left join and new keys come from an anti join against the
-    target's distinct keys. Unlike one full outer join, Spark can then split a target key
-    that holds a large share of the rows over many tasks, and only the target's key columns
-    are read twice.
-    """
-    columns = target.columns
-    latest = latest_per_key(source, keys)
-    old = target.select(key_of(keys).alias("_old_key"), F.struct(*map(quoted, columns)).alias("_old"))
-    new = latest.select(key_of(keys).alias("_new_key"), F.struct(*map(quoted, columns)).alias("_new"))
+    Columns that only the source has are added, null in rows it does not change, or refused
+    with `new_columns="refuse"`. Columns that only the target has are an error: their values
+    would silently become null.
 
-    matched = F.col("_new_key").isNotNull()
+    The sides meet in one full outer join on the key, so each is shuffled once: choosing the
+    latest source row uses the same partitioning. Loading keeps target keys unique, so no key
+    is larger than one row on either side; a repeated target key still comes out right, but
+    its rows meet in one task.
+    """
+    columns = _merged_columns(target, source, new_columns)
+    added = [c for c in columns if c not in target.columns]
+    known = target.withColumns({c: F.lit(None).cast(source.schema[c].dataType) for c in added}) if added else target
+    old = known.select(key_of(keys).alias("_old_key"), F.struct(*map(quoted, columns)).alias("_old"))
+    latest = latest_per_key(source.withColumn("_new_key", key_of(keys)), ["_new_key"])
+    new = latest.select("_new_key", F.struct(*map(quoted, columns)).alias("_new"))
+
+    here, there = F.col("_new_key").isNotNull(), F.col("_old_key").isNotNull()
     was_deleted = F.coalesce(F.col("_old._is_deleted"), F.lit(False))
     differs = ~F.col("_old._row_hash").eqNullSafe(F.col("_new._row_hash"))
     operation = (
-        F.when(matched & was_deleted, "resurrect")
-        .when(matched & differs, "update")
-        .when(~matched & ~was_deleted & F.lit(full_extract), "delete")
+        F.when(~there, "insert")
+        .when(here & was_deleted, "resurrect")
+        .when(here & differs, "update")
+        .when(~here & ~was_deleted & F.lit(full_extract), "delete")
         .otherwise("unchanged"))
-    taken = F.col("_op").isin("update", "resurrect")
+    taken = F.col("_op").isin("insert", "update", "resurrect")
     gone = F.col("_op") == "delete"
 
     def kept(name: str) -> Column:
@@ -88,15 +95,21 @@ def merge_snapshot(target: DataFrame, source: DataFrame, keys: Sequence[str], *,
             value = F.when(gone, as_of).otherwise(value)
         return value.alias(name)
 
-    carried = (
-        old.join(new, F.col("_old_key") == F.col("_new_key"), "left")
-        .withColumn("_op", operation)
-        .select(*map(kept, columns), "_op"))
-    known = target.select(key_of(keys).alias("_known_key")).distinct()
-    inserted = (
-        new.join(known, F.col("_new_key") == F.col("_known_key"), "left_anti")
-        .select(*[F.col("_new").getField(c).alias(c) for c in columns], F.lit("insert").alias("_op")))
-    return carried.unionByName(inserted)
+    joined = old.join(new, F.col("_old_key") == F.col("_new_key"), "full")
+    return joined.withColumn("_op", operation).select(*map(kept, columns), "_op")
+
+
+def _merged_columns(target: DataFrame, source: DataFrame, new_columns: str) -> list[str]:
+    if new_columns not in ("add", "refuse"):
+        raise ValueError(f"new_columns must be 'add' or 'refuse', not {new_columns!r}")
+    lost = [c for c in target.columns if c not in source.columns]
+    if lost:
+        raise ValueError(f"the source no longer has the columns {', '.join(lost)}")
+    added = [c for c in source.columns if c not in target.columns]
+    if added and new_columns == "refuse":
+        raise ValueError(f"the source has new columns: {', '.join(added)}")
+    data = [c for c in target.columns if not c.startswith("_")]
+    return [*data, *added, *[c for c in target.columns if c.startswith("_")]]
 
 
 def change_summary(merged: DataFrame) -> DataFrame:

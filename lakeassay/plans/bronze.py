@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 from functools import partial
 
@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from lakeassay import project
-from lakeassay.functions import with_row_hash
+from lakeassay.functions import latest_per_key, with_row_hash
 from lakeassay.model import RunContext
 from lakeassay.operators.ingest import (
     OPERATIONS,
@@ -37,41 +37,76 @@ class LoadResult:
 
 def load_table(spark: SparkSession, table: str, source: DataFrame, run: RunContext, *,
                database: str = project.DATABASE, fmt: str = "parquet", inclusive: bool = False,
-               hash_mode: str = "joined") -> LoadResult:
+               hash_mode: str = "joined", new_columns: str = "add", buckets: int = 64) -> LoadResult:
     """Load a source DataFrame (usually a lazy database scan) into `<database>.bronze_<table>`.
 
     Tables with a watermark are read from their newest loaded value on. All others are read
     whole, and rows missing from the source are marked deleted. The source is read exactly
     once. An empty read leaves an existing table as it is, so a failed extract cannot mark
-    everything deleted.
+    everything deleted. Of several source rows with one key the latest is loaded, in the
+    first load too, so keys are unique. What happens to columns that appear later is up to
+    `new_columns`, as in `merge_snapshot`. `buckets` is how many folders a new table of
+    plain files is cut into.
     """
     target_name = project.table_name(f"bronze_{table}", database)
+    keys = project.KEYS[table]
     loaded = tables.exists(spark, target_name)
     column = project.WATERMARKS.get(table)
     if column and loaded:
         newest = high_watermark(spark.table(target_name), column).first()["max_watermark"]
         source = after_watermark(source, column, newest, inclusive=inclusive)
 
-    batch = tables.stage(source, f"{database}/{table}")
-    if loaded and batch.isEmpty():
-        return LoadResult(target_name, "skipped", {})
-    batch = with_row_hash(stamp_lineage(
-        batch, system=project.SOURCE_SYSTEM, schema=project.SOURCE_SCHEMA, table=table,
-        ingested_at=run.timestamp), mode=hash_mode)
-
-    counted = Observation(f"load_{table}")
-    if not loaded:
-        tables.publish(batch.observe(counted, F.count(F.lit(1)).alias("insert")), target_name, fmt=fmt)
-        return LoadResult(target_name, "initial", dict(counted.get))
-    if tables.supports_row_changes(fmt):
-        tables.merge_into(batch, target_name, project.KEYS[table], as_of=run.timestamp, full_extract=column is None)
-        return LoadResult(target_name, "merged", {})
-    merged = merge_snapshot(
-        spark.table(target_name), batch, project.KEYS[table], as_of=run.timestamp,
-        full_extract=column is None)
-    counts = [F.count_if(F.col("_op") == op).alias(op) for op in OPERATIONS]
-    tables.publish(merged.observe(counted, *counts).drop("_op"), target_name, fmt=fmt)
-    return LoadResult(target_name, "merged", dict(counted.get))
+    with tables.Staging(spark) as staging:
+        batch = staging.stage(source)
+        if loaded and batch.isEmpty():
+            return LoadResult(target_name, "skipped", {})
+        batch = with_row_hash(stamp_lineage(
+            batch, system=project.SOURCE_SYSTEM, schema=project.SOURCE_SCHEMA, table=table,
+            ingested_at=run.timestamp), mode=hash_mode)
+        if not loaded:
+            counted = Observation(f"load_{table}")
+            first = latest_per_key(batch, keys).observe(counted, F.count(F.lit(1)).alias("insert"))
+            if tables.supports_row_changes(fmt):
+                tables.publish(first, target_name, fmt=fmt)
+            else:
+                tables.KeyedTable(spark, target_name).create(first, keys, buckets)
+            return LoadResult(target_name, "initial", dict(counted.get))
+        if tables.supports_row_changes(fmt):
+            tables.merge_into(batch, target_name, keys, as_of=run.timestamp, full_extract=column is None)
+            return LoadResult(target_name, "merged", {})
+        changes = _merge_buckets(tables.KeyedTable(spark, target_name), batch, keys, run, staging,
+                                 full_extract=column is None, new_columns=new_columns)
+        return LoadResult(target_name, "merged", changes)
+
+
+def _merge_buckets(table: tables.KeyedTable, batch: DataFrame, keys: Sequence[str], run: RunContext, staging: tables.Staging, *,
+                   full_extract: bool, new_columns: str) -> dict[str, int]:
+    """Merge a batch, rewriting only buckets with a change; returns the rows per kind of change.
+
+    The first pass reads keys, hashes and flags of the table and says which buckets change;
+    the second reads those whole. New rows are staged before they replace old ones.
+    """
+    count = table.buckets
+    placed = tables.with_bucket(batch, keys, count)
+    if not full_extract:
+        # Nothing outside the batch's own buckets can change.
+        own = [r[0] for r in placed.select(tables.BUCKET).distinct().collect()]
+    rows = table.rows if full_extract else table.rows.where(F.col(tables.BUCKET).isin(own))
+    narrow = [*keys, "_ingested_at", "_row_hash", "_is_deleted", "_deleted_at"]
+    outcome = merge_snapshot(rows.select(*narrow), batch.select(*narrow), keys, as_of=run.timestamp, full_extract=full_extract)
+    found = (tables.with_bucket(outcome, keys, count).groupBy(tables.BUCKET, "_op").agg(F.count(F.lit(1)).alias("n")).collect())
+    changes = {op: sum(r["n"] for r in found if r["_op"] == op) for op in OPERATIONS}
+    if not full_extract:
+        changes["unchanged"] += table.rows.where(~F.col(tables.BUCKET).isin(own)).count()
+    touched = sorted({r[tables.BUCKET] for r in found if r["_op"] != "unchanged"})
+    if touched or new_columns == "refuse":
+        merged = merge_snapshot(
+            table.rows.where(F.col(tables.BUCKET).isin(touched)).drop(tables.BUCKET),
+            placed.where(F.col(tables.BUCKET).isin(touched)).drop(tables.BUCKET), keys,
+            as_of=run.timestamp, full_extract=full_extract, new_columns=new_columns)
+        if touched:
+            table.replace(staging.stage(tables.with_bucket(merged.drop("_op"), keys, count)))
+    return changes
 
 
 def load_all(spark: SparkSession, read: Callable[[str], DataFrame], run: RunContext, *,

@@ -2,10 +2,9 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 from collections.abc import Sequence
-from functools import cache, reduce
+from functools import reduce
 from operator import and_
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -20,32 +19,43 @@ ROW_LEVEL_FORMATS = ("delta", "iceberg")
 def shared_folder(spark: SparkSession) -> str:
     """The folder for intermediate data that every executor can reach.
 
-    A cluster names it in `spark.checkpoint.dir`. Only a session that runs on this machine
-    alone gets a temporary folder when the setting is missing.
+    A cluster names it in `spark.checkpoint.dir`; without that it is a folder in the warehouse.
     """
     folder = spark.conf.get("spark.checkpoint.dir", None)
-    if folder:
-        return folder.rstrip("/")
-    if not spark.conf.get("spark.master", "").startswith("local"):
-        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-    return _local_folder().name
+    return (folder or f"{spark.conf.get('spark.sql.warehouse.dir')}/_shared").rstrip("/")
 
 
-@cache
-def _local_folder() -> tempfile.TemporaryDirectory:
-    """One folder for this process, removed when it ends."""
-    return tempfile.TemporaryDirectory(prefix="lakeassay-")
+def scratch_path(spark: SparkSession, name: str) -> str:
+    """A path under the shared folder that nothing else uses."""
+    return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
 
 
-def stage(df: DataFrame, name: str) -> DataFrame:
-    """Write `df` once and read it back, so that all later steps see the same rows.
+class Staging:
+    """A fresh place for copies that later steps read, removed with all of them when the block ends.
 
-    The copy survives lost executors. Staging the same name again replaces it.
+    A staged DataFrame shows all readers the same rows and survives lost executors. Two
+    blocks never share a path, so loads of one table at the same time do not meet.
     """
-    spark = df.sparkSession
-    path = f"{shared_folder(spark)}/staged/{name}"
-    df.write.mode("overwrite").parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+
+    def __init__(self, spark: SparkSession) -> None:
+        self._spark = spark
+        self.path = scratch_path(spark, "staged")
+
+    def __enter__(self) -> Staging:
+        return self
+
+    def __exit__(self, *_) -> None:
+        self.remove()
+
+    def stage(self, df: DataFrame) -> DataFrame:
+        """Write `df` once and read it back."""
+        path = f"{self.path}/{uuid.uuid4().hex}"
+        df.write.parquet(path)
+        return self._spark.read.schema(df.schema).parquet(path)
+
+    def remove(self) -> None:
+        path = self._spark._jvm.org.apache.hadoop.fs.Path(self.path)
+        path.getFileSystem(self._spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def split_name(name: str) -> tuple[str | None, str]:
@@ -57,13 +67,13 @@ def exists(spark: SparkSession, name: str) -> bool:
     return spark.catalog.tableExists(name)
 
 
-def publish(df: DataFrame, name: str, *, fmt: str = "parquet", partition_by: tuple[str, ...] = (), keep: int = 2) -> str:
+def publish(df: DataFrame, name: str, *, fmt: str = "parquet", partition_by: tuple[str, ...] = ()) -> str:
     """Replace the table `name` by `df`, which may read the table it replaces.
 
     The rows go to a table of their own, and the view `name` is pointed at it as the last
     step, so readers see the old rows or the new ones and a failed write changes nothing.
-    The newest `keep` snapshots stay. One writer at a time. Formats with versions of their
-    own are overwritten.
+    Older snapshots stay until `expire` drops them. One writer at a time. Formats with
+    versions of their own are overwritten.
     """
     spark = df.sparkSession
     if supports_row_changes(fmt):
@@ -71,24 +81,90 @@ def publish(df: DataFrame, name: str, *, fmt: str = "parquet", partition_by: tup
         (writer.partitionBy(*partition_by) if partition_by else writer).saveAsTable(name)
         return name
     database, table = split_name(name)
-    version = _next_version(spark, database, table)
-    snapshot = f"{name}__v{version:08d}"
+    snapshot = f"{name}__v{max(_versions(spark, database, table), default=0) + 1:08d}"
     writer = df.write.format(fmt).mode("overwrite")
     (writer.partitionBy(*partition_by) if partition_by else writer).saveAsTable(snapshot)
     spark.sql(f"CREATE OR REPLACE VIEW {name} AS SELECT * FROM {snapshot}")
-    for old in _versions(spark, database, table)[:-keep]:
-        spark.sql(f"DROP TABLE IF EXISTS {name}__v{old:08d}")
     return snapshot
 
 
+def expire(spark: SparkSession, name: str, keep: int) -> list[str]:
+    """Drop all but the newest `keep` snapshots of a published table; returns the names dropped.
+
+    Readers of an older snapshot fail afterwards, so this is never done on the way.
+    """
+    if keep < 1:
+        raise ValueError("the snapshot that the table shows must stay")
+    old = [f"{name}__v{version:08d}" for version in _versions(spark, *split_name(name))[:-keep]]
+    for snapshot in old:
+        spark.sql(f"DROP TABLE IF EXISTS {snapshot}")
+    return old
+
+
 def _versions(spark: SparkSession, database: str | None, table: str) -> list[int]:
     prefix = f"{table}__v"
     names = [t.name for t in spark.catalog.listTables(database, f"{prefix}*")]
     return sorted(int(n[len(prefix):]) for n in names if n[len(prefix):].isdigit())
 
 
-def _next_version(spark: SparkSession, database: str | None, table: str) -> int:
-    return max(_versions(spark, database, table), default=0) + 1
+BUCKET = "_key_bucket"
+
+
+def with_bucket(df: DataFrame, keys: Sequence[str], buckets: int) -> DataFrame:
+    """Add the bucket of each row's key. Keys count as text, so a wider integer type changes nothing."""
+    parts = [F.coalesce(F.col(f"`{k}`").cast("string"), F.lit("\0")) for k in keys]
+    return df.withColumn(BUCKET, F.pmod(F.xxhash64(*parts), F.lit(buckets)).cast("int"))
+
+
+class KeyedTable:
+    """A table of plain files kept in folders by a hash of its key, so that a merge rewrites only folders it changes.
+
+    Readers use the view `name`, which leaves the bucket out. A replaced folder is first written
+    beside the old one; someone who reads while several folders change may see some of them
+    old and some new. Formats with row-level changes do not have this limit.
+    """
+
+    def __init__(self, spark: SparkSession, name: str) -> None:
+        self._spark, self.name, self.data = spark, name, f"{name}__keyed"
+
+    @property
+    def rows(self) -> DataFrame:
+        """All rows with their bucket."""
+        return self._spark.table(self.data)
+
+    @property
+    def buckets(self) -> int:
+        """How many buckets the table was created with."""
+        row = self._spark.sql(f"SHOW TBLPROPERTIES {self.data} ('key_buckets')").first()
+        return int(row["value"])
+
+    def create(self, df: DataFrame, keys: Sequence[str], buckets: int) -> None:
+        """Write the first rows. Large buckets come out as several files."""
+        self._spark.sql(f"DROP TABLE IF EXISTS {self.data}")
+        placed = with_bucket(df, keys, buckets).hint("rebalance", F.col(BUCKET))
+        placed.write.partitionBy(BUCKET).saveAsTable(self.data)
+        self._spark.sql(f"ALTER TABLE {self.data} SET TBLPROPERTIES ('key_buckets' = '{buckets}')")
+        self._show()
+
+    def replace(self, df: DataFrame) -> None:
+        """Put `df`, which must not read this table, in place of the buckets it has rows of."""
+        known = set(self.rows.columns)
+        added = [f for f in df.schema.fields if f.name not in known]
+        if added:
+            columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in added)
+            self._spark.sql(f"ALTER TABLE {self.data} ADD COLUMNS ({columns})")
+        located = self._spark.sql(f"DESCRIBE EXTENDED {self.data}").where("col_name = 'Location'").first()["data_type"]
+        (df.hint("rebalance", F.col(BUCKET)).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+         .partitionBy(BUCKET).parquet(located))
+        self._spark.catalog.recoverPartitions(self.data)  # buckets that had no rows before
+        self._spark.catalog.refreshTable(self.data)
+        self._show()
+
+    def _show(self) -> None:
+        data = [c for c in self.rows.columns if c != BUCKET]
+        columns = [c for c in data if not c.startswith("_")] + [c for c in data if c.startswith("_")]
+        names = ", ".join(f"`{c}`" for c in columns)
+        self._spark.sql(f"CREATE OR REPLACE VIEW {self.name} AS SELECT {names} FROM {self.data}")
 
 
 def supports_row_changes(fmt: str) -> bool:
@@ -120,7 +196,3 @@ def append(df: DataFrame, name: str, *, fmt: str = "parquet", partition_by: tupl
     writer = df.write.format(fmt).mode("append")
     (writer.partitionBy(*partition_by) if partition_by else writer).saveAsTable(name)
 
-
-def scratch_path(spark: SparkSession, name: str) -> str:
-    """A path under the shared folder that nothing else uses."""
-    return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"

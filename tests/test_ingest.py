@@ -150,21 +150,33 @@ def test_merge_against_a_plain_python_model(spark):
         assert content(merge(target, source)) == sorted(expected, key=str)
 
 
-def test_hot_key_is_split_and_the_source_shuffled_once(spark, conf):
-    conf(spark__sql__autoBroadcastJoinThreshold="-1",
-         spark__sql__adaptive__skewJoin__skewedPartitionThresholdInBytes="64KB",
-         spark__sql__adaptive__skewJoin__skewedPartitionFactor="2",
-         spark__sql__adaptive__advisoryPartitionSizeInBytes="64KB")
-    wide = spark.range(30000).repartition(16).select(
-        F.lit("k").alias("a"), F.when(F.col("id") % 3 == 0, 0).otherwise(F.col("id")).cast("int").alias("b"),
-        F.sha2(F.col("id").cast("string"), 256).alias("v"))
-    target = with_row_hash(ingest.stamp_lineage(wide, system="s", schema="c", table="t", ingested_at=instant(T0)))
-    source = with_row_hash(ingest.stamp_lineage(wide, system="s", schema="c", table="t", ingested_at=instant(T1)))
-    merged = merge(target, source)
-    plan = executed_plan(merged)
-    assert "SortMergeJoin(skew=true)" in plan
-    assert "ReusedExchange" in plan
-    assert merged.count() == 30000
+def test_merge_reads_and_shuffles_each_side_once(spark, conf, tmp_path):
+    conf(spark__sql__autoBroadcastJoinThreshold="-1")
+    rows = [("k", i, "v") for i in range(500)]
+    for name, at in (("target", T0), ("source", T1)):
+        loaded(spark, rows, at).write.parquet(str(tmp_path / name))
+    merged = merge(*(spark.read.parquet(str(tmp_path / name)) for name in ("target", "source")))
+    plan = executed_plan(merged).split("Initial Plan")[0]
+    assert plan.count("FileScan") == 2
+    assert plan.count("Exchange hashpartitioning") == 2
+    assert merged.count() == 500
+
+
+def test_new_columns_are_added_or_refused(spark):
+    target = loaded(spark, [("k", 1, "x"), ("k", 2, "y"), ("k", 3, "z")], T0)
+    wider = with_row_hash(ingest.stamp_lineage(
+        spark.createDataFrame([("k", 1, "x", 7), ("k", 4, "q", None)], LAYOUT + ", w int"),
+        system="s", schema="c", table="t", ingested_at=instant(T1)))
+    merged = merge(target, wider, full=False)
+    assert [c for c in merged.columns if not c.startswith("_")] == ["a", "b", "v", "w"]
+    assert {(r.b, r.v, r.w, r._op) for r in merged.collect()} == {
+        (1, "x", 7, "update"), (2, "y", None, "unchanged"), (3, "z", None, "unchanged"), (4, "q", None, "insert")}
+    with pytest.raises(ValueError, match="new columns: w"):
+        ingest.merge_snapshot(target, wider, KEYS, as_of=instant(T1), full_extract=True, new_columns="refuse")
+    with pytest.raises(ValueError, match="no longer has the columns w"):
+        merge(wider, target)
+    with pytest.raises(ValueError, match="'add' or 'refuse'"):
+        ingest.merge_snapshot(target, wider, KEYS, as_of=instant(T1), full_extract=True, new_columns="drop")
 
 
 def test_choosing_the_latest_limits_a_hot_key_before_the_shuffle(spark):

@@ -2,14 +2,18 @@
 
 import json
 from datetime import datetime
+from functools import partial
+from pathlib import Path
 
 import pytest
 
 from lakeassay import RunContext, project
 from lakeassay.operators import monitor
 from lakeassay.plans.bronze import load_all, load_table
+from lakeassay.plans.jobs import run_together
 from lakeassay.plans.layers import build_gold, build_silver
 from lakeassay.plans.suite import check_tables, write_insight
+from lakeassay.sources import tables
 
 LAYOUTS = {
     "studies": "nct_id string, brief_title string, official_title string, overall_status string, phase string, "
@@ -82,6 +86,66 @@ def test_reloading_the_same_data_changes_nothing(spark, read, loads):
     assert sorted(map(str, bronze(spark, "sponsors").collect())) == before
 
 
+def files(spark, table):
+    name = f"guard.bronze_{table}__keyed"
+    located = spark.sql(f"DESCRIBE EXTENDED {name}").where("col_name = 'Location'").first()["data_type"]
+    found = Path(located.removeprefix("file:")).glob("_key_bucket=*/*.parquet")
+    return {(p.parent.name, p.name) for p in found}
+
+
+def test_first_load_keeps_one_row_per_key(spark):
+    rows = [("N1", "Acme", "lead"), ("N1", "Acme", "lead"), ("N2", "Acme", "lead"), ("N1", None, "lead"), ("N1", None, "lead")]
+    source = spark.createDataFrame(rows, LAYOUTS["sponsors"])
+    first = load_table(spark, "sponsors", source, DAY1, database="guard")
+    assert first.changes == {"insert": 3} and spark.table("guard.bronze_sponsors").count() == 3
+    again = load_table(spark, "sponsors", source, DAY2, database="guard")
+    assert again.changes == {"insert": 0, "update": 0, "resurrect": 0, "delete": 0, "unchanged": 3}
+    assert spark.table("guard.bronze_sponsors").groupBy("nct_id", "name").count().where("count > 1").count() == 0
+
+
+@pytest.fixture(scope="module", autouse=True)
+def databases(spark):
+    for name in (DB, "guard"):
+        spark.sql(f"CREATE DATABASE IF NOT EXISTS {name}")
+
+
+def test_a_merge_rewrites_only_buckets_it_changes(spark):
+    def outcomes(changed):
+        return spark.createDataFrame([(i, "N1", "primary", "new" if i in changed else "t") for i in range(300)], LAYOUTS["outcomes"])
+
+    load_table(spark, "outcomes", outcomes(()), DAY1, database="guard", buckets=16)
+    before = files(spark, "outcomes")
+    assert len({folder for folder, _ in before}) == 16
+    assert load_table(spark, "outcomes", outcomes(()), DAY2, database="guard").changes["unchanged"] == 300
+    assert files(spark, "outcomes") == before
+    assert load_table(spark, "outcomes", outcomes((5,)), DAY3, database="guard").changes["update"] == 1
+    after = files(spark, "outcomes")
+    assert len({folder for folder, _ in before - after}) == 1 and len(before & after) == len(before) - 1
+    table = spark.table("guard.bronze_outcomes")
+    assert table.count() == 300 and [r.id for r in table.where("title = 'new'").collect()] == [5]
+
+
+def test_a_new_source_column_reaches_the_table(spark):
+    load_table(spark, "conditions", spark.createDataFrame([("N1", "flu"), ("N2", "gout")], LAYOUTS["conditions"]), DAY1, database="guard")
+    wider = spark.createDataFrame([("N1", "flu", 3), ("N3", "cold", None)], LAYOUTS["conditions"] + ", grade int")
+    with pytest.raises(ValueError, match="new columns: grade"):
+        load_table(spark, "conditions", wider, DAY2, database="guard", new_columns="refuse")
+    load_table(spark, "conditions", wider, DAY2, database="guard")
+    found = {(r.nct_id, r.grade, r._is_deleted) for r in spark.table("guard.bronze_conditions").collect()}
+    assert found == {("N1", 3, False), ("N2", None, True), ("N3", None, False)}
+
+
+def test_loads_of_one_table_at_once_do_not_meet(spark):
+    """Two first loads into two databases, from the same source at the same time; nothing stays staged."""
+    spark.sql("CREATE DATABASE IF NOT EXISTS guard2")
+    source = spark.createDataFrame([("N%d" % i, "All", "18", "60") for i in range(50)], LAYOUTS["eligibilities"])
+    before = set(Path(tables.shared_folder(spark)).glob("staged-*"))
+    done = run_together([partial(load_table, spark, "eligibilities", source, DAY1, database=d) for d in ("guard", "guard2")])
+    assert [r.changes["insert"] for r in done] == [50, 50]
+    assert all(spark.table(f"{d}.bronze_eligibilities").count() == 50 for d in ("guard", "guard2"))
+    assert set(Path(tables.shared_folder(spark)).glob("staged-*")) == before
+
+
 def test_layers_checks_and_insight(spark, loads):
     build_silver(spark, database=DB)
     build_gold(spark, database=DB)
@@ -104,9 +168,12 @@ def test_layers_checks_and_insight(spark, loads):
     write_insight(spark, DAY3, database=DB)
     insights = spark.table(write_insight(
         spark, DAY3, database=DB, respond=lambda prompt: json.dumps({"summary": "from a model", "severity": "low"})))
-    assert insights.count() == 2
+    # One of the run, by rules, and one of each of its tables.
+    assert insights.count() == 1 + 19
     row = insights.where("summary = 'from a model'").first()
     assert row.failed_check_count == newest.where("NOT passed").count()
+    assert newest.where("check_name = 'schema_conformity'").count() > 19 and newest.where(
+        "check_name = 'schema_conformity' AND NOT passed").count() == 0
     assert row.metrics_run_timestamp == DAY3.as_of
 
 
@@ -119,7 +186,7 @@ def test_tables_answer_dashboard_sql(spark, loads):
     trend = spark.sql(f"SELECT DATE(run_timestamp) AS run_date, layer, {score} FROM {DB}.quality_metrics GROUP BY 1, 2")
     assert trend.count() == monitor.score_by_layer(spark.table(f"{DB}.quality_metrics")).count()
     severities = spark.sql(f"SELECT DATE(run_timestamp), severity, COUNT(*) AS n FROM {DB}.ai_insights GROUP BY 1, 2")
-    assert severities.selectExpr("sum(n)").first()[0] == 2
+    assert severities.selectExpr("sum(n)").first()[0] == 1 + 19
 
 
 def test_suite_covers_the_declared_relations():

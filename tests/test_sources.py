@@ -1,4 +1,5 @@
 from datetime import datetime
+from pathlib import Path
 
 import pytest
 from pyspark.errors import PySparkException
@@ -20,7 +21,7 @@ def test_publish_replaces_a_table_that_is_being_read(spark):
         tables.publish(spark.table("store.things").select((F.col("id") + 1).alias("id")), "store.things")
     assert sorted(r.id for r in spark.table("store.things").collect()) == [3, 4, 5]
     kept = [t.name for t in spark.catalog.listTables("store", "things__v*")]
-    assert sorted(kept) == ["things__v00000003", "things__v00000004"]
+    assert sorted(kept) == [f"things__v0000000{n}" for n in (1, 2, 3, 4)]
 
 
 def test_publish_with_another_layout(spark):
@@ -56,7 +57,8 @@ def test_stage_reads_the_source_once(spark):
             seen.add(len(batch))
             yield batch
 
-    staged = tables.stage(spark.range(10).mapInPandas(touch, "id bigint"), "once")
+    staging = tables.Staging(spark)
+    staged = staging.stage(spark.range(10).mapInPandas(touch, "id bigint"))
     assert staged.count() == 10 and not staged.isEmpty() and staged.where("id > 4").count() == 5
     assert seen.value == 10
 
@@ -68,13 +70,28 @@ class Session:
 
 def test_shared_folder_comes_from_the_session(spark):
     assert tables.shared_folder(spark) == spark.conf.get("spark.checkpoint.dir")
-    assert tables.shared_folder(Session(spark__checkpoint__dir="hdfs://c/shared/", spark__master="yarn")) == "hdfs://c/shared"
+    settings = {"spark__checkpoint__dir": "hdfs://c/shared/", "spark__sql__warehouse__dir": "hdfs://c/tables"}
+    assert tables.shared_folder(Session(**settings)) == "hdfs://c/shared"
+    # Without the setting: the warehouse, which a cluster shares too, never a folder of one machine.
+    assert tables.shared_folder(Session(spark__sql__warehouse__dir="hdfs://c/tables")) == "hdfs://c/tables/_shared"
 
 
-def test_only_a_local_session_may_do_without(spark):
-    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
-        tables.shared_folder(Session(spark__master="yarn"))
-    assert "lakeassay-" in tables.shared_folder(Session(spark__master="local[2]"))
+def test_staged_copies_go_with_their_block(spark):
+    with tables.Staging(spark) as one, tables.Staging(spark) as other:
+        copies = [one.stage(spark.range(3)), other.stage(spark.range(4))]
+        assert one.path != other.path and [c.count() for c in copies] == [3, 4]
+        assert Path(one.path).exists()
+    assert not Path(one.path).exists() and not Path(other.path).exists()
+
+
+def test_snapshots_stay_until_they_are_dropped(spark):
+    spark.sql("CREATE DATABASE IF NOT EXISTS store")
+    names = [tables.publish(spark.range(n), "store.kept") for n in (1, 2, 3, 4)]
+    assert [spark.table(n).count() for n in names] == [1, 2, 3, 4]
+    assert tables.expire(spark, "store.kept", keep=2) == names[:2]
+    assert not tables.exists(spark, names[0]) and spark.table("store.kept").count() == 4
+    with pytest.raises(ValueError):
+        tables.expire(spark, "store.kept", keep=0)
 
 
 def test_merge_in_place_needs_a_format_that_supports_it(spark):
