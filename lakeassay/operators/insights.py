@@ -1,4 +1,4 @@
-"""From metric rows to one written insight per run.
+"""From metric rows to written insights.
 
 Every step works on all runs at once; restrict the metrics with `latest_run` to treat
 only the newest.
@@ -12,10 +12,10 @@ from pathlib import Path
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType, StructField, StructType
+from pyspark.sql.types import ArrayType, StringType, StructField, StructType
 
 from lakeassay.functions.text import iso_text, literal, number_text, share, truth_text
-from lakeassay.operators.monitor import latest_run
+from lakeassay.operators.monitor import RUN, latest_run
 from lakeassay.schemas import INSIGHT_SCHEMA, RESPONSE_SCHEMA, SEVERITIES
 
 PROMPT_TEMPLATE = (Path(__file__).parent.parent / "prompts" / "quality_insight.md").read_text(encoding="utf-8")
@@ -47,21 +47,30 @@ EXPLANATIONS = {
 }
 
 
-def ranked_metrics(metrics: DataFrame, max_metrics: int = 150) -> DataFrame:
-    """The first metrics of each run, failures first, with their position in `rank`."""
-    order = ["passed", "layer", "table_name", "check_name", "column_name", "metric_value", "details"]
-    window = Window.partitionBy("run_timestamp").orderBy(*order)
-    return metrics.withColumn("rank", F.row_number().over(window)).where(F.col("rank") <= max_metrics)
+# What one prompt is about: a table in one run. Its metrics are as many as it has columns and checks,
+# so no task ever holds a whole run.
+PART = (*RUN, "layer", "table_name")
+ORDER = ("passed", "check_name", "column_name", "metric_value", "details")
 
 
-def pass_fail_counts(metrics: DataFrame) -> DataFrame:
-    """Checks per run, counted before any cap."""
+def ranked_metrics(metrics: DataFrame) -> DataFrame:
+    """All metrics with their position within their run and table in `rank`, failures first."""
+    window = Window.partitionBy(*PART).orderBy(*ORDER)
+    return metrics.withColumn("rank", F.row_number().over(window))
+
+
+def _counts() -> list[Column]:
     structural = F.col("check_name").isin("referential_integrity", "schema_conformity")
-    return metrics.groupBy("run_timestamp").agg(
+    return [
         F.count(F.lit(1)).alias("total_checks"),
         F.count_if("passed").alias("passed_check_count"),
         F.count_if(~F.col("passed")).alias("failed_check_count"),
-        F.count_if(~F.col("passed") & structural).alias("failed_structural_count"))
+        F.count_if(~F.col("passed") & structural).alias("failed_structural_count")]
+
+
+def pass_fail_counts(metrics: DataFrame) -> DataFrame:
+    """Checks per run."""
+    return metrics.groupBy(*RUN).agg(*_counts())
 
 
 def _line(**fields: str) -> Column:
@@ -71,53 +80,55 @@ def _line(**fields: str) -> Column:
 
 
 def _joined(lines: Column) -> Column:
-    """The lines of a run in rank order as one text, nulls left out.
-
-    The ranking before it bounds how many lines a run can have.
-    """
-    entry = F.when(lines.isNotNull(), F.struct(F.col("rank"), lines.alias("line")))
+    """The lines of a part in order as one text, nulls left out."""
+    entry = F.when(lines.isNotNull(), F.struct(*ORDER, lines.alias("line")))
     ordered = F.array_sort(F.collect_list(entry))
     return F.array_join(F.transform(ordered, lambda item: item["line"]), "\n")
 
 
-def metric_lines(metrics: DataFrame, max_metrics: int = 150, domain: str = DOMAIN) -> DataFrame:
-    """Per run: a headline and one line per ranked metric, as `metrics_summary`."""
+def _parts(metrics: DataFrame, domain: str) -> DataFrame:
+    """Per run and table: `metrics_summary` and `sample_failures`, from one pass over the metrics.
+
+    Every metric of the table has its line in the summary, and every failure one in the list.
+    """
+    # The labels of the lines.
     line = _line(
         layer="layer", table="table_name", check="check_name", column="column_name",
         value=number_text("metric_value"), threshold=number_text("threshold"),
         passed=truth_text("passed"), details="details")
-    lines = ranked_metrics(metrics, max_metrics).groupBy("run_timestamp").agg(_joined(line).alias("lines"))
+    failure = _line(
+        layer="layer", table="table_name", column="column_name", check="check_name",
+        value=number_text("metric_value"), threshold=number_text("threshold"), details="details")
+    parts = metrics.groupBy(*PART).agg(
+        *_counts(), _joined(line).alias("lines"), _joined(F.when(~F.col("passed"), failure)).alias("failures"))
+    of_run = Window.partitionBy(*RUN)  # one row per table
     headline = F.concat(
         F.lit("Latest run timestamp: "), F.expr(iso_text("run_timestamp")),
-        F.format_string("\nTotal checks: %d | Passed: %d | Failed: %d\n",
-                        "total_checks", "passed_check_count", "failed_check_count"),
-        F.lit(f"Dataset domain: {domain}"))
-    return (
-        lines.join(pass_fail_counts(metrics), "run_timestamp")
-        .select("run_timestamp", F.concat_ws("\n", headline, "lines").alias("metrics_summary")))
+        F.format_string("\nTotal checks: %d | Passed: %d | Failed: %d\n", *[
+            F.sum(c).over(of_run) for c in ("total_checks", "passed_check_count", "failed_check_count")]),
+        F.lit(f"Dataset domain: {domain}"),
+        F.format_string("\nChecks of this table: %d | Passed: %d | Failed: %d",
+                        "total_checks", "passed_check_count", "failed_check_count"))
+    return parts.select(
+        *PART, F.concat_ws("\n", headline, "lines").alias("metrics_summary"),
+        F.coalesce(F.nullif("failures", F.lit("")), F.lit(NO_FAILURES)).alias("sample_failures"))
 
 
-def top_failures(metrics: DataFrame, top: int = 12) -> DataFrame:
-    """Per run: its first failures as text, or a sentence saying that there are none."""
-    line = _line(
-        layer="layer", table="table_name", column="column_name", check="check_name",
-        value=number_text("metric_value"), threshold=number_text("threshold"), details="details")
-    # Failures rank first, so the first `top` ranks hold the first failures.
-    text = _joined(F.when(~F.col("passed"), line))
-    return (
-        ranked_metrics(metrics, top).groupBy("run_timestamp")
-        .agg(F.coalesce(F.nullif(text, F.lit("")), F.lit(NO_FAILURES)).alias("sample_failures")))
+def metric_lines(metrics: DataFrame, domain: str = DOMAIN) -> DataFrame:
+    """Per run and table: a headline and one line per metric, failures first, as `metrics_summary`."""
+    return _parts(metrics, domain).drop("sample_failures")
+
+
+def top_failures(metrics: DataFrame) -> DataFrame:
+    """Per run and table: its failures as text, or a sentence saying that there are none."""
+    return _parts(metrics, DOMAIN).drop("metrics_summary")
 
 
-def prompts(metrics: DataFrame, template: str = PROMPT_TEMPLATE, *, max_metrics: int = 150,
-            top: int = 12, domain: str = DOMAIN) -> DataFrame:
-    """Per run: the template with its two placeholders filled in."""
+def prompts(metrics: DataFrame, template: str = PROMPT_TEMPLATE, *, domain: str = DOMAIN) -> DataFrame:
+    """Per run and table: the template with its two placeholders filled in."""
     filled = F.replace(F.lit(template), F.lit("{{METRICS_SUMMARY}}"), F.col("metrics_summary"))
     filled = F.replace(filled, F.lit("{{SAMPLE_FAILURES}}"), F.col("sample_failures"))
-    return (
-        metric_lines(metrics, max_metrics, domain)
-        .join(top_failures(metrics, top), "run_timestamp")
-        .select("run_timestamp", filled.alias("prompt")))
+    return _parts(metrics, domain).select(*PART, filled.alias("prompt"))
 
 
 def respond_with(prompt_rows: DataFrame, respond: Callable[[str], str]) -> DataFrame:
@@ -133,9 +144,8 @@ def respond_with(prompt_rows: DataFrame, respond: Callable[[str], str]) -> DataF
 
 def rule_based_responses(metrics: DataFrame) -> DataFrame:
     """Per run: a response made from the counts and the first failure, in the JSON a model gives."""
-    first = (
-        ranked_metrics(metrics, 1)
-        .select("run_timestamp", "passed", "layer", "table_name", "check_name", "column_name", "metric_value"))
+    first = F.min(F.struct("passed", "layer", "table_name", *ORDER[1:])).alias("first")
+    counted = metrics.groupBy(*RUN).agg(*_counts(), first).select("*", "first.*")
     failed, total = F.col("failed_check_count"), F.col("total_checks")
     failed_share = F.expr(share("failed_check_count", "total_checks"))
     severity = (
@@ -157,52 +167,64 @@ def rule_based_responses(metrics: DataFrame) -> DataFrame:
         F.when(clean, "").otherwise(F.concat(where, F.lit(": "), cause)).alias("root_cause"),
         F.when(clean, "").otherwise(F.concat(where, F.lit(": "), action)).alias("suggested_action"),
         severity.alias("severity"))
-    return (
-        first.join(pass_fail_counts(metrics), "run_timestamp")
-        .select("run_timestamp", F.to_json(response).alias("raw_response")))
+    return counted.select(*RUN, F.to_json(response).alias("raw_response"))
 
 
 def parse_responses(responses: DataFrame, column: str = "raw_response") -> DataFrame:
-    """Split responses into their four fields; `parse_ok` is false where there is no JSON.
+    """Split responses into their four fields; `parse_ok` says whether the whole text is one JSON object.
 
-    Code fences around the JSON are removed. Missing texts become empty, and a severity
-    that is missing or none of the known ones becomes `unknown`.
+    Code fences around the JSON are removed. Text after the object, or a second object, makes
+    a response unreadable, like text that is no JSON. Missing texts become empty, and a
+    severity that is missing or none of the known ones becomes `unknown`.
     """
     bare = F.regexp_replace(column, r"^\s+|\s+$", "")
     unfenced = F.regexp_replace(bare, r"^`+|`+$", "")
     unlabelled = F.regexp_replace(F.regexp_replace(unfenced, r"^json", ""), r"^\s+|\s+$", "")
     cleaned = F.when(bare.startswith("```"), unlabelled).otherwise(bare)
-    layout = StructType([*RESPONSE_SCHEMA.fields, StructField("_malformed", StringType())])
-    parsed = responses.withColumn(column, cleaned).withColumn(
-        "_parsed", F.from_json(column, layout, {"columnNameOfCorruptRecord": "_malformed"}))
+    # The parser stops after the first value. Within brackets it has to read on to the closing one, and no text
+    # that closes a bracket early also fits within braces.
+    listed = F.from_json(F.concat(F.lit("["), column, F.lit("]")), ArrayType(RESPONSE_SCHEMA))
+    held = F.from_json(F.concat(F.lit('{"whole":'), column, F.lit("}")), "whole string")
+    only = F.when((F.size(listed) == 1) & held["whole"].isNotNull(), F.get(listed, 0))
+    parsed = responses.withColumn(column, cleaned).withColumn("_parsed", only)
     known = F.lower(F.trim("_parsed.severity"))
     texts = {c: F.coalesce(F.col(f"_parsed.{c}"), F.lit("")) for c in ("summary", "root_cause", "suggested_action")}
     return parsed.withColumns({
         **texts,
         "severity": F.when(known.isin(*SEVERITIES), known).otherwise("unknown"),
-        "parse_ok": F.col("_parsed").isNotNull() & F.col("_parsed._malformed").isNull(),
+        "parse_ok": F.col("_parsed").isNotNull(),
     }).drop("_parsed")
 
 
 def insight_rows(metrics: DataFrame, responses: DataFrame, created_at: Column) -> DataFrame:
-    """One insight per run that has a response; runs answered without valid JSON are left out."""
-    parsed = parse_responses(responses).where("parse_ok")
+    """One insight per response, of a run or of one table in it; none is left out.
+
+    A response that cannot be read has empty texts, severity `unknown` and `parse_ok` false.
+    Counts are those of the whole run.
+    """
+    parsed = parse_responses(responses)
+    if "table_name" not in parsed.columns:
+        parsed = parsed.withColumn("table_name", F.lit(None).cast("string"))
+    run = F.struct(*RUN)
+    counted = pass_fail_counts(metrics).select(
+        run.alias("run"), "run_id", F.col("run_timestamp").alias("metrics_run_timestamp"),
+        "passed_check_count", "failed_check_count")
     return (
-        pass_fail_counts(metrics).join(parsed, "run_timestamp")
-        .withColumnRenamed("run_timestamp", "metrics_run_timestamp")
+        counted.join(parsed.withColumn("run", run).drop(*RUN), "run")
         .withColumn("run_timestamp", created_at)
         .select(*[F.col(f.name).cast(f.dataType) for f in INSIGHT_SCHEMA.fields]))
 
 
 def insights_for_latest_run(metrics: DataFrame, created_at: Column, *,
                             respond: Callable[[str], str] | None = None,
-                            top_n_failures: int = 12, max_metrics: int = 150,
                             template: str = PROMPT_TEMPLATE) -> DataFrame:
-    """The insight of the newest run; none without metrics. Without `respond`, rules write it."""
+    """The insights of the newest run; none without metrics.
+
+    `respond` is asked once for each table of the run. Without it, rules write one insight of the run.
+    """
     newest = latest_run(metrics)
     if respond is None:
         responses = rule_based_responses(newest)
     else:
-        asked = prompts(newest, template, max_metrics=max_metrics, top=top_n_failures)
-        responses = respond_with(asked, respond).select("run_timestamp", "raw_response")
+        responses = respond_with(prompts(newest, template), respond).select(*RUN, "table_name", "raw_response")
     return insight_rows(newest, responses, created_at)

@@ -9,16 +9,22 @@ ALERT_BELOW = 0.80
 BASELINE_DAYS = 7
 
 
+# What tells runs apart: two runs may carry the same time.
+RUN = ("run_id", "run_timestamp")
+
+
 def latest_run(metrics: DataFrame) -> DataFrame:
-    """Rows of the newest run; none for an empty table.
+    """Rows of the newest run, by time and then by id; none for an empty table.
 
     A stored metrics table is kept by `run_date`, so only its newest day is read.
     """
     if "run_date" in metrics.columns:
         newest_day = metrics.agg(F.max("run_date"))
         metrics = metrics.where(F.col("run_date") == newest_day.scalar())
-    newest = metrics.agg(F.max("run_timestamp"))
-    return metrics.where(F.col("run_timestamp") == newest.scalar())
+    newest = metrics.agg(F.max(F.struct("run_timestamp", "run_id"))).scalar()
+    # The time alone first: a comparison that a scan can use.
+    return metrics.where(
+        (F.col("run_timestamp") == newest["run_timestamp"]) & F.col("run_id").eqNullSafe(newest["run_id"]))
 
 
 def _score() -> Column:
@@ -70,13 +76,14 @@ def referential_failures(metrics: DataFrame) -> DataFrame:
         .select("layer", "table_name", "column_name", F.col("metric_value").alias("orphan_rate"), "details"))
 
 
-def null_hotspots(metrics: DataFrame, top: int = 20) -> DataFrame:
-    """The columns with the highest null rates in the newest run."""
-    return (
+def null_hotspots(metrics: DataFrame, top: int | None = None) -> DataFrame:
+    """Columns by null rate in the newest run, highest first; all of them, or the first `top`."""
+    ranked = (
         latest_run(metrics).where("check_name = 'null_rate'")
         .select(F.concat_ws(" | ", "layer", "column_name").alias("layer_column"),
                 F.col("metric_value").alias("null_rate"))
-        .orderBy(F.desc("null_rate"), "layer_column").limit(top))
+        .orderBy(F.desc("null_rate"), "layer_column"))
+    return ranked if top is None else ranked.limit(top)
 
 
 def latest_insight(insights: DataFrame) -> DataFrame:

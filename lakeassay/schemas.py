@@ -10,6 +10,8 @@ from pyspark.sql.types import (
     TimestampType,
 )
 
+# The columns of the metrics and insights tables and of a model's answer, which consumers read by name.
+# `run_id`, `table_name` and `parse_ok` of an insight are additions.
 METRIC_SCHEMA = StructType([
     StructField("run_id", StringType()),
     StructField("run_timestamp", TimestampType()),
@@ -33,6 +35,9 @@ INSIGHT_SCHEMA = StructType([
     StructField("failed_check_count", LongType()),
     StructField("passed_check_count", LongType()),
     StructField("raw_response", StringType()),
+    StructField("run_id", StringType()),
+    StructField("table_name", StringType()),
+    StructField("parse_ok", BooleanType()),
 ])
 
 RESPONSE_SCHEMA = StructType([

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from lakeassay.operators import monitor
 
-LAYOUT = ("run_timestamp timestamp, layer string, table_name string, check_name string, column_name string, "
+LAYOUT = ("run_id string, run_timestamp timestamp, layer string, table_name string, check_name string, column_name string, "
           "metric_value double, threshold double, passed boolean, details string")
 D1, D2 = datetime(2024, 1, 1, 8), datetime(2024, 1, 2, 8)
 
@@ -15,13 +15,13 @@ D1, D2 = datetime(2024, 1, 1, 8), datetime(2024, 1, 2, 8)
 @pytest.fixture(scope="module")
 def metrics(spark):
     return spark.createDataFrame([
-        (D1, "silver_a", "a", "null_rate", "x", 0.5, 0.05, False, "old"),
-        (D1, "silver_a", "a", "referential_integrity", "k", 0.2, 0.0, False, "old orphans"),
-        (D2, "silver_a", "a", "null_rate", "x", 0.1, 0.05, False, "d1"),
-        (D2, "silver_a", "a", "null_rate", "y", 0.0, 0.05, True, "d2"),
-        (D2, "silver_a", "a", "referential_integrity", "k", 0.3, 0.0, False, "d3"),
-        (D2, "gold_b", "b", "null_rate", "z", 0.2, 0.05, False, "d4"),
-        (D2, "gold_c", "c", "duplicate_rate", "z", 0.0, 0.02, True, "d5"),
+        ("r1", D1, "silver_a", "a", "null_rate", "x", 0.5, 0.05, False, "old"),
+        ("r1", D1, "silver_a", "a", "referential_integrity", "k", 0.2, 0.0, False, "old orphans"),
+        ("r2", D2, "silver_a", "a", "null_rate", "x", 0.1, 0.05, False, "d1"),
+        ("r2", D2, "silver_a", "a", "null_rate", "y", 0.0, 0.05, True, "d2"),
+        ("r2", D2, "silver_a", "a", "referential_integrity", "k", 0.3, 0.0, False, "d3"),
+        ("r2", D2, "gold_b", "b", "null_rate", "z", 0.2, 0.05, False, "d4"),
+        ("r2", D2, "gold_c", "c", "duplicate_rate", "z", 0.0, 0.02, True, "d5"),
     ], LAYOUT)
 
 
@@ -45,6 +45,18 @@ def test_lists(metrics):
     assert rows(monitor.referential_failures(metrics)) == [
         ("silver_a", "a", "k", 0.3, "d3"), ("silver_a", "a", "k", 0.2, "old orphans")]
     assert rows(monitor.null_hotspots(metrics, top=2)) == [("gold_b | z", 0.2), ("silver_a | x", 0.1)]
+    assert rows(monitor.null_hotspots(metrics)) == [("gold_b | z", 0.2), ("silver_a | x", 0.1), ("silver_a | y", 0.0)]
+
+
+def test_hotspots_have_no_limit_of_their_own(spark):
+    many = spark.createDataFrame([("r", D1, "l", "t", "null_rate", f"c{i:03}", i / 100, 0.05, False, "") for i in range(60)], LAYOUT)
+    assert len(rows(monitor.null_hotspots(many))) == 60
+
+
+def test_of_two_runs_with_one_time_one_is_newest(metrics):
+    twin = metrics.where("run_id = 'r2'").withColumn("run_id", F.lit("r10"))
+    assert {r.run_id for r in monitor.latest_run(metrics.unionByName(twin)).collect()} == {"r2"}
+    assert monitor.latest_run(metrics.withColumn("run_id", F.lit(None).cast("string"))).count() == 5
 
 
 def test_alerts(metrics):
@@ -77,7 +89,7 @@ def test_insight_queries(spark):
 
 def test_rolling_baseline(spark):
     def row(day, value, hour=0):
-        return (datetime(2024, 1, day, hour), "l", "t", "null_rate", "x", value, 0.05, True, "")
+        return ("r", datetime(2024, 1, day, hour), "l", "t", "null_rate", "x", value, 0.05, True, "")
 
     history = spark.createDataFrame(
         [row(1, 0.9), row(3, 0.1), row(3, 0.3, 5), row(9, 0.2), row(10, float("inf")), row(20, 0.7)], LAYOUT)
