@@ -1,6 +1,6 @@
 """Layered tables on Spark: change capture, cleaning, aggregates and quality monitoring."""
 
-from lakeassay.checker import DataQualityChecker
+from lakeassay.checker import TableChecker
 from lakeassay.model import (
     DefectSpec,
     ForeignKey,
@@ -11,11 +11,11 @@ from lakeassay.model import (
 )
 
 __all__ = [
-    "DataQualityChecker",
     "DefectSpec",
     "ForeignKey",
     "RunContext",
     "SilverSpec",
+    "TableChecker",
     "TableSpec",
     "Thresholds",
 ]

@@ -32,13 +32,19 @@ class ForeignKey:
     ref_column: str
     ref_include_deleted: bool = False
 
+    @property
+    def target(self) -> tuple[str, str, bool]:
+        """What the key points at; foreign keys with the same target share its distinct keys."""
+        return self.ref_table, self.ref_column, self.ref_include_deleted
+
 
 @dataclass(frozen=True)
 class TableSpec:
     """How one table is loaded and checked.
 
     `skip_null_columns` names columns that are null by construction, so that they do
-    not fail every run; pass `()` to measure them as well.
+    not fail every run; pass `()` to measure them as well. `report_extra` makes data columns
+    that the expected schema does not name fail the schema check.
     """
 
     name: str
@@ -48,6 +54,7 @@ class TableSpec:
     watermark: str | None = None
     foreign_keys: tuple[ForeignKey, ...] = ()
     expected_schema: StructType | None = None
+    report_extra: bool = False
     include_deleted: bool = False
     skip_null_columns: tuple[str, ...] = ("_deleted_at",)
 

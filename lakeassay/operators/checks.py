@@ -18,16 +18,13 @@ from pyspark.sql.types import NumericType, StringType, StructType
 
 from lakeassay.functions import active_rows, business_columns, quoted
 from lakeassay.functions.text import literal, name, number_text, share
-from lakeassay.model import RunContext, TableSpec, Thresholds
+from lakeassay.model import ForeignKey, RunContext, TableSpec, Thresholds
 from lakeassay.schemas import CHECK_NAMES, METRIC_SCHEMA
 
 # Columns per aggregate. Each batch reads only its own columns, so splitting a wide
 # table costs no extra input but keeps the generated code small.
 BATCH_COLUMNS = 100
 
-# Bytes beyond which a text is grouped by its digest, which is 64 bytes long.
-LONG_TEXT = 64
-
 
 @dataclass(frozen=True)
 class Subject:
@@ -38,6 +35,8 @@ class Subject:
     run: RunContext
 
 
+# The wording of `details` ("nulls out of", "mean=", "std=0", "latest active record at",
+# "duplicates out of", "expected ..., got", "orphan rows out of ... checked against").
 def _measure(check: str, column: str, value: str, threshold: float, details: str) -> str:
     """One metric as a SQL struct; `value` and `details` are SQL over the summary row."""
     fields = {
@@ -82,8 +81,10 @@ def _column_checks(df: DataFrame, subject: Subject, limits: Thresholds, *,
     wanted = ["count(1) AS total"]
     wanted += [f"count({name(c)}) AS filled_{i}" for i, c in enumerate(nulls)]
     for i, column in enumerate(numbers):
+        # NaN would make the mean and the spread NaN and so hide every outlier.
         number = f"double({name(column)})"
-        wanted += [f"avg({number}) AS mean_{i}", f"stddev_samp({number}) AS std_{i}"]
+        known = f"if(isnan({number}), NULL, {number})"
+        wanted += [f"avg({known}) AS mean_{i}", f"stddev_samp({known}) AS std_{i}", f"count_if(isnan({number})) AS nan_{i}"]
     if timestamp:
         wanted.append(f"max(try_cast({name(timestamp)} AS timestamp)) AS latest")
     summary = df.agg(F.expr(f"struct({', '.join(wanted)}) AS profile"))
@@ -101,7 +102,8 @@ def _column_checks(df: DataFrame, subject: Subject, limits: Thresholds, *,
         spread = f"concat('mean=', {number_text(mean)}, ', std=', {number_text(std)})"
         measures.append(_measure(
             "outlier_rate", column, share(f"far_{i}", "profile.total"), limits.outlier_rate,
-            f"CASE WHEN {std} IS NULL OR {std} = 0 THEN 'std=0' ELSE {spread} END"))
+            f"concat(CASE WHEN {std} IS NULL OR {std} = 0 THEN 'std=0' ELSE {spread} END, "
+            f"if(profile.nan_{i} > 0, format_string(', %d NaN left out', profile.nan_{i}), ''))"))
     if timestamp:
         now = literal(subject.run.as_of.isoformat(sep=" "))
         hours = f"double(unix_micros(timestamp {now}) - unix_micros(profile.latest)) / 1e6D / 3600D"
@@ -119,9 +121,10 @@ def _with_outlier_counts(df: DataFrame, profile: DataFrame, numbers: Sequence[st
     """
     values = df.selectExpr(*[f"double({name(c)}) AS x_{i}" for i, c in enumerate(numbers)])
     known = values.withColumn("profile", profile.scalar())
-    # A spread of zero gives null. NaN compares as greater than any number, so it is ruled out by name.
+    # A spread of zero gives null. NaN compares as greater than any number, so it is ruled out by name: as a value,
+    # and as the spread of a column that holds infinities.
     counts = [
-        f"count_if(NOT isnan(profile.std_{i}) "
+        f"count_if(NOT isnan(profile.std_{i}) AND NOT isnan(x_{i}) "
         f"AND abs(try_divide(x_{i} - profile.mean_{i}, profile.std_{i})) > {limit!r}D) AS far_{i}"
         for i in range(len(numbers))]
     return known.agg(*map(F.expr, counts)).withColumn("profile", profile.scalar())
@@ -168,12 +171,12 @@ def freshness(df: DataFrame, subject: Subject, timestamp: str, limits: Threshold
 
 
 def _compact(df: DataFrame, column: str) -> Column:
-    """The column, with long text replaced by its SHA-256, so that whole texts are not shuffled."""
+    """The column, with any text replaced by its length and SHA-256, so that whole texts are not shuffled."""
     value = quoted(column)
     # Texts of another collation may be equal without having the same bytes.
     if df.schema[column].dataType != StringType():
         return value
-    return F.when(F.octet_length(value) > LONG_TEXT, F.sha2(value, 256)).otherwise(value)
+    return F.struct(F.octet_length(value), F.unhex(F.sha2(value, 256)))
 
 
 def duplicate_rate(df: DataFrame, subject: Subject, limits: Thresholds = Thresholds(), *,
@@ -211,6 +214,11 @@ def schema_conformity(df: DataFrame, subject: Subject, expected: StructType, *,
     return _emit(df.sparkSession.range(1), subject, measures)
 
 
+def reference_keys(reference: DataFrame, column: str, include_deleted: bool = False) -> DataFrame:
+    """The distinct keys that foreign keys may point at, as column `ref`."""
+    return _reference_keys(reference, column, include_deleted).distinct()
+
+
 def referential_integrity(df: DataFrame, reference: DataFrame, subject: Subject, *, column: str,
                           ref_table: str, ref_column: str, ref_include_deleted: bool = False,
                           limits: Thresholds = Thresholds()) -> DataFrame:
@@ -219,15 +227,21 @@ def referential_integrity(df: DataFrame, reference: DataFrame, subject: Subject,
     Both sides shrink to one row per key before they meet, so neither a popular key nor
     a reference with repeated keys makes the join larger than the key sets.
     """
+    return _integrity(df, reference_keys(reference, ref_column, ref_include_deleted), subject, ForeignKey(
+        column, ref_table, ref_column, ref_include_deleted), limits)
+
+
+def _integrity(df: DataFrame, parents: DataFrame, subject: Subject, key: ForeignKey, limits: Thresholds) -> DataFrame:
+    """The check against distinct keys, as `reference_keys` gives them."""
+    column = key.column
     children = (
         df.select(quoted(column).alias("fk")).where("fk IS NOT NULL")
         .groupBy("fk").agg(F.count(F.lit(1)).alias("rows")))
-    parents = _reference_keys(reference, ref_column, ref_include_deleted).distinct()
     matched = children.join(parents, F.col("fk") == F.col("ref"), "left")
     summary = matched.agg(
         F.expr("coalesce(sum(rows), 0) AS checked"),
         F.expr("coalesce(sum(if(ref IS NULL, rows, 0)), 0) AS orphans"))
-    against = literal(f" checked against {ref_table}.{ref_column}")
+    against = literal(f" checked against {key.ref_table}.{key.ref_column}")
     return _emit(summary, subject, [_measure(
         "referential_integrity", column, share("orphans", "checked"), limits.orphan_rate,
         f"concat(orphans, ' orphan rows out of ', checked, {against})")])
@@ -251,11 +265,13 @@ def _reference_keys(reference: DataFrame, column: str, include_deleted: bool) ->
 def run_checks(df: DataFrame, spec: TableSpec, run: RunContext, *,
                references: Mapping[str, DataFrame] | None = None,
                limits: Thresholds = Thresholds(),
-               checks: Sequence[str] = CHECK_NAMES) -> DataFrame:
+               checks: Sequence[str] = CHECK_NAMES,
+               keys: Mapping[tuple[str, str, bool], DataFrame] | None = None) -> DataFrame:
     """Every check that applies to a table, as one DataFrame of one run.
 
     The schema check needs `spec.expected_schema`, freshness a `spec.timestamp` column
-    that is there, and foreign keys their referenced tables in `references`.
+    that is there, and foreign keys their referenced tables in `references`, or their
+    distinct keys in `keys`, by table, column and whether deleted rows count.
     """
     unknown = set(checks) - set(CHECK_NAMES)
     if unknown:
@@ -270,12 +286,13 @@ def run_checks(df: DataFrame, spec: TableSpec, run: RunContext, *,
     if "duplicate_rate" in checks:
         frames.append(duplicate_rate(rows, subject, limits, keys=spec.keys))
     if "schema_conformity" in checks and spec.expected_schema:
-        frames.append(schema_conformity(rows, subject, spec.expected_schema))
+        frames.append(schema_conformity(rows, subject, spec.expected_schema, report_extra=spec.report_extra))
     if "referential_integrity" in checks:
         for fk in spec.foreign_keys:
-            if references is None or fk.ref_table not in references:
-                raise KeyError(f"{spec.name}.{fk.column} refers to {fk.ref_table}, which was not given")
-            frames.append(referential_integrity(
-                rows, references[fk.ref_table], subject, column=fk.column, ref_table=fk.ref_table,
-                ref_column=fk.ref_column, ref_include_deleted=fk.ref_include_deleted, limits=limits))
+            parents = (keys or {}).get(fk.target)
+            if parents is None:
+                if fk.ref_table not in (references or {}):
+                    raise KeyError(f"{spec.name}.{fk.column} refers to {fk.ref_table}, which was not given")
+                parents = reference_keys(references[fk.ref_table], fk.ref_column, fk.ref_include_deleted)
+            frames.append(_integrity(rows, parents, subject, fk, limits))
     return _union(frames) if frames else _empty(df)

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Callable, Mapping, Sequence
 from functools import partial, reduce
 
@@ -11,7 +10,7 @@ from pyspark.sql import functions as F
 
 from lakeassay import project
 from lakeassay.model import RunContext, TableSpec, Thresholds
-from lakeassay.operators.checks import run_checks
+from lakeassay.operators.checks import reference_keys, run_checks
 from lakeassay.operators.insights import insights_for_latest_run
 from lakeassay.plans.jobs import run_together
 from lakeassay.sources import tables
@@ -20,22 +19,33 @@ from lakeassay.sources import tables
 def run_suite(frames: Mapping[str, DataFrame], specs: Sequence[TableSpec], run: RunContext,
               limits: Thresholds = Thresholds()) -> DataFrame:
     """Metrics of all tables as one lazy DataFrame."""
-    results = [run_checks(frames[s.name], s, run, references=frames, limits=limits) for s in specs]
+    keys = _shared_keys(frames, specs)
+    results = [run_checks(frames[s.name], s, run, references=frames, limits=limits, keys=keys) for s in specs]
     return reduce(DataFrame.unionByName, results)
 
 
-def staged_suite(frames: Mapping[str, DataFrame], specs: Sequence[TableSpec], run: RunContext,
-                 limits: Thresholds = Thresholds(), at_once: int = 4) -> DataFrame:
+def _shared_keys(frames: Mapping[str, DataFrame], specs: Sequence[TableSpec]) -> dict[tuple[str, str, bool], DataFrame]:
+    """The distinct keys of every column that some foreign key points at."""
+    targets = dict.fromkeys(fk.target for s in specs for fk in s.foreign_keys if fk.ref_table in frames)
+    return {target: reference_keys(frames[target[0]], *target[1:]) for target in targets}
+
+
+def staged_suite(frames: Mapping[str, DataFrame], specs: Sequence[TableSpec], run: RunContext, *,
+                 staging: tables.Staging, limits: Thresholds = Thresholds(), at_once: int = 4) -> DataFrame:
     """The same metrics, computed now, several tables at a time.
 
     One plan over many tables waits for each table's profile before it starts the next
-    scan, and losing it means starting over. Here each table is a job of its own.
+    scan, and losing it means starting over. Here each table is a job of its own. Keys that
+    tables refer to are made distinct and written once, before the checks. The result reads
+    what is in `staging`.
     """
-    attempt = f"metrics/{run.run_id}-{uuid.uuid4().hex}"
+    planned = _shared_keys(frames, specs)
+    staged = run_together([partial(staging.stage, keys) for keys in planned.values()], at_once)
+    keys = dict(zip(planned, staged))
 
     def check(spec: TableSpec) -> DataFrame:
-        metrics = run_checks(frames[spec.name], spec, run, references=frames, limits=limits)
-        return tables.stage(metrics.coalesce(1), f"{attempt}/{spec.name}")
+        metrics = run_checks(frames[spec.name], spec, run, references=frames, limits=limits, keys=keys)
+        return staging.stage(metrics.coalesce(1))
 
     return reduce(DataFrame.unionByName, run_together([partial(check, s) for s in specs], at_once))
 
@@ -50,23 +60,22 @@ def write_metrics(metrics: DataFrame, table: str, *, fmt: str = "parquet") -> No
 def check_tables(spark: SparkSession, run: RunContext, *, database: str = project.DATABASE,
                  specs: Sequence[TableSpec] | None = None, fmt: str = "parquet", at_once: int = 4) -> str:
     """Check every table of the project and append the metrics; returns the metrics table."""
-    specs = specs if specs is not None else project.quality_specs(database)
+    specs = specs if specs is not None else project.quality_specs(database, project.LAYOUTS)
     frames = {s.name: spark.table(s.name) for s in specs}
     name = project.table_name(project.METRICS_TABLE, database)
-    write_metrics(staged_suite(frames, specs, run, at_once=at_once), name, fmt=fmt)
+    with tables.Staging(spark) as staging:
+        write_metrics(staged_suite(frames, specs, run, staging=staging, at_once=at_once), name, fmt=fmt)
     return name
 
 
 def write_insight(spark: SparkSession, run: RunContext, *, database: str = project.DATABASE,
-                  respond: Callable[[str], str] | None = None, top_n_failures: int = 12,
-                  max_metrics: int = 150, fmt: str = "parquet") -> str:
-    """Append the insight of the newest run, if there is one; returns the insights table.
+                  respond: Callable[[str], str] | None = None, fmt: str = "parquet") -> str:
+    """Append the insights of the newest run, if there is one; returns the insights table.
 
     The rows are staged before the append, so a model is asked once even if a write is retried.
     """
     metrics = spark.table(project.table_name(project.METRICS_TABLE, database))
     name = project.table_name(project.INSIGHTS_TABLE, database)
-    rows = insights_for_latest_run(
-        metrics, run.timestamp, respond=respond, top_n_failures=top_n_failures, max_metrics=max_metrics)
-    tables.append(tables.stage(rows, f"insights/{run.run_id}-{uuid.uuid4().hex}"), name, fmt=fmt)
+    with tables.Staging(spark) as staging:
+        tables.append(staging.stage(insights_for_latest_run(metrics, run.timestamp, respond=respond)), name, fmt=fmt)
     return name

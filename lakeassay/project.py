@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql.types import (
     DoubleType,
     IntegerType,
+    LongType,
     StringType,
     StructField,
     StructType,
@@ -59,6 +60,27 @@ SILVER = {
     "outcome_analyses": SilverSpec(keys=KEYS["outcome_analyses"], required=("outcome_id",)),
 }
 
+
+def _layouts() -> dict[str, StructType]:
+    """What later steps rely on: cleaned columns are text, parsed ones times, counts whole numbers.
+
+    Other columns and the types of numeric keys are the source's business.
+    """
+    layouts = {}
+    for table, spec in SILVER.items():
+        named = [k for k in spec.keys if k not in ("id", "outcome_id")]
+        texts = [StructField(c, StringType()) for c in dict.fromkeys([*named, *spec.trim, *spec.lower_trim])]
+        times = [StructField(c, TimestampType()) for c in spec.timestamps]
+        for short, fields in ((f"bronze_{table}", texts), (f"silver_{table}", texts + times)):
+            if fields:
+                layouts[short] = StructType(fields)
+    for short, (_, keys) in GOLD_KEYS.items():
+        layouts[short] = StructType([*[StructField(c, StringType()) for c in keys], StructField("study_count", LongType())])
+    return layouts
+
+
+LAYOUTS = _layouts()
+
 # The e-commerce tables of the CSV demo.
 CSV_SCHEMAS = {
     "customers": StructType([

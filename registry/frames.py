@@ -77,6 +77,13 @@ def orders_source(spark: SparkSession, sf_dir: str) -> DataFrame:
     return loaded(changed, "orders", shapes.RELOADED_AT)
 
 
+def orders_wider_source(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The changed orders with a column that the target lacks."""
+    name, value = shapes.NEW_COLUMN
+    plain_columns = orders_source(spark, sf_dir).select(*shapes.ORDER_COLUMNS)
+    return loaded(plain_columns.withColumn(name, F.expr(value)), "orders", shapes.RELOADED_AT)
+
+
 def lines_target(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Line items, whose key repeats and is partly null."""
     number = F.when(F.col("l_linenumber") != 7, F.col("l_linenumber"))

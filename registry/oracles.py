@@ -2,12 +2,47 @@
 
 from __future__ import annotations
 
-from lakeassay.operators.insights import DOMAIN, EXPLANATIONS, NO_FAILURES, PROMPT_TEMPLATE
 from registry import shapes
 from registry.shapes import AS_OF, DIRTY, INSIGHTS, LOADED_AT, METRICS, PARENTS, RELOADED_AT, RESPONSES, TRIAL, Shape
 
 LINEAGE = ["_source_system", "_source_schema", "_source_table", "_ingested_at", "_row_hash", "_is_deleted", "_deleted_at"]
 
+# The texts that the results must hold, written out here a second time.
+DOMAIN = "AACT clinical trials with CDC-aware Bronze and Silver layers"
+NO_FAILURES = "No failing checks in the latest run."
+EXPLANATIONS = {
+    "null_rate": ("values are missing at the source or were lost on load", "compare the column's nulls with the source table"),
+    "duplicate_rate": ("the same key was loaded more than once", "review the business key and the merge of this table"),
+    "schema_conformity": ("a column was dropped or changed its type upstream", "align the expected schema with the source"),
+    "outlier_rate": ("values are far from the usual range, as after a change of unit", "inspect the extreme values of the column"),
+    "freshness_hours": ("the load has not delivered new records", "check the last runs of the ingest job"),
+    "referential_integrity": (
+        "child rows arrived without their parent or the parent was deleted", "reload the referenced table, then list the orphan rows"),
+}
+PROMPT_TEMPLATE = """# Data quality review
+
+You review the automated checks of a layered data platform for readers who do not write code.
+
+## Metrics of the newest run
+
+{{METRICS_SUMMARY}}
+
+## Worst failures
+
+{{SAMPLE_FAILURES}}
+
+## What to answer
+
+Answer with one JSON object and nothing around it. It has these keys, each with at most 150 words:
+
+- "summary": two or three plain sentences on the state of the data
+- "root_cause": the likeliest technical cause of the first failure
+- "suggested_action": one concrete step for the data team
+- "severity": critical, high, medium or low, by number and kind of failures
+
+Name tables, columns and values exactly as above and use no others. If every check passed, say so and answer low.
+"""
+
 
 def text(value: str) -> str:
     return "'" + value.replace("'", "''") + "'"
@@ -54,6 +89,12 @@ def orders_source() -> str:
         o_orderdate, o_orderpriority FROM orders""", RELOADED_AT)
 
 
+def orders_wider_source() -> str:
+    name, value = shapes.NEW_COLUMN
+    return stamped(f"SELECT *, {value.replace('AS string', 'AS varchar')} AS {name} FROM ({orders_source()})",
+                   [*shapes.ORDER_COLUMNS, name], "files", "tpch", "orders", f"timestamp '{RELOADED_AT}'")
+
+
 _LINE_NUMBER = "CASE WHEN l_linenumber <> 7 THEN l_linenumber END AS l_linenumber"
 
 
@@ -74,8 +115,9 @@ def latest(rows: str, keys) -> str:
             f"ORDER BY _ingested_at DESC, _row_hash) AS _rn FROM ({rows})) WHERE _rn = 1")
 
 
-def merged(target: str, source: str, keys, columns, full: bool = True) -> str:
-    everything = [*columns, *LINEAGE]
+def merged(target: str, source: str, keys, columns, full: bool = True, added=()) -> str:
+    """`added` names columns that only the source has."""
+    everything = [*columns, *added, *LINEAGE]
     same = " AND ".join(f"t.{k} IS NOT DISTINCT FROM s.{k}" for k in keys)
     deletion = "WHEN NOT here AND NOT gone THEN 'delete'" if full else ""
 
@@ -87,7 +129,7 @@ def merged(target: str, source: str, keys, columns, full: bool = True) -> str:
             value = f"CASE WHEN _op = 'delete' THEN timestamp '{RELOADED_AT}' ELSE {value} END"
         return f"{value} AS {c}"
 
-    both = ", ".join([f"t.{c} AS t_{c}, s.{c} AS s_{c}" for c in everything])
+    both = ", ".join([f"{'NULL' if c in added else f't.{c}'} AS t_{c}, s.{c} AS s_{c}" for c in everything])
     return f"""WITH t AS ({target}), s AS ({latest(source, keys)}),
         paired AS (SELECT {both}, s._row_hash IS NOT NULL AS here, coalesce(t._is_deleted, false) AS gone
             FROM t LEFT JOIN s ON {same}),
@@ -269,7 +311,11 @@ GIVEN = {
     "region": (["r_regionkey"], ["r_regionkey"], ["r_name"], None, []),
     "events": (["event_id"], ["event_id", "user_id", "value"], ["ts", "event_type", "props"], "ts", []),
     "documents": (["text"], ["doc_id", "n_chars"], ["text", "lang", "source"], None, [("doc_id", "labels", "doc_id")]),
-    "labels": (["doc_id"], ["doc_id", "quality", "toxic"], [], None, []),
+    "labels": (["doc_id"], ["doc_id", "quality", "toxic"], [], None, [("doc_id", "documents", "doc_id")]),
+    "pages": (["page_id"], ["page_id"], ["url", "html"], None, []),
+    "benchmark": (["item_id"], ["item_id"], ["text"], None, []),
+    "conversations": (["conv_id", "turn"], ["conv_id", "turn"], ["role", "text"], None, []),
+    "embeddings": (["vec_id"], ["vec_id", "label"], ["embedding"], None, []),
 }
 
 
@@ -301,6 +347,9 @@ def suite_layers() -> str:
             subject = Subject(f"SELECT * FROM active_{stage}_{table}", f"dq_project.{stage}_{table}", f"{stage}_{table}")
             selects += subject.nulls([*shape.columns, *kept]) + subject.duplicates(CLEANING[table][0])
             selects += subject.outliers(shape.numbers)
+            keys, _, trim, lower, parse = CLEANING[table]
+            layout = [*[k for k in keys if k != "id"], *trim, *lower, *(parse if stage == "silver" else [])]
+            selects += subject.schema([(c, True, "") for c in dict.fromkeys(layout)])
             selects += subject.freshness("last_update_posted_date" if table == "studies" else "_ingested_at")
             if table == "outcome_analyses":
                 selects += subject.integrity("outcome_id", "SELECT * FROM active_silver_outcomes", "dq_project.silver_outcomes", "id")
@@ -312,6 +361,7 @@ def suite_layers() -> str:
             ("gold_condition_intervention_summary", "gold_condition_intervention", ["condition_name", "intervention_type"])):
         subject = Subject(f"SELECT * FROM {short}", f"dq_project.{short}", layer)
         selects += subject.nulls([*keys, "study_count"]) + subject.duplicates(keys) + subject.outliers(["study_count"])
+        selects += subject.schema([(c, True, "") for c in [*keys, "study_count"]])
     defined = ",\n".join(f"{name} AS MATERIALIZED ({body})" for name, body in ctes.items())
     return f"WITH {defined}\n{union(selects)}"
 
@@ -319,7 +369,12 @@ def suite_layers() -> str:
 # Monitoring and insights ----------------------------------------------------------------
 
 def over_metrics(query: str) -> str:
-    return f"WITH m AS ({rows_of(METRICS)}), newest AS (SELECT * FROM m WHERE run_timestamp = (SELECT max(run_timestamp) FROM m)) {query}"
+    return over(rows_of(METRICS), query)
+
+
+def over(metrics: str, query: str) -> str:
+    return f"""WITH m AS MATERIALIZED ({metrics}), newest AS (SELECT * FROM m WHERE (run_timestamp, run_id) =
+        (SELECT (run_timestamp, run_id) FROM m ORDER BY run_timestamp DESC, run_id DESC LIMIT 1)) {query}"""
 
 
 def over_insights(query: str) -> str:
@@ -327,27 +382,31 @@ def over_insights(query: str) -> str:
 
 
 SCORE = "round(avg(CASE WHEN passed THEN 1.0 ELSE 0.0 END) * 100, 1) AS quality_score_pct"
-RANKED = """(SELECT *, CAST(row_number() OVER (PARTITION BY run_timestamp ORDER BY passed, layer, table_name, check_name,
+RANKED = """(SELECT *, CAST(row_number() OVER (PARTITION BY run_id, run_timestamp, layer, table_name ORDER BY passed, check_name,
     column_name, metric_value, details) AS integer) AS rank FROM m)"""
-COUNTS = """(SELECT run_timestamp, count(*) AS total_checks, count(*) FILTER (WHERE passed) AS passed_check_count,
+TALLY = """count(*) AS total_checks, count(*) FILTER (WHERE passed) AS passed_check_count,
     count(*) FILTER (WHERE NOT passed) AS failed_check_count,
-    count(*) FILTER (WHERE NOT passed AND check_name IN ('referential_integrity', 'schema_conformity')) AS failed_structural_count
-    FROM m GROUP BY run_timestamp)"""
+    count(*) FILTER (WHERE NOT passed AND check_name IN ('referential_integrity', 'schema_conformity')) AS failed_structural_count"""
+COUNTS = f"(SELECT run_id, run_timestamp, {TALLY} FROM m GROUP BY run_id, run_timestamp)"
 _VALUES = f"' | value=', {number('metric_value')}, ' | threshold=', {number('threshold')}"
 LINE = (f"concat('layer=', layer, ' | table=', table_name, ' | check=', check_name, ' | column=', column_name, {_VALUES}, "
         "' | passed=', CASE WHEN passed THEN 'True' ELSE 'False' END, ' | details=', details)")
 FAILURE = (f"concat('layer=', layer, ' | table=', table_name, ' | column=', column_name, ' | check=', check_name, {_VALUES}, "
            "' | details=', details)")
 ISO = r"regexp_replace(strftime(run_timestamp, '%Y-%m-%dT%H:%M:%S.%f'), '\.000000$', '')"
-SUMMARIES = f"""SELECT run_timestamp, concat('Latest run timestamp: ', {ISO}, chr(10), 'Total checks: ', total_checks,
+SUMMARIES = f"""SELECT run_id, run_timestamp, layer, table_name, concat('Latest run timestamp: ', {ISO}, chr(10), 'Total checks: ', total_checks,
     ' | Passed: ', passed_check_count, ' | Failed: ', failed_check_count, chr(10), {text('Dataset domain: ' + DOMAIN)},
+    chr(10), 'Checks of this table: ', own_total, ' | Passed: ', own_passed, ' | Failed: ', own_total - own_passed,
     chr(10), body) AS metrics_summary
-    FROM {COUNTS} JOIN (SELECT run_timestamp, string_agg({LINE}, chr(10) ORDER BY rank) AS body FROM {RANKED}
-        WHERE rank <= 150 GROUP BY run_timestamp) USING (run_timestamp)"""
-FAILURES = f"""SELECT run_timestamp, coalesce(string_agg({FAILURE}, chr(10) ORDER BY rank) FILTER (WHERE NOT passed),
-    {text(NO_FAILURES)}) AS sample_failures FROM {RANKED} WHERE rank <= 12 GROUP BY run_timestamp"""
-PROMPTS = f"""SELECT run_timestamp, replace(replace({text(PROMPT_TEMPLATE)}, '{{{{METRICS_SUMMARY}}}}', metrics_summary),
-    '{{{{SAMPLE_FAILURES}}}}', sample_failures) AS prompt FROM ({SUMMARIES}) JOIN ({FAILURES}) USING (run_timestamp)"""
+    FROM {COUNTS} JOIN (SELECT run_id, run_timestamp, layer, table_name, string_agg({LINE}, chr(10) ORDER BY rank) AS body,
+        count(*) AS own_total, count(*) FILTER (WHERE passed) AS own_passed FROM {RANKED}
+        GROUP BY run_id, run_timestamp, layer, table_name) USING (run_id, run_timestamp)"""
+FAILURES = f"""SELECT run_id, run_timestamp, layer, table_name, coalesce(string_agg({FAILURE}, chr(10) ORDER BY rank) FILTER (WHERE NOT passed),
+    {text(NO_FAILURES)}) AS sample_failures FROM {RANKED} GROUP BY run_id, run_timestamp, layer, table_name"""
+PROMPTS = f"""SELECT run_id, run_timestamp, layer, table_name,
+    replace(replace({text(PROMPT_TEMPLATE)}, '{{{{METRICS_SUMMARY}}}}', metrics_summary),
+    '{{{{SAMPLE_FAILURES}}}}', sample_failures) AS prompt FROM ({SUMMARIES}) JOIN ({FAILURES})
+    USING (run_id, run_timestamp, layer, table_name)"""
 
 
 def _explained(position: int) -> str:
@@ -355,7 +414,9 @@ def _explained(position: int) -> str:
     return f"CASE check_name {cases} END"
 
 
-RULES = f"""SELECT run_timestamp,
+FIRST = """(SELECT *, row_number() OVER (PARTITION BY run_id, run_timestamp ORDER BY passed, layer, table_name, check_name,
+    column_name, metric_value, details) AS place FROM m)"""
+RULES = f"""SELECT run_id, run_timestamp,
     CASE WHEN failed_check_count = 0 THEN concat('All ', total_checks, ' checks passed.')
         ELSE concat(failed_check_count, ' of ', total_checks, ' checks failed. The first is ', check_name, ' on ', layer, ' ',
             table_name, '.', column_name, ' at ', {number('metric_value')}, '.') END AS summary,
@@ -364,19 +425,29 @@ RULES = f"""SELECT run_timestamp,
     CASE WHEN failed_check_count = 0 THEN 'low' WHEN failed_check_count / total_checks >= 0.5 THEN 'critical'
         WHEN failed_check_count / total_checks >= 0.2 OR failed_structural_count > 0 THEN 'high' ELSE 'medium' END AS severity,
     failed_check_count, passed_check_count
-    FROM {COUNTS} JOIN (SELECT * FROM {RANKED} WHERE rank = 1) USING (run_timestamp)"""
+    FROM {COUNTS} JOIN (SELECT * FROM {FIRST} WHERE place = 1) USING (run_id, run_timestamp)"""
 RULE_JSON = """concat('{"summary":"', summary, '","root_cause":"', root_cause, '","suggested_action":"', suggested_action,
     '","severity":"', severity, '"}')"""
 RULE_INSIGHTS = f"""SELECT timestamp '{AS_OF}' AS run_timestamp, run_timestamp AS metrics_run_timestamp, summary, root_cause,
-    suggested_action, severity, failed_check_count, passed_check_count, {RULE_JSON} AS raw_response FROM ({RULES})"""
+    suggested_action, severity, failed_check_count, passed_check_count, {RULE_JSON} AS raw_response, run_id,
+    CAST(NULL AS varchar) AS table_name, true AS parse_ok FROM ({RULES})"""
+PART_ROWS = f"""SELECT timestamp '{AS_OF}' AS run_timestamp, run_timestamp AS metrics_run_timestamp,
+    CASE WHEN table_name IN ('t1', 't2') THEN '' ELSE concat(layer, ' ', table_name) END AS summary, '' AS root_cause,
+    '' AS suggested_action, CASE WHEN table_name IN ('t1', 't2') THEN 'unknown' ELSE 'high' END AS severity,
+    failed_check_count, passed_check_count, {shapes.PART_RESPONSE} AS raw_response, run_id, table_name,
+    table_name NOT IN ('t1', 't2') AS parse_ok
+    FROM {COUNTS} JOIN (SELECT DISTINCT run_id, run_timestamp, layer, table_name FROM m) USING (run_id, run_timestamp)"""
 
 _BARE = r"regexp_replace(raw_response, '^\s+|\s+$', '', 'g')"
 _UNFENCED = rf"regexp_replace({_BARE}, '^`+|`+$', '', 'g')"
 _UNLABELLED = rf"regexp_replace(regexp_replace({_UNFENCED}, '^json', ''), '^\s+|\s+$', '', 'g')"
 
 
+_ONE_OBJECT = "json_valid(j) AND j LIKE '{%'"
+
+
 def _field(name: str) -> str:
-    return f"CASE WHEN json_valid(j) THEN json_extract_string(j, '$.{name}') END"
+    return f"CASE WHEN {_ONE_OBJECT} THEN json_extract_string(j, '$.{name}') END"
 
 
 PARSED = f"""WITH r AS (SELECT o_orderkey, CASE WHEN starts_with({_BARE}, '```') THEN {_UNLABELLED} ELSE {_BARE} END AS j
@@ -384,7 +455,7 @@ PARSED = f"""WITH r AS (SELECT o_orderkey, CASE WHEN starts_with({_BARE}, '```')
     SELECT o_orderkey, j AS raw_response, coalesce({_field('summary')}, '') AS summary,
     coalesce({_field('root_cause')}, '') AS root_cause, coalesce({_field('suggested_action')}, '') AS suggested_action,
     CASE WHEN lower(trim({_field('severity')})) IN ('critical', 'high', 'medium', 'low') THEN lower(trim({_field('severity')}))
-        ELSE 'unknown' END AS severity, json_valid(j) AS parse_ok FROM r"""
+        ELSE 'unknown' END AS severity, {_ONE_OBJECT} AS parse_ok FROM r"""
 
 # Defects --------------------------------------------------------------------------------
 
@@ -428,6 +499,7 @@ def oracle_sql() -> dict[str, str]:
         "cdc_merge": key_merge(),
         "cdc_merge_incremental": key_merge(full=False),
         "cdc_merge_repeated_keys": merged(lines_target(), lines_source(), **LINES_MERGE),
+        "cdc_merge_new_column": merged(orders_target(), orders_wider_source(), added=[shapes.NEW_COLUMN[0]], **ORDERS_MERGE),
         "cdc_change_summary": f"SELECT _op, count(*) AS row_count FROM ({key_merge(target=orders_deleted_target)}) GROUP BY _op",
         "cdc_resurrect": f"SELECT * FROM ({key_merge(target=orders_deleted_target)}) WHERE _op = 'resurrect'",
         "cdc_soft_delete": f"SELECT * FROM ({key_merge()}) WHERE _op = 'delete'",
@@ -438,13 +510,11 @@ def oracle_sql() -> dict[str, str]:
         "active_rows_strict": f"SELECT * FROM ({rows_of(DIRTY)}) WHERE NOT _is_deleted",
         "include_deleted_rows": rows_of(DIRTY),
         "silver_dedupe": latest(lines_target(), ["l_orderkey", "l_linenumber"]),
-        "silver_dedupe_normalised": f"SELECT * FROM ({latest(normalised, ['intervention_type'])}) WHERE nct_id IS NOT NULL",
-        "silver_trim_lower": f"""SELECT nct_id, trim(brief_title) AS brief_title, trim(phase) AS phase,
-            lower(trim(overall_status)) AS overall_status FROM ({studies})""",
-        "silver_parse_ts": f"""SELECT nct_id, brief_title, try_cast(last_update_posted_date AS timestamp) AS last_update_posted_date
-            FROM ({studies})""",
+        "silver_dedupe_normalised": f"SELECT * FROM ({latest(normalised, CLEANING['interventions'][0])}) WHERE nct_id IS NOT NULL",
+        "silver_trim_lower": cleaned(studies, ["brief_title", "phase"], ["overall_status"]),
+        "silver_parse_ts": cleaned(studies, parse=["last_update_posted_date"]),
         "silver_key_not_null": f"SELECT * FROM ({studies}) WHERE nct_id IS NOT NULL",
-        "silver_metadata_last": f"SELECT name, city, _ingested_at, _row_hash, _is_deleted FROM ({bronze('facilities')})",
+        "silver_metadata_last": bronze("facilities"),
         "gold_status_counts": status_counts(silver("studies")),
         "gold_phase_summary": phases(silver("studies")),
         "gold_condition_intervention": coverage(silver("studies"), silver("conditions"), silver("interventions")),
@@ -458,7 +528,7 @@ def oracle_sql() -> dict[str, str]:
         "dq_freshness": union(dirty.freshness("o_orderdate")),
         "dq_referential_integrity": union(lines.integrity("l_orderkey", active(parents), "orders", "o_orderkey")),
         "dq_ref_include_deleted": union(lines.integrity("l_orderkey", parents, "orders", "o_orderkey")),
-        "dq_orphan_rows": "SELECT * FROM documents d WHERE NOT EXISTS (SELECT 1 FROM labels l WHERE l.toxic = 0 AND l.doc_id = d.doc_id)",
+        "dq_orphan_rows": "SELECT * FROM documents d WHERE NOT EXISTS (SELECT 1 FROM labels l WHERE l.doc_id = d.doc_id)",
         "dq_run_all": union(
             dirty.nulls(DIRTY_COLUMNS) + dirty.duplicates(DIRTY_KEYS) + dirty.schema(DIRTY_SCHEMA)
             + dirty.outliers(DIRTY.numbers) + dirty.freshness("o_orderdate")
@@ -483,7 +553,7 @@ def oracle_sql() -> dict[str, str]:
             WHERE check_name = 'referential_integrity' AND metric_value > 0 ORDER BY run_timestamp DESC, 1, 2, 3"""),
         "mon_null_hotspots": over_metrics(
             """SELECT concat(layer, ' | ', column_name) AS layer_column, metric_value AS null_rate FROM newest
-            WHERE check_name = 'null_rate' ORDER BY null_rate DESC, layer_column LIMIT 20"""),
+            WHERE check_name = 'null_rate' ORDER BY null_rate DESC, layer_column"""),
         "mon_latest_insight": over_insights(
             """SELECT run_timestamp, metrics_run_timestamp, severity, failed_check_count, passed_check_count, summary,
             root_cause, suggested_action FROM insights ORDER BY run_timestamp DESC, metrics_run_timestamp DESC LIMIT 1"""),
@@ -502,16 +572,18 @@ def oracle_sql() -> dict[str, str]:
                 AND a.column_name = b.column_name AND CAST(b.run_timestamp AS date) BETWEEN a.run_date - 7 AND a.run_date - 1
             GROUP BY 1, 2, 3, 4, 5, a.v"""),
         "insight_latest_run": over_metrics("SELECT * FROM newest"),
-        "insight_ranked_metrics": over_metrics(f"SELECT * FROM {RANKED} WHERE rank <= 150"),
+        "insight_ranked_metrics": over_metrics(f"SELECT * FROM {RANKED}"),
         "insight_pass_fail": over_metrics(f"SELECT * FROM {COUNTS}"),
         "insight_metric_lines": over_metrics(SUMMARIES),
         "insight_top_failures": over_metrics(FAILURES),
         "insight_prompt": over_metrics(PROMPTS),
         "insight_parse": PARSED,
-        "insight_rule_based": over_metrics(f"SELECT run_timestamp, {RULE_JSON} AS raw_response FROM ({RULES})"),
+        "insight_rule_based": over_metrics(f"SELECT run_id, run_timestamp, {RULE_JSON} AS raw_response FROM ({RULES})"),
         "insight_rows": over_metrics(RULE_INSIGHTS),
+        "insight_rows_of_parts": over_metrics(PART_ROWS),
+        "insight_whole_suite": over(suite_layers(), SUMMARIES),
         "insight_latest": over_metrics(
-            f"SELECT * FROM ({RULE_INSIGHTS}) WHERE metrics_run_timestamp = (SELECT max(run_timestamp) FROM m)"),
+            f"SELECT * FROM ({RULE_INSIGHTS}) WHERE (metrics_run_timestamp, run_id) = (SELECT (run_timestamp, run_id) FROM newest LIMIT 1)"),
         "inject_nulls": f"""SELECT * REPLACE (CASE WHEN NOT {drawn(0.05, '7')} THEN o_custkey END AS o_custkey,
             CASE WHEN NOT {drawn(0.05, '17')} THEN o_totalprice END AS o_totalprice) FROM orders""",
         "inject_duplicates": f"SELECT * FROM orders UNION ALL SELECT * FROM orders WHERE {drawn(0.03, '5')}",

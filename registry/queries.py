@@ -61,7 +61,7 @@ def high_watermark(spark, sf):
 
 
 def incremental_extract(spark, sf, inclusive=False):
-    newest = high_watermark(spark, sf)
+    newest = high_watermark(spark, sf).first()["max_watermark"]
     return ingest.after_watermark(given(spark, sf, "orders"), "o_orderdate", newest, inclusive=inclusive)
 
 
@@ -82,6 +82,10 @@ def cdc_merge_repeated_keys(spark, sf):
     return plain(_merged(spark, sf, frames.lines_target, frames.lines_source, ("l_orderkey", "l_linenumber")))
 
 
+def cdc_merge_new_column(spark, sf):
+    return plain(_merged(spark, sf, source=frames.orders_wider_source))
+
+
 def cdc_change_summary(spark, sf):
     return ingest.change_summary(_merged(spark, sf, target=frames.orders_deleted_target))
 
@@ -113,7 +117,7 @@ def silver_dedupe(spark, sf):
 
 def silver_dedupe_normalised(spark, sf):
     spec = SilverSpec(
-        keys=("intervention_type",), required=("nct_id",), lower_trim=("intervention_type",),
+        keys=project.KEYS["interventions"], required=("nct_id",), lower_trim=("intervention_type",),
         trim=("name",), dedupe="normalised")
     return plain(silver.standardise(frames.bronze(spark, sf, "interventions"), spec))
 
@@ -121,13 +125,13 @@ def silver_dedupe_normalised(spark, sf):
 def silver_trim_lower(spark, sf):
     spec = SilverSpec(keys=("nct_id",), required=(), trim=("brief_title", "phase"), lower_trim=("overall_status",))
     raw = shaped(spark, sf, shapes.TRIAL["studies"])
-    return silver.clean_columns(raw, spec).select("nct_id", "brief_title", "phase", "overall_status")
+    return silver.clean_columns(raw, spec)
 
 
 def silver_parse_ts(spark, sf):
     spec = SilverSpec(keys=("nct_id",), required=(), timestamps=("last_update_posted_date",))
     raw = shaped(spark, sf, shapes.TRIAL["studies"])
-    return plain(silver.clean_columns(raw, spec).select("nct_id", "brief_title", "last_update_posted_date"))
+    return plain(silver.clean_columns(raw, spec))
 
 
 def silver_key_not_null(spark, sf):
@@ -135,8 +139,8 @@ def silver_key_not_null(spark, sf):
 
 
 def silver_metadata_last(spark, sf):
-    mixed = frames.bronze(spark, sf, "facilities").select("_row_hash", "name", "_is_deleted", "city", "_ingested_at")
-    return plain(silver.lineage_last(mixed))
+    rows = frames.bronze(spark, sf, "facilities")
+    return plain(silver.lineage_last(rows.select(*sorted(rows.columns))))
 
 
 def silver_like(table, spark, sf):
@@ -197,8 +201,7 @@ def _integrity(spark, sf, include_deleted):
 
 
 def dq_orphan_rows(spark, sf):
-    safe = given(spark, sf, "labels").where("toxic = 0")
-    return checks.orphan_rows(given(spark, sf, "documents"), safe, column="doc_id", ref_column="doc_id")
+    return checks.orphan_rows(given(spark, sf, "documents"), given(spark, sf, "labels"), column="doc_id", ref_column="doc_id")
 
 
 def dq_run_all(spark, sf):
@@ -233,7 +236,12 @@ GIVEN_SPECS = [
     TableSpec("events", "bronze_events", keys=("event_id",), timestamp="ts"),
     TableSpec("documents", "bronze_documents", keys=("text",),
               foreign_keys=(ForeignKey("doc_id", "labels", "doc_id"),)),
-    TableSpec("labels", "bronze_labels", keys=("doc_id",)),
+    TableSpec("labels", "bronze_labels", keys=("doc_id",),
+              foreign_keys=(ForeignKey("doc_id", "documents", "doc_id"),)),
+    TableSpec("pages", "bronze_pages", keys=("page_id",)),
+    TableSpec("benchmark", "bronze_benchmark", keys=("item_id",)),
+    TableSpec("conversations", "bronze_conversations", keys=("conv_id", "turn")),
+    TableSpec("embeddings", "bronze_embeddings", keys=("vec_id",)),
 ]
 
 
@@ -242,16 +250,10 @@ def dq_suite_given(spark, sf):
     return plain(run_suite({s.name: given(spark, sf, s.name) for s in GIVEN_SPECS}, GIVEN_SPECS, RUN))
 
 
-def staged_layers(spark, sf):
+def staged_layers(spark, sf, staging):
     """The nineteen tables of the project, built from the given ones and written once."""
-    folder = tables.scratch_path(spark, "layers")
-
-    def written(short, df):
-        df.write.parquet(f"{folder}/{short}")
-        return spark.read.parquet(f"{folder}/{short}")
-
     def together(planned):
-        results = run_together([partial(written, short, df) for short, df in planned.items()])
+        results = run_together([partial(staging.stage, df) for df in planned.values()])
         return dict(zip(planned, results))
 
     bronze = together({f"bronze_{t}": frames.bronze(spark, sf, t) for t in project.KEYS})
@@ -268,8 +270,15 @@ def staged_layers(spark, sf):
 
 
 def dq_suite(spark, sf):
-    """All checks of all nineteen tables as one run."""
-    return plain(staged_suite(staged_layers(spark, sf), project.quality_specs(), RUN))
+    """All checks of all nineteen tables as one run, with the layouts the project declares.
+
+    The tables go once they are checked; the metrics stay for whoever reads the result.
+    """
+    kept = tables.Staging(spark)
+    with tables.Staging(spark) as staging:
+        layers = staged_layers(spark, sf, staging)
+        metrics = staged_suite(layers, project.quality_specs(expected=project.LAYOUTS), RUN, staging=staging)
+        return plain(kept.stage(metrics.coalesce(1)))
 
 
 # Insights -------------------------------------------------------------------------------
@@ -291,6 +300,19 @@ def insight_rows(spark, sf):
     return plain(insights.insight_rows(metrics, insights.rule_based_responses(metrics), RUN.timestamp))
 
 
+def insight_rows_of_parts(spark, sf):
+    """One answer for each run and table, some of which cannot be read."""
+    metrics = frames.metrics(spark, sf)
+    parts = metrics.select(*insights.PART).distinct()
+    responses = parts.select(*monitor.RUN, "table_name", F.expr(shapes.PART_RESPONSE).alias("raw_response"))
+    return plain(insights.insight_rows(metrics, responses, RUN.timestamp))
+
+
+def insight_whole_suite(spark, sf):
+    """The summaries of a run of more than 150 metrics, which hold every one of them."""
+    return plain(insights.metric_lines(dq_suite(spark, sf)))
+
+
 def insight_latest(spark, sf):
     return plain(insights.insights_for_latest_run(frames.metrics(spark, sf), RUN.timestamp))
 
@@ -349,6 +371,7 @@ QUERIES: dict[str, Query] = {
     "cdc_merge": cdc_merge,
     "cdc_merge_incremental": cdc_merge_incremental,
     "cdc_merge_repeated_keys": cdc_merge_repeated_keys,
+    "cdc_merge_new_column": cdc_merge_new_column,
     "cdc_change_summary": cdc_change_summary,
     "cdc_resurrect": cdc_resurrect,
     "cdc_soft_delete": cdc_soft_delete,
@@ -402,6 +425,8 @@ QUERIES: dict[str, Query] = {
     "insight_parse": lambda spark, sf: insights.parse_responses(shaped(spark, sf, shapes.RESPONSES)),
     "insight_rule_based": partial(_on_metrics, insights.rule_based_responses),
     "insight_rows": insight_rows,
+    "insight_rows_of_parts": insight_rows_of_parts,
+    "insight_whole_suite": insight_whole_suite,
     "insight_latest": insight_latest,
     "inject_nulls": inject_nulls,
     "inject_duplicates": inject_duplicates,

@@ -157,11 +157,12 @@ TRIAL = {
         numbers=("id", "outcome_id", "length"),
     ),
 }
-# Ten runs of metrics: ten orders in a row are the ten measurements of one series.
+# Ten runs of metrics: ten orders in a row are the ten measurements of one series. The last two runs have the same time.
 METRICS = Shape(
     base="orders",
     columns={
-        "run_timestamp": "timestamp '2024-01-01 00:00:00' + (o_orderkey % 10) * interval '1' day",
+        "run_id": "concat('run', CAST(o_orderkey % 10 AS string))",
+        "run_timestamp": "timestamp '2024-01-01 00:00:00' + (CASE WHEN o_orderkey % 10 = 9 THEN 8 ELSE o_orderkey % 10 END) * interval '1' day",
         "layer": "CASE CAST(floor(o_orderkey / 10) AS bigint) % 3 WHEN 0 THEN 'bronze_orders' WHEN 1 THEN 'silver_orders' ELSE 'gold_orders' END",
         "table_name": "concat('t', CAST(CAST(floor(o_orderkey / 10) AS bigint) % 5 AS string))",
         "check_name": "CASE CAST(floor(o_orderkey / 30) AS bigint) % 4 WHEN 0 THEN 'null_rate' WHEN 1 THEN 'duplicate_rate' WHEN 2 THEN 'outlier_rate' ELSE 'referential_integrity' END",
@@ -190,17 +191,30 @@ INSIGHTS = Shape(
 
 _FULL = ("""concat('{"summary": "order ', CAST(o_orderkey AS string), '", "root_cause": "', o_orderstatus, """
          """'", "suggested_action": "call ', CAST(o_custkey AS string), '", "severity": "', """)
-# Answers as models give them: plain, fenced with and without a label, incomplete, no JSON, odd severity.
+# Answers as models give them: plain, fenced with and without a label, incomplete, no JSON, odd severity, with text
+# after the object, two objects, an array.
 RESPONSES = Shape(
     base="orders",
     columns={
         "o_orderkey": "o_orderkey",
-        "raw_response": f"""CASE o_orderkey % 6
+        "raw_response": f"""CASE o_orderkey % 10
             WHEN 0 THEN concat(chr(10), {_FULL} 'high"}}'), ' ')
             WHEN 1 THEN concat('```json', chr(10), {_FULL} 'Low"}}'), chr(10), '```')
             WHEN 2 THEN concat('```', chr(10), {_FULL} 'critical"}}'), chr(10), '```', chr(10))
             WHEN 3 THEN concat('{{"summary": "order ', CAST(o_orderkey AS string), '"}}')
             WHEN 4 THEN concat('I cannot say more about order ', CAST(o_orderkey AS string))
-            ELSE {_FULL} 'urgent"}}') END""",
+            WHEN 5 THEN {_FULL} 'urgent"}}')
+            WHEN 6 THEN concat({_FULL} 'high"}}'), ' and more text')
+            WHEN 7 THEN concat({_FULL} 'high"}}'), chr(10), {_FULL} 'low"}}'))
+            WHEN 8 THEN concat('[', {_FULL} 'high"}}'), ']')
+            ELSE concat({_FULL} 'high"}}'), ', ', {_FULL} 'low"}}')) END""",
     },
 )
+
+# A model's answer for each run and table of METRICS, some of which cannot be read; by columns of the metrics.
+PART_RESPONSE = """CASE WHEN table_name = 't1' THEN concat('Sorry, nothing to say about ', run_id)
+    WHEN table_name = 't2' THEN concat('{"summary": "', layer, '"} and more')
+    ELSE concat('{"summary": "', layer, ' ', table_name, '", "severity": "High"}') END"""
+
+# Orders with a column that the loaded table does not have.
+NEW_COLUMN = ("o_channel", "CASE WHEN o_orderkey % 4 = 0 THEN NULL ELSE concat('channel ', CAST(o_orderkey % 3 AS string)) END")

@@ -3,10 +3,11 @@
 import pytest
 from compare import connect, difference, duck_result, spark_result
 
-import __spark_entry__ as driver
+from registry import oracles
+from registry.queries import QUERIES
 
 SF_DIR = "/root/testdata/sf0.001"
-ORACLE = driver.oracle_sql()
+ORACLE = oracles.oracle_sql()
 
 
 @pytest.fixture(scope="module")
@@ -15,11 +16,11 @@ def duck():
 
 
 def test_every_query_has_sql():
-    assert set(ORACLE) == set(driver.queries())
+    assert set(ORACLE) == set(QUERIES)
 
 
-@pytest.mark.parametrize("name", sorted(driver.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_equals_its_sql(spark, duck, name):
-    ours = spark_result(driver.queries()[name](spark, SF_DIR))
+    ours = spark_result(QUERIES[name](spark, SF_DIR))
     assert difference(ours, duck_result(duck, ORACLE[name])) is None
     assert ours[1]
