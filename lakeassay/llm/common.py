@@ -23,10 +23,24 @@ def shared_folder(spark: SparkSession) -> str:
 
 
 def staged(df: DataFrame) -> DataFrame:
-    """Write `df` once to a fresh place in the shared folder and read it back, which cuts its lineage."""
-    path = f"{shared_folder(df.sparkSession)}/llm-{uuid.uuid4().hex}"
+    """Write `df` once to a fresh place in the shared folder and read it back, which cuts its lineage.
+
+    Results may read the copy for as long as the session lives; it is removed when that ends.
+    """
+    spark = df.sparkSession
+    path = f"{shared_folder(spark)}/llm-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    copy = spark._jvm.org.apache.hadoop.fs.Path(path)
+    copy.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(copy)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+def checkpointed(df: DataFrame) -> DataFrame:
+    """`df` computed now and kept in the checkpoint folder, which all executors share."""
+    context = df.sparkSession.sparkContext
+    if context.getCheckpointDir() is None:
+        context.setCheckpointDir(shared_folder(df.sparkSession))
+    return df.checkpoint()
 
 
 def row_key(df: DataFrame, columns: Sequence[str]) -> list[Column]:

@@ -10,7 +10,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lakeassay.llm.common import KEYS, OWN, hashable, row_key, staged
+from lakeassay.llm.common import KEYS, checkpointed, hashable, row_key, staged
 
 SEED = 42
 BITS = 64
@@ -103,7 +103,7 @@ def components(pairs: DataFrame, max_rounds: int = 60) -> DataFrame:
     Rounds of large-star and small-star: every node hands its neighbours to the smallest one it knows, so
     components become stars after about log(nodes) rounds. Each round is cut by a checkpoint.
     """
-    edges = pairs.select("src", "dst").distinct().checkpoint()
+    edges = checkpointed(pairs.select("src", "dst").distinct())
     state = _state(edges)
     for _ in range(max_rounds):
         both = edges.unionByName(edges.select(F.col("dst").alias("src"), F.col("src").alias("dst")))
@@ -111,9 +111,9 @@ def components(pairs: DataFrame, max_rounds: int = 60) -> DataFrame:
         large = (both.where("dst > src").join(least, "src")
                  .select(F.col("dst").alias("src"), F.col("low").alias("dst")).where("src > dst").distinct())
         least = large.groupBy("src").agg(F.min("dst").alias("low"))
-        edges = (large.join(least, "src").select(F.col("dst").alias("src"), F.col("low").alias("dst"))
-                 .unionByName(least.select("src", F.col("low").alias("dst")))
-                 .where("src > dst").distinct().checkpoint())
+        edges = checkpointed(
+            large.join(least, "src").select(F.col("dst").alias("src"), F.col("low").alias("dst"))
+            .unionByName(least.select("src", F.col("low").alias("dst"))).where("src > dst").distinct())
         before, state = state, _state(edges)
         if before == state:
             return edges.select(F.col("src").alias("node"), F.col("dst").alias("root"))
@@ -129,7 +129,7 @@ def simhash_components(fingerprints: DataFrame, id_column: str, distance: int =
 
     Takes rows of an id and `fp`. Equal fingerprints are one node, however many documents hold them.
     """
-    nodes = fingerprints.groupBy("fp").agg(F.min(id_column).alias("low_id")).checkpoint()
+    nodes = checkpointed(fingerprints.groupBy("fp").agg(F.min(id_column).alias("low_id")))
     roots = components(links(nodes.select("fp"), distance, nodes.count()))
     rooted = (nodes.join(roots, F.col("fp") == F.col("node"), "left")
               .select("fp", "low_id", F.coalesce("root", "fp").alias("root")))
