@@ -73,14 +73,14 @@ def _rounded(fractions: DataFrame, chunks: int, seed: int) -> DataFrame:
     """`extra` (0 or 1) for every fraction: columns k0, k1, rank, extra.
 
     Takes k0, k1, rank (of the source), w > 0, p and chunk. Each step rounds the fractions of a chunk one after
-    another, in order of size, and passes the one that is left to a chunk of the next step, until each source
-    has one left, which goes to the nearer whole number. So the words a source takes miss its target by half of
-    one document at most. Every step is written once, which also bounds what a lost executor costs.
+    another, from the largest document down, so that neighbours in size meet and the one that is left tends to be
+    small; that one goes on to a chunk of the next step, until each source has one left, which goes to the nearer
+    whole number. So the words a source takes miss its target by half of one document at most. Every step is written once, which also bounds what a lost executor costs.
     """
     found = []
     while True:
         row = F.struct("w", "k0", "k1", "rank", "p")
-        grouped = fractions.groupBy("rank", "chunk").agg(F.array_sort(F.collect_list(row)).alias("rows"))
+        grouped = fractions.groupBy("rank", "chunk").agg(F.sort_array(F.collect_list(row), asc=False).alias("rows"))
         first = F.col("rows")[0]
         start = F.struct(first.k0.alias("k0"), first.k1.alias("k1"), first["rank"].alias("rank"), first.w.alias("w"),
                          first.p.alias("p"), F.array().cast(DECIDED).alias("decided"))
