@@ -14,8 +14,8 @@ from lakeassay.llm.common import staged
 
 #: Pivots are this many rows of the table, those of the smallest hashes; so many of the nearest describe a vector.
 PIVOTS, NEAREST = 256, 64
-#: Rows of an inverted file, and queries searched together.
-BLOCK, QUERY_BLOCK = 8192, 256
+#: Rows of an inverted file, fewer if their vectors would hold more than so many numbers, and queries searched together.
+BLOCK, BLOCK_NUMBERS, QUERY_BLOCK = 8192, 1 << 23, 256
 #: Best rows by footrule that are reranked at once, and how near to the worst of the k best a row's agreement must come to be
 #: reranked after them.
 RERANK, REACH = 512, 0.8
@@ -137,7 +137,8 @@ def nearest(vectors: DataFrame, queries: Column, id_column: str = "vec_id", vect
         return vectors.sparkSession.createDataFrame([], "query_id long, rank int, vec_id long, score double")
     rows = staged(rows.where(F.size("vector") == length["length"]).groupBy("id", "vector").agg(F.max("is_query").alias("is_query")))
     total, asked = rows.agg(F.count("*"), F.count_if("is_query")).first()
-    blocks, query_blocks = -(-total // BLOCK), max(1, -(-asked // QUERY_BLOCK))
+    blocks = -(-total // min(BLOCK, max(1, BLOCK_NUMBERS // length["length"])))
+    query_blocks = max(1, -(-asked // QUERY_BLOCK))
     hashed = F.xxhash64("id", "vector")
     pivots = np.array([r["vector"] for r in rows.select("vector", hashed.alias("h"), "id").orderBy("h", "id").limit(PIVOTS).collect()])
     index = _packed(rows.select("id", "vector", F.pmod(hashed, F.lit(blocks)).alias("block")), "block")

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+from collections import Counter
 from html import unescape
 
 import pandas as pd
@@ -36,6 +37,8 @@ BESIDE = set("""ad ads advert advertisement adverts advertising banner breadcrum
     sidebar social sponsor sponsored subscribe complementary contentinfo""".split())
 PERHAPS = set("alert header login masthead promotion reply search signup toolbar widget hidden".split())
 CONTENT = set("article body content entry main post story text".split())
+#: Elements deeper than this have the path of their ancestor at this depth.
+DEEPEST = 200
 WORD_PARTS = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
 
 
@@ -52,6 +55,8 @@ class Page:
         self._text: list[str] = []
         self._links = 0
         self._stack, self._apart = [0], [False]
+        self._opened: Counter[str] = Counter()
+        self._holders = [0]  # each element's nearest container, itself included
         self._in_link = 0
         self._read(html)
         self._flush()
@@ -114,7 +119,10 @@ class Page:
             named += f" {value}" if name in ("class", "id", "role") else ""
         self.tags.append(tag)
         self.parents.append(parent)
-        self.paths.append(f"{self.paths[parent]}>{tag}" + (f".{classes}" if classes else ""))
+        step = f">{tag}.{classes}" if classes else f">{tag}"
+        self.paths.append(self.paths[parent] + (step if len(self._stack) <= DEEPEST else ""))
+        self._opened[tag] += 1
+        self._holders.append(len(self.tags) - 1 if tag in CONTAINERS else self._holders[parent])
         self._stack.append(len(self.tags) - 1)
         self._apart.append(self._apart[-1] or hidden or tag in APART or self._is_beside(tag, named))
         self._in_link += tag == "a"
@@ -130,7 +138,7 @@ class Page:
     def _end(self, tags: set[str], scope: set[str]) -> None:
         """End the innermost open elements up to the outermost of `tags` within the nearest of `scope`."""
         found = None
-        for depth in range(len(self._stack) - 1, 0, -1):
+        for depth in range(len(self._stack) - 1, 0, -1) if any(self._opened[t] for t in tags) else ():
             tag = self.tags[self._stack[depth]]
             if tag in tags:
                 found = depth
@@ -140,17 +148,17 @@ class Page:
             self._pop(found)
 
     def _close(self, tag: str) -> None:
-        for depth in range(len(self._stack) - 1, 0, -1):
-            if self.tags[self._stack[depth]] == tag:
-                self._pop(depth)
-                return
-        if tag in BLOCKS:
+        if self._opened[tag]:
+            self._pop(next(d for d in range(len(self._stack) - 1, 0, -1) if self.tags[self._stack[d]] == tag))
+        elif tag in BLOCKS:
             self._flush()
 
     def _pop(self, depth: int) -> None:
         if any(self.tags[i] in BLOCKS for i in self._stack[depth:]):
             self._flush()
-        self._in_link -= sum(self.tags[i] == "a" for i in self._stack[depth:])
+        closed = Counter(self.tags[i] for i in self._stack[depth:])
+        self._opened.subtract(closed)
+        self._in_link -= closed["a"]
         del self._stack[depth:], self._apart[depth:]
 
     def best_container(self) -> int:
@@ -158,10 +166,9 @@ class Page:
         scores: dict[int, float] = {}
         for element, text, links in self.blocks:
             credit = max(0.0, len(text) - 3.0 * links)
-            while element > 0 and credit >= 1:
-                if self.tags[element] in CONTAINERS:
-                    scores[element] = scores.get(element, 0.0) + credit
-                    credit /= 2
+            while (element := self._holders[element]) and credit >= 1:
+                scores[element] = scores.get(element, 0.0) + credit
+                credit /= 2
                 element = self.parents[element]
         worth = {i: s * (2 if self.tags[i] in ("article", "main") else 1) for i, s in scores.items()}
         return max(worth, key=lambda i: (worth[i], -i), default=0)

@@ -124,8 +124,9 @@ def _piece_counts(batches: Iterator[pa.RecordBatch], model: bytes) -> Iterator[p
     for batch in batches:
         for lang, text in zip(batch.column(0).to_pylist(), batch.column(1)):
             words[lang].update(letter_words(text.as_py()))
-            if len(words[lang]) > MEMORY:
-                flush(lang)
+            if sum(map(len, words.values())) > MEMORY:
+                for full in list(words):
+                    flush(full)
     for lang in list(words):
         flush(lang)
     for lang, counts in totals.items():

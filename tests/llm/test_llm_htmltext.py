@@ -44,6 +44,7 @@ def test_a_winning_path_overrules_the_page():
 def test_long_pages_take_linear_time():
     assert len(text_of("<div>" * 3000 + "<p>x</p>" * 3000)) > 0
     assert text_of("<a '" * 20000 + ">") is not None
+    assert text_of("<div>" * 30_000 + "</span>" * 30_000 + "<b>" * 3000 + "deep") == "deep"
     assert text_of("<p>" + "word " * 500_000) == ("word " * 500_000).strip()
 
 
