@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, BinaryType, LongType, StringType, StructType
 
-from lakeassay.llm.common import KEYS, OWN, SPACE, row_key
+from lakeassay.llm.common import KEYS, OWN, SPACE, row_key, staged
 
 #: bytes.strip(None) also strips these six characters only; bytes.lower() changes A-Z only.
 BLANK = SPACE.encode()
@@ -66,7 +66,9 @@ def drop_shared_lines(docs: DataFrame, id_column: str = "doc_id", text: str = "t
     marked = docs.select("*", *row_key(docs, [id_column, text]))
     # Copies that agree on id and text lose the same lines; one of them is enough to say which.
     keys = marked.select(*KEYS, F.explode(_line_keys(body)).alias("line_key"))
-    gone = (keys.join(shared_lines(docs, text, min_documents), "line_key", "left_semi")
+    # Staged, the shared keys come to the join over a shuffle of their own. Spark can then split a line that stands
+    # in a third of all documents over many tasks; keys straight from their count would stay in that count's partitions.
+    gone = (keys.join(staged(shared_lines(docs, text, min_documents)), "line_key", "left_semi")
             .groupBy(*KEYS).agg(F.collect_set("line_key").alias(f"{OWN}gone")))
     cleaned = marked.join(gone, KEYS, "left").withColumn(f"{OWN}new", _without(body, F.col(f"{OWN}gone")))
     names = [c for c in docs.columns if c.lower() not in ("n_lines", "n_dropped")]
