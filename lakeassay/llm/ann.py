@@ -12,7 +12,8 @@ from pyspark.sql.window import Window
 
 from lakeassay.llm.common import staged
 
-#: Pivots are this many rows of the table, those of the smallest hashes; so many of the nearest describe a vector.
+#: Pivots are this many rows of the table, those of the smallest hashes; so many of the nearest, at most 255 (sums are
+#: kept in 16 bits), describe a vector.
 PIVOTS, NEAREST = 256, 64
 #: Rows of an inverted file, fewer if their vectors would hold more than so many numbers, and queries searched together.
 BLOCK, BLOCK_NUMBERS, QUERY_BLOCK = 8192, 1 << 23, 256
@@ -29,30 +30,30 @@ def _usable(vector: Column) -> Column:
 
 def nearest_pivots(vectors: np.ndarray, pivots: np.ndarray, k: int) -> np.ndarray:
     """The numbers of each vector's k nearest pivots (by inner product), nearest first, ties by number."""
-    return np.argsort(-(vectors @ pivots.T), axis=1, kind="stable")[:, :k].astype(np.int32)
+    far = -(vectors @ pivots.T)
+    near = np.sort(np.argpartition(far, k - 1, axis=1)[:, :k], axis=1) if k < far.shape[1] else np.indices(far.shape)[1]
+    return np.take_along_axis(near, np.argsort(np.take_along_axis(far, near, axis=1), axis=1, kind="stable"), axis=1)
 
 
-class InvertedFile:
-    """Rows by the pivots they lie near: for each pivot the rows that have it and its place in their order."""
+def inverted_file(order: np.ndarray, pivots: int) -> np.ndarray:
+    """For each pivot the rows that have it, as one number per row: how far from the end of the row's order it stands.
 
-    def __init__(self, order: np.ndarray, pivots: int):
-        by_pivot = np.argsort(order, axis=None, kind="stable")
-        rows, places = np.divmod(by_pivot, max(1, order.shape[1]))
-        ends = np.cumsum(np.bincount(order.ravel(), minlength=pivots))[:-1]
-        self.rows, self.places = np.split(rows, ends), np.split(places.astype(np.int32), ends)
+    The first of k pivots counts k, the last 1, and 0 stands for a row that does not have the pivot.
+    """
+    postings = np.zeros((pivots, len(order)), np.int16)
+    postings[order, np.arange(len(order))[:, None]] = np.arange(order.shape[1], 0, -1)
+    return postings
 
 
-def agreement(queries: InvertedFile, index: InvertedFile, n_queries: int, n_rows: int, k: int) -> np.ndarray:
-    """How far the footrule distance of each query and row lies below that of orders without a common pivot, halved.
+def agreement(order: np.ndarray, postings: np.ndarray) -> np.ndarray:
+    """How far the footrule distance of a query and each row lies below that of orders without a common pivot, halved.
 
     A pivot missing from an order counts as its place k. Then a common pivot at places a and b lowers the distance by
-    (k - a) + (k - b) - |a - b|, which is 2 * (k - max(a, b)), so only postings of common pivots need a look.
+    (k - a) + (k - b) - |a - b|, which is 2 * min(k - a, k - b), so only the postings of the query's pivots need a look.
     """
-    total = np.zeros((n_queries, n_rows), np.int32)
-    for qs, a, rows, b in zip(queries.rows, queries.places, index.rows, index.places):
-        if len(qs) and len(rows):
-            total[np.ix_(qs, rows)] += k - np.maximum(a[:, None], b[None, :])
-    return total
+    mine = np.arange(len(order), 0, -1, dtype=np.int16)[:, None]
+    common = postings[order]
+    return np.minimum(common, mine, out=common).sum(axis=0, dtype=np.int16)
 
 
 def best(agree: np.ndarray, own: np.ndarray, query: np.ndarray, vectors: np.ndarray, ids: np.ndarray, top: int) -> tuple[np.ndarray, np.ndarray]:
@@ -92,12 +93,12 @@ def _search(pivots: np.ndarray, top: int):
                 vectors = np.frombuffer(row.vectors, np.float64).reshape(len(ids), -1)
                 order = nearest_pivots(vectors, pivots, k)
                 if not row.is_query:
-                    block, held, held_ids, index = row.block, vectors, ids, InvertedFile(order, size)
+                    block, held, held_ids, postings = row.block, vectors, ids, inverted_file(order, size)
                     continue
                 if row.block != block:
                     continue
-                agree = agreement(InvertedFile(order, size), index, len(ids), len(held_ids), k)
-                found = [best(agree[i], held_ids == ids[i], vectors[i], held, held_ids, top) for i in range(len(ids))]
+                found = [best(agreement(order[i], postings), held_ids == ids[i], vectors[i], held, held_ids, top)
+                         for i in range(len(ids))]
                 yield pd.DataFrame({
                     "query_id": np.repeat(ids, [len(x) for x, _ in found]),
                     "vec_id": np.concatenate([x for x, _ in found] or [np.zeros(0, np.int64)]),

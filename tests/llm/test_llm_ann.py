@@ -30,7 +30,8 @@ def test_agreement_is_the_lowered_footrule_distance():
     k, pivots = 6, 15
     orders = np.array([dice.sample(range(pivots), k) for _ in range(40)], np.int32)
     a, b = orders[:10], orders[10:]
-    found = ann.agreement(ann.InvertedFile(a, pivots), ann.InvertedFile(b, pivots), 10, 30, k)
+    postings = ann.inverted_file(b, pivots)
+    found = np.array([ann.agreement(order, postings) for order in a])
     place = lambda order, p: list(order).index(p) if p in order else k
     for i in range(10):
         for j in range(30):
@@ -38,6 +39,16 @@ def test_agreement_is_the_lowered_footrule_distance():
             assert footrule == 2 * sum(k - x for x in range(k)) - 2 * found[i, j]
 
 
+def test_nearest_pivots_are_in_order():
+    dice = np.random.default_rng(9)
+    x, pivots = dice.integers(-2, 3, (50, 4)).astype(float), dice.integers(-2, 3, (12, 4)).astype(float)
+    products = x @ pivots.T
+    for k in (1, 5, 12):
+        for row, near in zip(products, ann.nearest_pivots(x, pivots, k)):
+            assert len(set(near)) == k and sorted(row[near], reverse=True) == sorted(row, reverse=True)[:k]
+            assert all((-row[a], a) < (-row[b], b) for a, b in zip(near, near[1:]))
+
+
 @pytest.mark.parametrize("sf", ["sf0.01", "sf0.1"])
 def test_recall_on_given_vectors(spark, sf):
     rows = [(r.vec_id, np.array(r.embedding, float)) for r in given(spark, "embeddings", f"/root/testdata/{sf}").collect()]
