@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StringType, StructType
 
-from lakeassay.llm.common import OWN
+from lakeassay.llm.common import OWN, staged
 
 TOKEN = re.compile(
     r"""<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*>?"""
@@ -37,6 +37,8 @@ BESIDE = set("""ad ads advert advertisement adverts advertising banner breadcrum
     sidebar social sponsor sponsored subscribe complementary contentinfo""".split())
 PERHAPS = set("alert header login masthead promotion reply search signup toolbar widget hidden".split())
 CONTENT = set("article body content entry main post story text".split())
+#: Parts that the pages of one host are split into where they are shuffled.
+SALTS = 32
 #: Elements deeper than this have the path of their ancestor at this depth.
 DEEPEST = 200
 WORD_PARTS = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
@@ -218,7 +220,8 @@ def host_paths(pages: DataFrame, url: str = "url", html: str = "html") -> DataFr
     return votes.groupBy("host").agg(F.min(F.struct((-F.col("n")).alias("n"), (-F.col("chars")).alias("chars"), "path"))["path"].alias("path"))
 
 
-def main_text(pages: DataFrame, url: str = "url", html: str = "html", column: str = "text") -> DataFrame:
+def main_text(pages: DataFrame, url: str = "url", html: str = "html", column: str = "text",
+              broadcast_bytes: int = 16 << 20) -> DataFrame:
     """The pages with their main text, which replaces a column of that name.
 
     Each page's containers are scored by their text outside links; the pages of a host vote on the generalised path
@@ -227,8 +230,19 @@ def main_text(pages: DataFrame, url: str = "url", html: str = "html", column: st
     and reader comments are left out by element, class, id and role. Character references are decoded, white space within
     a block becomes one space, and blocks are joined by an empty line. A null page or one without text gives an
     empty text; pages without a host vote together. Copies vote as often as they occur.
+
+    If the winning paths of all hosts take at most `broadcast_bytes`, every executor gets them and no page is
+    shuffled; beyond that, pages are joined to them by host and a salt.
     """
-    winners = host_paths(pages, url, html).select(F.col("host").alias(f"{OWN}host"), F.col("path").alias(f"{OWN}path"))
-    marked = pages.withColumn(f"{OWN}host", host_of(F.col(f"`{url}`")))
+    winners = staged(host_paths(pages, url, html).select(F.col("host").alias(f"{OWN}host"), F.col("path").alias(f"{OWN}path")))
+    size = winners.agg(F.sum(F.octet_length(f"{OWN}host") + F.octet_length(f"{OWN}path"))).first()[0] or 0
     kept = [F.col(f"`{c}`") for c in pages.columns if c.lower() != column.lower()]
-    return marked.join(winners, f"{OWN}host", "left").select(*kept, _text(F.col(f"`{html}`"), F.col(f"{OWN}path")).alias(column))
+    marked = pages.withColumn(f"{OWN}host", host_of(F.col(f"`{url}`")))
+    if size <= broadcast_bytes:
+        joined = marked.join(F.broadcast(winners), f"{OWN}host", "left")
+    else:
+        # Pages of one host go to as many tasks as there are salts, with a copy of its path each.
+        salted = marked.withColumn(f"{OWN}salt", F.pmod(F.xxhash64(f"`{url}`", f"`{html}`"), F.lit(SALTS)))
+        copies = winners.withColumn(f"{OWN}salt", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(SALTS - 1).cast("long"))))
+        joined = salted.join(copies, [f"{OWN}host", f"{OWN}salt"], "left")
+    return joined.select(*kept, _text(F.col(f"`{html}`"), F.col(f"{OWN}path")).alias(column))

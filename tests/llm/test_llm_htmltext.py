@@ -54,6 +54,8 @@ def test_hosts_vote(spark):
     rows = [(i, f"http://A.example/{i}", usual.format(i)) for i in range(5)] + [(9, "https://a.example:80/odd", odd), (10, "http://b.example", odd)]
     df = spark.createDataFrame([(*r, "taken") for r in rows], "page_id long, url string, html string, text string")
     found = {r.page_id: r.text for r in htmltext.main_text(df).collect()}
+    shuffled = htmltext.main_text(df, broadcast_bytes=0)
+    assert {r.page_id: r.text for r in shuffled.collect()} == found and shuffled.count() == len(rows)
     assert found[9] == "short" and found[10].startswith("a much longer") and found[0].startswith("the text")
     assert {r.host: r.path for r in htmltext.host_paths(df).collect()} == {"a.example": ">body>div.c", "b.example": ">body>div.x"}
 
