@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import re
-from collections import Counter
+from collections import defaultdict
 from html import unescape
 
 import pandas as pd
@@ -57,7 +57,7 @@ class Page:
         self._text: list[str] = []
         self._links = 0
         self._stack, self._apart = [0], [False]
-        self._opened: Counter[str] = Counter()
+        self._opened: dict[str, int] = defaultdict(int)
         self._holders = [0]  # each element's nearest container, itself included
         self._in_link = 0
         self._read(html)
@@ -105,9 +105,9 @@ class Page:
             return
         if tag in BLOCKS:
             self._flush()
-        if tag in _ENDS_P:
+        if tag in _ENDS_P and self._opened["p"]:
             self._end({"p"}, {"table", "button", "object", "td", "th"} | (CONTAINERS - {"html"}))
-        if tag in ENDS:
+        if tag in ENDS and any(self._opened[t] for t in ENDS[tag]):
             self._end(ENDS[tag], SCOPE.get(tag, {"table"}))
         if tag in VOID:
             return
@@ -140,7 +140,7 @@ class Page:
     def _end(self, tags: set[str], scope: set[str]) -> None:
         """End the innermost open elements up to the outermost of `tags` within the nearest of `scope`."""
         found = None
-        for depth in range(len(self._stack) - 1, 0, -1) if any(self._opened[t] for t in tags) else ():
+        for depth in range(len(self._stack) - 1, 0, -1):
             tag = self.tags[self._stack[depth]]
             if tag in tags:
                 found = depth
@@ -156,11 +156,12 @@ class Page:
             self._flush()
 
     def _pop(self, depth: int) -> None:
-        if any(self.tags[i] in BLOCKS for i in self._stack[depth:]):
+        closed = [self.tags[i] for i in self._stack[depth:]]
+        if not BLOCKS.isdisjoint(closed):
             self._flush()
-        closed = Counter(self.tags[i] for i in self._stack[depth:])
-        self._opened.subtract(closed)
-        self._in_link -= closed["a"]
+        for tag in closed:
+            self._opened[tag] -= 1
+            self._in_link -= tag == "a"
         del self._stack[depth:], self._apart[depth:]
 
     def best_container(self) -> int:
