@@ -21,8 +21,8 @@ ATTRIBUTE = re.compile(r"""([^\s=/"'<>]+)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+))?
 RAW = {"script", "style", "textarea", "title", "noscript", "iframe", "noframes", "xmp", "noembed"}
 VOID = set("area base br col embed hr img input link meta param source track wbr".split())
 #: Elements that never hold main text.
-APART = set("""nav footer aside form script style noscript iframe template head title svg math object select option button
-    textarea label fieldset dialog menu canvas audio video map noframes xmp noembed""".split())
+APART = set("""nav footer aside form script style noscript iframe template head title svg select option button textarea label
+    fieldset dialog menu canvas audio video map noframes xmp noembed annotation annotation-xml""".split())  # a formula is read once
 BLOCKS = set("""address article blockquote body br caption center dd details div dl dt figcaption figure footer form h1 h2 h3 h4 h5 h6 header
     hr html legend li main menu nav ol p pre section summary table tbody td tfoot th thead tr ul aside""".split()) - {"br"}
 CONTAINERS = set("html body main article section div td center details figure blockquote".split())
@@ -37,6 +37,15 @@ BESIDE = set("""ad ads advert advertisement adverts advertising banner breadcrum
     sidebar social sponsor sponsored subscribe complementary contentinfo""".split())
 PERHAPS = set("alert header login masthead promotion reply search signup toolbar widget hidden".split())
 CONTENT = set("article body content entry main post story text".split())
+#: Of BESIDE and PERHAPS, the words that also name layouts after a part of them, and that name readers' or other pages' texts.
+LAYOUT = set("""banner breadcrumb breadcrumbs complementary contentinfo footer header hidden login masthead menu nav navbar navigation
+    pager pagination search share sharing sidebar social toolbar widget""".split())
+#: What follows one of these in a name says what an element has or lacks, not what it is.
+HAVING = set("has have having no not with without".split())
+#: Words that ids of page parts are made of, besides those above; other ids of sections come from their headings.
+FURNITURE = set("""area articles bar block bottom box button buttons col column container form icons inner item items left link links list
+    media outer page pages posts primary products right row secondary section site stories top us wrap wrapper""".split())
+HEADINGS = {"h1", "h2", "h3", "h4", "h5", "h6"}
 #: Parts that the pages of one host are split into where they are shuffled.
 SALTS = 32
 #: Elements deeper than this have the path of their ancestor at this depth.
@@ -44,24 +53,38 @@ DEEPEST = 200
 WORD_PARTS = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
 
 
+def _said(name: str) -> list[str]:
+    """The words of a name, without what the element is said to have or lack."""
+    words = [w.lower() for w in WORD_PARTS.findall(name)]
+    return words[: next((i for i, w in enumerate(words) if w in HAVING), len(words))]
+
+
 class Page:
     """A page's elements and its blocks of text, without the parts that never hold main text.
 
     `paths[i]` is element i's generalised path: the tags from the root down, each with its classes, digits
     left out. Blocks are (element, text, characters in links), in page order.
+
+    An element that its names mark as beside the text is kept apart until the page is read, as a layout may be named
+    after a part of it (see `_released`).
     """
 
     def __init__(self, html: str):
         self.tags, self.parents, self.paths = ["#root"], [-1], [""]
         self.blocks: list[tuple[int, str, int]] = []
-        self._text: list[str] = []
-        self._links = 0
-        self._stack, self._apart = [0], [False]
+        self._text: list[tuple[int, str, int]] = []  # the innermost marked element, text, characters in links
+        self._runs: list[tuple[int, list[tuple[int, str, int]]]] = []  # blocks with marked text
+        self._stack, self._apart, self._marks = [0], [False], [0]
+        self._outer: dict[int, int] = {}  # each marked element's next marked one outwards
+        self._layouts: set[int] = set()  # marked elements whose marks are words of LAYOUT only
+        self._signs: list[tuple[int, int]] = []  # elements that say where the text stands, with their innermost marked one
         self._opened: dict[str, int] = defaultdict(int)
         self._holders = [0]  # each element's nearest container, itself included
         self._in_link = 0
         self._read(html)
         self._flush()
+        self._free = self._released()
+        self.blocks = self._kept(self._free)
 
     def _read(self, html: str) -> None:
         at, lowered = 0, None
@@ -87,21 +110,17 @@ class Page:
     def _words(self, text: str, decode: bool = True) -> None:
         if text and not self._apart[-1]:
             text = unescape(text) if decode else text
-            self._text.append(text)
-            if self._in_link:
-                self._links += len(text)
+            self._text.append((self._marks[-1], text, len(text) if self._in_link else 0))
 
     def _flush(self) -> None:
         if self._text:
-            text = " ".join("".join(self._text).split())
-            if text:
-                element = next(i for i in reversed(self._stack) if self.tags[i] in BLOCKS or i == 0)
-                self.blocks.append((element, text, self._links))
-            self._text, self._links = [], 0
+            element = next(i for i in reversed(self._stack) if self.tags[i] in BLOCKS or i == 0)
+            self._runs.append((element, self._text))
+        self._text = []
 
     def _open(self, tag: str, attributes: str) -> None:
         if tag == "br":
-            self._text.append(" ")
+            self._text.append((self._marks[-1], " ", 0))
             return
         if tag in BLOCKS:
             self._flush()
@@ -112,13 +131,14 @@ class Page:
         if tag in VOID:
             return
         parent = self._stack[-1]
-        classes, named, hidden = "", "", False
+        classes, named, own_id, hidden = "", "", "", False
         for name, value in ATTRIBUTE.findall(attributes) if attributes.strip(" /") else ():
             name, value = name.lower(), value.strip("\"'")
             if name == "class":
                 classes = ".".join(sorted({c for c in re.sub(r"\d+", "", value).lower().split()}))
             hidden = hidden or name == "hidden" or (name == "aria-hidden" and value == "true")
-            named += f" {value}" if name in ("class", "id", "role") else ""
+            named += f" {value}" if name in ("class", "role") else ""
+            own_id = value if name == "id" else own_id
         self.tags.append(tag)
         self.parents.append(parent)
         step = f">{tag}.{classes}" if classes else f">{tag}"
@@ -126,16 +146,107 @@ class Page:
         self._opened[tag] += 1
         self._holders.append(len(self.tags) - 1 if tag in CONTAINERS else self._holders[parent])
         self._stack.append(len(self.tags) - 1)
-        self._apart.append(self._apart[-1] or hidden or tag in APART or self._is_beside(tag, named))
+        # The header of the page, not of an article.
+        site = tag == "header" and not any(self.tags[i] in ("article", "main") for i in self._stack)
+        self._apart.append(self._apart[-1] or hidden or tag in APART or site)
+        plain = self._apart[-1] or not (named or own_id or tag in ("article", "main"))
+        self._marks.append(self._marks[-1] if plain else self._marked(tag, classes, named, own_id))
         self._in_link += tag == "a"
 
-    def _is_beside(self, tag: str, named: str) -> bool:
-        if tag == "header":  # of the page, not of an article
-            return not any(self.tags[i] in ("article", "main") for i in self._stack)
-        if not named or tag in ("html", "body", "article", "main"):
+    def _marked(self, tag: str, classes: str, named: str, own_id: str) -> int:
+        """The innermost marked element, after a look at the names of the newest one."""
+        new, outer = len(self.tags) - 1, self._marks[-1]
+        if own_id and self._trusted(tag, classes, own_id):
+            named += f" {own_id}"
+        names = [words for name in named.split() if (words := _said(name))] if named else []
+        words = set().union(*names)
+        beside = words & BESIDE or (words & PERHAPS if not words & CONTENT else set())
+        whole = any(CONTENT.issuperset(name) for name in names)
+        if tag in ("html", "body", "article", "main"):
+            if tag == "main" or tag == "article" and not beside:
+                self._signs.append((new, outer))
+            return outer
+        if tag == "header" or not beside:  # of an article
+            if whole and tag in CONTAINERS:
+                self._signs.append((new, outer))
+            return outer
+        self._outer[new] = outer
+        if beside <= LAYOUT:
+            self._layouts.add(new)
+            if whole and tag in CONTAINERS:
+                self._signs.append((new, new))
+        return new
+
+    def _trusted(self, tag: str, classes: str, own_id: str) -> bool:
+        """Whether an id is not one made from a heading."""
+        if any(self._opened[h] for h in HEADINGS):
             return False
-        words = {w.lower() for w in WORD_PARTS.findall(named)}
-        return bool(words & BESIDE) or bool(words & PERHAPS) and not words & CONTENT
+        if tag != "section" and "section" not in classes.split("."):
+            return True
+        return all(w.lower() in BESIDE | PERHAPS | CONTENT | FURNITURE for w in WORD_PARTS.findall(own_id))
+
+    def _release(self, mark: int, free: set[int]) -> None:
+        """Add a marked element and those around it."""
+        while mark and mark not in free:
+            free.add(mark)
+            mark = self._outer[mark]
+
+    def _released(self) -> set[int]:
+        """Marked elements that hold the page's text.
+
+        Those around <main>. If no article or element named for its content stands outside of marked ones, those
+        around the ones that stand in fewest: around an article if all are named after layouts, else if it
+        holds more text than is left without it. If nothing is left, the one named after a layout that holds most.
+        With an element, those around it are in the set.
+        """
+        free: set[int] = set()
+        if not self._outer:
+            return free
+        sizes = [0] * len(self.tags)  # characters outside links, for marked elements less those marked within them
+        alone: dict[int, int] = defaultdict(int)
+        for element, runs in self._runs:
+            for mark, text, links in runs:
+                plain = 0 if links else len("".join(text.split()))
+                sizes[element] += plain
+                alone[mark] += plain
+        for i in range(len(sizes) - 1, 0, -1):
+            sizes[self.parents[i]] += sizes[i]
+        for element, mark in self._signs:
+            if self.tags[element] == "main":
+                self._release(mark, free)
+        around, layout = {0: 0}, {0: True}  # how many marked elements, not free, stand around; whether all are layouts
+        for mark, outer in self._outer.items():  # from the outermost inwards
+            around[mark] = around[outer] + (mark not in free)
+            layout[mark] = layout[outer] and (mark in free or mark in self._layouts)
+        left = sum(n for mark, n in alone.items() if not around[mark])
+        signs = [(element, mark) for element, mark in self._signs if sizes[element]]
+        if all(around[mark] for _, mark in signs):
+            fit = []
+            for element, mark in signs:
+                article = self.tags[element] == "article"
+                if layout[mark] and article or (layout[mark] or article) and sizes[element] > left:
+                    fit.append(mark)
+            fewest = min((around[mark] for mark in fit), default=0)
+            for mark in fit:
+                if around[mark] == fewest:
+                    self._release(mark, free)
+        if not any(n for mark, n in alone.items() if not mark or mark in free):
+            fit = [(n, -mark) for mark, n in alone.items() if n and layout[mark]]
+            if fit:
+                self._release(-max(fit)[1], free)
+        return free
+
+    def _kept(self, free: set[int]) -> list[tuple[int, str, int]]:
+        """The blocks without text of marked elements, but for those in `free`."""
+        dropped = {0: False}
+        for mark, outer in self._outer.items():  # from the outermost inwards
+            dropped[mark] = dropped[outer] or mark not in free
+        out = []
+        for element, runs in self._runs:
+            runs = [run for run in runs if not dropped[run[0]]] if self._outer else runs
+            if text := " ".join("".join([text for _, text, _ in runs]).split()):
+                out.append((element, text, sum([links for _, _, links in runs])))
+        return out
 
     def _end(self, tags: set[str], scope: set[str]) -> None:
         """End the innermost open elements up to the outermost of `tags` within the nearest of `scope`."""
@@ -162,7 +273,7 @@ class Page:
         for tag in closed:
             self._opened[tag] -= 1
             self._in_link -= tag == "a"
-        del self._stack[depth:], self._apart[depth:]
+        del self._stack[depth:], self._apart[depth:], self._marks[depth:]
 
     def best_container(self) -> int:
         """The container whose blocks hold most text outside links; what its inner containers hold counts by half."""
@@ -179,14 +290,22 @@ class Page:
     def text(self, path: str | None) -> str:
         """The blocks below elements of the given path, or below the best container if the page has none."""
         chosen = {i for i, p in enumerate(self.paths) if i and p == path}
-        blocks = self._below(chosen) if chosen else []
+        blocks = self._below(chosen, self._kept(self._free | self._around(chosen))) if chosen else []
         return "\n\n".join(blocks or self._below({self.best_container()}))
 
-    def _below(self, chosen: set[int]) -> list[str]:
+    def _around(self, chosen: set[int]) -> set[int]:
+        """Marked elements that hold one of those chosen, and a marked one chosen alone."""
+        found = set(chosen if len(chosen) == 1 else ())
+        for i in chosen if self._outer else ():
+            while (i := self.parents[i]) > 0 and i not in found:
+                found.add(i)
+        return found & self._outer.keys()
+
+    def _below(self, chosen: set[int], blocks: list[tuple[int, str, int]] | None = None) -> list[str]:
         inside = [False] * len(self.tags)
         for i, parent in enumerate(self.parents):
             inside[i] = i in chosen or (parent >= 0 and inside[parent])
-        return [text for element, text, _ in self.blocks if inside[element]]
+        return [text for element, text, _ in (self.blocks if blocks is None else blocks) if inside[element]]
 
 
 @F.pandas_udf(StructType().add("path", StringType()).add("chars", LongType()))
@@ -228,7 +347,8 @@ def main_text(pages: DataFrame, url: str = "url", html: str = "html", column: st
     Each page's containers are scored by their text outside links; the pages of a host vote on the generalised path
     of the best one, and every page is read at the winning path, or at its own best container if it has no such
     element or no text there. Menus, page headers, footers, sidebars, notices, adverts, forms, scripts, styles
-    and reader comments are left out by element, class, id and role. Character references are decoded, white space within
+    and reader comments are left out by element, class, id and role; a name counts for nothing where it says what an
+    element has or lacks, where it is an id made from a heading, or where the element holds the page's text. Character references are decoded, white space within
     a block becomes one space, and blocks are joined by an empty line. A null page or one without text gives an
     empty text; pages without a host vote together. Copies vote as often as they occur.
 

@@ -29,6 +29,33 @@ def test_pages(html, wanted):
     assert text_of(html) == wanted
 
 
+@pytest.mark.parametrize("html, wanted", [
+    ("<div class='main-content has-sidebar'><p>text</p></div>", "text"), ("<div id=page class='no-sidebar'><p>text</p></div>", "text"),
+    ("<div class='wrapper with-navbar'><div class=navbar>menu</div><p>text</p></div>", "text"),
+    ("<div class='sidebar-layout'><article><p>text</p></article><div class=sidebar>no</div></div><p>not</p>", "text"),
+    ("<div class='nav-wrap'><div class='menu-wrap'><main><p>text</p></main></div></div>", "text"),
+    ("<div class='content sidebar-right'><p>text</p></div><div class=sidebar><p>no, but longer</p></div>", "text"),
+    ("<div class='sidebar-left'><p>text</p><div class=comments><p>reader said more</p></div></div>", "text"),
+    ("<article><p>text</p><section id='related-work'><h2 id='comments-on-the-method'>title</h2><p>work</p></section></article>", "text\n\ntitle\n\nwork"),
+    ("<article><p>text</p><div class='section' id='social-policy'><p>policy</p></div></article>", "text\n\npolicy"),
+    ("<article><p>text</p><section id='related-posts'><article>teaser</article></section><section id=comments><article class=comment>no</article></section></article>", "text"),
+    ("<div class=c><p>longer text</p></div><div class=related><article>teaser</article></div>", "longer text"),
+    ("<div class='cookie-banner'><p>no</p></div>", ""), ("<p>a <span class=share>no</span> b</p>", "a b"),
+    ("<p>so <math><semantics><mi>x</mi><annotation>x</annotation></semantics></math> is <object>text</object></p>", "so x is text"),
+])
+def test_layouts_named_after_their_parts(html, wanted):
+    assert text_of(f"<body>{html}</body>") == wanted
+
+
+def test_many_marked_elements_take_linear_time():
+    assert text_of("<div class=nav>" * 20_000 + "<article>x</article>" * 1000).startswith("x")
+
+
+def test_the_winning_container_is_read_within_a_marked_element():
+    html = "<body><div class='related'><div class=c><p>short</p></div></div><div class=x><p>a longer paragraph</p></div></body>"
+    assert text_of(html, ">body>div.related>div.c") == "short" and text_of(html) == "a longer paragraph"
+
+
 def test_paths_are_generalised():
     page = htmltext.Page('<body><div class="post-12 Wide"><p>words of the text</p></div>')
     assert page.paths[page.best_container()] == ">body>div.post-.wide"
