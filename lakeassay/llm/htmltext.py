@@ -9,7 +9,7 @@ from html import unescape
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import LongType, StringType, StructType
+from pyspark.sql.types import ArrayType, LongType, StringType, StructType
 
 from lakeassay.llm.common import OWN, staged
 
@@ -48,6 +48,8 @@ FURNITURE = set("""area articles bar block bottom box button buttons col column
 HEADINGS = {"h1", "h2", "h3", "h4", "h5", "h6"}
 #: Parts that the pages of one host are split into where they are shuffled.
 SALTS = 32
+#: A container is left for an outer one whose text is this many times what that adds beside the text, and more.
+CLEAN = 10
 #: Elements deeper than this have the path of their ancestor at this depth.
 DEEPEST = 200
 WORD_PARTS = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
@@ -75,6 +77,7 @@ class Page:
         self._text: list[tuple[int, str, int]] = []  # the innermost marked element, text, characters in links
         self._runs: list[tuple[int, list[tuple[int, str, int]]]] = []  # blocks with marked text
         self._stack, self._apart, self._marks = [0], [False], [0]
+        self._aside: dict[int, int] = defaultdict(int)  # characters left out, by element
         self._outer: dict[int, int] = {}  # each marked element's next marked one outwards
         self._layouts: set[int] = set()  # marked elements whose marks are words of LAYOUT only
         self._signs: list[tuple[int, int]] = []  # elements that say where the text stands, with their innermost marked one
@@ -108,7 +111,9 @@ class Page:
                     at = len(html) if end < 0 else end  # none of these elements holds main text
 
     def _words(self, text: str, decode: bool = True) -> None:
-        if text and not self._apart[-1]:
+        if text and self._apart[-1]:
+            self._aside[self._stack[-1]] += len(text.strip())
+        elif text:
             text = unescape(text) if decode else text
             self._text.append((self._marks[-1], text, len(text) if self._in_link else 0))
 
@@ -287,11 +292,43 @@ class Page:
         worth = {i: s * (2 if self.tags[i] in ("article", "main") else 1) for i, s in scores.items()}
         return max(worth, key=lambda i: (worth[i], -i), default=0)
 
+    def enclosing(self, container: int) -> int:
+        """The article around a container, else the <main>, else the container itself."""
+        around = [container]
+        while around[-1] > 0:
+            around.append(self.parents[around[-1]])
+        return next((i for tag in ("article", "main") for i in around if i > 0 and self.tags[i] == tag), container)
+
+    def steps(self, container: int) -> list[tuple[int, int, int]]:
+        """A container and those around it that add text outside links, with the characters of text outside links and
+        of links and parts left out that each adds to the container's. None are beyond an article, <main> or <body>."""
+        plain, aside = [0] * len(self.tags), [0] * len(self.tags)
+        for element, text, links in self.blocks:
+            plain[element] += max(0, len(text) - links)
+            aside[element] += min(len(text), links)
+        for element, n in self._aside.items():
+            aside[element] += n
+        for element, runs in self._runs if self._outer else ():
+            aside[element] += sum(len(text.strip()) for mark, text, _ in runs if mark and mark not in self._free)
+        for i in range(len(plain) - 1, 0, -1):
+            plain[self.parents[i]] += plain[i]
+            aside[self.parents[i]] += aside[i]
+        out, at = [(container, plain[container], 0)], container
+        while self.tags[at] not in ("article", "main") and (at := self._holders[self.parents[at]]) and self.tags[at] not in ("html", "body"):
+            if plain[at] > plain[out[-1][0]] and self.paths[at] != self.paths[out[-1][0]]:
+                out.append((at, plain[at], aside[at] - aside[container]))
+        return out
+
+    def _whole(self) -> int:
+        """The best container, or the outermost around it that adds text but little beside it."""
+        best = self.enclosing(self.best_container())
+        return [i for i, plain, aside in self.steps(best) if CLEAN * aside <= plain][-1] if best else 0
+
     def text(self, path: str | None) -> str:
-        """The blocks below elements of the given path, or below the best container if the page has none."""
+        """The blocks below elements of the given path, or below the page's own choice if it has none."""
         chosen = {i for i, p in enumerate(self.paths) if i and p == path}
         blocks = self._below(chosen, self._kept(self._free | self._around(chosen))) if chosen else []
-        return "\n\n".join(blocks or self._below({self.best_container()}))
+        return "\n\n".join(blocks or self._below({self._whole()}))
 
     def _around(self, chosen: set[int]) -> set[int]:
         """Marked elements that hold one of those chosen, and a marked one chosen alone."""
@@ -308,15 +345,19 @@ class Page:
         return [text for element, text, _ in (self.blocks if blocks is None else blocks) if inside[element]]
 
 
-@F.pandas_udf(StructType().add("path", StringType()).add("chars", LongType()))
+_STEP = StructType().add("path", StringType()).add("plain", LongType()).add("aside", LongType())
+
+
+@F.pandas_udf(StructType().add("path", StringType()).add("chars", LongType()).add("steps", ArrayType(_STEP)))
 def _vote(pages: pd.Series) -> pd.DataFrame:
-    """The generalised path of each page's best container and the characters below it; null without one."""
+    """The generalised path of each page's best container, the characters below it and its `steps`; null without one."""
     rows = []
     for html in pages:
         page = Page(html or "")
-        best = page.best_container()
-        rows.append((page.paths[best], sum(map(len, page._below({best})))) if best else (None, 0))
-    return pd.DataFrame(rows, columns=["path", "chars"])
+        best = page.enclosing(page.best_container())
+        steps = [{"path": page.paths[i], "plain": plain, "aside": aside} for i, plain, aside in page.steps(best)] if best else []
+        rows.append((page.paths[best], sum(map(len, page._below({best}))), steps) if best else (None, 0, steps))
+    return pd.DataFrame(rows, columns=["path", "chars", "steps"])
 
 
 @F.pandas_udf(StringType())
@@ -330,14 +371,22 @@ def host_of(url: Column) -> Column:
 
 
 def host_paths(pages: DataFrame, url: str = "url", html: str = "html") -> DataFrame:
-    """The path most pages of each host vote for: columns `host`, `path`.
+    """The path to read each host's pages at: columns `host`, `path`.
 
-    Ties go to the path with more text, then to the first in order. Votes are counted before they are shuffled.
+    Most pages decide; ties go to the path with more text, then to the first in order. From there it goes out to the
+    outermost container whose text, on all pages where it adds some, is CLEAN times what it adds in links and parts left out.
+    Votes are counted before they are shuffled.
     """
+    own = F.col("reach") == F.col("path")
     votes = (pages.select(host_of(F.col(f"`{url}`")).alias("host"), _vote(F.col(f"`{html}`")).alias("vote"))
-             .where("vote.path is not null").groupBy("host", "vote.path").agg(F.count("*").alias("n"), F.sum("vote.chars").alias("chars")))
+             .where("vote.path is not null").select("host", "vote.path", "vote.chars", F.explode("vote.steps").alias("step"))
+             .groupBy("host", "path", F.col("step.path").alias("reach"))
+             .agg(F.count("*").alias("n"), F.sum("chars").alias("chars"), F.sum("step.plain").alias("plain"), F.sum("step.aside").alias("aside"))
+             .groupBy("host", "path").agg(
+                 F.max(F.when(own, F.col("n"))).alias("n"), F.max(F.when(own, F.col("chars"))).alias("chars"),
+                 F.min(F.when(own | (F.col("aside") * CLEAN <= F.col("plain")), F.struct(F.length("reach"), "reach")))["reach"].alias("reach")))
     # min_by over negated numbers: the first in order wins the last tie.
-    return votes.groupBy("host").agg(F.min(F.struct((-F.col("n")).alias("n"), (-F.col("chars")).alias("chars"), "path"))["path"].alias("path"))
+    return votes.groupBy("host").agg(F.min(F.struct((-F.col("n")).alias("n"), (-F.col("chars")).alias("chars"), "path", "reach"))["reach"].alias("path"))
 
 
 def main_text(pages: DataFrame, url: str = "url", html: str = "html", column: str = "text",
@@ -345,7 +394,8 @@ def main_text(pages: DataFrame, url: str = "url", html: str = "html", column: st
     """The pages with their main text, which replaces a column of that name.
 
     Each page's containers are scored by their text outside links; the pages of a host vote on the generalised path
-    of the best one, and every page is read at the winning path, or at its own best container if it has no such
+    of the best one or the article around it, which goes out to containers that add text and little else (`host_paths`), and
+    every page is read at the winning path, or at its own best container if it has no such
     element or no text there. Menus, page headers, footers, sidebars, notices, adverts, forms, scripts, styles
     and reader comments are left out by element, class, id and role; a name counts for nothing where it says what an
     element has or lacks, where it is an id made from a heading, or where the element holds the page's text. Character references are decoded, white space within

@@ -47,6 +47,35 @@ def test_layouts_named_after_their_parts(html, wanted):
     assert text_of(f"<body>{html}</body>") == wanted
 
 
+LEAD, LONG, HALF = "lead " * 40, "text " * 200, "half " * 100
+
+
+@pytest.mark.parametrize("html, wanted", [
+    (f"<div class=content><div class=lead>{LEAD}</div><div class=text>{LONG}</div></div>", [LEAD, LONG]),
+    (f"<div class=post><h1>Title</h1><div class=body>{LONG}</div></div>", ["Title", LONG]),
+    (f"<article><h1>T</h1><div class=row><div class=a>{LONG}</div><div class=b>{HALF}</div></div></article>", ["T", LONG, HALF]),
+    (f"<div class=wrap><nav>{LEAD}</nav><div class=c>{LONG}</div><p>{HALF[:50]}</p><div class=menu>{HALF}</div></div>", [LONG]),
+    (f"<div class=wrap><div class=c>{LONG}</div><p>not</p><ul><li><a>{LEAD}</a></ul></div>", [LONG]),
+])
+def test_articles_split_over_containers(spark, html, wanted):
+    wanted = "\n\n".join(w.strip() for w in wanted)
+    assert text_of(f"<body>{html}</body>") == wanted
+    rows = [(i, "http://a.example/", f"<body>{html}</body>") for i in range(2)]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string")
+    assert [r.text for r in htmltext.main_text(df).collect()] == [wanted] * 2
+
+
+def test_containers_wait_for_their_host(spark):
+    """Pages that have no lead, or much beside it, do not take it from the others, nor lose theirs."""
+    page = "<body><div class=content>{}<div class=text>{}</div>{}</div></body>"
+    lead = f"<div class=lead>{LEAD}</div>"
+    rows = ([(i, page.format(lead, LONG, "")) for i in range(2)] + [(i, page.format("", LONG, "")) for i in range(2, 7)]
+            + [(7, page.format(lead, "short " * 50, "<nav>" + "menu " * 50 + "</nav>"))])
+    df = spark.createDataFrame([(i, "http://a.example/", h) for i, h in rows], "page_id long, url string, html string")
+    found = {r.page_id: r.text for r in htmltext.main_text(df).collect()}
+    assert all((i in (0, 1, 7)) == found[i].startswith("lead") and "menu" not in found[i] for i in found) and len(found) == 8
+
+
 def test_many_marked_elements_take_linear_time():
     assert text_of("<div class=nav>" * 20_000 + "<article>x</article>" * 1000).startswith("x")
 
