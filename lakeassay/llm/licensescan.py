@@ -13,6 +13,10 @@ from pyspark.sql import functions as F
 
 #: Templates are compared by words of these characters, in lower case.
 WORDS = re.compile(r"[a-z0-9]+")
+#: A phrase of a template that a match must hold word for word.
+TELLING = re.compile(r"\[\[(.*?)\]\]", re.S)
+#: Templates of up to so many words are namings, of which every word tells licenses apart.
+NAMING = 20
 MATCH = "array<struct<license:string,coverage:double,matched:int,first_word:int,last_word:int,start_char:int,end_char:int>>"
 
 
@@ -63,12 +67,34 @@ def _ascending(pairs: list[tuple[int, int]]) -> list[tuple[int, int]]:
     return out[::-1]
 
 
+def _telling(template: str) -> list[tuple[int, int]]:
+    """The telling phrases of a template: the places of their first words and of those after their last."""
+    return [(len(WORDS.findall(template[: m.start(1)])), len(WORDS.findall(template[: m.end(1)]))) for m in TELLING.finditer(template)]
+
+
+def _holds(pairs: list[tuple[int, int]], phrases: list[tuple[int, int]]) -> bool:
+    """Whether phrases are aligned with all of their words and none in between."""
+    place = dict(pairs)
+    return all(first in place and all(place.get(i) == place[first] + i - first for i in range(first, end)) for first, end in phrases)
+
+
+def _dense(pairs: list[tuple[int, int]], least: int, between: int) -> list[tuple[int, int]]:
+    """The alignment with at most `between` other words within it: ends beyond the widest gaps are let go, down to `least` pairs; else none."""
+    while len(pairs) >= least:
+        if not pairs or pairs[-1][1] - pairs[0][1] + 1 - len(pairs) <= between:
+            return pairs
+        at = max(range(1, len(pairs)), key=lambda n: pairs[n][1] - pairs[n - 1][1])
+        pairs = pairs[at:] if at <= len(pairs) // 2 else pairs[:at]
+    return []
+
+
 class Scanner:
     """Finds templates in texts."""
 
     def __init__(self, templates: Mapping[str, str], min_coverage: float):
         self.min_coverage = min_coverage
         self.templates = {name: words for name, text in templates.items() if (words := WORDS.findall(text.lower()))}
+        self.telling = {name: _telling(templates[name].lower()) for name in self.templates}
         self.counts = {name: Counter(words) for name, words in self.templates.items()}
         self.vocabulary = set().union(*self.templates.values())
 
@@ -77,8 +103,8 @@ class Scanner:
         words = WORDS.findall(lowered)
         known = self.vocabulary.intersection(words)
         # A template whose words the text does not hold often enough cannot be covered.
-        hopeful = [name for name, counts in self.counts.items()
-                   if sum(n for w, n in counts.items() if w in known) >= self.min_coverage * len(self.templates[name])]
+        hopeful = [name for name, counts in self.counts.items() if len(words) >= self._needed(name)
+                   and sum(n for w, n in counts.items() if w in known) >= self._needed(name)]
         if not hopeful:
             return []
         places: dict[str, list[int]] = defaultdict(list)
@@ -95,14 +121,22 @@ class Scanner:
         spans = [m.span() for m in WORDS.finditer(lowered)] if kept else []
         return [(*m, spans[m[3]][0], spans[m[4]][1]) for m in sorted(kept, key=lambda m: (m[3], m[0]))]
 
+    def _needed(self, name: str) -> int:
+        """How many words of a template a match must hold."""
+        size = len(self.templates[name])
+        return size if size <= NAMING else size - int((1 - self.min_coverage) * size + 1e-9)
+
     def _matches(self, name: str, words: list[str], places: Mapping[str, list[int]]) -> list[tuple]:
         template = self.templates[name]
         size = len(template)
-        may_miss = int((1 - self.min_coverage) * size + 1e-9)
+        may_miss = size - self._needed(name)
         if sum(min(n, len(places[w])) for w, n in self.counts[name].items()) < size - may_miss:
             return []
         # An alignment that misses at most so many words holds one of any `may_miss` + 1 of them: the rarest here.
         seeds = sorted(range(size), key=lambda i: (len(places[template[i]]), i))[: may_miss + 1]
+        if size <= NAMING:
+            starts = (p - seeds[0] for p in places[template[seeds[0]]] if p >= seeds[0])
+            return [(name, 1.0, size, p, p + size - 1) for p in starts if words[p : p + size] == template]
         slack = may_miss + 2
         starts = sorted({p - i for i in seeds for p in places[template[i]]})
         found, covered = [], -1
@@ -115,7 +149,16 @@ class Scanner:
         for low, high in windows:
             low, high = max(0, low - slack, covered + 1), high + size + slack
             pairs = patience(template, words[low:high])
-            if len(pairs) >= size - may_miss:
+            if len(pairs) < size - may_miss:
+                continue
+            # The window may end within the place, or hold a part of another: it is aligned again where it lies.
+            shifts = sorted(q - p for p, q in pairs)
+            start, tried = low + shifts[len(shifts) // 2], [(low, pairs)]
+            for reach in (0, slack):
+                at = max(0, start - reach, covered + 1)
+                tried.append((at, patience(template, words[at : max(at, start + size + reach)])))
+            low, pairs = max(((at, _dense(some, size - may_miss, may_miss)) for at, some in tried), key=lambda x: len(x[1]))
+            if pairs and _holds(pairs, self.telling[name]):
                 first, last = low + pairs[0][1], low + pairs[-1][1]
                 found.append((name, len(pairs) / size, len(pairs), first, last))
                 covered = last
@@ -126,8 +169,9 @@ def license_matches(docs: DataFrame, templates: Mapping[str, str], text: str = "
                     column: str = "licenses") -> DataFrame:
     """The documents with the license texts found in them, as an array that replaces a column of that name.
 
-    A match is a place of the text that aligns with at least `min_coverage` of a template's words, with words of
-    others in between allowed up to about the share that may be missing. Coverage is the share of the template's words
+    A match is a place of the text that aligns with at least `min_coverage` of a template's words, with as many other words
+    in between as may be missing. Phrases of a template in [[ ]] must stand there word for word, and so must
+    templates of up to NAMING words as a whole. Coverage is the share of the template's words
     that align, and places are given in words and in characters of the lower-cased text. A match within a longer
     one is left out. Whole texts are scanned, once each and row by row: nothing is shuffled, so copies and long texts
     cost only themselves. Null and empty texts have no matches.

@@ -62,6 +62,30 @@ def test_changed_templates():
     assert not scanner.scan(" ".join(shuffled))
 
 
+@pytest.mark.parametrize("text, wanted", [
+    ("Released under the WTFPL License.", []), ("Licensed under CC BY-ND 4.0", ["CC-BY-ND-4.0 (short)"]),
+    ("This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 International License.", ["CC-BY-NC-4.0 (words)"]),
+    ("Released under the Acme BSD License", []), ("Released under the BSD License and more", ["BSD (named)"]),
+    (TEMPLATES["GPL-3.0 (notice)"].replace("version 3", "version 2"), ["GPL-2.0 (notice)"]),
+    (TEMPLATES["GPL-3.0 (notice)"].replace("version 3", "version 1"), []),
+    (TEMPLATES["GPL-3.0 (notice)"].replace("GNU General", "GNU Affero General"), ["AGPL-3.0 (notice)"]),
+    (TEMPLATES["GPL-3.0 (notice)"].replace("GNU General", "GNU Lesser General").replace("program", "library"), ["LGPL-3.0 (notice)"]),
+    (TEMPLATES["BSD-2-Clause"].replace("THIS SOFTWARE IS", "3. Neither the name of Acme nor the names of its contributors may be used to endorse or promote"
+     " products derived from this software without specific prior written permission. THIS SOFTWARE IS"), ["BSD-3-Clause"]),
+    (TEMPLATES["Zlib"].replace("2. Altered", "word " * 60 + "2. Altered"), []),
+    (TEMPLATES["GPL-3.0"].replace("GNU GENERAL", "GNU AFFERO GENERAL").replace("[[", ""), ["GPL-3.0 (notice)"]),
+])
+def test_words_that_tell_licenses_apart(text, wanted):
+    scanner = licensescan.Scanner(TEMPLATES, 0.8)
+    assert [m[0] for m in scanner.scan(FILLER * 9 + text + " " + FILLER * 9)] == wanted
+
+
+def test_stray_ends_are_let_go():
+    words = TEMPLATES["Zlib"].split()
+    (m,) = licensescan.Scanner(TEMPLATES, 0.8).scan("xx " + " ".join(words[:-1]) + " yy" * 28 + " " + words[-1])
+    assert m[0] == "Zlib" and m[3:5] == (1, len(licensescan.WORDS.findall(" ".join(words[:-1]).lower())))
+
+
 def test_given_documents(spark):
     named = {n: t for n, t in TEMPLATES.items() if n.endswith("(named)") or n == "CC-BY-NC-4.0 (named)"}
     wanted = sorted((r.doc_id, n) for r in given(spark, "documents").collect() for n, t in named.items() for _ in range(r.text.count(t)))
