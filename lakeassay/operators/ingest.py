@@ -68,7 +68,7 @@ def merge_snapshot(target: DataFrame, source: DataFrame, keys: Sequence[str], *,
     is larger than one row on either side; a repeated target key still comes out right, but
     its rows meet in one task.
     """
-    columns = _merged_columns(target, source, new_columns)
+    columns = merged_columns(target, source, new_columns)
     added = [c for c in columns if c not in target.columns]
     known = target.withColumns({c: F.lit(None).cast(source.schema[c].dataType) for c in added}) if added else target
     old = known.select(key_of(keys).alias("_old_key"), F.struct(*map(quoted, columns)).alias("_old"))
@@ -99,7 +99,8 @@ def merge_snapshot(target: DataFrame, source: DataFrame, keys: Sequence[str], *,
     return joined.withColumn("_op", operation).select(*map(kept, columns), "_op")
 
 
-def _merged_columns(target: DataFrame, source: DataFrame, new_columns: str) -> list[str]:
+def merged_columns(target: DataFrame, source: DataFrame, new_columns: str) -> list[str]:
+    """The columns of a merge, new ones after the target's data columns; lost or refused ones are an error."""
     if new_columns not in ("add", "refuse"):
         raise ValueError(f"new_columns must be 'add' or 'refuse', not {new_columns!r}")
     lost = [c for c in target.columns if c not in source.columns]

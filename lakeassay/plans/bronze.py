@@ -72,7 +72,8 @@ def load_table(spark: SparkSession, table: str, source: DataFrame, run: RunConte
                 tables.KeyedTable(spark, target_name).create(first, keys, buckets)
             return LoadResult(target_name, "initial", dict(counted.get))
         if tables.supports_row_changes(fmt):
-            tables.merge_into(batch, target_name, keys, as_of=run.timestamp, full_extract=column is None)
+            tables.merge_into(batch, target_name, keys, as_of=run.timestamp, full_extract=column is None,
+                              new_columns=new_columns)
             return LoadResult(target_name, "merged", {})
         changes = _merge_buckets(tables.KeyedTable(spark, target_name), batch, keys, run, staging,
                                  full_extract=column is None, new_columns=new_columns)

@@ -9,8 +9,10 @@ from operator import and_
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructField
 
 from lakeassay.functions import latest_per_key
+from lakeassay.operators.ingest import merged_columns
 
 # Table formats, by name, whose connectors implement MERGE.
 ROW_LEVEL_FORMATS = ("delta", "iceberg")
@@ -149,10 +151,7 @@ class KeyedTable:
     def replace(self, df: DataFrame) -> None:
         """Put `df`, which must not read this table, in place of the buckets it has rows of."""
         known = set(self.rows.columns)
-        added = [f for f in df.schema.fields if f.name not in known]
-        if added:
-            columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in added)
-            self._spark.sql(f"ALTER TABLE {self.data} ADD COLUMNS ({columns})")
+        _add_columns(self._spark, self.data, [f for f in df.schema.fields if f.name not in known])
         located = self._spark.sql(f"DESCRIBE EXTENDED {self.data}").where("col_name = 'Location'").first()["data_type"]
         (df.hint("rebalance", F.col(BUCKET)).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
          .partitionBy(BUCKET).parquet(located))
@@ -171,12 +170,24 @@ def supports_row_changes(fmt: str) -> bool:
     return fmt in ROW_LEVEL_FORMATS
 
 
-def merge_into(source: DataFrame, name: str, keys: Sequence[str], *, as_of: Column, full_extract: bool) -> None:
+def _add_columns(spark: SparkSession, name: str, fields: Sequence[StructField]) -> None:
+    if fields:
+        columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in fields)
+        spark.sql(f"ALTER TABLE {name} ADD COLUMNS ({columns})")
+
+
+def merge_into(source: DataFrame, name: str, keys: Sequence[str], *, as_of: Column, full_extract: bool,
+               new_columns: str = "add") -> None:
     """Merge a stamped batch into a table whose format supports row-level changes.
 
     One MERGE with the rules of `merge_snapshot`. It rewrites only files that hold changed
-    rows, where plain files mean writing the whole table again.
+    rows, where plain files mean writing the whole table again. Columns that only the source
+    has are added to the table first, as MERGE leaves out what the table does not know.
     """
+    table = source.sparkSession.table(name)
+    merged_columns(table, source, new_columns)
+    known = set(table.columns)
+    _add_columns(source.sparkSession, name, [f for f in source.schema.fields if f.name not in known])
     target = split_name(name)[1]
     batch = latest_per_key(source, keys).alias("batch")
 

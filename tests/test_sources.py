@@ -7,8 +7,9 @@ from pyspark.sql import functions as F
 
 from lakeassay import project
 from lakeassay.functions import with_row_hash
-from lakeassay.model import instant
+from lakeassay.model import RunContext, instant
 from lakeassay.operators.ingest import stamp_lineage
+from lakeassay.plans import bronze
 from lakeassay.sources import csv, jdbc, tables
 
 
@@ -105,6 +106,33 @@ def test_merge_in_place_needs_a_format_that_supports_it(spark):
     assert tables.supports_row_changes("delta") and not tables.supports_row_changes("parquet")
 
 
+def test_merge_in_place_takes_or_refuses_new_columns(spark):
+    spark.sql("CREATE DATABASE IF NOT EXISTS store")
+    stamped = lambda df: with_row_hash(stamp_lineage(
+        df, system="s", schema="c", table="t", ingested_at=instant(datetime(2024, 1, 1))))
+    old, new = spark.range(3), spark.range(3).selectExpr("id", "named_struct('x', id) as `added one`")
+    stamped(old).write.mode("overwrite").saveAsTable("store.widened")
+    merge = lambda df, **more: tables.merge_into(
+        stamped(df), "store.widened", ["id"], as_of=F.current_timestamp(), full_extract=True, **more)
+    with pytest.raises(ValueError, match="new columns: added one"):
+        merge(new, new_columns="refuse")
+    assert "added one" not in spark.table("store.widened").columns
+    with pytest.raises(PySparkException, match="does not support MERGE INTO TABLE"):
+        merge(new)
+    assert spark.table("store.widened").schema["added one"].dataType.simpleString() == "struct<x:bigint>"
+    with pytest.raises(ValueError, match="no longer has the columns added one"):
+        merge(old)
+
+
+def test_loads_pass_on_what_happens_to_new_columns(spark):
+    spark.sql("CREATE DATABASE IF NOT EXISTS store")
+    table = next(t for t in project.KEYS if t not in project.WATERMARKS)
+    rows = spark.range(3).select(*[F.col("id").cast("string").alias(k) for k in project.KEYS[table]])
+    rows.write.mode("overwrite").saveAsTable(project.table_name(f"bronze_{table}", "store"))
+    with pytest.raises(ValueError, match="no longer|new columns"):
+        bronze.load_table(spark, table, rows.withColumn("added", F.lit(1)), RunContext(), database="store", fmt="delta", new_columns="refuse")
+
+
 def test_csv_round_trip_of_awkward_text(spark, tmp_path):
     rows = [(1, 'say "hi", you', "a@b.c", "", datetime(2024, 1, 2, 3, 4, 5)), (2, " padded ", None, "FJ", None)]
     df = spark.createDataFrame(rows, project.CSV_SCHEMAS["customers"])
