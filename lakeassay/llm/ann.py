@@ -81,9 +81,9 @@ def _matrix(column: pd.Series, dtype) -> np.ndarray:
     return np.stack([np.asarray(x, dtype) for x in column])
 
 
-def _search(pivots: np.ndarray, top: int):
-    """Tasks get, for each block, its index rows first and then blocks of queries, one after another."""
-    size, k = len(pivots), min(NEAREST, len(pivots))
+def _search(pivots: dict[int, np.ndarray], top: int):
+    """Tasks get, for each block, its index rows first and then blocks of queries, one after another. Pivots are by
+    length of vector, of which a block has one."""
 
     def search(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         block = None
@@ -91,9 +91,10 @@ def _search(pivots: np.ndarray, top: int):
             for row in batch.itertuples(index=False):
                 ids = np.frombuffer(row.ids, np.int64)
                 vectors = np.frombuffer(row.vectors, np.float64).reshape(len(ids), -1)
-                order = nearest_pivots(vectors, pivots, k)
+                own = pivots[vectors.shape[1]]
+                order = nearest_pivots(vectors, own, min(NEAREST, len(own)))
                 if not row.is_query:
-                    block, held, held_ids, postings = row.block, vectors, ids, inverted_file(order, size)
+                    block, held, held_ids, postings = row.block, vectors, ids, inverted_file(order, len(own))
                     continue
                 if row.block != block:
                     continue
@@ -107,6 +108,10 @@ def _search(pivots: np.ndarray, top: int):
     return search
 
 
+def _blocks(rows: int, length: int) -> int:
+    return -(-rows // min(BLOCK, max(1, BLOCK_NUMBERS // length)))
+
+
 def _packed(rows: DataFrame, key: str) -> DataFrame:
     """One row per value of `key`: ids and vectors as bytes."""
 
@@ -124,30 +129,39 @@ def nearest(vectors: DataFrame, queries: Column, id_column: str = "vec_id", vect
     `queries` says which rows are queries; all others and all queries are candidates, but for rows with the
     query's own id. Scores are inner products of the stored numbers in double precision; ties go to the smaller
     id. All candidates come back if there are fewer than `top`. Null, empty and zero vectors, those with null, NaN or
-    infinite components, rows without an id, and vectors whose length is not the table's commonest take no part.
+    infinite components, and rows without an id take no part. Vectors are neighbours of those of their own length.
     Equal rows count once; other columns are not looked at.
 
-    Every row is indexed, in blocks of about BLOCK rows by hash, each with its own inverted file, and each block of queries
-    goes to every block. A task holds one block and one block of queries.
+    Every row is indexed, in blocks of about BLOCK rows of one length by hash, each with its own inverted file, and each block
+    of queries goes to every block of its length. The pivots of each length are rows of that length; the driver holds them. A task holds one block and one block of queries.
     """
     rows = (vectors.select(F.col(f"`{id_column}`").cast("long").alias("id"), F.col(f"`{vector}`").cast("array<double>").alias("vector"),
                            F.coalesce(queries, F.lit(False)).alias("is_query"))
             .where(F.col("id").isNotNull() & _usable(F.col("vector"))))
-    length = rows.groupBy(F.size("vector").alias("length")).count().orderBy(F.desc("count"), "length").first()
-    if length is None:
+    rows = staged(rows.groupBy("id", "vector").agg(F.max("is_query").alias("is_query")).withColumn("length", F.size("vector")))
+    # Lengths without a query have nothing to find.
+    counts = rows.groupBy("length").agg(F.count("*").alias("total"), F.count_if("is_query").alias("asked")).where("asked > 0").orderBy("length").collect()
+    if not counts:
         return vectors.sparkSession.createDataFrame([], "query_id long, rank int, vec_id long, score double")
-    rows = staged(rows.where(F.size("vector") == length["length"]).groupBy("id", "vector").agg(F.max("is_query").alias("is_query")))
-    total, asked = rows.agg(F.count("*"), F.count_if("is_query")).first()
-    blocks = -(-total // min(BLOCK, max(1, BLOCK_NUMBERS // length["length"])))
-    query_blocks = max(1, -(-asked // QUERY_BLOCK))
-    hashed = F.xxhash64("id", "vector")
-    pivots = np.array([r["vector"] for r in rows.select("vector", hashed.alias("h"), "id").orderBy("h", "id").limit(PIVOTS).collect()])
-    index = _packed(rows.select("id", "vector", F.pmod(hashed, F.lit(blocks)).alias("block")), "block")
-    asked_rows = rows.where("is_query").select("id", "vector", F.pmod(hashed, F.lit(query_blocks)).alias("part"))
-    every = F.explode(F.sequence(F.lit(0).cast("long"), F.lit(blocks - 1).cast("long"))).alias("block")
+    # Blocks, and parts of queries, are numbered on from one length to the next.
+    plan, first, first_part = [], 0, 0
+    for r in counts:
+        plan.append((r["length"], first, _blocks(r["total"], r["length"]), first_part, -(-r["asked"] // QUERY_BLOCK)))
+        first, first_part = first + plan[-1][2], first_part + plan[-1][4]
+    lengths = F.broadcast(vectors.sparkSession.createDataFrame(plan, "length int, first long, blocks long, first_part long, parts long"))
+    rows = rows.join(lengths, "length").withColumn("h", F.xxhash64("id", "vector"))
+    order = F.row_number().over(Window.partitionBy("length").orderBy("h", "id"))
+    pivots: dict[int, list] = {}
+    for r in rows.withColumn("n", order).where(F.col("n") <= PIVOTS).select("length", "n", "vector").orderBy("length", "n").collect():
+        pivots.setdefault(r["length"], []).append(r["vector"])
+    index = _packed(rows.select("id", "vector", (F.col("first") + F.pmod("h", F.col("blocks"))).alias("block")), "block")
+    asked_rows = rows.where("is_query").select("id", "vector", (F.col("first_part") + F.pmod("h", F.col("parts"))).alias("part"))
+    every = F.explode(F.sequence("first", F.col("first") + F.col("blocks") - 1)).alias("block")
+    # Numbers of 8 bytes: as many per id as the vectors are long.
+    packed = _packed(asked_rows, "part").withColumn("length", F.expr("int(octet_length(vectors) div octet_length(ids))"))
     both = (index.select("block", F.lit(False).alias("is_query"), "ids", "vectors")
-            .unionByName(_packed(asked_rows, "part").select(F.lit(True).alias("is_query"), "ids", "vectors", every)))
-    found = (both.repartition(blocks, "block").sortWithinPartitions("block", "is_query")
-             .mapInPandas(_search(pivots, top), "query_id long, vec_id long, score double"))
+            .unionByName(packed.join(lengths, "length").select(F.lit(True).alias("is_query"), "ids", "vectors", every)))
+    found = (both.repartition(first, "block").sortWithinPartitions("block", "is_query")
+             .mapInPandas(_search({n: np.array(p) for n, p in pivots.items()}, top), "query_id long, vec_id long, score double"))
     place = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))
     return found.withColumn("rank", place).where(F.col("rank") <= top).select("query_id", "rank", "vec_id", "score")

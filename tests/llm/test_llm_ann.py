@@ -86,3 +86,17 @@ def test_odd_vectors(spark):
     assert ann.nearest(df.limit(0), F.lit(True)).collect() == []
     assert ann.nearest(df, F.lit(False)).collect() == []
     assert ann.nearest(df.where("vec_id = 0"), F.lit(True)).collect() == []
+
+
+def test_vectors_of_each_length_are_searched(spark, monkeypatch):
+    monkeypatch.setattr(ann, "BLOCK", 100)
+    monkeypatch.setattr(ann, "QUERY_BLOCK", 8)
+    dice = np.random.default_rng(7)
+    rows = [(i, dice.normal(size=(4, 4, 6)[i % 3])) for i in range(600)]
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in rows], "vec_id long, embedding array<double>")
+    found = by_query(ann.nearest(df, F.col("vec_id") % 10 == 0, top=5).collect())
+    assert set(found) == set(range(0, 600, 10))
+    for n in (4, 6):
+        own = [r for r in rows if len(r[1]) == n]
+        for q, near in plain(own, [r for r in own if r[0] % 10 == 0], top=5).items():
+            assert [i for i, _ in found[q]] == [i for i, _ in near]
