@@ -52,3 +52,36 @@ FROM based
 """
 
 ORACLES["op10_quality_rules"] = QUALITY_RULES
+
+SOURCE_DIVERGENCE = r"""
+WITH docs AS (
+  SELECT row_number() OVER () AS rid, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+         translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS body FROM documents),
+terms AS (SELECT rid, lang, source, unnest(regexp_extract_all(body, '[a-z\x{80}-\x{10FFFF}]+')) AS term FROM docs),
+kept AS (SELECT lang, term, count(*) AS lang_n FROM terms GROUP BY lang, term HAVING count(DISTINCT rid) >= 10),
+langs AS (SELECT d.lang, coalesce(any_value(k.v), 0) AS v, coalesce(any_value(k.total), 0) AS total
+          FROM docs d LEFT JOIN (SELECT lang, count(*) AS v, sum(lang_n) AS total FROM kept GROUP BY lang) k USING (lang) GROUP BY d.lang),
+groups AS (SELECT DISTINCT lang, source FROM docs),
+counts AS (SELECT lang, source, term, count(*) AS n FROM terms SEMI JOIN kept USING (lang, term) GROUP BY lang, source, term),
+dense AS (
+  SELECT g.lang, g.source, k.term, k.lang_n, coalesce(c.n, 0) AS n, l.v, l.total AS lang_total,
+         sum(coalesce(c.n, 0)) OVER (PARTITION BY g.lang, g.source) AS total
+  FROM groups g JOIN kept k USING (lang) JOIN langs l USING (lang) LEFT JOIN counts c ON c.lang = g.lang AND c.source = g.source AND c.term = k.term),
+shares AS (
+  SELECT lang, source, term, n, 1 + (1000000000::HUGEINT * (n + 2)) // (total + 2 * v) AS p,
+         1 + (1000000000::HUGEINT * (lang_n + 2)) // (lang_total + 2 * v) AS q FROM dense),
+pairs AS (
+  SELECT a.lang, a.source, b.source AS item, sum((a.p - b.p) * (a.p - b.p) // (a.p + b.p)) AS value
+  FROM shares a JOIN shares b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY a.lang, a.source, b.source),
+results AS (
+  SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(p.value, 0) AS value
+  FROM groups a JOIN groups b ON a.lang = b.lang AND a.source <> b.source
+  LEFT JOIN pairs p ON p.lang = a.lang AND p.source = a.source AND p.item = b.source
+  UNION ALL
+  SELECT lang, source, 'term', term, (p - q) * (p - q) // (p + q) FROM shares WHERE n > 0 AND p > q)
+SELECT lang, source, part, item, value::BIGINT AS value, rank::INTEGER AS rank
+FROM (SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS rank FROM results)
+WHERE part = 'pair' OR rank <= 10
+"""
+
+ORACLES["op11_source_divergence"] = SOURCE_DIVERGENCE

@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakeassay.llm import ann, bpe, common, htmltext, langid, licensescan, linededup, mixing, quality, rules, simhash
+from lakeassay.llm import ann, bpe, common, divergence, htmltext, langid, licensescan, linededup, mixing, quality, rules, simhash
 from lakeassay.llm.licenses import standard_templates
 
 
@@ -65,5 +65,10 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
 
 
+def op11_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.source_divergence(_table(spark, sf_dir, "documents"), min_documents=10, top_terms=10)
+
+
 QUERIES = {f.__name__: f for f in (
-    op1_simhash, op2_line_dedup, op3_mixing, op4_language_id, op5_license_scan, op6_quality, op7_nearest_neighbours, op8_main_text, op9_byte_bpe, op10_quality_rules)}
+    op1_simhash, op2_line_dedup, op3_mixing, op4_language_id, op5_license_scan, op6_quality, op7_nearest_neighbours, op8_main_text, op9_byte_bpe, op10_quality_rules,
+    op11_source_divergence)}

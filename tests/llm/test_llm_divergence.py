@@ -1,0 +1,84 @@
+import re
+from collections import Counter, defaultdict
+
+import pytest
+from compare import connect, difference, duck_result, spark_result
+from text_cases import SF, documents, empty, given
+
+from lakeassay.llm import divergence, oracles, queries
+
+TERM = re.compile("[^\x00-\x40\x5b-\x60\x7b-\x7f]+")
+UNIT = 10**9
+
+
+def audit(rows, least=10, top=10):
+    """The audit in plain Python, over every pair and every kept term."""
+    counts, found, groups = defaultdict(Counter), defaultdict(Counter), set()
+    for text, lang, source in rows:
+        lang, source = lang or "", source or ""
+        groups.add((lang, source))
+        terms = [re.sub("[A-Z]", lambda m: m[0].lower(), t) for t in TERM.findall(text or "")]
+        counts[lang, source].update(terms)
+        found[lang].update(set(terms))
+    out = []
+    for lang in {g[0] for g in groups}:
+        kept = [t for t, n in found[lang].items() if n >= least]
+        sources = sorted(s for l, s in groups if l == lang)
+
+        def shares(c):
+            total = sum(c[t] for t in kept)
+            return {t: 1 + UNIT * (c[t] + 2) // (total + 2 * len(kept)) for t in kept}
+
+        p = {s: shares(counts[lang, s]) for s in sources}
+        q = shares(sum((counts[lang, s] for s in sources), Counter()))
+
+        def f(a, b):
+            return (a - b) ** 2 // (a + b)
+
+        for s in sources:
+            pairs = [(-sum(f(p[s][t], p[o][t]) for t in kept), o) for o in sources if o != s]
+            terms = [(-f(p[s][t], q[t]), t) for t in kept if counts[lang, s][t] and p[s][t] > q[t]]
+            for part, items in (("pair", sorted(pairs)), ("term", sorted(terms)[:top])):
+                out += [(lang, s, part, item, -value, rank) for rank, (value, item) in enumerate(items, 1)]
+    return sorted(out)
+
+
+def result(df):
+    assert df.columns == ["lang", "source", "part", "item", "value", "rank"]
+    return sorted(tuple(r) for r in df.collect())
+
+
+@pytest.mark.parametrize("blocks", [(32, 8192), (2, 3), (1, 1)])
+@pytest.mark.parametrize("least", [1, 2, 4])
+def test_equals_plain_python_however_it_is_cut(spark, blocks, least):
+    docs = documents(spark, 2).where("n_chars is null or text not like 'wort0 %'")
+    rows = [(r.text, r.lang, r.source) for r in docs.collect()]
+    found = divergence.source_divergence(docs, min_documents=least, top_terms=3, group_block=blocks[0], term_block=blocks[1])
+    assert result(found) == audit(rows, least, 3)
+
+
+def test_a_very_long_text_and_small_memory(spark, monkeypatch):
+    docs = documents(spark).repartition(3)
+    wanted = audit([(r.text, r.lang, r.source) for r in docs.collect()], 1, 10)
+    monkeypatch.setattr(divergence, "HELD", 7)
+    assert result(divergence.source_divergence(docs, min_documents=1, term_block=2000)) == wanted
+
+
+def test_given_documents_equal_plain_python_and_sql(spark):
+    found = queries.op11_source_divergence(spark, SF)
+    assert result(found) == audit([(r.text, r.lang, r.source) for r in given(spark, "documents").collect()])
+    assert difference(spark_result(found), duck_result(connect(SF), oracles.ORACLES["op11_source_divergence"])) is None
+
+
+def test_large_counts_stay_exact(spark):
+    n, total, v = 4 * 10**12 + 7, 9 * 10**12 + 5, 12345
+    row = spark.createDataFrame([(n, total, v)], "n long, total long, v long").select(
+        divergence._probability(*map(divergence.F.col, ("n", "total", "v")))).first()
+    assert row[0] == 1 + UNIT * (n + 2) // (total + 2 * v)
+
+
+def test_empty_table_no_terms_and_one_source(spark):
+    assert divergence.source_divergence(empty(spark)).collect() == []
+    docs = spark.createDataFrame([("1 2", "en", "a"), (None, "en", "b"), ("x", "de", None)], "text string, lang string, source string")
+    assert result(divergence.source_divergence(docs)) == [("en", "a", "pair", "b", 0, 1), ("en", "b", "pair", "a", 0, 1)]
+    assert result(divergence.source_divergence(docs, min_documents=1)) == [("en", "a", "pair", "b", 0, 1), ("en", "b", "pair", "a", 0, 1)]
