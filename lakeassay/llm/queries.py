@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakeassay.llm import ann, bpe, common, divergence, htmltext, langid, licensescan, linededup, mixing, quality, rules, simhash
+from lakeassay.llm import ann, bpe, common, divergence, htmltext, langid, licensescan, linededup, mixing, quality, rules, simhash, whitening
 from lakeassay.llm.licenses import standard_templates
 
 
@@ -69,6 +69,13 @@ def op11_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
     return divergence.source_divergence(_table(spark, sf_dir, "documents"), min_documents=10, top_terms=10)
 
 
+def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = whitening.whiten(_table(spark, sf_dir, "embeddings"), components=16)
+    return found.select("vec_id", "n", F.col("deviation").cast("long").alias("deviation"), "identity_error",
+                        F.posexplode(F.arrays_zip("whitened", "explained")).alias("component", "c")).select(
+        "vec_id", (F.col("component") + 1).alias("component"), "n", "deviation", "c.whitened", "c.explained", "identity_error")
+
+
 QUERIES = {f.__name__: f for f in (
     op1_simhash, op2_line_dedup, op3_mixing, op4_language_id, op5_license_scan, op6_quality, op7_nearest_neighbours, op8_main_text, op9_byte_bpe, op10_quality_rules,
-    op11_source_divergence)}
+    op11_source_divergence, op12_whitening)}
