@@ -35,6 +35,16 @@ def staged(df: DataFrame) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def scratch_folder(spark: SparkSession) -> str:
+    """A new folder in the shared folder, removed with all it holds when the session ends."""
+    path = f"{shared_folder(spark)}/llm-{uuid.uuid4().hex}"
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    files = place.getFileSystem(spark._jsc.hadoopConfiguration())
+    files.mkdirs(place)
+    files.deleteOnExit(place)
+    return path
+
+
 def checkpointed(df: DataFrame) -> DataFrame:
     """`df` computed now and kept in the checkpoint folder, which all executors share."""
     context = df.sparkSession.sparkContext

@@ -85,3 +85,14 @@ WHERE part = 'pair' OR rank <= 10
 """
 
 ORACLES["op11_source_divergence"] = SOURCE_DIVERGENCE
+
+WARC = """
+WITH p AS (SELECT page_id, coalesce(html, '') AS payload FROM pages),
+f AS (SELECT *, min(page_id) OVER (PARTITION BY payload) AS first FROM p)
+SELECT page_id, strlen(payload)::BIGINT AS payload_bytes, sha256(payload) AS payload_digest,
+       CASE WHEN strlen(payload) >= 100 AND page_id IS DISTINCT FROM first THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN strlen(payload) >= 100 AND page_id IS DISTINCT FROM first THEN first END AS refers_to
+FROM f
+"""
+
+ORACLES["op13_warc"] = WARC

@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakeassay.llm import ann, bpe, common, divergence, htmltext, langid, licensescan, linededup, mixing, quality, rules, simhash, whitening
+from lakeassay.llm import ann, bpe, common, divergence, htmltext, langid, licensescan, linededup, mixing, quality, rules, simhash, warc, whitening
 from lakeassay.llm.licenses import standard_templates
 
 
@@ -76,6 +76,12 @@ def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
         "vec_id", (F.col("component") + 1).alias("component"), "n", "deviation", "c.whitened", "c.explained", "identity_error")
 
 
+def op13_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    index = warc.write_archives(_table(spark, sf_dir, "pages"), common.scratch_folder(spark), least_bytes=100)
+    return warc.read_records(index, payloads=False).select(
+        F.col("page_id").cast("long").alias("page_id"), "payload_bytes", "payload_digest", "record_type", F.col("refers_to").cast("long").alias("refers_to"))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_simhash, op2_line_dedup, op3_mixing, op4_language_id, op5_license_scan, op6_quality, op7_nearest_neighbours, op8_main_text, op9_byte_bpe, op10_quality_rules,
-    op11_source_divergence, op12_whitening)}
+    op11_source_divergence, op12_whitening, op13_warc)}
