@@ -2,6 +2,7 @@ from lakeassay.functions.rows import (
     active_rows,
     business_columns,
     key_of,
+    key_text,
     latest_per_key,
     quoted,
     row_hash,
@@ -12,6 +13,7 @@ __all__ = [
     "active_rows",
     "business_columns",
     "key_of",
+    "key_text",
     "latest_per_key",
     "quoted",
     "row_hash",

@@ -6,6 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import BinaryType, DecimalType, DoubleType, FloatType, TimestampType
 
 NULL_TEXT = "<NULL>"
 
@@ -57,6 +58,27 @@ def key_of(columns: Sequence[str]) -> Column:
     return F.struct(*map(quoted, columns))
 
 
+def key_text(df: DataFrame, columns: Sequence[str]) -> Column:
+    """All key columns as one text, never null and different for different keys, which a table can be stored by.
+
+    Whole numbers of any width have one text, as have decimals of any scale; times do not depend on the session's zone.
+    """
+    parts = []
+    for name in columns:
+        kind, value = df.schema[name].dataType, quoted(name)
+        if isinstance(kind, TimestampType):
+            value = F.unix_micros(value)
+        elif isinstance(kind, (FloatType, DoubleType)):
+            value = value.cast("double") + F.lit(0.0)  # one text for both zeros
+        elif isinstance(kind, BinaryType):
+            value = F.hex(value)
+        text = value.cast("string")
+        if isinstance(kind, DecimalType) and kind.scale:
+            text = F.regexp_replace(text, r"\.?0+$", "")
+        parts.append(F.coalesce(F.concat(F.length(text).cast("string"), F.lit(":"), text), F.lit("-")))
+    return F.concat(*parts)
+
+
 def latest_order(df: DataFrame) -> list[Column]:
     """Newest ingest first, then the hash; without lineage the whole row decides."""
     order = []

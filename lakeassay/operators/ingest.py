@@ -68,12 +68,26 @@ def merge_snapshot(target: DataFrame, source: DataFrame, keys: Sequence[str], *,
     is larger than one row on either side; a repeated target key still comes out right, but
     its rows meet in one task.
     """
+    latest = latest_per_key(source.withColumn("_new_key", key_of(keys)), ["_new_key"])
     columns = merged_columns(target, source, new_columns)
+    return _merged(target, latest, key_of(keys), F.col("_new_key"), columns, as_of, full_extract)
+
+
+def merge_keyed(target: DataFrame, source: DataFrame, key: str, *, as_of: Column, full_extract: bool, new_columns: str = "add") -> DataFrame:
+    """`merge_snapshot` of sides that hold their key as one column, never null, of which the source has each value once.
+
+    Where the target is stored in buckets of that column, and the source is partitioned alike, the target is not shuffled.
+    """
+    columns = merged_columns(target, source, new_columns)
+    return _merged(target, source, quoted(key), quoted(key), columns, as_of, full_extract)
+
+
+def _merged(target: DataFrame, latest: DataFrame, old_key: Column, new_key: Column, columns: Sequence[str],
+            as_of: Column, full_extract: bool) -> DataFrame:
     added = [c for c in columns if c not in target.columns]
-    known = target.withColumns({c: F.lit(None).cast(source.schema[c].dataType) for c in added}) if added else target
-    old = known.select(key_of(keys).alias("_old_key"), F.struct(*map(quoted, columns)).alias("_old"))
-    latest = latest_per_key(source.withColumn("_new_key", key_of(keys)), ["_new_key"])
-    new = latest.select("_new_key", F.struct(*map(quoted, columns)).alias("_new"))
+    known = target.withColumns({c: F.lit(None).cast(latest.schema[c].dataType) for c in added}) if added else target
+    old = known.select(old_key.alias("_old_key"), F.struct(*map(quoted, columns)).alias("_old"))
+    new = latest.select(new_key.alias("_new_key"), F.struct(*map(quoted, columns)).alias("_new"))
 
     here, there = F.col("_new_key").isNotNull(), F.col("_old_key").isNotNull()
     was_deleted = F.coalesce(F.col("_old._is_deleted"), F.lit(False))

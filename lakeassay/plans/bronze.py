@@ -6,17 +6,18 @@ from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 from functools import partial
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lakeassay import project
-from lakeassay.functions import latest_per_key, with_row_hash
-from lakeassay.model import RunContext
+from lakeassay.functions import key_text, latest_per_key, with_row_hash
+from lakeassay.model import RunContext, TableSpec
 from lakeassay.operators.ingest import (
     OPERATIONS,
     after_watermark,
     high_watermark,
-    merge_snapshot,
+    merge_keyed,
+    merged_columns,
     stamp_lineage,
 )
 from lakeassay.plans.jobs import run_together
@@ -27,86 +28,125 @@ from lakeassay.sources import tables
 class LoadResult:
     """What a load did: `initial`, `merged` or `skipped`, and the rows per kind of change.
 
-    Tables merged in place keep such counts in their own history and leave them out here.
+    `surplus` is how many source rows were left out because a later row has their key. Tables merged in place keep
+    the counts of a merge in their own history and leave them out here.
     """
 
     table: str
     outcome: str
     changes: dict[str, int]
+    surplus: int = 0
 
 
-def load_table(spark: SparkSession, table: str, source: DataFrame, run: RunContext, *,
-               database: str = project.DATABASE, fmt: str = "parquet", inclusive: bool = False,
-               hash_mode: str = "joined", new_columns: str = "add", buckets: int = 64) -> LoadResult:
-    """Load a source DataFrame (usually a lazy database scan) into `<database>.bronze_<table>`.
+@dataclass(frozen=True)
+class Origin:
+    """Where rows come from, as their lineage columns say."""
+
+    system: str
+    schema: str
+    table: str
+
+
+def load(spark: SparkSession, spec: TableSpec, source: DataFrame, run: RunContext, origin: Origin, *,
+         fmt: str = "parquet", inclusive: bool = False, hash_mode: str = "joined", new_columns: str = "add",
+         buckets: int | None = None, bucket_bytes: int = tables.BUCKET_BYTES) -> LoadResult:
+    """Load a source DataFrame (usually a lazy database scan) into the table `spec.name`.
 
-    Tables with a watermark are read from their newest loaded value on. All others are read
+    A table with a `spec.watermark` is read from its newest loaded value on. All others are read
     whole, and rows missing from the source are marked deleted. The source is read exactly
     once. An empty read leaves an existing table as it is, so a failed extract cannot mark
     everything deleted. Of several source rows with one key the latest is loaded, in the
     first load too, so keys are unique. What happens to columns that appear later is up to
-    `new_columns`, as in `merge_snapshot`. `buckets` is how many folders a new table of
-    plain files is cut into.
+    `new_columns`, as in `merge_snapshot`.
+
+    A table of plain files is cut into `buckets` by key, or into as many as hold `bucket_bytes` each; unless the number is given,
+    a merge that finds it four times too small writes the table anew with more.
     """
-    target_name = project.table_name(f"bronze_{table}", database)
-    keys = project.KEYS[table]
-    loaded = tables.exists(spark, target_name)
-    column = project.WATERMARKS.get(table)
-    if column and loaded:
-        newest = high_watermark(spark.table(target_name), column).first()["max_watermark"]
-        source = after_watermark(source, column, newest, inclusive=inclusive)
+    if not spec.keys:
+        raise ValueError(f"{spec.name} declares no key to load by")
+    loaded = tables.exists(spark, spec.name)
+    if spec.watermark and loaded:
+        newest = high_watermark(spark.table(spec.name), spec.watermark).first()["max_watermark"]
+        source = after_watermark(source, spec.watermark, newest, inclusive=inclusive)
 
     with tables.Staging(spark) as staging:
-        batch = staging.stage(source)
-        if loaded and batch.isEmpty():
-            return LoadResult(target_name, "skipped", {})
-        batch = with_row_hash(stamp_lineage(
-            batch, system=project.SOURCE_SYSTEM, schema=project.SOURCE_SCHEMA, table=table,
-            ingested_at=run.timestamp), mode=hash_mode)
+        extract = staging.stage(source)
+        read = extract.count()
+        if loaded and not read:
+            return LoadResult(spec.name, "skipped", {})
+        size = staging.bytes
+        rows = with_row_hash(stamp_lineage(
+            extract, system=origin.system, schema=origin.schema, table=origin.table, ingested_at=run.timestamp), mode=hash_mode)
+        latest = latest_per_key(rows, spec.keys).withColumn(tables.KEY, key_text(rows, spec.keys))
+        table = tables.KeyedTable(spark, spec.name, fmt)
         if not loaded:
-            counted = Observation(f"load_{table}")
-            first = latest_per_key(batch, keys).observe(counted, F.count(F.lit(1)).alias("insert"))
             if tables.supports_row_changes(fmt):
-                tables.publish(first, target_name, fmt=fmt)
+                tables.publish(latest.drop(tables.KEY), spec.name, fmt=fmt)
             else:
-                tables.KeyedTable(spark, target_name).create(first, keys, buckets)
-            return LoadResult(target_name, "initial", dict(counted.get))
+                table.create(latest, buckets or max(1, -(-size // bucket_bytes)))
+            count = spark.table(spec.name).count()
+            return LoadResult(spec.name, "initial", {"insert": count}, read - count)
+        batch = staging.stage(latest)
+        surplus = read - batch.count()
+        full = spec.watermark is None
         if tables.supports_row_changes(fmt):
-            tables.merge_into(batch, target_name, keys, as_of=run.timestamp, full_extract=column is None,
-                              new_columns=new_columns)
-            return LoadResult(target_name, "merged", {})
-        changes = _merge_buckets(tables.KeyedTable(spark, target_name), batch, keys, run, staging,
-                                 full_extract=column is None, new_columns=new_columns)
-        return LoadResult(target_name, "merged", changes)
+            tables.merge_into(batch.drop(tables.KEY), spec.name, spec.keys, as_of=run.timestamp, full_extract=full, new_columns=new_columns)
+            return LoadResult(spec.name, "merged", {}, surplus)
+
+        def wanted(rows: int) -> int:
+            return 0 if buckets else -(-rows * size // read) // bucket_bytes
+
+        return LoadResult(spec.name, "merged", _merge(table, batch, run, full_extract=full, new_columns=new_columns, wanted=wanted), surplus)
+
 
+def load_table(spark: SparkSession, table: str, source: DataFrame, run: RunContext, *, database: str = project.DATABASE, **options) -> LoadResult:
+    """Load one of the project's tables into `<database>.bronze_<table>`; the options are those of `load`."""
+    return load(spark, project.bronze_spec(table, database), source, run, Origin(project.SOURCE_SYSTEM, project.SOURCE_SCHEMA, table), **options)
 
-def _merge_buckets(table: tables.KeyedTable, batch: DataFrame, keys: Sequence[str], run: RunContext, staging: tables.Staging, *,
-                   full_extract: bool, new_columns: str) -> dict[str, int]:
-    """Merge a batch, rewriting only buckets with a change; returns the rows per kind of change.
 
-    The first pass reads keys, hashes and flags of the table and says which buckets change;
-    the second reads those whole. New rows are staged before they replace old ones.
+def changes_by_bucket(table: tables.KeyedTable, batch: DataFrame, run: RunContext, *, full_extract: bool) -> DataFrame:
+    """Rows per bucket and kind of change that merging `batch`, which has KEY once per key, would bring.
+
+    Reads keys, hashes and flags only. The table's buckets stay where they are: the batch is dealt out alike.
     """
     count = table.buckets
-    placed = tables.with_bucket(batch, keys, count)
-    if not full_extract:
-        # Nothing outside the batch's own buckets can change.
-        own = [r[0] for r in placed.select(tables.BUCKET).distinct().collect()]
-    rows = table.rows if full_extract else table.rows.where(F.col(tables.BUCKET).isin(own))
-    narrow = [*keys, "_ingested_at", "_row_hash", "_is_deleted", "_deleted_at"]
-    outcome = merge_snapshot(rows.select(*narrow), batch.select(*narrow), keys, as_of=run.timestamp, full_extract=full_extract)
-    found = (tables.with_bucket(outcome, keys, count).groupBy(tables.BUCKET, "_op").agg(F.count(F.lit(1)).alias("n")).collect())
+    narrow = [tables.KEY, "_ingested_at", "_row_hash", "_is_deleted", "_deleted_at"]
+    placed = batch.select(*narrow).repartition(count, tables.KEY)
+    merged = merge_keyed(table.rows.select(*narrow), placed, tables.KEY, as_of=run.timestamp, full_extract=full_extract)
+    return tables.with_bucket(merged, count).groupBy(tables.BUCKET, "_op").agg(F.count(F.lit(1)).alias("n"))
+
+
+def merged_buckets(table: tables.KeyedTable, batch: DataFrame, run: RunContext, touched: Sequence[int] | None, *,
+                   full_extract: bool, new_columns: str) -> DataFrame:
+    """The rows of the `touched` buckets, or of all, after the merge; the table is not shuffled here either."""
+    count = table.buckets
+    old, placed = table.rows, tables.with_bucket(batch.repartition(count, tables.KEY), count)
+    if touched is not None:
+        old, placed = (df.where(F.col(tables.BUCKET).isin(list(touched))) for df in (old, placed))
+    return merge_keyed(old.drop(tables.BUCKET), placed.drop(tables.BUCKET), tables.KEY, as_of=run.timestamp,
+                       full_extract=full_extract, new_columns=new_columns).drop("_op")
+
+
+def _merge(table: tables.KeyedTable, batch: DataFrame, run: RunContext, *, full_extract: bool, new_columns: str,
+           wanted: Callable[[int], int]) -> dict[str, int]:
+    """Merge a batch, writing only buckets with a change anew; returns the rows per kind of change.
+
+    The first pass says which buckets change, the second reads those whole. Where the table has outgrown its buckets, the
+    second pass takes all of them and cuts the table anew.
+    """
+    merged_columns(table.rows.drop(tables.BUCKET), batch, new_columns)
+    found = changes_by_bucket(table, batch, run, full_extract=full_extract).collect()
     changes = {op: sum(r["n"] for r in found if r["_op"] == op) for op in OPERATIONS}
-    if not full_extract:
-        changes["unchanged"] += table.rows.where(~F.col(tables.BUCKET).isin(own)).count()
     touched = sorted({r[tables.BUCKET] for r in found if r["_op"] != "unchanged"})
-    if touched or new_columns == "refuse":
-        merged = merge_snapshot(
-            table.rows.where(F.col(tables.BUCKET).isin(touched)).drop(tables.BUCKET),
-            placed.where(F.col(tables.BUCKET).isin(touched)).drop(tables.BUCKET), keys,
-            as_of=run.timestamp, full_extract=full_extract, new_columns=new_columns)
-        if touched:
-            table.replace(staging.stage(tables.with_bucket(merged.drop("_op"), keys, count)))
+    if touched:
+        more = wanted(sum(changes.values()))
+        grown = more >= 4 * table.buckets
+        everything = grown or len(touched) == table.buckets
+        rows = merged_buckets(table, batch, run, None if everything else touched, full_extract=full_extract, new_columns=new_columns)
+        if grown:
+            table.create(rows, more)
+        else:
+            table.replace(rows, touched)
     return changes
 
 

@@ -110,6 +110,14 @@ def _references(table: str, database: str) -> tuple[ForeignKey, ...]:
     return (ForeignKey("nct_id", table_name("silver_studies", database), "nct_id"),)
 
 
+def bronze_spec(table: str, database: str = DATABASE) -> TableSpec:
+    """How a source table is loaded and checked."""
+    short = f"bronze_{table}"
+    return TableSpec(
+        name=table_name(short, database), layer=short, keys=KEYS[table], timestamp=WATERMARKS.get(table, "_ingested_at"),
+        watermark=WATERMARKS.get(table), foreign_keys=_references(table, database))
+
+
 def quality_specs(database: str = DATABASE, expected: dict[str, StructType] | None = None) -> list[TableSpec]:
     """What to check, for every loaded, cleaned and aggregated table.
 

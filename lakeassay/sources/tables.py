@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import uuid
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from functools import reduce
 from operator import and_
 
@@ -55,9 +55,14 @@ class Staging:
         df.write.parquet(path)
         return self._spark.read.schema(df.schema).parquet(path)
 
-    def remove(self) -> None:
+    @property
+    def bytes(self) -> int:
+        """How much is staged here."""
         path = self._spark._jvm.org.apache.hadoop.fs.Path(self.path)
-        path.getFileSystem(self._spark._jsc.hadoopConfiguration()).delete(path, True)
+        return path.getFileSystem(self._spark._jsc.hadoopConfiguration()).getContentSummary(path).getLength()
+
+    def remove(self) -> None:
+        remove(self._spark, self.path)
 
 
 def split_name(name: str) -> tuple[str | None, str]:
@@ -86,84 +91,132 @@ def publish(df: DataFrame, name: str, *, fmt: str = "parquet", partition_by: tup
     snapshot = f"{name}__v{max(_versions(spark, database, table), default=0) + 1:08d}"
     writer = df.write.format(fmt).mode("overwrite")
     (writer.partitionBy(*partition_by) if partition_by else writer).saveAsTable(snapshot)
-    spark.sql(f"CREATE OR REPLACE VIEW {name} AS SELECT * FROM {snapshot}")
+    _show(spark, name, snapshot, "*")
     return snapshot
 
 
+def _show(spark: SparkSession, name: str, snapshot: str, columns: str) -> None:
+    spark.sql(f"CREATE OR REPLACE VIEW {name} TBLPROPERTIES ('snapshot' = '{snapshot}') AS SELECT {columns} FROM {snapshot}")
+
+
+def shown(spark: SparkSession, name: str) -> str:
+    """The snapshot that a published table shows."""
+    found = {r["key"]: r["value"] for r in spark.sql(f"SHOW TBLPROPERTIES {name}").collect()}
+    return found["snapshot"]
+
+
 def expire(spark: SparkSession, name: str, keep: int) -> list[str]:
-    """Drop all but the newest `keep` snapshots of a published table; returns the names dropped.
+    """Drop all but the newest `keep` snapshots of a published table, up to the one it shows; returns the names dropped.
 
-    Readers of an older snapshot fail afterwards, so this is never done on the way.
+    Snapshots that a failed load left behind go as well, so no load may be under way. Folders of a dropped snapshot
+    that a kept one shares stay. Readers of an older snapshot fail afterwards, so this is never done on the way.
     """
     if keep < 1:
         raise ValueError("the snapshot that the table shows must stay")
-    old = [f"{name}__v{version:08d}" for version in _versions(spark, *split_name(name))[:-keep]]
+    database, table = split_name(name)
+    current = shown(spark, name)
+    names = [f"{name}__v{version:08d}" for version in _versions(spark, database, table)]
+    kept = [n for n in names if n <= current][-keep:]
+    old = [n for n in names if n not in kept]
+    used = {folder for n in kept for folder in _folders(spark, n).values()}
     for snapshot in old:
+        own = {folder for folder in _folders(spark, snapshot).values() if folder not in used}
         spark.sql(f"DROP TABLE IF EXISTS {snapshot}")
+        for folder in own:
+            remove(spark, folder)
     return old
 
 
+def remove(spark: SparkSession, path: str) -> None:
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+
+
 def _versions(spark: SparkSession, database: str | None, table: str) -> list[int]:
     prefix = f"{table}__v"
     names = [t.name for t in spark.catalog.listTables(database, f"{prefix}*")]
     return sorted(int(n[len(prefix):]) for n in names if n[len(prefix):].isdigit())
 
 
-BUCKET = "_key_bucket"
+KEY, BUCKET = "_key", "_key_bucket"
+#: Buckets of a new table are cut to hold about so many bytes each.
+BUCKET_BYTES = 256 << 20
+#: Partitions named in one statement.
+_AT_ONCE = 1000
 
 
-def with_bucket(df: DataFrame, keys: Sequence[str], buckets: int) -> DataFrame:
-    """Add the bucket of each row's key. Keys count as text, so a wider integer type changes nothing."""
-    parts = [F.coalesce(F.col(f"`{k}`").cast("string"), F.lit("\0")) for k in keys]
-    return df.withColumn(BUCKET, F.pmod(F.xxhash64(*parts), F.lit(buckets)).cast("int"))
+def with_bucket(df: DataFrame, buckets: int) -> DataFrame:
+    """Add the bucket of each row's KEY: the one that Spark's own bucketing by that column puts it in."""
+    return df.withColumn(BUCKET, F.pmod(F.hash(KEY), F.lit(buckets)))
 
 
 class KeyedTable:
-    """A table of plain files kept in folders by a hash of its key, so that a merge rewrites only folders it changes.
+    """A table of plain files in buckets of its key, whose snapshots share every bucket that did not change.
 
-    Readers use the view `name`, which leaves the bucket out. A replaced folder is first written
-    beside the old one; someone who reads while several folders change may see some of them
-    old and some new. Formats with row-level changes do not have this limit.
+    Readers use the view `name`. It shows one snapshot: an external table, bucketed by KEY (the key as one text) and
+    partitioned by the bucket, whose partitions may lie in folders that earlier snapshots wrote. A load writes the buckets it
+    changes to a fresh folder, adds the others where they are, and points the view at the new snapshot as the last step. Nothing that a
+    reader may be reading is written to, and a load that fails before the last step changes nothing. One writer at a time.
+    A join on KEY with rows partitioned alike does not shuffle the table.
     """
 
-    def __init__(self, spark: SparkSession, name: str) -> None:
-        self._spark, self.name, self.data = spark, name, f"{name}__keyed"
+    def __init__(self, spark: SparkSession, name: str, fmt: str = "parquet") -> None:
+        self._spark, self.name, self._fmt = spark, name, fmt
 
     @property
     def rows(self) -> DataFrame:
-        """All rows with their bucket."""
-        return self._spark.table(self.data)
+        """All rows with their KEY and bucket."""
+        return self._spark.table(shown(self._spark, self.name))
 
     @property
     def buckets(self) -> int:
-        """How many buckets the table was created with."""
-        row = self._spark.sql(f"SHOW TBLPROPERTIES {self.data} ('key_buckets')").first()
-        return int(row["value"])
-
-    def create(self, df: DataFrame, keys: Sequence[str], buckets: int) -> None:
-        """Write the first rows. Large buckets come out as several files."""
-        self._spark.sql(f"DROP TABLE IF EXISTS {self.data}")
-        placed = with_bucket(df, keys, buckets).hint("rebalance", F.col(BUCKET))
-        placed.write.partitionBy(BUCKET).saveAsTable(self.data)
-        self._spark.sql(f"ALTER TABLE {self.data} SET TBLPROPERTIES ('key_buckets' = '{buckets}')")
-        self._show()
-
-    def replace(self, df: DataFrame) -> None:
-        """Put `df`, which must not read this table, in place of the buckets it has rows of."""
-        known = set(self.rows.columns)
-        _add_columns(self._spark, self.data, [f for f in df.schema.fields if f.name not in known])
-        located = self._spark.sql(f"DESCRIBE EXTENDED {self.data}").where("col_name = 'Location'").first()["data_type"]
-        (df.hint("rebalance", F.col(BUCKET)).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-         .partitionBy(BUCKET).parquet(located))
-        self._spark.catalog.recoverPartitions(self.data)  # buckets that had no rows before
-        self._spark.catalog.refreshTable(self.data)
-        self._show()
-
-    def _show(self) -> None:
-        data = [c for c in self.rows.columns if c != BUCKET]
+        """How many buckets the table is cut into."""
+        described = self._spark.sql(f"DESCRIBE EXTENDED {shown(self._spark, self.name)}")
+        return int(described.where("col_name = 'Num Buckets'").first()["data_type"])
+
+    @property
+    def folders(self) -> dict[int, str]:
+        """Where the rows of each bucket are. A folder is written once, so its rows never change."""
+        return {int(spec): folder for spec, folder in _folders(self._spark, shown(self._spark, self.name)).items()}
+
+    def create(self, df: DataFrame, buckets: int) -> None:
+        """Make `df`, which has KEY and may read this table, all of its rows."""
+        self._write(with_bucket(df, buckets).repartition(buckets, KEY), buckets, {})
+
+    def replace(self, df: DataFrame, touched: Sequence[int]) -> None:
+        """Put `df`, which has KEY and may read this table, in place of the `touched` buckets; columns it adds are null elsewhere."""
+        kept = {bucket: folder for bucket, folder in self.folders.items() if bucket not in set(touched)}
+        self._write(with_bucket(df, self.buckets), self.buckets, kept)
+
+    def _write(self, df: DataFrame, buckets: int, shared: Mapping[int, str]) -> None:
+        database, table = split_name(self.name)
+        catalog = self._spark.catalog
+        snapshot = f"{self.name}__v{max(_versions(self._spark, database, table), default=0) + 1:08d}"
+        base = catalog.getDatabase(database or catalog.currentDatabase()).locationUri.rstrip("/")
+        folder = f"{base}/{table}__files/{split_name(snapshot)[1]}-{uuid.uuid4().hex}"
+        writer = df.write.format(self._fmt).partitionBy(BUCKET).bucketBy(buckets, KEY).option("path", folder)
+        try:
+            writer.saveAsTable(snapshot)
+        except Exception:
+            remove(self._spark, folder)
+            raise
+        places = [f"PARTITION ({BUCKET} = {bucket}) LOCATION '{place}'" for bucket, place in shared.items()]
+        for start in range(0, len(places), _AT_ONCE):
+            self._spark.sql(f"ALTER TABLE {snapshot} ADD {' '.join(places[start : start + _AT_ONCE])}")
+        data = [c for c in df.columns if c not in (KEY, BUCKET)]
         columns = [c for c in data if not c.startswith("_")] + [c for c in data if c.startswith("_")]
-        names = ", ".join(f"`{c}`" for c in columns)
-        self._spark.sql(f"CREATE OR REPLACE VIEW {self.name} AS SELECT {names} FROM {self.data}")
+        _show(self._spark, self.name, snapshot, ", ".join(f"`{c}`" for c in columns))
+
+
+def _folders(spark: SparkSession, table: str) -> dict[str, str]:
+    """Where the partitions of a table with one partition column are; none for a table without."""
+    if not any(c.isPartition for c in spark.catalog.listColumns(table)):
+        return {}
+    database, name = split_name(table)
+    option, catalog = spark._jvm.scala.Option, spark._jsparkSession.sessionState().catalog()
+    found = catalog.listPartitions(spark._jvm.org.apache.spark.sql.catalyst.TableIdentifier(name, option.apply(database)), option.empty())
+    partitions = [found.apply(i) for i in range(found.size())]
+    return {p.spec().head()._2(): p.location().toString() for p in partitions}
 
 
 def supports_row_changes(fmt: str) -> bool:

@@ -87,10 +87,8 @@ def test_reloading_the_same_data_changes_nothing(spark, read, loads):
 
 
 def files(spark, table):
-    name = f"guard.bronze_{table}__keyed"
-    located = spark.sql(f"DESCRIBE EXTENDED {name}").where("col_name = 'Location'").first()["data_type"]
-    found = Path(located.removeprefix("file:")).glob("_key_bucket=*/*.parquet")
-    return {(p.parent.name, p.name) for p in found}
+    folders = tables.KeyedTable(spark, f"guard.bronze_{table}").folders
+    return {(folder, p.name) for folder in folders.values() for p in Path(folder.removeprefix("file:")).glob("*.parquet")}
 
 
 def test_first_load_keeps_one_row_per_key(spark):
