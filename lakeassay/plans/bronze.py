@@ -104,15 +104,18 @@ def load_table(spark: SparkSession, table: str, source: DataFrame, run: RunConte
     return load(spark, project.bronze_spec(table, database), source, run, Origin(project.SOURCE_SYSTEM, project.SOURCE_SCHEMA, table), **options)
 
 
-def changes_by_bucket(table: tables.KeyedTable, batch: DataFrame, run: RunContext, *, full_extract: bool) -> DataFrame:
-    """Rows per bucket and kind of change that merging `batch`, which has KEY once per key, would bring.
+def changes_by_bucket(table: tables.KeyedTable, batch: DataFrame, run: RunContext, within: Sequence[int] | None, *,
+                      full_extract: bool) -> DataFrame:
+    """Rows per bucket and kind of change that merging `batch`, which has KEY once per key, would bring to the buckets `within`, or to all.
 
     Reads keys, hashes and flags only. The table's buckets stay where they are: the batch is dealt out alike.
     """
-    count = table.buckets
+    count, rows = table.buckets, table.rows
+    if within is not None:
+        rows = rows.where(F.col(tables.BUCKET).isin(list(within)))
     narrow = [tables.KEY, "_ingested_at", "_row_hash", "_is_deleted", "_deleted_at"]
     placed = batch.select(*narrow).repartition(count, tables.KEY)
-    merged = merge_keyed(table.rows.select(*narrow), placed, tables.KEY, as_of=run.timestamp, full_extract=full_extract)
+    merged = merge_keyed(rows.select(*narrow), placed, tables.KEY, as_of=run.timestamp, full_extract=full_extract)
     return tables.with_bucket(merged, count).groupBy(tables.BUCKET, "_op").agg(F.count(F.lit(1)).alias("n"))
 
 
@@ -135,8 +138,14 @@ def _merge(table: tables.KeyedTable, batch: DataFrame, run: RunContext, *, full_
     second pass takes all of them and cuts the table anew.
     """
     merged_columns(table.rows.drop(tables.BUCKET), batch, new_columns)
-    found = changes_by_bucket(table, batch, run, full_extract=full_extract).collect()
+    within = None
+    if not full_extract:
+        # Nothing outside the batch's own buckets can change.
+        within = [r[0] for r in tables.with_bucket(batch, table.buckets).select(tables.BUCKET).distinct().collect()]
+    found = changes_by_bucket(table, batch, run, within, full_extract=full_extract).collect()
     changes = {op: sum(r["n"] for r in found if r["_op"] == op) for op in OPERATIONS}
+    if within is not None:
+        changes["unchanged"] += table.rows.where(~F.col(tables.BUCKET).isin(within)).count()
     touched = sorted({r[tables.BUCKET] for r in found if r["_op"] != "unchanged"})
     if touched:
         more = wanted(sum(changes.values()))

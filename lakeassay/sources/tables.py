@@ -32,6 +32,16 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
 
 
+def scratch_folder(spark: SparkSession, name: str) -> str:
+    """A new folder under the shared folder, removed with all it holds when the session ends."""
+    path = scratch_path(spark, name)
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    files = place.getFileSystem(spark._jsc.hadoopConfiguration())
+    files.mkdirs(place)
+    files.deleteOnExit(place)
+    return path
+
+
 class Staging:
     """A fresh place for copies that later steps read, removed with all of them when the block ends.
 
@@ -120,9 +130,13 @@ def expire(spark: SparkSession, name: str, keep: int) -> list[str]:
     old = [n for n in names if n not in kept]
     used = {folder for n in kept for folder in _folders(spark, n).values()}
     for snapshot in old:
-        own = {folder for folder in _folders(spark, snapshot).values() if folder not in used}
+        folders = set(_folders(spark, snapshot).values())
+        located = spark.sql(f"DESCRIBE EXTENDED {snapshot}").where("col_name = 'Location'").first()["data_type"]
+        base = spark._jvm.org.apache.hadoop.fs.Path(located).toString()
         spark.sql(f"DROP TABLE IF EXISTS {snapshot}")
-        for folder in own:
+        if folders and not any(folder.startswith(f"{base}/") for folder in used):
+            folders.add(base)  # with the marks that writing leaves
+        for folder in folders - used:
             remove(spark, folder)
     return old
 
@@ -216,7 +230,7 @@ def _folders(spark: SparkSession, table: str) -> dict[str, str]:
     option, catalog = spark._jvm.scala.Option, spark._jsparkSession.sessionState().catalog()
     found = catalog.listPartitions(spark._jvm.org.apache.spark.sql.catalyst.TableIdentifier(name, option.apply(database)), option.empty())
     partitions = [found.apply(i) for i in range(found.size())]
-    return {p.spec().head()._2(): p.location().toString() for p in partitions}
+    return {p.spec().head()._2(): spark._jvm.org.apache.hadoop.fs.Path(p.location()).toString() for p in partitions}
 
 
 def supports_row_changes(fmt: str) -> bool:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
@@ -13,9 +14,12 @@ from lakeassay.functions import with_row_hash
 from lakeassay.model import RunContext, instant
 from lakeassay.operators.ingest import stamp_lineage
 from lakeassay.operators.silver import standardise
+from lakeassay.sources import tables
 from registry import shapes
 from registry.shapes import Shape
 
+FIRST_RUN = RunContext("first", datetime.fromisoformat(shapes.LOADED_AT))
+SECOND_RUN = RunContext("second", datetime.fromisoformat(shapes.RELOADED_AT))
 RUN = RunContext(run_id="registered", as_of=datetime.fromisoformat(shapes.AS_OF))
 
 
@@ -68,13 +72,23 @@ def orders_deleted_target(spark: SparkSession, sf_dir: str) -> DataFrame:
         "_is_deleted": gone, "_deleted_at": F.when(gone, moment(shapes.LOADED_AT))})
 
 
-def orders_source(spark: SparkSession, sf_dir: str) -> DataFrame:
+def orders_changed(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All orders again: some moved to a new key, some with another price."""
     key = F.col("o_orderkey")
-    changed = given(spark, sf_dir, "orders").withColumns({
+    return given(spark, sf_dir, "orders").withColumns({
         "o_orderkey": F.when(key % 10 == 0, key + 10_000_000_000).otherwise(key),
         "o_totalprice": F.when(key % 7 == 0, F.col("o_totalprice") + 1).otherwise(F.col("o_totalprice"))})
-    return loaded(changed, "orders", shapes.RELOADED_AT)
+
+
+def orders_source(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return loaded(orders_changed(spark, sf_dir), "orders", shapes.RELOADED_AT)
+
+
+def scratch_database(spark: SparkSession) -> str:
+    """A new database in the shared folder, whose files go when the session ends."""
+    name = f"registered_{uuid.uuid4().hex}"
+    spark.sql(f"CREATE DATABASE {name} LOCATION '{tables.scratch_folder(spark, 'database')}'")
+    return name
 
 
 def orders_wider_source(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -110,6 +110,40 @@ def lines_source() -> str:
     return stamped(changed, shapes.LINE_COLUMNS, "files", "tpch", "lineitem", f"timestamp '{RELOADED_AT}'")
 
 
+ROW_HASH_SAFE = r"""
+SELECT *, sha256(to_json({'n_nationkey': n_nationkey, 'left': "left", 'right': "right"})::varchar) AS _row_hash
+FROM (SELECT n_nationkey, concat('a', CASE WHEN n_nationkey % 2 = 0 THEN '||b' ELSE '' END) AS "left",
+        CASE WHEN n_nationkey % 5 <> 0 THEN concat(CASE WHEN n_nationkey % 2 = 0 THEN '' ELSE 'b||' END, 'say "c"\') END AS "right" FROM nation)
+"""
+
+
+def loaded_events() -> str:
+    columns = ("event_id", "ts", "user_id", "event_type", "value", "props")
+    first = f"SELECT * FROM events WHERE ts < timestamp '{shapes.EVENTS_BEFORE}'"
+    rest = f"SELECT * FROM events WHERE ts > (SELECT max(ts) FROM ({first}))"
+    return " UNION ALL ".join(
+        f"SELECT * FROM ({stamped(rows, columns, 'files', 'tpch', 'events', f"timestamp '{at}'")})"
+        for rows, at in ((first, LOADED_AT), (rest, RELOADED_AT)))
+
+
+_HASHED = "md5(concat_ws('||', {}))".format(", ".join(f"coalesce(CAST({c} AS varchar), '<NULL>')" for c in shapes.LINE_COLUMNS))
+LOADED_LINES = f"""
+WITH first AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY l_orderkey, l_linenumber ORDER BY {_HASHED}) AS n FROM lineitem) WHERE n = 1),
+changed AS (SELECT * REPLACE (CASE WHEN l_orderkey % 7 = 0 THEN 0.5 ELSE l_tax END AS l_tax) FROM lineitem WHERE l_orderkey % 10 <> 0),
+second AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY l_orderkey, l_linenumber ORDER BY {_HASHED}) AS n FROM changed) WHERE n = 1),
+paired AS (SELECT f.l_tax AS old_tax, s.l_tax AS new_tax, s.l_orderkey IS NULL AS gone,
+    {_HASHED.replace("CAST(l_", "CAST(f.l_")} <> {_HASHED.replace("CAST(l_", "CAST(s.l_")} AS differs
+    FROM first f LEFT JOIN second s ON f.l_orderkey = s.l_orderkey AND f.l_linenumber = s.l_linenumber)
+SELECT count(*) AS row_count, count(*) FILTER (WHERE gone) AS deleted,
+    CAST(sum(CASE WHEN gone THEN old_tax ELSE new_tax END) AS decimal(18,2)) AS tax,
+    count(*) AS first_insert, (SELECT count(*) FROM lineitem) - count(*) AS first_surplus,
+    0 AS insert, count(*) FILTER (WHERE NOT gone AND differs) AS update, 0 AS resurrect,
+    count(*) FILTER (WHERE gone) AS delete, count(*) FILTER (WHERE NOT gone AND NOT differs) AS unchanged,
+    (SELECT count(*) FROM changed) - (SELECT count(*) FROM second) AS surplus
+FROM paired
+"""
+
+
 def latest(rows: str, keys) -> str:
     return (f"SELECT * EXCLUDE (_rn) FROM (SELECT *, row_number() OVER (PARTITION BY {', '.join(keys)} "
             f"ORDER BY _ingested_at DESC, _row_hash) AS _rn FROM ({rows})) WHERE _rn = 1")
@@ -503,6 +537,10 @@ def oracle_sql() -> dict[str, str]:
         "cdc_change_summary": f"SELECT _op, count(*) AS row_count FROM ({key_merge(target=orders_deleted_target)}) GROUP BY _op",
         "cdc_resurrect": f"SELECT * FROM ({key_merge(target=orders_deleted_target)}) WHERE _op = 'resurrect'",
         "cdc_soft_delete": f"SELECT * FROM ({key_merge()}) WHERE _op = 'delete'",
+        "load_full_extracts": f"SELECT * EXCLUDE (_op) FROM ({key_merge()})",
+        "load_repeated_keys": LOADED_LINES,
+        "load_events_by_watermark": loaded_events(),
+        "row_hash_safe": ROW_HASH_SAFE,
         "cdc_surplus_keys": f"""SELECT l_orderkey, l_linenumber, count(*) AS copies FROM ({lines_source()})
             GROUP BY l_orderkey, l_linenumber HAVING count(*) > 1""",
         "csv_roundtrip": "SELECT * FROM orders",

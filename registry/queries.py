@@ -13,6 +13,7 @@ from lakeassay import project
 from lakeassay.functions import active_rows, latest_per_key, with_row_hash
 from lakeassay.model import DefectSpec, ForeignKey, SilverSpec, TableSpec
 from lakeassay.operators import checks, defects, gold, ingest, insights, monitor, silver
+from lakeassay.plans.bronze import Origin, load
 from lakeassay.plans.jobs import run_together
 from lakeassay.plans.suite import run_suite, staged_suite
 from lakeassay.sources import csv, tables
@@ -52,6 +53,16 @@ def row_hash(spark, sf):
     return with_row_hash(given(spark, sf, "lineitem"))
 
 
+def row_hash_safe(spark, sf):
+    """Hashes that tell rows apart which the joined form confuses: the nations' names hold separators here."""
+    key = F.col("n_nationkey")
+    odd = given(spark, sf, "nation").select(
+        "n_nationkey",
+        F.concat(F.lit("a"), F.when(key % 2 == 0, "||b").otherwise("")).alias("left"),
+        F.when(key % 5 != 0, F.concat(F.when(key % 2 == 0, "").otherwise("b||"), F.lit('say "c"\\'))).alias("right"))
+    return with_row_hash(odd, mode="safe")
+
+
 def _loaded_part(spark, sf):
     return given(spark, sf, "orders").where(F.col("o_orderdate") < F.lit(shapes.WATERMARK_BEFORE).cast("timestamp_ntz"))
 
@@ -102,9 +113,40 @@ def cdc_surplus_keys(spark, sf):
     return ingest.surplus_keys(frames.lines_source(spark, sf), ("l_orderkey", "l_linenumber"))
 
 
+def load_full_extracts(spark, sf):
+    """Orders loaded twice into a table of files, whole each time, as readers see it then."""
+    spec = TableSpec(f"{frames.scratch_database(spark)}.orders", keys=("o_orderkey",))
+    origin = Origin("files", "tpch", "orders")
+    load(spark, spec, given(spark, sf, "orders"), frames.FIRST_RUN, origin, buckets=8)
+    load(spark, spec, frames.orders_changed(spark, sf), frames.SECOND_RUN, origin)
+    return plain(spark.table(spec.name))
+
+
+def load_repeated_keys(spark, sf):
+    """Line items, whose keys repeat, loaded twice: the second load's surplus rows beside its changes."""
+    spec = TableSpec(f"{frames.scratch_database(spark)}.lines", keys=("l_orderkey", "l_linenumber"))
+    origin = Origin("files", "tpch", "lineitem")
+    result = load(spark, spec, given(spark, sf, "lineitem"), frames.FIRST_RUN, origin)
+    changed = given(spark, sf, "lineitem").withColumn("l_tax", F.when(F.col("l_orderkey") % 7 == 0, 0.5).otherwise(F.col("l_tax")))
+    again = load(spark, spec, changed.where("l_orderkey % 10 <> 0"), frames.SECOND_RUN, origin)
+    counts = {"first_insert": result.changes["insert"], "first_surplus": result.surplus, **again.changes, "surplus": again.surplus}
+    loaded = spark.table(spec.name).agg(F.count("*").alias("row_count"), F.count_if("_is_deleted").alias("deleted"), F.sum("l_tax").cast("decimal(18,2)").alias("tax"))
+    return loaded.withColumns({k: F.lit(v).cast("long") for k, v in counts.items()})
+
+
+def load_events_by_watermark(spark, sf):
+    """Events up to a day, then all of them: the second load reads only what came after the newest loaded one."""
+    spec = TableSpec(f"{frames.scratch_database(spark)}.events", keys=("event_id",), watermark="ts")
+    origin = Origin("files", "tpch", "events")
+    events = given(spark, sf, "events")
+    load(spark, spec, events.where(F.col("ts") < F.lit(shapes.EVENTS_BEFORE).cast("timestamp_ntz")), frames.FIRST_RUN, origin)
+    load(spark, spec, events, frames.SECOND_RUN, origin)
+    return plain(spark.table(spec.name))
+
+
 def csv_roundtrip(spark, sf):
     orders = given(spark, sf, "orders")
-    path = tables.scratch_path(spark, "csv")
+    path = f"{tables.scratch_folder(spark, 'csv')}/orders"
     csv.write_csv(orders, path)
     return csv.read_csv(spark, path, orders.schema)
 
@@ -365,6 +407,7 @@ def _on_insights(query, spark, sf):
 QUERIES: dict[str, Query] = {
     "lineage_stamp": lineage_stamp,
     "row_hash": row_hash,
+    "row_hash_safe": row_hash_safe,
     "high_watermark": high_watermark,
     "incremental_extract": incremental_extract,
     "incremental_extract_inclusive": partial(incremental_extract, inclusive=True),
@@ -376,6 +419,9 @@ QUERIES: dict[str, Query] = {
     "cdc_resurrect": cdc_resurrect,
     "cdc_soft_delete": cdc_soft_delete,
     "cdc_surplus_keys": cdc_surplus_keys,
+    "load_full_extracts": load_full_extracts,
+    "load_repeated_keys": load_repeated_keys,
+    "load_events_by_watermark": load_events_by_watermark,
     "csv_roundtrip": csv_roundtrip,
     "active_rows": lambda spark, sf: active_rows(_dirty(spark, sf)),
     "active_rows_strict": lambda spark, sf: active_rows(_dirty(spark, sf), null_is_active=False),

@@ -27,6 +27,7 @@ AS_OF = "2024-06-01 00:00:00"
 LOADED_AT = "2024-01-01 00:00:00"
 RELOADED_AT = "2024-02-01 00:00:00"
 WATERMARK_BEFORE = "2001-01-01 00:00:00"
+EVENTS_BEFORE = "2024-01-20 00:00:00"
 
 ORDER_COLUMNS = ("o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate", "o_orderpriority")
 LINE_COLUMNS = (
