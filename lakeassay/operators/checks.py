@@ -12,7 +12,7 @@ from collections.abc import Iterable, Mapping, Sequence
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import NumericType, StringType, StructType
 
@@ -91,6 +91,11 @@ def _column_checks(df: DataFrame, subject: Subject, limits: Thresholds, *,
     if numbers:
         summary = _with_outlier_counts(df, summary, numbers, limits.outlier_zscore)
 
+    return _emit(summary, subject, _column_measures(subject, limits, nulls, numbers, timestamp))
+
+
+def _column_measures(subject: Subject, limits: Thresholds, nulls: Sequence[str], numbers: Sequence[str], timestamp: str | None) -> list[str]:
+    """The metrics of a summary row: a struct `profile` and, per number, `far_<i>`."""
     measures = []
     for i, column in enumerate(nulls):
         missing = f"profile.total - profile.filled_{i}"
@@ -110,7 +115,7 @@ def _column_checks(df: DataFrame, subject: Subject, limits: Thresholds, *,
         measures.append(_measure(
             "freshness_hours", timestamp, f"coalesce({hours}, double('infinity'))", limits.freshness_hours,
             "concat('latest active record at ', coalesce(string(profile.latest), 'None'))"))
-    return _emit(summary, subject, measures)
+    return measures
 
 
 def _with_outlier_counts(df: DataFrame, profile: DataFrame, numbers: Sequence[str], limit: float) -> DataFrame:
@@ -130,6 +135,43 @@ def _with_outlier_counts(df: DataFrame, profile: DataFrame, numbers: Sequence[st
     return known.agg(*map(F.expr, counts)).withColumn("profile", profile.scalar())
 
 
+def column_metrics(spark: SparkSession, subject: Subject, limits: Thresholds, nulls: Sequence[str], numbers: Sequence[str],
+                   timestamp: str | None, totals: Mapping[str, Mapping]) -> DataFrame:
+    """Null, outlier and freshness metrics from totals that are known: per column `total`, `filled`, `nan`, `mean`, `std`, `far`,
+    and the newest time in microseconds as `latest`."""
+    wanted = list(dict.fromkeys([*nulls, *numbers]))
+    frames = []
+    for start in range(0, max(len(wanted), 1), BATCH_COLUMNS):
+        batch = wanted[start : start + BATCH_COLUMNS]
+        empty, counted = [c for c in batch if c in nulls], [c for c in batch if c in numbers]
+        fresh = timestamp if start == 0 else None
+        known = totals[(batch or [timestamp])[0]] if batch or fresh else None
+        if known is None:
+            continue
+        fields = [F.lit(known["total"]).cast("long").alias("total")]
+        fields += [F.lit(totals[c]["filled"]).cast("long").alias(f"filled_{i}") for i, c in enumerate(empty)]
+        for i, c in enumerate(counted):
+            fields += [F.lit(totals[c][f]).cast(kind).alias(f"{f}_{i}") for f, kind in (("mean", "double"), ("std", "double"), ("nan", "long"))]
+        if fresh:
+            fields.append(F.timestamp_micros(F.lit(totals[fresh]["latest"]).cast("long")).alias("latest"))
+        far = [F.lit(totals[c]["far"]).cast("long").alias(f"far_{i}") for i, c in enumerate(counted)]
+        summary = spark.range(1).select(F.struct(*fields).alias("profile"), *far)
+        frames.append(_emit(summary, subject, _column_measures(subject, limits, empty, counted, fresh)))
+    return _union(frames) if frames else spark.createDataFrame([], METRIC_SCHEMA)
+
+
+def duplicate_metrics(spark: SparkSession, subject: Subject, limits: Thresholds, keys: Sequence[str], total: int, kinds: int) -> DataFrame:
+    """The duplicate metric from known numbers of rows and of different keys."""
+    summary = spark.range(1).select(F.lit(total).cast("long").alias("total"), F.lit(kinds).cast("long").alias("kinds"))
+    return _emit(summary, subject, [_duplicate_measure(keys, limits)])
+
+
+def _duplicate_measure(keys: Sequence[str], limits: Thresholds) -> str:
+    return _measure(
+        "duplicate_rate", ",".join(keys), share("total - kinds", "total"), limits.duplicate_rate,
+        "format_string('%d duplicates out of %d active rows', total - kinds, total)")
+
+
 def _batched(df: DataFrame, subject: Subject, limits: Thresholds, nulls: Sequence[str],
              numbers: Sequence[str], timestamp: str | None) -> list[DataFrame]:
     """Split the columns so that one aggregate stays small; the numbers of a batch stay together."""
@@ -186,9 +228,7 @@ def duplicate_rate(df: DataFrame, subject: Subject, limits: Thresholds = Thresho
     compact = [_compact(df, c).alias(f"k{i}") for i, c in enumerate(keys)]
     groups = df.groupBy(*compact).agg(F.count(F.lit(1)).alias("copies"))
     summary = groups.agg(F.expr("coalesce(sum(copies), 0) AS total"), F.expr("count(1) AS kinds"))
-    return _emit(summary, subject, [_measure(
-        "duplicate_rate", ",".join(keys), share("total - kinds", "total"), limits.duplicate_rate,
-        "format_string('%d duplicates out of %d active rows', total - kinds, total)")])
+    return _emit(summary, subject, [_duplicate_measure(keys, limits)])
 
 
 def schema_conformity(df: DataFrame, subject: Subject, expected: StructType, *,

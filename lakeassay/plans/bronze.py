@@ -83,7 +83,7 @@ def load(spark: SparkSession, spec: TableSpec, source: DataFrame, run: RunContex
             if tables.supports_row_changes(fmt):
                 tables.publish(latest.drop(tables.KEY), spec.name, fmt=fmt)
             else:
-                table.create(latest, buckets or max(1, -(-size // bucket_bytes)))
+                table.create(latest, buckets or max(1, -(-size // bucket_bytes)), spec.keys)
             count = spark.table(spec.name).count()
             return LoadResult(spec.name, "initial", {"insert": count}, read - count)
         batch = staging.stage(latest)
@@ -153,7 +153,7 @@ def _merge(table: tables.KeyedTable, batch: DataFrame, run: RunContext, *, full_
         everything = grown or len(touched) == table.buckets
         rows = merged_buckets(table, batch, run, None if everything else touched, full_extract=full_extract, new_columns=new_columns)
         if grown:
-            table.create(rows, more)
+            table.create(rows, more, table.keys)
         else:
             table.replace(rows, touched)
     return changes

@@ -12,6 +12,7 @@ from lakeassay import project
 from lakeassay.model import RunContext, TableSpec, Thresholds
 from lakeassay.operators.checks import reference_keys, run_checks
 from lakeassay.operators.insights import insights_for_latest_run
+from lakeassay.plans.incremental import check_changed
 from lakeassay.plans.jobs import run_together
 from lakeassay.sources import tables
 
@@ -31,12 +32,14 @@ def _shared_keys(frames: Mapping[str, DataFrame], specs: Sequence[TableSpec]) ->
 
 
 def staged_suite(frames: Mapping[str, DataFrame], specs: Sequence[TableSpec], run: RunContext, *,
-                 staging: tables.Staging, limits: Thresholds = Thresholds(), at_once: int = 4) -> DataFrame:
+                 staging: tables.Staging, limits: Thresholds = Thresholds(), at_once: int = 4,
+                 keyed: Mapping[str, tables.KeyedTable] | None = None) -> DataFrame:
     """The same metrics, computed now, several tables at a time.
 
     One plan over many tables waits for each table's profile before it starts the next
     scan, and losing it means starting over. Here each table is a job of its own. Keys that
-    tables refer to are made distinct and written once, before the checks. The result reads
+    tables refer to are made distinct and written once, before the checks. Of the tables in
+    `keyed` only buckets that changed since their last check are read. The result reads
     what is in `staging`.
     """
     planned = _shared_keys(frames, specs)
@@ -44,6 +47,9 @@ def staged_suite(frames: Mapping[str, DataFrame], specs: Sequence[TableSpec], ru
     keys = dict(zip(planned, staged))
 
     def check(spec: TableSpec) -> DataFrame:
+        if spec.name in (keyed or {}):
+            return check_changed(frames[spec.name].sparkSession, keyed[spec.name], spec, run, staging=staging,
+                                 references=frames, limits=limits, keys=keys).metrics
         metrics = run_checks(frames[spec.name], spec, run, references=frames, limits=limits, keys=keys)
         return staging.stage(metrics.coalesce(1))
 
@@ -58,13 +64,19 @@ def write_metrics(metrics: DataFrame, table: str, *, fmt: str = "parquet") -> No
 
 
 def check_tables(spark: SparkSession, run: RunContext, *, database: str = project.DATABASE,
-                 specs: Sequence[TableSpec] | None = None, fmt: str = "parquet", at_once: int = 4) -> str:
-    """Check every table of the project and append the metrics; returns the metrics table."""
+                 specs: Sequence[TableSpec] | None = None, fmt: str = "parquet", at_once: int = 4,
+                 incremental: bool = False) -> str:
+    """Check every table of the project and append the metrics; returns the metrics table.
+
+    With `incremental`, tables that loads keep in buckets are checked from profiles of their buckets, of which only
+    changed ones are read again; the metrics are the same.
+    """
     specs = specs if specs is not None else project.quality_specs(database, project.LAYOUTS)
     frames = {s.name: spark.table(s.name) for s in specs}
     name = project.table_name(project.METRICS_TABLE, database)
+    keyed = {s.name: tables.KeyedTable(spark, s.name, fmt) for s in specs if tables.is_keyed(spark, s.name)} if incremental else {}
     with tables.Staging(spark) as staging:
-        write_metrics(staged_suite(frames, specs, run, staging=staging, at_once=at_once), name, fmt=fmt)
+        write_metrics(staged_suite(frames, specs, run, staging=staging, at_once=at_once, keyed=keyed), name, fmt=fmt)
     return name
 
 

@@ -6,12 +6,14 @@ import uuid
 from collections.abc import Mapping, Sequence
 from functools import reduce
 from operator import and_
+from urllib.parse import quote, unquote
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructField
 
 from lakeassay.functions import latest_per_key
+from lakeassay.functions.text import name as quoted_name
 from lakeassay.operators.ingest import merged_columns
 
 # Table formats, by name, whose connectors implement MERGE.
@@ -43,7 +45,7 @@ def scratch_folder(spark: SparkSession, name: str) -> str:
 
 
 class Staging:
-    """A fresh place for copies that later steps read, removed with all of them when the block ends.
+    """A fresh place for copies that later steps read, removed with all of them when the block ends, or else the session.
 
     A staged DataFrame shows all readers the same rows and survives lost executors. Two
     blocks never share a path, so loads of one table at the same time do not meet.
@@ -51,7 +53,7 @@ class Staging:
 
     def __init__(self, spark: SparkSession) -> None:
         self._spark = spark
-        self.path = scratch_path(spark, "staged")
+        self.path = scratch_folder(spark, "staged")
 
     def __enter__(self) -> Staging:
         return self
@@ -105,14 +107,23 @@ def publish(df: DataFrame, name: str, *, fmt: str = "parquet", partition_by: tup
     return snapshot
 
 
-def _show(spark: SparkSession, name: str, snapshot: str, columns: str) -> None:
-    spark.sql(f"CREATE OR REPLACE VIEW {name} TBLPROPERTIES ('snapshot' = '{snapshot}') AS SELECT {columns} FROM {snapshot}")
+def _show(spark: SparkSession, name: str, snapshot: str, columns: str, **properties: str) -> None:
+    listed = ", ".join(f"'{k}' = '{v}'" for k, v in {"snapshot": snapshot, **properties}.items())
+    spark.sql(f"CREATE OR REPLACE VIEW {name} TBLPROPERTIES ({listed}) AS SELECT {columns} FROM {snapshot}")
+
+
+def _properties(spark: SparkSession, name: str) -> dict[str, str]:
+    return {r["key"]: r["value"] for r in spark.sql(f"SHOW TBLPROPERTIES {name}").collect()}
 
 
 def shown(spark: SparkSession, name: str) -> str:
     """The snapshot that a published table shows."""
-    found = {r["key"]: r["value"] for r in spark.sql(f"SHOW TBLPROPERTIES {name}").collect()}
-    return found["snapshot"]
+    return _properties(spark, name)["snapshot"]
+
+
+def is_keyed(spark: SparkSession, name: str) -> bool:
+    """Whether a table is stored in buckets of its key."""
+    return "keys" in _properties(spark, name)
 
 
 def expire(spark: SparkSession, name: str, keep: int) -> list[str]:
@@ -193,16 +204,21 @@ class KeyedTable:
         """Where the rows of each bucket are. A folder is written once, so its rows never change."""
         return {int(spec): folder for spec, folder in _folders(self._spark, shown(self._spark, self.name)).items()}
 
-    def create(self, df: DataFrame, buckets: int) -> None:
-        """Make `df`, which has KEY and may read this table, all of its rows."""
-        self._write(with_bucket(df, buckets).repartition(buckets, KEY), buckets, {})
+    @property
+    def keys(self) -> tuple[str, ...]:
+        """The columns that KEY stands for."""
+        return tuple(unquote(k) for k in _properties(self._spark, self.name)["keys"].split(","))
+
+    def create(self, df: DataFrame, buckets: int, keys: Sequence[str]) -> None:
+        """Make `df`, which has KEY for its `keys` and may read this table, all of its rows."""
+        self._write(with_bucket(df, buckets).repartition(buckets, KEY), buckets, keys, {})
 
     def replace(self, df: DataFrame, touched: Sequence[int]) -> None:
         """Put `df`, which has KEY and may read this table, in place of the `touched` buckets; columns it adds are null elsewhere."""
         kept = {bucket: folder for bucket, folder in self.folders.items() if bucket not in set(touched)}
-        self._write(with_bucket(df, self.buckets), self.buckets, kept)
+        self._write(with_bucket(df, self.buckets), self.buckets, self.keys, kept)
 
-    def _write(self, df: DataFrame, buckets: int, shared: Mapping[int, str]) -> None:
+    def _write(self, df: DataFrame, buckets: int, keys: Sequence[str], shared: Mapping[int, str]) -> None:
         database, table = split_name(self.name)
         catalog = self._spark.catalog
         snapshot = f"{self.name}__v{max(_versions(self._spark, database, table), default=0) + 1:08d}"
@@ -219,7 +235,7 @@ class KeyedTable:
             self._spark.sql(f"ALTER TABLE {snapshot} ADD {' '.join(places[start : start + _AT_ONCE])}")
         data = [c for c in df.columns if c not in (KEY, BUCKET)]
         columns = [c for c in data if not c.startswith("_")] + [c for c in data if c.startswith("_")]
-        _show(self._spark, self.name, snapshot, ", ".join(f"`{c}`" for c in columns))
+        _show(self._spark, self.name, snapshot, ", ".join(map(quoted_name, columns)), keys=",".join(quote(k, safe="") for k in keys))
 
 
 def _folders(spark: SparkSession, table: str) -> dict[str, str]:
@@ -239,7 +255,7 @@ def supports_row_changes(fmt: str) -> bool:
 
 def _add_columns(spark: SparkSession, name: str, fields: Sequence[StructField]) -> None:
     if fields:
-        columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in fields)
+        columns = ", ".join(f"{quoted_name(f.name)} {f.dataType.simpleString()}" for f in fields)
         spark.sql(f"ALTER TABLE {name} ADD COLUMNS ({columns})")
 
 

@@ -312,6 +312,14 @@ def union(selects) -> str:
     return "\nUNION ALL\n".join(selects)
 
 
+def incremental() -> str:
+    source = f"SELECT * FROM ({orders_source()}) WHERE o_orderkey % 50 <> 1"
+    rows = Subject(active(merged(orders_target(), source, **ORDERS_MERGE)), "orders", "bronze_orders")
+    columns = [*shapes.ORDER_COLUMNS, *[c for c in LINEAGE if c != "_deleted_at"]]
+    return union([*rows.nulls(columns), *rows.outliers(["o_orderkey", "o_custkey", "o_totalprice"]),
+                  *rows.freshness("o_orderdate"), *rows.duplicates(["o_orderkey"])])
+
+
 DIRTY_COLUMNS = [*DIRTY.columns]
 DIRTY_KEYS = ["o_orderkey"]
 DIRTY_SCHEMA = [
@@ -541,6 +549,7 @@ def oracle_sql() -> dict[str, str]:
         "load_repeated_keys": LOADED_LINES,
         "load_events_by_watermark": loaded_events(),
         "row_hash_safe": ROW_HASH_SAFE,
+        "dq_incremental": incremental(),
         "cdc_surplus_keys": f"""SELECT l_orderkey, l_linenumber, count(*) AS copies FROM ({lines_source()})
             GROUP BY l_orderkey, l_linenumber HAVING count(*) > 1""",
         "csv_roundtrip": "SELECT * FROM orders",

@@ -14,6 +14,7 @@ from lakeassay.functions import active_rows, latest_per_key, with_row_hash
 from lakeassay.model import DefectSpec, ForeignKey, SilverSpec, TableSpec
 from lakeassay.operators import checks, defects, gold, ingest, insights, monitor, silver
 from lakeassay.plans.bronze import Origin, load
+from lakeassay.plans.incremental import check_changed
 from lakeassay.plans.jobs import run_together
 from lakeassay.plans.suite import run_suite, staged_suite
 from lakeassay.sources import csv, tables
@@ -323,6 +324,16 @@ def dq_suite(spark, sf):
         return plain(kept.stage(metrics.coalesce(1)))
 
 
+def dq_incremental(spark, sf):
+    """Orders loaded and checked twice; the second check reads only buckets that the second load wrote."""
+    spec = TableSpec(f"{frames.scratch_database(spark)}.orders", "bronze_orders", keys=("o_orderkey",), timestamp="o_orderdate")
+    table, origin, staging = tables.KeyedTable(spark, spec.name), Origin("files", "tpch", "orders"), tables.Staging(spark)
+    load(spark, spec, given(spark, sf, "orders"), frames.FIRST_RUN, origin, buckets=32)
+    check_changed(spark, table, spec, RUN, staging=staging)
+    load(spark, spec, frames.orders_changed(spark, sf).where("o_orderkey % 50 <> 1"), frames.SECOND_RUN, origin)
+    return plain(check_changed(spark, table, spec, RUN, staging=staging).metrics.withColumn("table_name", F.lit("orders")))
+
+
 # Insights -------------------------------------------------------------------------------
 
 def _newest(spark, sf):
@@ -450,6 +461,7 @@ QUERIES: dict[str, Query] = {
     "dq_run_all_include_deleted": dq_run_all_include_deleted,
     "dq_suite_given": dq_suite_given,
     "dq_suite": dq_suite,
+    "dq_incremental": dq_incremental,
     "mon_quality_score": partial(_on_metrics, monitor.quality_score),
     "mon_failed_checks": partial(_on_metrics, monitor.failed_checks),
     "mon_score_by_layer": partial(_on_metrics, monitor.score_by_layer),

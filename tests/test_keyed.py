@@ -76,7 +76,7 @@ def test_a_load_that_fails_halfway_changes_nothing(spark, monkeypatch):
 
     # Or after all is written, before the last step.
     show = tables._show
-    monkeypatch.setattr(tables, "_show", lambda *a: 1 / 0)
+    monkeypatch.setattr(tables, "_show", lambda *a, **b: 1 / 0)
     with pytest.raises(ZeroDivisionError):
         load(spark, spec("broken"), rows(spark, 50, changed=[3, 4, 5, 6]), RUNS[1], FROM)
     assert content(spark, "broken") == before and files() > kept
@@ -94,9 +94,9 @@ def test_readers_during_a_load_see_one_state(spark, monkeypatch):
     reader = spark.table("keyed.read")
     reader.explain("simple")
 
-    def last_step(*what):
+    def last_step(*what, **more):
         seen.append(content(spark, "read"))
-        show(*what)
+        show(*what, **more)
 
     monkeypatch.setattr(tables, "_show", last_step)
     load(spark, spec("read"), rows(spark, 60, changed=range(60)), RUNS[1], FROM)
