@@ -82,12 +82,16 @@ class SilverSpec:
 
 @dataclass(frozen=True)
 class DefectSpec:
-    """Shares of rows to corrupt, for exercising the checks."""
+    """Shares of rows to corrupt, for exercising the checks.
+
+    `exact_duplicates` adds exactly that share of copies, drawn with replacement, where else it holds in expectation.
+    """
 
     key: str
     null_columns: tuple[str, ...] = ()
     null_rate: float = 0.05
     duplicate_rate: float = 0.03
+    exact_duplicates: bool = False
     outlier_column: str | None = None
     outlier_rate: float = 0.01
     outlier_factor: float = 100.0

@@ -132,12 +132,22 @@ def prompts(metrics: DataFrame, template: str = PROMPT_TEMPLATE, *, domain: str
 
 
 def respond_with(prompt_rows: DataFrame, respond: Callable[[str], str]) -> DataFrame:
-    """Add `raw_response` from a caller's function, called on the executors once per prompt."""
-    schema = StructType([*prompt_rows.schema.fields, StructField("raw_response", StringType())])
+    """Add `raw_response` from a caller's function, called on the executors, and `error` where it raised instead.
+
+    A prompt that fails costs its own row only. A task that is repeated asks its prompts again; `plans.journal` keeps answers.
+    """
+    schema = StructType([*prompt_rows.schema.fields, StructField("raw_response", StringType()), StructField("error", StringType())])
+
+    def attempt(prompt: str) -> tuple[str | None, str | None]:
+        try:
+            return respond(prompt), None
+        except Exception as failure:  # whatever the caller's function raises
+            return None, f"{type(failure).__name__}: {failure}"
 
     def answer(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            yield batch.assign(raw_response=[respond(prompt) for prompt in batch["prompt"]])
+            answers = [attempt(prompt) for prompt in batch["prompt"]]
+            yield batch.assign(raw_response=[a for a, _ in answers], error=[e for _, e in answers])
 
     return prompt_rows.mapInPandas(answer, schema)
 

@@ -134,3 +134,20 @@ def rolling_baseline(metrics: DataFrame, days: int = BASELINE_DAYS) -> DataFrame
         F.round(current, 6).alias("current_value"),
         F.round(baseline, 6).alias("baseline_value"),
         F.round(current - baseline, 6).alias("deviation"))
+
+
+def run_baseline(metrics: DataFrame, days: int = BASELINE_DAYS) -> DataFrame:
+    """Each metric's mean in a run against its mean over the runs of the `days` before that run's instant.
+
+    The frame is a span of time, so two runs on one day have baselines of their own, and the later sees the earlier. Runs of
+    the same instant are not in each other's baseline. A metric is one row per run before the window.
+    """
+    series = ["table_name", "layer", "check_name", "column_name"]
+    value = F.when(F.abs("metric_value") != float("inf"), F.col("metric_value"))
+    runs = metrics.groupBy(*series, *RUN).agg(F.sum(value).alias("total"), F.count(value).alias("values"))
+    before = Window.partitionBy(*series).orderBy(F.unix_micros(F.col("run_timestamp").cast("timestamp"))).rangeBetween(-days * 86_400_000_000, -1)
+    current = F.try_divide("total", "values")
+    baseline = F.try_divide(F.sum("total").over(before), F.sum("values").over(before))
+    return runs.select(
+        *series, *RUN, F.round(current, 6).alias("current_value"), F.round(baseline, 6).alias("baseline_value"),
+        F.round(current - baseline, 6).alias("deviation"))

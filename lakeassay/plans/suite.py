@@ -11,9 +11,11 @@ from pyspark.sql import functions as F
 from lakeassay import project
 from lakeassay.model import RunContext, TableSpec, Thresholds
 from lakeassay.operators.checks import reference_keys, run_checks
-from lakeassay.operators.insights import insights_for_latest_run
+from lakeassay.operators.insights import insight_rows, prompts, rule_based_responses
+from lakeassay.operators.monitor import RUN, latest_run
 from lakeassay.plans.incremental import check_changed
 from lakeassay.plans.jobs import run_together
+from lakeassay.plans.journal import COMMIT_EVERY, Journal
 from lakeassay.sources import tables
 
 
@@ -81,13 +83,21 @@ def check_tables(spark: SparkSession, run: RunContext, *, database: str = projec
 
 
 def write_insight(spark: SparkSession, run: RunContext, *, database: str = project.DATABASE,
-                  respond: Callable[[str], str] | None = None, fmt: str = "parquet") -> str:
+                  respond: Callable[[str], str] | None = None, fmt: str = "parquet", asked: str = "",
+                  commit_every: int = COMMIT_EVERY) -> str:
     """Append the insights of the newest run, if there is one; returns the insights table.
 
-    The rows are staged before the append, so a model is asked once even if a write is retried.
+    Answers of a model are kept in a journal under their prompts, with `asked` naming the model: if a call is lost, the next
+    asks only for what is missing. A prompt that raises has an insight without text and its error in the journal.
     """
-    metrics = spark.table(project.table_name(project.METRICS_TABLE, database))
+    metrics = latest_run(spark.table(project.table_name(project.METRICS_TABLE, database)))
     name = project.table_name(project.INSIGHTS_TABLE, database)
+    if respond is None:
+        responses = rule_based_responses(metrics)
+    else:
+        journal, asking = Journal(spark, project.table_name(project.ANSWERS_TABLE, database), asked, fmt), prompts(metrics)
+        journal.ask(asking, respond, run.timestamp, commit_every=commit_every)
+        responses = journal.answers(asking).select(*RUN, "table_name", "raw_response")
     with tables.Staging(spark) as staging:
-        tables.append(staging.stage(insights_for_latest_run(metrics, run.timestamp, respond=respond)), name, fmt=fmt)
+        tables.append(staging.stage(insight_rows(metrics, responses, run.timestamp)), name, fmt=fmt)
     return name

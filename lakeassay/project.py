@@ -38,6 +38,7 @@ GOLD_KEYS = {
 }
 METRICS_TABLE = "quality_metrics"
 INSIGHTS_TABLE = "ai_insights"
+ANSWERS_TABLE = "ai_answers"
 
 SILVER = {
     "studies": SilverSpec(

@@ -127,6 +127,9 @@ def loaded_events() -> str:
 
 
 _HASHED = "md5(concat_ws('||', {}))".format(", ".join(f"coalesce(CAST({c} AS varchar), '<NULL>')" for c in shapes.LINE_COLUMNS))
+REJECTED_BECAUSE = """CASE WHEN o_orderkey % 97 = 0 THEN 'o_custkey: ''many'' is not int'
+    WHEN o_orderkey % 89 = 0 THEN concat('o_orderkey: ''x', CAST(o_orderkey AS varchar), ''' is not bigint; o_custkey: ''lots'' is not int')
+    WHEN o_orderkey % 83 = 0 THEN 'more than 4 values' WHEN o_orderkey % 79 = 0 THEN 'not 4 values' END"""
 LOADED_LINES = f"""
 WITH first AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY l_orderkey, l_linenumber ORDER BY {_HASHED}) AS n FROM lineitem) WHERE n = 1),
 changed AS (SELECT * REPLACE (CASE WHEN l_orderkey % 7 = 0 THEN 0.5 ELSE l_tax END AS l_tax) FROM lineitem WHERE l_orderkey % 10 <> 0),
@@ -451,6 +454,18 @@ PROMPTS = f"""SELECT run_id, run_timestamp, layer, table_name,
     USING (run_id, run_timestamp, layer, table_name)"""
 
 
+JOURNAL = f"""SELECT sha256(prompt) AS prompt_hash,
+    CASE WHEN table_name <> 't1' THEN concat('{{"summary": "', length(prompt), ' characters", "severity": "low"}}') END AS raw_response,
+    CASE WHEN table_name = 't1' THEN 'ValueError: no answer' END AS error,
+    CASE WHEN table_name = 't1' THEN 2 ELSE 1 END AS asked FROM ({PROMPTS})"""
+RUN_BASELINE = f"""SELECT table_name, layer, check_name, column_name, run_id, moved AS run_timestamp, round(v, 6) AS current_value,
+    round(avg(v) OVER before, 6) AS baseline_value, round(v - avg(v) OVER before, 6) AS deviation
+    FROM (SELECT table_name, layer, check_name, column_name, run_id, moved, avg(metric_value) AS v
+        FROM (SELECT *, {shapes.TWO_A_DAY} AS moved FROM m) GROUP BY ALL)
+    WINDOW before AS (PARTITION BY table_name, layer, check_name, column_name ORDER BY moved
+        RANGE BETWEEN INTERVAL 7 DAYS PRECEDING AND INTERVAL 1 MICROSECOND PRECEDING)"""
+
+
 def _explained(position: int) -> str:
     cases = " ".join(f"WHEN {text(check)} THEN {text(words[position])}" for check, words in EXPLANATIONS.items())
     return f"CASE check_name {cases} END"
@@ -550,6 +565,12 @@ def oracle_sql() -> dict[str, str]:
         "load_events_by_watermark": loaded_events(),
         "row_hash_safe": ROW_HASH_SAFE,
         "dq_incremental": incremental(),
+        "csv_rejects": f"SELECT line AS record, reason FROM ({rows_of(shapes.ORDER_LINES, reason=REJECTED_BECAUSE)})",
+        "jdbc_balanced_ranges": "SELECT count(*) AS row_count, count(*) AS covered_once, 16 AS parts, true AS balanced FROM orders",
+        "insight_journal": over_metrics(JOURNAL),
+        "inject_exact_duplicates":
+            "SELECT count(*) + CAST(floor(count(*) * 0.03) AS bigint) AS row_count, count(DISTINCT o_orderkey) AS kinds FROM orders",
+        "mon_run_baseline": over_metrics(RUN_BASELINE),
         "cdc_surplus_keys": f"""SELECT l_orderkey, l_linenumber, count(*) AS copies FROM ({lines_source()})
             GROUP BY l_orderkey, l_linenumber HAVING count(*) > 1""",
         "csv_roundtrip": "SELECT * FROM orders",

@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable
 from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import DoubleType, LongType, StringType, StructField, StructType
+from pyspark.sql.types import DoubleType, IntegerType, LongType, StringType, StructField, StructType
 
 from lakeassay import project
 from lakeassay.functions import active_rows, latest_per_key, with_row_hash
@@ -16,8 +17,9 @@ from lakeassay.operators import checks, defects, gold, ingest, insights, monitor
 from lakeassay.plans.bronze import Origin, load
 from lakeassay.plans.incremental import check_changed
 from lakeassay.plans.jobs import run_together
+from lakeassay.plans.journal import Journal
 from lakeassay.plans.suite import run_suite, staged_suite
-from lakeassay.sources import csv, tables
+from lakeassay.sources import csv, jdbc, tables
 from registry import frames, shapes
 from registry.frames import RUN, given, moment, plain, shaped
 
@@ -152,6 +154,29 @@ def csv_roundtrip(spark, sf):
     return csv.read_csv(spark, path, orders.schema)
 
 
+def csv_rejects(spark, sf):
+    """Orders as lines of text, some of them broken: what is kept, and what is rejected and why."""
+    path = f"{tables.scratch_folder(spark, 'csv')}/orders"
+    shaped(spark, sf, shapes.ORDER_LINES).write.text(path)
+    layout = StructType([StructField("o_orderkey", LongType()), StructField("o_custkey", IntegerType()),
+                         StructField("o_orderstatus", StringType()), StructField("o_orderpriority", StringType())])
+    found = csv.split_csv(spark, path, layout, header=False)
+    kept = found.kept.select(F.concat_ws(",", *layout.fieldNames()).alias("record"), F.lit(None).cast("string").alias("reason"))
+    return kept.unionByName(found.rejected.drop("file"))
+
+
+def jdbc_balanced_ranges(spark, sf):
+    """The ranges that a scan of orders by a text key is split into, held against the rows themselves."""
+    rows = given(spark, sf, "orders").select(F.concat(F.lit("NCT"), "o_orderkey").alias("nct_id"))
+    sample = rows.orderBy(F.xxhash64("nct_id")).limit(4000).orderBy("nct_id").collect()
+    conditions = jdbc.range_predicates("nct_id", jdbc.quantile_boundaries([r[0] for r in sample], 16))
+    hits = [F.expr(c).cast("int") for c in conditions]
+    counts = rows.select(sum(hits, F.lit(0)).alias("covered"), F.explode(F.array(*[F.when(h == 1, i) for i, h in enumerate(hits)])).alias("part"))
+    parts = counts.where("part IS NOT NULL").groupBy("part").agg(F.count("*").alias("n"), F.count_if(F.col("covered") == 1).alias("once"))
+    return parts.agg(F.sum("n").alias("row_count"), F.sum("once").alias("covered_once"), F.count("*").alias("parts"),
+                     (F.max("n") < 2 * F.median("n")).alias("balanced"))
+
+
 # Cleaning -------------------------------------------------------------------------------
 
 def silver_dedupe(spark, sf):
@@ -370,6 +395,22 @@ def insight_latest(spark, sf):
     return plain(insights.insights_for_latest_run(frames.metrics(spark, sf), RUN.timestamp))
 
 
+def _counted(prompt):
+    """What stands for a model here: it counts, and fails on one table."""
+    if " table=t1 " in prompt:
+        raise ValueError("no answer")
+    return json.dumps({"summary": f"{len(prompt)} characters", "severity": "low"})
+
+
+def insight_journal(spark, sf):
+    """The journal after all prompts were asked twice: answers once, failures twice."""
+    journal = Journal(spark, f"{frames.scratch_database(spark)}.answers", "counter")
+    asking = insights.prompts(frames.metrics(spark, sf))
+    for run in (frames.FIRST_RUN, frames.SECOND_RUN):
+        journal.ask(asking, _counted, run.timestamp, commit_every=60)
+    return spark.table(journal.table).groupBy("prompt_hash", "raw_response", "error").agg(F.count("*").alias("asked"))
+
+
 # Defects --------------------------------------------------------------------------------
 
 def inject_nulls(spark, sf):
@@ -380,6 +421,13 @@ def inject_duplicates(spark, sf):
     return defects.inject_duplicates(given(spark, sf, "orders"), "o_orderkey", 0.03, seed=5)
 
 
+def inject_exact_duplicates(spark, sf):
+    """How many orders, and how many different ones, there are with copies of exactly three in a hundred."""
+    copied = defects.inject_exact_duplicates(given(spark, sf, "orders"), 0.03, seed=5, bucket_rows=1000)
+    per_key = copied.groupBy("o_orderkey").agg(F.count("*").alias("n"))
+    return per_key.agg(F.sum("n").alias("row_count"), F.count("*").alias("kinds"))
+
+
 def inject_outliers(spark, sf):
     return defects.inject_outliers(given(spark, sf, "orders"), "o_orderkey", "o_totalprice", 0.01, seed=11)
 
@@ -415,6 +463,12 @@ def _on_insights(query, spark, sf):
     return plain(query(frames.insights(spark, sf)))
 
 
+def mon_run_baseline(spark, sf):
+    """Runs of which some share a day, each against the seven days before its own instant."""
+    metrics = frames.metrics(spark, sf).withColumn("run_timestamp", F.expr(shapes.TWO_A_DAY))
+    return plain(monitor.run_baseline(metrics))
+
+
 QUERIES: dict[str, Query] = {
     "lineage_stamp": lineage_stamp,
     "row_hash": row_hash,
@@ -434,6 +488,8 @@ QUERIES: dict[str, Query] = {
     "load_repeated_keys": load_repeated_keys,
     "load_events_by_watermark": load_events_by_watermark,
     "csv_roundtrip": csv_roundtrip,
+    "csv_rejects": csv_rejects,
+    "jdbc_balanced_ranges": jdbc_balanced_ranges,
     "active_rows": lambda spark, sf: active_rows(_dirty(spark, sf)),
     "active_rows_strict": lambda spark, sf: active_rows(_dirty(spark, sf), null_is_active=False),
     "include_deleted_rows": lambda spark, sf: active_rows(_dirty(spark, sf), include_deleted=True),
@@ -474,6 +530,7 @@ QUERIES: dict[str, Query] = {
     "mon_severity_trend": partial(_on_insights, monitor.severity_trend),
     "mon_score_alerts": partial(_on_metrics, monitor.score_alerts),
     "mon_rolling_baseline": partial(_on_metrics, monitor.rolling_baseline),
+    "mon_run_baseline": mon_run_baseline,
     "insight_latest_run": lambda spark, sf: plain(_newest(spark, sf)),
     "insight_ranked_metrics": insight_ranked_metrics,
     "insight_pass_fail": insight_pass_fail,
@@ -486,8 +543,10 @@ QUERIES: dict[str, Query] = {
     "insight_rows_of_parts": insight_rows_of_parts,
     "insight_whole_suite": insight_whole_suite,
     "insight_latest": insight_latest,
+    "insight_journal": insight_journal,
     "inject_nulls": inject_nulls,
     "inject_duplicates": inject_duplicates,
+    "inject_exact_duplicates": inject_exact_duplicates,
     "inject_outliers": inject_outliers,
     "inject_stale": inject_stale,
     "inject_schema_drift": inject_schema_drift,

@@ -175,6 +175,20 @@ METRICS = Shape(
     },
 )
 
+# Every second run moved to the day before, six hours after the run of that day.
+TWO_A_DAY = "CASE WHEN day(run_timestamp) % 2 = 0 THEN run_timestamp - interval '18' hour ELSE run_timestamp END"
+
+# Orders as lines of a file, of which some hold values that do not parse, one value more or one less.
+_KEY, _REST = "CAST(o_orderkey AS string)", "',', o_orderstatus, ',', o_orderpriority"
+ORDER_LINES = Shape(
+    base="orders",
+    columns={"line": f"""CASE WHEN o_orderkey % 97 = 0 THEN concat({_KEY}, ',many', {_REST})
+        WHEN o_orderkey % 89 = 0 THEN concat('x', {_KEY}, ',lots', {_REST})
+        WHEN o_orderkey % 83 = 0 THEN concat({_KEY}, ',', CAST(o_custkey AS string), {_REST}, ',extra')
+        WHEN o_orderkey % 79 = 0 THEN concat({_KEY}, ',', CAST(o_custkey AS string), ',', o_orderstatus)
+        ELSE concat({_KEY}, ',', CAST(o_custkey AS string), {_REST}) END"""},
+)
+
 # One insight per order.
 INSIGHTS = Shape(
     base="orders",

@@ -83,3 +83,47 @@ def test_checks_find_what_was_injected(orders):
     assert abs(found["duplicate_rate", "order_id"].metric_value - 0.03 / 1.03) < 0.01
     assert abs(found["outlier_rate", "amount"].metric_value - 0.01) < 0.004
     assert found["freshness_hours", "order_date"].metric_value == 48.0
+
+
+def counts(df):
+    return sorted((str(r), n) for r, n in ((tuple(x[:-1]), x[-1]) for x in df.groupBy(*df.columns).count().collect()))
+
+
+@pytest.mark.parametrize("bucket_rows", [100, 3000, 10**9])
+def test_exact_duplicates_do_not_depend_on_the_partitioning(spark, bucket_rows):
+    df = spark.range(7001).select("id", (F.col("id") % 3).alias("a"), F.when(F.col("id") % 4 == 0, "x").alias("b"))
+    three, seven = (defects.inject_exact_duplicates(df.repartition(n), 0.13, seed=3, bucket_rows=bucket_rows) for n in (3, 7))
+    assert three.columns == df.columns and three.count() == seven.count() == 7001 + int(7001 * 0.13)
+    assert counts(three) == counts(seven)
+    assert three.distinct().count() == 7001
+    other = defects.inject_exact_duplicates(df, 0.13, seed=4, bucket_rows=bucket_rows)
+    assert counts(other) != counts(three)
+    # With replacement: some rows are drawn twice.
+    assert max(n for _, n in counts(three)) > 2
+
+
+def test_exact_duplicates_of_equal_rows(spark):
+    """One row holds a third of the table: it is drawn as often as a third of the copies."""
+    df = spark.range(6000).select(F.when(F.col("id") % 3 == 0, -1).otherwise(F.col("id")).alias("id"))
+    copied = defects.inject_exact_duplicates(df, 0.5, seed=1, bucket_rows=500)
+    assert copied.count() == 9000
+    assert abs(copied.where("id = -1").count() - 3000) < 150
+    marked = defects.inject_exact_duplicates(df, 0.5, seed=1, bucket_rows=500, mark="copy")
+    assert marked.where("copy = 0").count() == 6000 and marked.where("copy > 0").count() == 3000
+
+
+def test_exact_duplicates_of_odd_tables(spark):
+    df = spark.sql("SELECT 1 AS a, map('x', 1) AS m UNION ALL SELECT NULL, NULL UNION ALL SELECT 1, map('y', 2)")
+    assert defects.inject_exact_duplicates(df, 2.0).count() == 9
+    assert defects.inject_exact_duplicates(df, 0.3).count() == 3
+    assert defects.inject_exact_duplicates(df.where("false"), 0.5, mark="n").columns == ["a", "m", "n"]
+
+
+def test_shuffling_does_not_depend_on_the_partitioning(spark, orders):
+    ways = [[r.order_id for r in defects.shuffle_rows(orders.repartition(n), 3).collect()] for n in (2, 5)]
+    assert ways[0] == ways[1]
+
+
+def test_corruption_with_an_exact_number_of_copies(orders):
+    df = defects.corrupt(orders, DefectSpec(key="order_id", exact_duplicates=True, outlier_column="amount"), instant(AS_OF))
+    assert df.count() == 20600 and df.columns == orders.columns

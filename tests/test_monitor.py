@@ -1,5 +1,5 @@
 import re
-from datetime import date, datetime
+from datetime import date, datetime, timedelta
 
 import pytest
 from conftest import planned
@@ -97,3 +97,13 @@ def test_rolling_baseline(spark):
              for r in monitor.rolling_baseline(history).collect()}
     assert found == {
         1: (0.9, None, None), 3: (0.2, 0.9, -0.7), 9: (0.2, 0.2, 0.0), 10: (None, 0.2, None), 20: (0.7, None, None)}
+
+
+def test_runs_of_one_day_have_their_own_baselines(spark):
+    start = datetime(2024, 1, 1)
+    at = [start, start + timedelta(hours=6), start + timedelta(days=7), start + timedelta(days=7, microseconds=1), start + timedelta(days=7, hours=6)]
+    rows = [(f"r{i}", t, "l", "t", "null_rate", "c", float(2**i)) for i, t in enumerate(at)]
+    rows.append(("twin", at[4], "l", "t", "null_rate", "c", float("inf")))
+    df = spark.createDataFrame(rows, "run_id string, run_timestamp timestamp, layer string, table_name string, check_name string, column_name string, metric_value double")
+    found = {r.run_id: (r.current_value, r.baseline_value) for r in monitor.run_baseline(df).collect()}
+    assert found == {"r0": (1.0, None), "r1": (2.0, 1.0), "r2": (4.0, 1.5), "r3": (8.0, 3.0), "r4": (16.0, round(14 / 3, 6)), "twin": (None, round(14 / 3, 6))}

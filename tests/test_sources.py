@@ -4,6 +4,7 @@ from pathlib import Path
 import pytest
 from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegerType, StringType, StructField, StructType
 
 from lakeassay import project
 from lakeassay.functions import with_row_hash
@@ -183,3 +184,64 @@ def test_jdbc_buckets_cover_every_row_once(spark, partitions):
     assert len(conditions) == partitions
     hits = sum((F.coalesce(F.expr(c), F.lit(False)).cast("int") for c in conditions), F.lit(0))
     assert {r.hits for r in df.select(hits.alias("hits")).collect()} == {1}
+
+
+def rejected(found):
+    return sorted((r.record, r.reason) for r in found.rejected.collect())
+
+
+def test_lines_that_do_not_parse_are_kept_apart_with_the_reason(spark, tmp_path):
+    lines = ["product_id,name,category,unit_price", "1,Pen,Home,2.5", "x,Cup,Home,cheap", "2,Mug,Home", "3,Jar,Home,1.0,more", "",
+             '4,"a, ""b""",Home,', ",,,", '5,"say ""hi""",Home,dear', "6,Tin,Home,9.5"]
+    (tmp_path / "p.csv").write_text("\n".join(lines) + "\n")
+    found = csv.split_csv(spark, str(tmp_path / "p.csv"), project.CSV_SCHEMAS["products"])
+    assert sorted((r.product_id or 0, r.name) for r in found.kept.collect()) == [(0, None), (1, "Pen"), (4, 'a, "b"'), (6, "Tin")]
+    assert rejected(found) == [
+        ("2,Mug,Home", "not 4 values"), ("3,Jar,Home,1.0,more", "more than 4 values"),
+        ('5,"say ""hi""",Home,dear', "unit_price: 'dear' is not double"),
+        ("x,Cup,Home,cheap", "product_id: 'x' is not int; unit_price: 'cheap' is not double")]
+    assert found.kept.count() + found.rejected.count() == len([x for x in lines[1:] if x])
+    assert found.kept.columns == project.CSV_SCHEMAS["products"].fieldNames()
+    assert {Path(r.file.removeprefix("file:")) for r in found.rejected.collect()} == {tmp_path / "p.csv"}
+
+
+def test_rejects_of_odd_files(spark, tmp_path):
+    (tmp_path / "none.csv").write_text("a,b\n")
+    empty = csv.split_csv(spark, str(tmp_path / "none.csv"), StructType([StructField("a", IntegerType()), StructField("b", StringType())]))
+    assert empty.kept.count() == 0 and empty.rejected.count() == 0
+    clash = StructType([StructField("_corrupt_record", StringType()), StructField("n", IntegerType())])
+    (tmp_path / "clash.csv").write_text('x,1\n"two\nlines",2\ny,z\n')
+    found = csv.split_csv(spark, str(tmp_path / "clash.csv"), clash, header=False, multiline=True)
+    assert sorted((r._corrupt_record, r.n) for r in found.kept.collect()) == [("two\nlines", 2), ("x", 1)]
+    assert [r[1] for r in rejected(found)] == ["n: 'z' is not int"]
+
+
+def test_boundaries_cut_a_sample_evenly():
+    assert jdbc.quantile_boundaries(list(range(100)), 4) == [25, 50, 75]
+    assert jdbc.quantile_boundaries([], 4) == [] and jdbc.quantile_boundaries([1, 2], 1) == []
+    assert jdbc.quantile_boundaries(["a"] * 90 + ["b"] * 10, 10) == ["b"]  # one value fills nine parts
+    assert jdbc.range_predicates("k", []) == ["1 = 1"]
+    assert jdbc.range_predicates("k", ["a'b", "c"]) == ["(k < 'a''b' OR k IS NULL)", "k >= 'a''b' AND k < 'c'", "k >= 'c'"]
+    assert jdbc.range_predicates("n", [5]) == ["(n < 5 OR n IS NULL)", "n >= 5"]
+    assert jdbc.sample_query("t", "k", 0.01) == "SELECT k AS sampled FROM t TABLESAMPLE SYSTEM (1) WHERE k IS NOT NULL ORDER BY k"
+    assert jdbc.sample_query("t", "k", 1) == "SELECT k AS sampled FROM t WHERE k IS NOT NULL ORDER BY k"
+    for bad in (lambda: jdbc.quantile_boundaries([1], 0), lambda: jdbc.sample_query("t", "k", 0)):
+        with pytest.raises(ValueError):
+            bad()
+
+
+@pytest.mark.parametrize("partitions", [2, 7, 16])
+def test_ranges_cover_every_row_once_and_evenly(spark, tmp_path, partitions):
+    # Text keys that crowd together, some nulls.
+    rows = spark.range(20000).select(F.when(F.col("id") % 50 != 0, F.concat(F.lit("NCT0"), F.expr("cast(id * id as string)"))).alias("k"))
+    rows.write.parquet(str(tmp_path / "t"))
+    table = spark.read.parquet(str(tmp_path / "t"))
+    sample = sorted(r.k for r in table.where("k is not null and pmod(xxhash64(k), 10) = 0").collect())
+    conditions = jdbc.range_predicates("k", jdbc.quantile_boundaries(sample, partitions))
+    assert len(conditions) == partitions
+    hits = [F.coalesce(F.expr(c), F.lit(False)).cast("int") for c in conditions]
+    assert table.select(sum(hits, F.lit(0)).alias("n")).distinct().collect() == [(1,)]
+    sizes = sorted(table.where(c).count() for c in conditions)
+    assert sum(sizes) == 20000 and sizes[-1] < 2 * sizes[len(sizes) // 2]
+    # Bare comparisons: a store that has an index, or here the files' statistics, can use them.
+    assert "PushedFilters: [IsNotNull(k), GreaterThanOrEqual" in table.where(conditions[-1])._jdf.queryExecution().executedPlan().toString()
