@@ -73,34 +73,31 @@ def pass_fail_counts(metrics: DataFrame) -> DataFrame:
     return metrics.groupBy(*RUN).agg(*_counts())
 
 
-def _line(**fields: str) -> Column:
-    """`label=value` parts; the values are SQL over a metric row."""
+def _line(**fields: str) -> str:
+    """`label=value` parts as SQL; the values are SQL over the fields of a collected metric."""
     parts = [f"concat({literal(label + '=')}, coalesce({value}, 'None'))" for label, value in fields.items()]
-    return F.expr(f"concat_ws(' | ', {', '.join(parts)})")
-
-
-def _joined(lines: Column) -> Column:
-    """The lines of a part in order as one text, nulls left out."""
-    entry = F.when(lines.isNotNull(), F.struct(*ORDER, lines.alias("line")))
-    ordered = F.array_sort(F.collect_list(entry))
-    return F.array_join(F.transform(ordered, lambda item: item["line"]), "\n")
+    return f"concat_ws(' | ', {', '.join(parts)})"
 
 
 def _parts(metrics: DataFrame, domain: str) -> DataFrame:
     """Per run and table: `metrics_summary` and `sample_failures`, from one pass over the metrics.
 
-    Every metric of the table has its line in the summary, and every failure one in the list.
+    Every metric of the table has its line in the summary, and every failure one in the list. The metrics of a
+    table are collected once, as values; their texts are made from that.
     """
     # The labels of the lines.
     line = _line(
-        layer="layer", table="table_name", check="check_name", column="column_name",
-        value=number_text("metric_value"), threshold=number_text("threshold"),
-        passed=truth_text("passed"), details="details")
+        layer="layer", table="table_name", check="m.check_name", column="m.column_name",
+        value=number_text("m.metric_value"), threshold=number_text("m.threshold"),
+        passed=truth_text("m.passed"), details="m.details")
     failure = _line(
-        layer="layer", table="table_name", column="column_name", check="check_name",
-        value=number_text("metric_value"), threshold=number_text("threshold"), details="details")
-    parts = metrics.groupBy(*PART).agg(
-        *_counts(), _joined(line).alias("lines"), _joined(F.when(~F.col("passed"), failure)).alias("failures"))
+        layer="layer", table="table_name", column="m.column_name", check="m.check_name",
+        value=number_text("m.metric_value"), threshold=number_text("m.threshold"), details="m.details")
+    collected = metrics.groupBy(*PART).agg(
+        *_counts(), F.array_sort(F.collect_list(F.struct(*ORDER, "threshold"))).alias("found"))
+    parts = collected.withColumns({
+        "lines": F.expr(f"array_join(transform(found, m -> {line}), '\n')"),
+        "failures": F.expr(f"array_join(transform(filter(found, m -> NOT m.passed), m -> {failure}), '\n')")}).drop("found")
     of_run = Window.partitionBy(*RUN)  # one row per table
     headline = F.concat(
         F.lit("Latest run timestamp: "), F.expr(iso_text("run_timestamp")),

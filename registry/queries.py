@@ -18,7 +18,7 @@ from lakeassay.plans.bronze import Origin, load
 from lakeassay.plans.incremental import check_changed
 from lakeassay.plans.jobs import run_together
 from lakeassay.plans.journal import Journal
-from lakeassay.plans.suite import run_suite, staged_suite
+from lakeassay.plans.suite import staged_suite
 from lakeassay.sources import csv, jdbc, tables
 from registry import frames, shapes
 from registry.frames import RUN, given, moment, plain, shaped
@@ -314,8 +314,8 @@ GIVEN_SPECS = [
 
 
 def dq_suite_given(spark, sf):
-    """The suite over the given tables as they are, without writing anything."""
-    return plain(run_suite({s.name: given(spark, sf, s.name) for s in GIVEN_SPECS}, GIVEN_SPECS, RUN))
+    """The suite over the given tables as they are, several of them at a time."""
+    return plain(staged_suite({s.name: given(spark, sf, s.name) for s in GIVEN_SPECS}, GIVEN_SPECS, RUN, staging=tables.Staging(spark)))
 
 
 def staged_layers(spark, sf, staging):
