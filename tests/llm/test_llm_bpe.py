@@ -1,6 +1,7 @@
 import base64
 import hashlib
 import random
+import uuid
 
 import numpy as np
 import public_tokenizers
@@ -56,6 +57,31 @@ def test_memory_is_bounded(vocabulary, library, monkeypatch):
         assert encoder.encode(text).tolist() == library.encode_ordinary(text)
 
 
+def test_decoding_in_steps(vocabulary, library, monkeypatch):
+    monkeypatch.setattr(bpe.Decoder, "STEP", 3)
+    decoder = bpe.Decoder(vocabulary.tokens)
+    for text in ("", "a", "some wörds, 日本語 and more\n" * 5):
+        assert decoder.decode(np.array(library.encode_ordinary(text), np.int64)).decode() == text
+    for ids in ([len(vocabulary.tokens)], [-1]):
+        with pytest.raises(ValueError):
+            decoder.decode(np.array(ids))
+
+
+def test_one_encoder_serves_all_batches_and_tasks_of_a_worker(spark, vocabulary, library, tmp_path, monkeypatch, conf):
+    conf(spark__sql__execution__arrow__maxRecordsPerBatch="100")
+    made = bpe.Encoder.__init__
+
+    def counted(self, *args):
+        (tmp_path / uuid.uuid4().hex).touch()
+        made(self, *args)
+
+    monkeypatch.setattr(bpe.Encoder, "__init__", counted)
+    docs = spark.range(0, 2000, 1, 2).select(F.concat(F.lit("text number "), "id").alias("text"))
+    rows = docs.coalesce(1).select("text", bpe.round_trip(F.col("text"), vocabulary, PATTERN).alias("r")).collect()
+    assert all(tuple(r.r) == digests(r.text, library) for r in rows) and len(rows) == 2000
+    assert len(list(tmp_path.iterdir())) == 1
+
+
 def digests(text, library):
     ids = library.encode_ordinary(text or "")
     return len(ids), hashlib.sha256(np.array(ids, "<u4").tobytes()).hexdigest(), hashlib.sha256((text or "").encode()).hexdigest()
