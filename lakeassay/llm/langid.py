@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-import re
+import unicodedata
 from collections import Counter, defaultdict
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -10,6 +10,7 @@ from dataclasses import dataclass
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import regex
 import sentencepiece
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -18,12 +19,13 @@ from lakeassay.llm.common import bounded_broadcast, held_out
 
 #: What a text has no language by.
 UNDETERMINED = "und"
-WORDS = re.compile(r"[^\W\d_]+")
+#: A word is a run of letters and the marks on them, as vowel signs and accents that are characters of their own.
+WORDS = regex.compile(r"[\p{L}\p{M}]++")
 START = "▁"  # how the vocabulary marks the start of a word
-#: Longer runs of letters are cut here; no segmentation reaches over a cut.
-LONGEST = 48
-#: Distinct words, and characters of text, that a task works on at a time.
-MEMORY, CHUNK = 1 << 17, 1 << 21
+#: Distinct words that a worker remembers, in rows of up to ROW_BYTES together, and characters of text that it works on at a time.
+MEMORY, ROW_BYTES, CHUNK = 1 << 20, 1 << 27, 1 << 21
+#: Characters, or states of the forward sums, that are worked on at a time.
+CELLS, BLOCK = 1 << 21, 1 << 12
 #: A model of L languages takes 8 * L * pieces bytes; more than this is an error.
 MODEL_LIMIT = 1 << 28
 
@@ -62,11 +64,11 @@ class PieceIndex:
             if text:
                 by_length[len(text)].append(i)
         self.longest = max(by_length, default=1)
-        self.keys, self.ids = np.zeros(1 << self.BITS, np.uint64), np.full(1 << self.BITS, -1, np.int64)
-        hashes, ids = [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)]
+        self.keys, self.ids = np.zeros(1 << self.BITS, np.uint64), np.full(1 << self.BITS, -1, np.int32)
+        hashes, ids = [np.zeros(0, np.uint64)], [np.zeros(0, np.int32)]
         for n, some in by_length.items():
             hashes.append(self.prefixes(_points([texts[i] for i in some], n))[:, n])
-            ids.append(np.array(some))
+            ids.append(np.array(some, np.int32))
         hashes, ids = np.concatenate(hashes), np.concatenate(ids)
         if len(np.unique(hashes)) < len(hashes):
             raise ValueError("two pieces have the same hash")
@@ -75,7 +77,7 @@ class PieceIndex:
         apart = np.flatnonzero(self.ids[slots] != ids)
         apart = apart[np.argsort(hashes[apart])]
         self.more_keys, self.more_ids = hashes[apart], ids[apart]
-        self.powers = np.cumprod(np.concatenate(([1], np.full(LONGEST, self.BASE))).astype(np.uint64))
+        self.powers = np.cumprod(np.concatenate(([1], np.full(self.longest, self.BASE))).astype(np.uint64))
 
     def slot(self, hashes: np.ndarray) -> np.ndarray:
         return ((hashes * self.SPREAD) >> np.uint64(64 - self.BITS)).astype(np.int64)
@@ -88,24 +90,29 @@ class PieceIndex:
 
     def find(self, hashes: np.ndarray) -> np.ndarray:
         slots = self.slot(hashes)
-        ids = np.where(self.keys[slots] == hashes, self.ids[slots], -1)
+        ids = np.where(self.keys[slots] == hashes, self.ids[slots], np.int32(-1))
         if len(self.more_keys):
-            at = np.minimum(np.searchsorted(self.more_keys, hashes), len(self.more_keys) - 1)
-            ids = np.where(self.more_keys[at] == hashes, self.more_ids[at], ids)
+            # Only what fell on a slot that others share can be among these.
+            at = np.flatnonzero((ids < 0).ravel() & (self.ids[slots] >= 0).ravel())
+            apart = hashes.ravel()[at]
+            place = np.minimum(np.searchsorted(self.more_keys, apart), len(self.more_keys) - 1)
+            ids.ravel()[at] = np.where(self.more_keys[place] == apart, self.more_ids[place], np.int32(-1))
         return ids
 
+    def substrings(self, points: np.ndarray) -> list[np.ndarray]:
+        """Ids, -1 for none, of all substrings of words of one length: a matrix of words and starts for each length from 1 on."""
+        hashes = self.prefixes(points)
+        return [self.find(hashes[:, m:] - hashes[:, :-m] * self.powers[m]) for m in range(1, min(self.longest, points.shape[1]) + 1)]
+
 
 def letter_words(text: str | None) -> list[str]:
-    """The runs of letters of a text, in lower case. Some may hold other alphanumeric signs only."""
-    return WORDS.findall((text or "").lower())
+    """The words of a text, in lower case and composed as far as Unicode has composed characters. Some may be marks only."""
+    return WORDS.findall(unicodedata.normalize("NFC", (text or "").lower()))
 
 
-def spelled(word: str) -> list[str]:
-    """A word as the vocabulary writes it, in parts of bounded length; none if it has no letter."""
-    if not any(map(str.isalpha, word)):
-        return []
-    marked = START + word
-    return [marked[i : i + LONGEST] for i in range(0, len(marked), LONGEST)]
+def spelled(word: str) -> str | None:
+    """A word as the vocabulary writes it; None if it has no letter."""
+    return START + word if any(map(str.isalpha, word)) else None
 
 
 def _piece_counts(batches: Iterator[pa.RecordBatch], model: bytes) -> Iterator[pa.RecordBatch]:
@@ -181,46 +188,66 @@ class Scorer:
         lengths = np.array([len(t or "") for t in pieces.texts])
         self.scaled = np.exp(model.log_p + lengths[:, None] * np.log(self.SCALE))
         self.row: dict[str, int] = {}
-        self.rows = np.zeros((0, len(model.languages)))
+        self.rows, self.used = np.zeros((0, len(model.languages))), 0
 
     def learn(self, words: set[str]) -> None:
         """Score words not met yet. A word without a letter has row -1."""
-        if len(self.row) + len(words) > MEMORY:
-            self.row, self.rows = {}, self.rows[:0]
         new = [w for w in words if w not in self.row]
-        parts = [(i, part) for i, w in enumerate(new) for part in spelled(w)]
-        scores = np.zeros((len(new), self.rows.shape[1]))
-        lettered = np.zeros(len(new), bool)
-        by_length: dict[int, list[tuple[int, str]]] = defaultdict(list)
-        for i, part in parts:
-            by_length[len(part)].append((i, part))
-            lettered[i] = True
-        for group in by_length.values():
-            np.add.at(scores, [i for i, _ in group], self.forward([part for _, part in group]))
-        at = len(self.rows)
-        self.row.update((w, at + i if lettered[i] else -1) for i, w in enumerate(new))
-        self.rows = np.concatenate((self.rows, scores))
+        languages = self.rows.shape[1]
+        if len(self.row) + len(new) > min(MEMORY, ROW_BYTES // (8 * max(1, languages))):
+            self.row, self.used, new = {}, 0, list(words)
+        by_length: dict[int, list[str]] = defaultdict(list)
+        for w in new:
+            if spelled(w) is None:
+                self.row[w] = -1
+            else:
+                by_length[len(w) + 1].append(w)
+        need = self.used + sum(map(len, by_length.values()))
+        if need > len(self.rows):
+            more = np.zeros((max(need, 2 * len(self.rows)) - len(self.rows), languages))
+            self.rows = np.concatenate((self.rows, more))
+        for n, group in by_length.items():
+            step = max(1, CELLS // max(n, (self.index.longest + 1) * max(1, languages)))
+            for k in range(0, len(group), step):
+                some = group[k : k + step]
+                self.rows[self.used : self.used + len(some)] = self.forward([START + w for w in some])
+                self.row.update(zip(some, range(self.used, self.used + len(some))))
+                self.used += len(some)
 
     def forward(self, words: list[str]) -> np.ndarray:
         """The log probability of words of one length: the sum over all ways to write them as pieces.
 
-        `reach[j]` sums the ways to write the first j characters. A character that is no piece is written as
-        its bytes, so every word has a way.
+        The state after j characters sums the ways to write them; it needs only as many states before as the longest
+        piece has characters, whatever the length of the word. A character that is no piece is written as its bytes, so every
+        word has a way. States are brought back to a middle range from time to time.
         """
-        n, index = len(words[0]), self.index
-        hashes = index.prefixes(_points(words, n))
-        reach = np.zeros((n + 1, len(words), self.rows.shape[1]))
-        reach[0] = 1.0
-        for j in range(1, n + 1):
-            for k in range(max(0, j - index.longest), j):
-                ids = index.find(hashes[:, j] - hashes[:, k] * index.powers[j - k])
-                at = np.flatnonzero(ids >= 0)
-                if len(at):
-                    reach[j, at] += reach[k, at] * self.scaled[ids[at]]
-            for i in np.flatnonzero(ids < 0):  # of the single characters, the last k
-                octets = [self.pieces.byte_ids[b] for b in words[i][j - 1].encode("utf-8", "surrogatepass")]
-                reach[j, i] += reach[j - 1, i] * np.exp(self.model.log_p[octets].sum(axis=0)) * self.SCALE
-        return np.log(np.maximum(reach[n], np.finfo(float).tiny)) - n * np.log(self.SCALE)
+        n, longest = len(words[0]), self.index.longest
+        points, kept = _points(words, n), longest + 1
+        state = np.zeros((kept, len(words), self.rows.shape[1]))
+        state[0] = 1.0
+        log = np.zeros(state.shape[1:])
+        for start in range(0, n, BLOCK):
+            base, end = max(0, start - longest), min(n, start + BLOCK)
+            ids = self.index.substrings(points[:, base:end])
+            for j in range(start + 1, end + 1):
+                now = state[j % kept]
+                now[:] = 0.0
+                for m in range(1, min(longest, j) + 1):
+                    found = ids[m - 1][:, j - m - base]
+                    at = np.flatnonzero(found >= 0)
+                    if len(at):
+                        now[at] += state[(j - m) % kept, at] * self.scaled[found[at]]
+                spelt = np.flatnonzero(ids[0][:, j - 1 - base] < 0)
+                for i in spelt:
+                    octets = [self.pieces.byte_ids[b] for b in words[i][j - 1].encode("utf-8", "surrogatepass")]
+                    now[i] += state[(j - 1) % kept, i] * np.exp(self.model.log_p[octets].sum(axis=0)) * self.SCALE
+                # Bytes make a state drop fast, pieces slowly.
+                low = np.arange(len(words)) if j % 32 == 0 else spelt
+                if len(low):
+                    top = np.maximum(state[:, low].max(axis=0), np.finfo(float).tiny)
+                    state[:, low] /= top
+                    log[low] += np.log(top)
+        return log + np.log(np.maximum(state[n % kept], np.finfo(float).tiny)) - n * np.log(self.SCALE)
 
     def predict(self, texts: list[list[str]]) -> list[tuple[str, float]]:
         out = []
@@ -240,18 +267,23 @@ def predict(docs: DataFrame, model: LanguageModel, path: str, text: str = "text"
             score_column: str = "score") -> DataFrame:
     """The documents with their most probable language and its posterior under equal priors.
 
-    Only the text is looked at, all of it. A text that is null or has no letter, or a model without languages,
-    gives "und" and 0. Letters count in lower case; ties go to the first language in order. The added columns
-    replace those of the same name.
+    Only the text is looked at, all of it, word by word whatever their length: texts without spaces too. A text that is
+    null or has no letter, or a model without languages, gives "und" and 0. Letters count in lower case, with their marks and in
+    composed form; ties go to the first language in order. The added columns replace those of the same name. A worker keeps
+    one scorer for all its batches, with the words it has met up to a bound of words and bytes.
     """
     with open(path, "rb") as file:
         vocabulary = file.read()
     # Plain values: a broadcast is read where the library may not be installed.
-    shared = bounded_broadcast(docs.sparkSession, (model.languages, model.log_p), model.log_p.nbytes, MODEL_LIMIT, "the language model")
+    shared = bounded_broadcast(docs.sparkSession, {"model": (model.languages, model.log_p), "pieces": vocabulary}, model.log_p.nbytes, MODEL_LIMIT,
+                               "the language model")
 
     @F.pandas_udf("lang string, score double")
     def identified(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-        scorer = Scorer(read_pieces(vocabulary), LanguageModel(*shared.value))
+        held = shared.value  # of this worker process: it keeps what is added to it
+        if "scorer" not in held:
+            held["scorer"] = Scorer(read_pieces(held["pieces"]), LanguageModel(*held["model"]))
+        scorer = held["scorer"]
         for texts in batches:
             out, waiting, size = [], [], 0
             for t in texts:

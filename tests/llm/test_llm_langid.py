@@ -44,6 +44,63 @@ def test_forward_sums_all_segmentations(pieces, word):
     assert found == pytest.approx(np.stack([over_all_segmentations(word, pieces, model.log_p)] * 2))
 
 
+def over_prefixes(word, pieces, log_p):
+    """The same sum, character by character in logarithms."""
+    ids = {t: i for i, t in enumerate(pieces.texts) if t}
+    reach = [np.zeros(log_p.shape[1])]
+    for j in range(1, len(word) + 1):
+        ways = [reach[k] + log_p[ids[word[k:j]]] for k in range(max(0, j - 16), j) if word[k:j] in ids]
+        if word[j - 1] not in ids:
+            ways.append(reach[j - 1] + log_p[[pieces.byte_ids[b] for b in word[j - 1].encode()]].sum(axis=0))
+        reach.append(np.logaddexp.reduce(ways))
+    return reach[-1]
+
+
+@pytest.mark.parametrize("block", [langid.BLOCK, 7])
+@pytest.mark.parametrize("word", ["▁" + "internationalization" * 10, "▁" + "日本語中文字" * 50, "▁" + "ꙮx" * 100, "▁" + "aé" * 3000])
+def test_long_runs_are_summed_whole(pieces, monkeypatch, word, block):
+    monkeypatch.setattr(langid, "BLOCK", block)
+    model = model_of(pieces)
+    for short in ("▁the", "▁überall"):
+        assert over_prefixes(short, pieces, model.log_p) == pytest.approx(over_all_segmentations(short, pieces, model.log_p))
+    found = langid.Scorer(pieces, model).forward([word])
+    assert found[0] == pytest.approx(over_prefixes(word, pieces, model.log_p))
+
+
+def test_words_keep_their_marks():
+    assert langid.letter_words("हिन्दी भाषा, ไทย x1y_z") == ["हिन्दी", "भाषा", "ไทย", "x", "y", "z"]
+    assert langid.letter_words("E\u0301te\u0301 ÉTÉ") == ["été", "été"]
+    assert langid.spelled("\u0301") is None and langid.spelled("a") == "▁a"
+    assert langid.letter_words(None) == [] and langid.letter_words("123 ...") == []
+
+
+def test_decomposed_and_marked_texts_are_told_apart(spark):
+    """Two languages that differ in their vowel signs only; texts in composed and decomposed form are alike."""
+    rows = [(i, "दिन की रात" if i % 2 else "दान का रुत", "hi" if i % 2 else "xx") for i in range(40)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    found = langid.predict(docs, langid.train(docs, PATH), PATH).collect()
+    assert all(r.lang_pred == r.lang for r in found)
+    texts = spark.createDataFrame([(1, "été à l’école"), (2, "e\u0301te\u0301 a\u0300 l’e\u0301cole")], "doc_id long, text string")
+    one, two = langid.predict(texts, langid.train(given(spark, "documents"), PATH), PATH).collect()
+    assert (one.lang_pred, one.score) == (two.lang_pred, two.score)
+
+
+def test_training_counts_equal_plain_python(spark):
+    import sentencepiece
+
+    docs = documents(spark)
+    sp = sentencepiece.SentencePieceProcessor(model_file=PATH)
+    model = langid.train(docs, PATH, smoothing=0.5)
+    counts = {lang: np.full(sp.vocab_size(), 0.5) for lang in ("de", "en")}
+    for r in docs.collect():
+        if r.lang and r.text and r.doc_id is not None and zlib.crc32(str(r.doc_id).encode()) % 4 != 2:
+            for word in langid.letter_words(r.text):
+                if any(map(str.isalpha, word)):
+                    np.add.at(counts[r.lang], sp.encode(word), 1)
+    wanted = np.log(np.stack([counts[lang] / counts[lang].sum() for lang in ("de", "en")], axis=1))
+    assert model.languages == ["de", "en"] and np.allclose(model.log_p, wanted)
+
+
 def test_every_piece_is_found_by_its_hash(pieces):
     index = langid.PieceIndex(pieces.texts)
     for i, text in enumerate(pieces.texts):
