@@ -35,6 +35,15 @@ SCOPE = {"li": {"ul", "ol", "menu"}, "dt": {"dl"}, "dd": {"dl"}, "option": {"sel
 BESIDE = set("""ad ads advert advertisement adverts advertising banner breadcrumb breadcrumbs comment comments consent cookie cookies disqus
     footer gdpr menu modal nav navbar navigation newsletter notice notices pager pagination popup promo related replies respond share sharing
     sidebar social sponsor sponsored subscribe complementary contentinfo""".split())
+#: The same in German, French, Spanish, Italian, Portuguese and Dutch.
+BESIDE |= set("""kommentar kommentare werbung anzeige anzeigen fusszeile seitenleiste teilen brotkrumen
+    commentaire commentaires publicite partager partage
+    comentario comentarios publicidad anuncio anuncios compartir
+    commento commenti pubblicita condividi publicidade compartilhar
+    reactie reacties advertentie advertenties reclame delen""".split())
+#: Of BESIDE, the words that can hardly mean the text, however much of it the element holds.
+SURE = BESIDE - set("""banner breadcrumb breadcrumbs complementary contentinfo cookie cookies delen footer menu modal nav navbar navigation notice
+    notices pager pagination partage popup promo related share sharing sidebar social sponsor subscribe teilen""".split())
 PERHAPS = set("alert header login masthead promotion reply search signup toolbar widget hidden".split())
 CONTENT = set("article body content entry main post story text".split())
 #: Of BESIDE and PERHAPS, the words that also name layouts after a part of them, and that name readers' or other pages' texts.
@@ -45,6 +54,10 @@ HAVING = set("has have having no not with without".split())
 #: Words that ids of page parts are made of, besides those above; other ids of sections come from their headings.
 FURNITURE = set("""area articles bar block bottom box button buttons col column container form icons inner item items left link links list
     media outer page pages posts primary products right row secondary section site stories top us wrap wrapper""".split())
+#: Words of names that say nothing of what an element is, beside those above.
+FURNITURE |= set("""block blocks desktop entries field fields fixed google head heading holder inline large lijst lista liste mobile overlay placeholder region
+    single site slot small sticky thread threads title toggle tools unit units view""".split())
+KNOWN = BESIDE | PERHAPS | CONTENT | LAYOUT | FURNITURE
 HEADINGS = {"h1", "h2", "h3", "h4", "h5", "h6"}
 #: Parts that the pages of one host are split into where they are shuffled.
 SALTS = 32
@@ -61,6 +74,19 @@ def _said(name: str) -> list[str]:
     return words[: next((i for i, w in enumerate(words) if w in HAVING), len(words))]
 
 
+def _beside(words: list[str]) -> set[str]:
+    """The words of a name that mark other things than main text, if it is a name for nothing else: `market-share` has none.
+
+    A short word in front may be a prefix that a site gives all its names.
+    """
+    found = BESIDE.union(PERHAPS).intersection(words)
+    if found:
+        first = next(i for i, w in enumerate(words) if w in KNOWN or len(w) > 3)
+        if not KNOWN.issuperset(words[first:]):
+            return set()
+    return found
+
+
 class Page:
     """A page's elements and its blocks of text, without the parts that never hold main text.
 
@@ -80,6 +106,7 @@ class Page:
         self._aside: dict[int, int] = defaultdict(int)  # characters left out, by element
         self._outer: dict[int, int] = {}  # each marked element's next marked one outwards
         self._layouts: set[int] = set()  # marked elements whose marks are words of LAYOUT only
+        self._sure: set[int] = set()  # marked elements with a word of SURE
         self._signs: list[tuple[int, int]] = []  # elements that say where the text stands, with their innermost marked one
         self._opened: dict[str, int] = defaultdict(int)
         self._holders = [0]  # each element's nearest container, itself included
@@ -164,8 +191,10 @@ class Page:
         if own_id and self._trusted(tag, classes, own_id):
             named += f" {own_id}"
         names = [words for name in named.split() if (words := _said(name))] if named else []
-        words = set().union(*names)
-        beside = words & BESIDE or (words & PERHAPS if not words & CONTENT else set())
+        words, marking = set().union(*names), set().union(*map(_beside, names))
+        beside = marking & BESIDE or (marking & PERHAPS if not words & CONTENT else set())
+        if tag == "p" or tag in HEADINGS:
+            beside &= SURE  # a paragraph or heading that is called related or social speaks of that
         whole = any(CONTENT.issuperset(name) for name in names)
         if tag in ("html", "body", "article", "main"):
             if tag == "main" or tag == "article" and not beside:
@@ -176,6 +205,8 @@ class Page:
                 self._signs.append((new, outer))
             return outer
         self._outer[new] = outer
+        if beside & SURE:
+            self._sure.add(new)
         if beside <= LAYOUT:
             self._layouts.add(new)
             if whole and tag in CONTAINERS:
@@ -199,6 +230,7 @@ class Page:
     def _released(self) -> set[int]:
         """Marked elements that hold the page's text.
 
+        Those that hold more than half of the text of the article or <main> around them, if no word of SURE is among their names.
         Those around <main>. If no article or element named for its content stands outside of marked ones, those
         around the ones that stand in fewest: around an article if all are named after layouts, else if it
         holds more text than is left without it. If nothing is left, the one named after a layout that holds most.
@@ -216,6 +248,11 @@ class Page:
                 alone[mark] += plain
         for i in range(len(sizes) - 1, 0, -1):
             sizes[self.parents[i]] += sizes[i]
+        if unsure := self._outer.keys() - self._sure:
+            article = [0] * len(self.tags)  # the nearest article or <main> around each element, itself included
+            for i in range(1, len(self.tags)):
+                article[i] = i if self.tags[i] in ("article", "main") else article[self.parents[i]]
+            free.update(m for m in unsure if article[m] and 2 * sizes[m] > sizes[article[m]])
         for element, mark in self._signs:
             if self.tags[element] == "main":
                 self._release(mark, free)
@@ -228,8 +265,8 @@ class Page:
         if all(around[mark] for _, mark in signs):
             fit = []
             for element, mark in signs:
-                article = self.tags[element] == "article"
-                if layout[mark] and article or (layout[mark] or article) and sizes[element] > left:
+                named = self.tags[element] == "article"
+                if layout[mark] and named or (layout[mark] or named) and sizes[element] > left:
                     fit.append(mark)
             fewest = min((around[mark] for mark in fit), default=0)
             for mark in fit:
@@ -397,8 +434,9 @@ def main_text(pages: DataFrame, url: str = "url", html: str = "html", column: st
     of the best one or the article around it, which goes out to containers that add text and little else (`host_paths`), and
     every page is read at the winning path, or at its own best container if it has no such
     element or no text there. Menus, page headers, footers, sidebars, notices, adverts, forms, scripts, styles
-    and reader comments are left out by element, class, id and role; a name counts for nothing where it says what an
-    element has or lacks, where it is an id made from a heading, or where the element holds the page's text. Character references are decoded, white space within
+    and reader comments are left out by element, class, id and role. A name counts as a whole: all its words must name parts of
+    pages, in one of seven languages. It counts for nothing where it says what an element has or lacks, where it is an id
+    made from a heading, or where the element holds the page's text or, unless it names comments or adverts, most of its article's. Character references are decoded, white space within
     a block becomes one space, and blocks are joined by an empty line. A null page or one without text gives an
     empty text; pages without a host vote together. Copies vote as often as they occur.
 

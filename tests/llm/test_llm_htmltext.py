@@ -1,4 +1,5 @@
 import html as markup
+import random
 import re
 
 import pytest
@@ -47,6 +48,68 @@ def test_layouts_named_after_their_parts(html, wanted):
     assert text_of(f"<body>{html}</body>") == wanted
 
 
+WHOLE = "some words of the article that go on for long " * 12
+
+
+@pytest.mark.parametrize("name", ["market-share", "text", "social-history", "cookie-recipe", "banner-history", "ad-hoc-networks", "share", "related", "sidebar"])
+@pytest.mark.parametrize("around", ["article", "main"])
+def test_no_name_costs_an_article_its_body(spark, name, around):
+    html = f"<body><{around}><h1>Title</h1><div class='{name}'>{WHOLE}</div></{around}></body>"
+    rows = [(i, "http://a.example/", html) for i in range(5)]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string")
+    assert [r.text for r in htmltext.main_text(df).collect()] == [f"Title\n\n{WHOLE.strip()}"] * 5
+
+
+@pytest.mark.parametrize("html, wanted", [
+    ("<p>one</p><p class='related'>two</p><h2 class=social>three</h2><div class='market-share'>four</div><section class='social-history'>five</section>",
+     "one\n\ntwo\n\nthree\n\nfour\n\nfive"),
+    (f"<p>{WHOLE}</p><div class=kommentare>{WHOLE * 3}</div><div class=werbung>no</div><ul class='commentaires-liste'><li>no</ul>", WHOLE.strip()),
+    (f"<p>{WHOLE}</p><div class='wp-sidebar'>no</div><div id='comentarios'>no</div><p class=advert>no</p><div class='share-buttons'>no</div>", WHOLE.strip()),
+    (f"<p>short</p><section class=comments>{WHOLE}</section>", "short"),
+])
+def test_names_count_as_a_whole(html, wanted):
+    assert text_of(f"<body><article>{html}</article></body>") == wanted
+
+
+def votes(rows):
+    """The path of each host in plain Python: votes of pages, ties by characters, then how far out it goes."""
+    hosts = {}
+    for url, html in rows:
+        page = htmltext.Page(html)
+        best = page.enclosing(page.best_container())
+        if best:
+            host = re.match(r"\w+://([^/:]*)", url)[1].lower()
+            hosts.setdefault(host, []).append((page.paths[best], sum(map(len, page._below({best}))), [(page.paths[i], p, a) for i, p, a in page.steps(best)]))
+    out = {}
+    for host, cast in hosts.items():
+        def rank(path, cast=cast):
+            own = [v for v in cast if v[0] == path]
+            return (-len(own), -sum(v[1] for v in own), path)
+
+        winner = min({v[0] for v in cast}, key=rank)
+        reach = [winner]
+        for path in {p for v in cast if v[0] == winner for p, _, _ in v[2]}:
+            steps = [(p, a) for v in cast if v[0] == winner for q, p, a in v[2] if q == path]
+            if htmltext.CLEAN * sum(a for _, a in steps) <= sum(p for p, _ in steps):
+                reach.append(path)
+        out[host] = min(reach, key=lambda p: (len(p), p))
+    return out
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_the_vote_equals_plain_python(spark, seed):
+    dice = random.Random(seed)
+
+    def part(depth):
+        inner = "".join(part(depth - 1) for _ in range(dice.randint(1, 3))) if depth else "".join(
+            dice.choice(["<p>{}</p>", "<a href=x>{}</a>", "{}", "<li>{}"]).format("word " * dice.randint(0, 40)) for _ in range(2))
+        return f"<{(t := dice.choice(['div', 'section', 'article', 'nav', 'div']))} class={dice.choice('abc')}>{inner}</{t}>"
+
+    rows = [(i, f"http://h{i % 3}.example/{i}", f"<body>{part(2)}{part(1)}</body>") for i in range(30)]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string")
+    assert {r.host: r.path for r in htmltext.host_paths(df).collect()} == votes([r[1:] for r in rows])
+
+
 LEAD, LONG, HALF = "lead " * 40, "text " * 200, "half " * 100
 
 
