@@ -62,6 +62,12 @@ def row_key(df: DataFrame, columns: Sequence[str]) -> list[Column]:
 KEYS = [f"{OWN}k0", f"{OWN}k1"]
 
 
+def shielded(df: DataFrame, *names: str) -> tuple[DataFrame, list[str]]:
+    """`df` with those columns renamed whose names begin as the operators' own do, and what `names` are called there."""
+    renamed = {c: f"_kept_{i}" + "_" * max(map(len, df.columns)) for i, c in enumerate(df.columns) if c.lower().startswith(OWN)}
+    return (df.toDF(*[renamed.get(c, c) for c in df.columns]) if renamed else df), [renamed.get(n, n) for n in names]
+
+
 def hashable(df: DataFrame) -> list[str]:
     """The columns Spark can hash and compare."""
     return [f.name for f in df.schema.fields if "map<" not in f.dataType.simpleString() and "variant" not in f.dataType.simpleString()]

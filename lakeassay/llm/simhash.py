@@ -10,7 +10,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lakeassay.llm.common import KEYS, checkpointed, hashable, row_key, staged
+from lakeassay.llm.common import KEYS, checkpointed, hashable, row_key, shielded, staged
 
 SEED = 42
 BITS = 64
@@ -78,15 +78,23 @@ def _signed(number: int) -> int:
     return number - (1 << BITS) if number >> (BITS - 1) else number
 
 
-def links(fingerprints: DataFrame, distance: int, distinct: int) -> DataFrame:
-    """All pairs `src` > `dst` of the distinct values of `fp` that differ in 1 to `distance` bits, each once."""
-    masks, sets = block_scheme(distinct, distance)
-    keyed = fingerprints.select("fp", F.explode(F.array(*[
+def _keyed(fingerprints: DataFrame, masks: list[int], sets: list[tuple[int, ...]]) -> DataFrame:
+    """The rows once for each set of blocks, with the set as `blocks` and `upto`, and the bits of those blocks as `value`."""
+    return fingerprints.select("*", F.explode(F.array(*[
         F.struct(
             F.lit(sum(1 << b for b in blocks)).alias("blocks"),
             F.lit((2 << blocks[-1]) - 1).alias("upto"),
             F.col("fp").bitwiseAND(F.lit(_signed(sum(masks[b] for b in blocks)))).alias("value"))
-        for blocks in sets])).alias("key")).select("fp", "key.*")
+        for blocks in sets])).alias("key")).select(*fingerprints.columns, "key.*")
+
+
+def links(fingerprints: DataFrame, distance: int, distinct: int) -> DataFrame:
+    """All pairs `src` > `dst` of the distinct values of `fp` that differ in 1 to `distance` bits, each once.
+
+    A group of n fingerprints that are all close has n * n / 2 of them; `linked_components` does without.
+    """
+    masks, sets = block_scheme(distinct, distance)
+    keyed = _keyed(fingerprints.select("fp"), masks, sets)
     a, b = keyed.alias("a"), keyed.select("fp", "blocks", "value").alias("b")
     differ = F.col("a.fp").bitwiseXOR(F.col("b.fp"))
     agree = sum((F.when(differ.bitwiseAND(F.lit(_signed(m))) == 0, 1 << i).otherwise(0) for i, m in enumerate(masks)), F.lit(0))
@@ -97,27 +105,57 @@ def links(fingerprints: DataFrame, distance: int, distinct: int) -> DataFrame:
     return a.join(b, same & close).select(F.col("a.fp").alias("src"), F.col("b.fp").alias("dst"))
 
 
-def components(pairs: DataFrame, max_rounds: int = 60) -> DataFrame:
-    """The smallest node reachable from each linked node: columns `node`, `root`.
+def outward_links(labelled: DataFrame, distance: int, distinct: int) -> DataFrame:
+    """For each `fp` that has close fingerprints of another `label`: its `label` and the smallest such label, `other`.
+
+    Pairs meet on the sets of blocks and are verified, and only the smallest label met is kept, in each task before
+    the shuffle: at most one row per fingerprint comes out, however many are close to it.
+    """
+    keyed = _keyed(labelled.select("fp", "label"), *block_scheme(distinct, distance))
+    a, b = keyed.alias("a"), keyed.select("fp", "label", "blocks", "value").alias("b")
+    same = (F.col("a.blocks") == F.col("b.blocks")) & (F.col("a.value") == F.col("b.value"))
+    close = (F.col("a.label") != F.col("b.label")) & (F.bit_count(F.col("a.fp").bitwiseXOR(F.col("b.fp"))) <= distance)
+    return (a.join(b, same & close).select(F.col("a.fp").alias("fp"), F.col("a.label").alias("label"), F.col("b.label").alias("other"))
+            .groupBy("fp").agg(F.min("label").alias("label"), F.min("other").alias("other")))
+
+
+def linked_components(fingerprints: DataFrame, distance: int, distinct: int) -> DataFrame:
+    """The smallest fingerprint reachable from each of the distinct values of `fp` that has a close one: columns `node`, `root`.
+
+    As in a minimum spanning forest, every component names one component it is linked to and they merge, until none
+    has a link to another. Components that have a neighbour at least halve in number each time; mostly the first round joins
+    nearly all. Later rounds look only at fingerprints that have a close one at all.
+    """
+    found = staged(outward_links(fingerprints.select("fp", F.col("fp").alias("label")), distance, distinct))
+    rooted = found.select(F.col("fp").alias("node"), F.col("fp").alias("root"))
+    while not found.isEmpty():
+        merged = components(found.select(F.greatest("label", "other").alias("src"), F.least("label", "other").alias("dst")))
+        merged = staged(merged.select(F.col("node").alias("root"), F.col("root").alias("lower")))
+        rooted = staged(rooted.join(merged, "root", "left").select("node", F.coalesce("lower", "root").alias("root")))
+        found = staged(outward_links(rooted.select(F.col("node").alias("fp"), F.col("root").alias("label")), distance, distinct))
+    return rooted
+
+
+def components(pairs: DataFrame) -> DataFrame:
+    """The smallest node reachable from each linked node: columns `node`, `root`, without the smallest ones themselves.
 
     Rounds of large-star and small-star: every node hands its neighbours to the smallest one it knows, so
-    components become stars after about log(nodes) rounds. Each round is cut by a checkpoint.
+    components become stars after about log(nodes) rounds; rounds end when nothing changes. Each round is cut by a checkpoint.
+    The smallest neighbours are written before they are joined, so that Spark can split the neighbours of a hub over many tasks.
     """
     edges = checkpointed(pairs.select("src", "dst").distinct())
-    state = _state(edges)
-    for _ in range(max_rounds):
+    state, before = _state(edges), None
+    while state != before:
         both = edges.unionByName(edges.select(F.col("dst").alias("src"), F.col("src").alias("dst")))
-        least = both.groupBy("src").agg(F.least("src", F.min("dst")).alias("low"))
-        large = (both.where("dst > src").join(least, "src")
-                 .select(F.col("dst").alias("src"), F.col("low").alias("dst")).where("src > dst").distinct())
-        least = large.groupBy("src").agg(F.min("dst").alias("low"))
+        least = staged(both.groupBy("src").agg(F.least("src", F.min("dst")).alias("low")))
+        large = checkpointed(both.where("dst > src").join(least, "src")
+                             .select(F.col("dst").alias("src"), F.col("low").alias("dst")).where("src > dst").distinct())
+        least = staged(large.groupBy("src").agg(F.min("dst").alias("low")))
         edges = checkpointed(
             large.join(least, "src").select(F.col("dst").alias("src"), F.col("low").alias("dst"))
             .unionByName(least.select("src", F.col("low").alias("dst"))).where("src > dst").distinct())
         before, state = state, _state(edges)
-        if before == state:
-            return edges.select(F.col("src").alias("node"), F.col("dst").alias("root"))
-    raise RuntimeError(f"components did not settle in {max_rounds} rounds")
+    return edges.select(F.col("src").alias("node"), F.col("dst").alias("root"))
 
 
 def _state(edges: DataFrame) -> tuple:
@@ -129,11 +167,12 @@ def simhash_components(fingerprints: DataFrame, id_column: str, distance: int =
 
     Takes rows of an id and `fp`. Equal fingerprints are one node, however many documents hold them.
     """
-    nodes = checkpointed(fingerprints.groupBy("fp").agg(F.min(id_column).alias("low_id")))
-    roots = components(links(nodes.select("fp"), distance, nodes.count()))
+    nodes = staged(fingerprints.groupBy("fp").agg(F.min(id_column).alias("low_id")))
+    roots = linked_components(nodes.select("fp"), distance, nodes.count())
     rooted = (nodes.join(roots, F.col("fp") == F.col("node"), "left")
               .select("fp", "low_id", F.coalesce("root", "fp").alias("root")))
-    least = rooted.groupBy("root").agg(F.min("low_id").alias("component_id"))
+    # Written first: then its size is known, and a component of very many fingerprints can be split over tasks.
+    least = staged(rooted.groupBy("root").agg(F.min("low_id").alias("component_id")))
     return rooted.join(least, "root").select("fp", "root", "component_id")
 
 
@@ -147,7 +186,7 @@ def near_duplicates(docs: DataFrame, id_column: str = "doc_id", text: str = "tex
     share a component. A null id never names a component; one whose ids are all null has a null
     `component_id`. Other columns are not looked at.
     """
-    fp = staged(docs.select(F.col(id_column).alias("id"), fingerprint(F.col(text), shingle).alias("fp")))
+    fp = staged(docs.select(F.col(f"`{id_column}`").alias("id"), fingerprint(F.col(f"`{text}`"), shingle).alias("fp")))
     found = simhash_components(fp, "id", distance)
     return fp.join(found, "fp").select(F.col("id").alias(id_column), as_hex(F.col("fp")).alias("fingerprint"), "component_id")
 
@@ -159,6 +198,8 @@ def keep_one(docs: DataFrame, id_column: str = "doc_id", text: str = "text", shi
     Of rows with that same id, or without ids, the one with the smallest hash of all its columns stays; of rows
     equal in all columns, one. All columns of `docs` come back as they were, whatever their names.
     """
+    shown = docs.columns
+    docs, (id_column, text) = shielded(docs, id_column, text)
     marked = docs.select("*", *row_key(docs, hashable(docs)))
     fp = staged(marked.select(F.col(f"`{id_column}`").alias("id"), fingerprint(F.col(f"`{text}`"), shingle).alias("fp"), *KEYS))
     found = simhash_components(fp, "id", distance)
@@ -166,4 +207,4 @@ def keep_one(docs: DataFrame, id_column: str = "doc_id", text: str = "text", shi
     kept = (fp.join(found, "fp").groupBy("root").agg(F.min(order).alias("first"))
             .select(*[F.col(f"first.{k}").alias(k) for k in KEYS]))
     # Rows equal in all columns pass the semi-join together; one of them is taken from the same partition.
-    return (marked.join(kept, KEYS, "left_semi").dropDuplicates(KEYS).drop(*KEYS).select(*[F.col(f"`{c}`") for c in docs.columns]))
+    return (marked.join(kept, KEYS, "left_semi").dropDuplicates(KEYS).drop(*KEYS).toDF(*shown))

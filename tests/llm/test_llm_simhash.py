@@ -1,8 +1,11 @@
 import random
+from itertools import combinations
 
 import numpy as np
 import pytest
 import xxhash
+from conftest import executed_plan
+from pyspark.sql import functions as F
 from text_cases import LONG, TEXTS, WORD, components, documents, empty, given
 
 from lakeassay.llm import queries, simhash
@@ -52,6 +55,56 @@ def test_links_are_all_close_pairs_once(spark, distinct):
     assert len(found) == len(wanted) and {tuple(r) for r in found} == wanted
 
 
+def signed(v):
+    return int(np.uint64(v).astype(np.int64))
+
+
+def distance(a, b):
+    return bin((a ^ b) & (2**64 - 1)).count("1")
+
+
+@pytest.mark.parametrize("distinct", [500, 10**9])
+def test_linked_components_equal_plain_python(spark, distinct):
+    dice = random.Random(distinct)
+    values = {dice.getrandbits(64) for _ in range(30)}
+    for _ in range(250):  # chains and clusters: each new one is near some other
+        near = dice.choice(sorted(values))
+        values.add(near ^ sum(1 << x for x in dice.sample(range(64), dice.randint(1, 7))))
+    values = [signed(v) for v in values]
+    found = {r.node: r.root for r in simhash.linked_components(spark.createDataFrame([(v,) for v in values], "fp long"), 4, distinct).collect()}
+    roots = components(dict.fromkeys(values) | {v: v for v in values}, lambda a, b: distance(a, b) <= 4)
+    alone = {v for v in values if not any(v != w and distance(v, w) <= 4 for w in values)}
+    assert found == {v: r for v, r in roots.items() if v not in alone}
+
+
+def test_a_dense_group_has_few_links(spark):
+    values = [signed(sum(1 << x for x in bits)) for n in (1, 2, 3) for bits in combinations(range(64), n)][:6000]
+    df = spark.createDataFrame([(v, v) for v in values], "fp long, label long")
+    assert simhash.outward_links(df, 4, len(values)).count() == 6000
+    found = simhash.linked_components(df.select("fp"), 4, len(values)).collect()
+    assert len(found) == 6000 and {r.root for r in found} == {min(values)}
+
+
+def test_a_hub_is_split_over_tasks(spark, conf):
+    conf(**{"spark__sql__autoBroadcastJoinThreshold": "-1", "spark__sql__adaptive__skewJoin__skewedPartitionThresholdInBytes": "20k",
+            "spark__sql__adaptive__skewJoin__skewedPartitionFactor": "2", "spark__sql__adaptive__advisoryPartitionSizeInBytes": "16k",
+            "spark__sql__adaptive__coalescePartitions__enabled": "false"})
+    star = spark.range(1, 40_001).select(F.col("id").alias("src"), F.lit(0).cast("long").alias("dst"))
+    both = star.unionByName(star.select(F.col("dst").alias("src"), F.col("src").alias("dst")))
+    least = simhash.staged(both.groupBy("src").agg(F.min("dst").alias("low")))
+    assert "skew=true" in executed_plan(simhash.staged(both).join(least, "src"))
+    assert simhash.components(star).groupBy("root").count().collect() == [(0, 40_000)]
+
+
+def test_names_that_operators_use_themselves(spark):
+    docs = spark.createDataFrame([(1, "a b c d e", "x", 5), (2, "a b c d e", "y", 6), (3, "other words", None, 7)],
+                                 "`a.b` long, __llm_text string, __llm_k0 string, `_kept_1` int")
+    kept = simhash.keep_one(docs, "a.b", "__llm_text")
+    assert kept.columns == docs.columns and sorted(map(tuple, kept.collect())) == [(1, "a b c d e", "x", 5), (3, "other words", None, 7)]
+    found = simhash.near_duplicates(docs, "a.b", "__llm_text").collect()
+    assert sorted((r["a.b"], r.component_id) for r in found) == [(1, 1), (2, 1), (3, 3)]
+
+
 def test_components_of_long_chains(spark):
     chain = [(i + 1, i) for i in range(0, 300)] + [(1000 + i, 999) for i in range(50)] + [(5000, 4000), (5000, 4500)]
     found = {r.node: r.root for r in simhash.components(spark.createDataFrame(chain, "src long, dst long")).collect()}
