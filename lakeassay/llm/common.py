@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import re
 import uuid
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -62,10 +62,12 @@ def row_key(df: DataFrame, columns: Sequence[str]) -> list[Column]:
 KEYS = [f"{OWN}k0", f"{OWN}k1"]
 
 
-def shielded(df: DataFrame, *names: str) -> tuple[DataFrame, list[str]]:
-    """`df` with those columns renamed whose names begin as the operators' own do, and what `names` are called there."""
+def shielded(df: DataFrame, *names: str) -> tuple[DataFrame, list[str], Callable[[DataFrame], DataFrame]]:
+    """`df` with those columns renamed whose names begin as the operators' own do, what `names` are called there, and a
+    function that gives a result the old names back."""
     renamed = {c: f"_kept_{i}" + "_" * max(map(len, df.columns)) for i, c in enumerate(df.columns) if c.lower().startswith(OWN)}
-    return (df.toDF(*[renamed.get(c, c) for c in df.columns]) if renamed else df), [renamed.get(n, n) for n in names]
+    safe = df.toDF(*[renamed.get(c, c) for c in df.columns]) if renamed else df
+    return safe, [renamed.get(n, n) for n in names], lambda result: result.withColumnsRenamed({v: k for k, v in renamed.items()})
 
 
 def hashable(df: DataFrame) -> list[str]:

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, BinaryType, LongType, StringType, StructType
 
-from lakeassay.llm.common import KEYS, OWN, SPACE, row_key, staged
+from lakeassay.llm.common import KEYS, OWN, SPACE, row_key, shielded, staged
 
 #: bytes.strip(None) also strips these six characters only; bytes.lower() changes A-Z only.
 BLANK = SPACE.encode()
@@ -57,11 +57,12 @@ def drop_shared_lines(docs: DataFrame, id_column: str = "doc_id", text: str = "t
     blank lines stay; the others stay as they were, in order. Returns the columns of `docs`, with the text
     replaced (a null text becomes empty), and `n_lines` and `n_dropped`, which replace columns of those names.
     Each row is a document: rows with the same id count one by one. A document that loses all its lines stays,
-    with an empty text.
+    with an empty text. An empty table gives an empty result, and a text of any length is one row.
 
     Only hashes of lines are shuffled for counting. A document's shared lines come back to it by a hash of id
     and text, so copies of one text under many ids do not meet in one task.
     """
+    docs, (id_column, text), restored = shielded(docs, id_column, text)
     body = F.col(f"`{text}`").cast("binary")
     marked = docs.select("*", *row_key(docs, [id_column, text]))
     # Copies that agree on id and text lose the same lines; one of them is enough to say which.
@@ -76,4 +77,4 @@ def drop_shared_lines(docs: DataFrame, id_column: str = "doc_id", text: str = "t
     def column(name: str) -> Column:
         return F.col(f"{OWN}new.kept").alias(name) if name == text else F.col(f"`{name}`")
 
-    return cleaned.select(*map(column, names), F.col(f"{OWN}new.n_lines"), F.col(f"{OWN}new.n_dropped"))
+    return restored(cleaned.select(*map(column, names), F.col(f"{OWN}new.n_lines"), F.col(f"{OWN}new.n_dropped")))

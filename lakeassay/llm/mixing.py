@@ -11,12 +11,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from lakeassay.llm.common import KEYS, OWN, hashable, row_key, staged, word_count
+from lakeassay.llm.common import KEYS, OWN, hashable, row_key, shielded, staged, word_count
 
 #: Fractions that one step of the tree rounds together, on average.
 FAN = 64
-#: Up to so many sources their table (about 50 bytes each) is sent to all executors; beyond, it is joined by key.
-BROADCAST_SOURCES = 100_000
 DECIDED = f"array<struct<k0:bigint,k1:bigint,rank:int,extra:int>>"
 
 
@@ -108,10 +106,9 @@ def _decided(docs: DataFrame, source: str, text: str, weights: Sequence[float],
     per_source = staged(sized.groupBy("source").agg(F.sum(F.col("size") * F.col("rows")).alias("source_size"),
                                                     F.count("*").alias("distinct")))
     targets = staged(source_targets(per_source.select("source", "source_size"), weights, share, cap))
+    # Whether they are broadcast is up to Spark, by the bytes it finds in the file, names included.
     targets = targets.withColumnRenamed("source", f"{OWN}source")
-    n_sources, most = per_source.agg(F.count("*"), F.max("distinct")).first()
-    if n_sources <= BROADCAST_SOURCES:
-        targets = F.broadcast(targets)
+    most = per_source.agg(F.max("distinct")).first()[0]
     rows = sized.join(targets, F.col("source").eqNullSafe(F.col(f"{OWN}source"))).drop(f"{OWN}source")
     ratio = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(0.0)
     rows = (rows.withColumn("base", F.floor(ratio).cast("int")).withColumn("fraction", (ratio - F.floor(ratio)) * F.col("rows"))
@@ -146,13 +143,15 @@ def mix(docs: DataFrame, source: str = "source", text: str = "text", weights: Se
     """
     added = {"size": F.col(f"{OWN}size"), "source_size": F.col(f"{OWN}source_size"), "target": F.col(f"{OWN}target"),
              "copies": F.col(f"{OWN}copies"), "taken": F.col(f"{OWN}size") * F.col(f"{OWN}copies")}
+    docs, (source, text), restored = shielded(docs, source, text)
     kept = [F.col(f"`{c}`") for c in docs.columns if c.lower() not in added]
-    return _decided(docs, source, text, weights, share, cap, seed).select(*kept, *[v.alias(k) for k, v in added.items()])
+    return restored(_decided(docs, source, text, weights, share, cap, seed).select(*kept, *[v.alias(k) for k, v in added.items()]))
 
 
 def mixed(docs: DataFrame, source: str = "source", text: str = "text", weights: Sequence[float] = (3, 1, 2),
           share: float = 1.5, cap: float = 2.0, seed: int = 17) -> DataFrame:
     """The mix itself: each document as many times as `mix` takes it, with the columns of `docs` as they were."""
+    docs, (source, text), restored = shielded(docs, source, text)
     copies = F.explode(F.sequence(F.lit(1), F.col(f"{OWN}copies"))).alias(f"{OWN}copy")
-    return (_decided(docs, source, text, weights, share, cap, seed).where(F.col(f"{OWN}copies") > 0)
-            .select(*[F.col(f"`{c}`") for c in docs.columns], copies).drop(f"{OWN}copy"))
+    return restored(_decided(docs, source, text, weights, share, cap, seed).where(F.col(f"{OWN}copies") > 0)
+                    .select(*[F.col(f"`{c}`") for c in docs.columns], copies).drop(f"{OWN}copy"))

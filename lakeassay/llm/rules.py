@@ -5,14 +5,13 @@ All measures are DataFrame functions of one row, so no text is shuffled and no r
 
 from __future__ import annotations
 
-import time
 from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lakeassay.llm.common import OWN, SPACE, staged
+from lakeassay.llm.common import OWN, SPACE, shielded
 
 BLANKS = r"[\x20\x09-\x0D]+"
 SYMBOLS = r"[#*$%&|<>]"
@@ -57,16 +56,20 @@ def _collides(c: Columns) -> Column:
     return F.size(F.filter(c["echoes"], differs)) > 0
 
 
-def _exact_places(c: Columns) -> Column:
-    """Places of repeated windows by sorting the windows themselves, for texts the packed form cannot hold."""
+def _sorted_windows(c: Columns) -> Column:
+    """All windows with their places, sorted, of texts the packed form cannot hold; null for others."""
     windows = F.array_sort(F.transform(_starts(c), lambda w, i: F.struct(
         F.array(w, *[F.get(c["words"], i + k) for k in range(1, WINDOW)]).alias("window"), i.alias("place"))))
-    runs = F.aggregate(windows, F.struct(
-        F.array().cast("array<string>").alias("window"), F.lit(-1).alias("place"), F.array().cast("array<int>").alias("found")),
-        lambda a, x: F.when(a.window == x.window, F.struct(
-            x.window.alias("window"), x.place.alias("place"), F.array_union(a.found, F.array(a.place, x.place)).alias("found")))
-        .otherwise(F.struct(x.window.alias("window"), x.place.alias("place"), a.found.alias("found"))))
-    return runs.found
+    return F.when((F.size(c["words"]) >= (1 << PLACE)) | _collides(c), windows)
+
+
+def _places(c: Columns) -> Column:
+    """Places of the repeated windows: neighbours in order that are equal."""
+    def same(x: Column, i: Column) -> Column:
+        return F.coalesce(x["window"] == F.get(c["exact"], i)["window"], F.lit(False))
+
+    exact = F.transform(F.filter(c["exact"], lambda x, i: same(x, i + 1) | same(x, i - 1)), lambda x: x["place"])
+    return F.when(c["exact"].isNotNull(), exact).otherwise(F.transform(c["echoes"], _place))
 
 
 def _shifted(places: Column, by: int) -> Column:
@@ -92,8 +95,8 @@ STEPS: dict[str, tuple[tuple[str, ...], Callable[[Columns], Column]]] = {
     # Windows whose hash bits a neighbour shares: the repeated ones.
     "echoes": (("windows",), lambda c: F.filter(c["windows"], lambda x, i: F.coalesce(
         _alike(x, F.get(c["windows"], i + 1)), F.lit(False)) | F.coalesce(_alike(x, F.get(c["windows"], i - 1)), F.lit(False)))),
-    "places": (("echoes", "words"), lambda c: F.when((F.size(c["words"]) >= (1 << PLACE)) | _collides(c), _exact_places(c))
-               .otherwise(F.transform(c["echoes"], _place))),
+    "exact": (("echoes", "words"), _sorted_windows),
+    "places": (("echoes", "exact"), _places),
     "n_repeat_words": (("places",), lambda c: F.size(F.array_distinct(F.flatten(F.array(*[
         _shifted(c["places"], k) for k in range(WINDOW)])))).cast("long")),
     "n_capitals": (("body",), lambda c: _count(c, "[A-Z]")),
@@ -102,6 +105,16 @@ STEPS: dict[str, tuple[tuple[str, ...], Callable[[Columns], Column]]] = {
 }
 
 
+#: The work of each step that is more than a look at a column, by a text's characters and words: scans of a character by a
+#: regular expression count ten, plain ones two; a word compared or hashed counts twenty.
+WORK: dict[str, Callable[[Column, Column], Column]] = {
+    "trimmed": lambda chars, words: 2 * chars, "words": lambda chars, words: 10 * chars, "word_chars": lambda chars, words: 2 * chars,
+    "n_symbols": lambda chars, words: 10 * chars, "lines": lambda chars, words: 4 * chars, "n_dup_lines": lambda chars, words: 2 * chars,
+    "windows": lambda chars, words: 20 * words * F.log2(words + 2), "echoes": lambda chars, words: 20 * words,
+    "n_repeat_words": lambda chars, words: 20 * words, "n_capitals": lambda chars, words: 10 * chars,
+    "n_small": lambda chars, words: 10 * chars, "n_lettered": lambda chars, words: 10 * chars}
+
+
 @dataclass(frozen=True)
 class Rule:
     """A reason to reject a text, from some of its measures."""
@@ -149,28 +162,42 @@ def _body(docs: DataFrame, text: str) -> DataFrame:
 
 def measured(docs: DataFrame, measures: Sequence[str], text: str = "text") -> DataFrame:
     """The documents with the named measures, which replace columns of those names; a null text is an empty one."""
+    docs, (text,), restored = shielded(docs, text)
     df = _with_steps(_body(docs, text), measures, {"body"})
     kept = [F.col(f"`{c}`") for c in docs.columns if c.lower() not in measures]
-    return df.select(*kept, *[_own(m).alias(m) for m in measures])
+    return restored(df.select(*kept, *[_own(m).alias(m) for m in measures]))
+
+
+def _steps_of(names: Sequence[str], known: Sequence[str]) -> set[str]:
+    """The steps that taking the named measures comes to, without those already known."""
+    found: set[str] = set()
+    for name in names:
+        if name not in known and name in STEPS:
+            found |= {name} | _steps_of(STEPS[name][0], known)
+    return found
 
 
 def cheapest_first(docs: DataFrame, rules: Sequence[Rule] = RULES, text: str = "text", sample_rows: int = 2000,
-                   seed: int = 5) -> list[Rule]:
-    """The rules by rejections per second on a random sample of about `sample_rows` documents, best first.
+                   seed: int = 5, known: Sequence[str] = ()) -> list[Rule]:
+    """The rules by rejections per work on a random sample of about `sample_rows` documents, best first; ties by name.
 
-    The sample only settles the order. Rules are joined by "and", so every order keeps the same documents.
+    One job counts, over the sample, the texts each rule rejects and the work of its measures as WORK has it, without those
+    `known` already. Counted work, unlike seconds, does not depend on what else runs, so the same table gives the same order.
+    The order is all the sample settles: rules are joined by "and", so every order keeps the same documents.
     """
     total = docs.count()
-    if not total:
+    if not total or not rules:
         return list(rules)
-    sample = staged(docs.select(F.col(f"`{text}`").cast("string").alias("text")).sample(min(1.0, sample_rows / total), seed))
-    worth = []
-    for rule in rules:
-        tried = _with_steps(_body(sample, "text"), rule.needs, {"body"})
-        start = time.perf_counter()
-        rejected = tried.agg(F.count_if(rule.rejects({n: _own(n) for n in rule.needs}))).first()[0]
-        worth.append((-rejected / (time.perf_counter() - start), rule.name, rule))
-    return [rule for _, _, rule in sorted(worth, key=lambda x: x[:2])]
+    sample = docs.select(F.col(f"`{text}`").cast("string").alias("text")).sample(min(1.0, sample_rows / total), seed)
+    tried = _with_steps(_body(sample, "text"), sorted({"n_words", *[n for r in rules for n in r.needs]}), {"body"})
+    chars, words = F.length(_own("body")).cast("double"), _own("n_words").cast("double")
+    counts = []
+    for i, rule in enumerate(rules):
+        work = sum((WORK[step](chars, words) for step in sorted(_steps_of(rule.needs, known)) if step in WORK), F.lit(1.0))
+        counts += [F.count_if(rule.rejects({n: _own(n) for n in rule.needs})).alias(f"rejected_{i}"), F.sum(work).alias(f"work_{i}")]
+    found = tried.agg(*counts).first()
+    worth = [(-found[f"rejected_{i}"] / (found[f"work_{i}"] or 1.0), rule.name, i) for i, rule in enumerate(rules)]
+    return [rules[i] for _, _, i in sorted(worth)]
 
 
 def cascade(docs: DataFrame, ordered: Sequence[Rule], text: str = "text", column: str = "kept",
@@ -179,8 +206,10 @@ def cascade(docs: DataFrame, ordered: Sequence[Rule], text: str = "text", column
 
     Rules run in the order given. Once one rejects a text, the measures of the later ones are not taken for
     it. Texts for which `unless` holds are rejected before the first. `known` names measures that `docs`
-    already holds in columns of their names.
+    already holds in columns of their names. A null text is an empty one, rows are judged one by one, and an empty table
+    gives an empty result.
     """
+    docs, (text,), restored = shielded(docs, text)
     df = _body(docs, text)
     done = {"body", *known}
     for name in known:
@@ -193,7 +222,7 @@ def cascade(docs: DataFrame, ordered: Sequence[Rule], text: str = "text", column
         rejected = F.coalesce(rule.rejects({n: _own(n) for n in rule.needs}), F.lit(False))
         df = df.withColumn(f"{OWN}undecided", F.when(undecided, ~rejected).otherwise(False))
     kept = [F.col(f"`{c}`") for c in docs.columns if c.lower() != column.lower()]
-    return df.select(*kept, undecided.alias(column))
+    return restored(df.select(*kept, undecided.alias(column)))
 
 
 def quality_rules(docs: DataFrame, rules: Sequence[Rule] = (*BASE_RULES, *RULES), text: str = "text", column: str = "kept") -> DataFrame:
@@ -209,7 +238,8 @@ def base_and_verdict(docs: DataFrame, text: str = "text", rules: Sequence[Rule]
     """The documents with the measures of the base rules and of all words, `base_failed` and `kept`.
 
     The base measures are taken for every text; the other rules form the cascade over those that pass the base.
-    Added columns replace those of the same name.
+    Added columns replace those of the same name. A null text is an empty one, repeated rows are judged alike, and an empty
+    table gives an empty result.
     """
     base = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
     df = measured(docs, base, text)
@@ -217,4 +247,4 @@ def base_and_verdict(docs: DataFrame, text: str = "text", rules: Sequence[Rule]
     for rule in BASE_RULES:
         failed = failed | rule.rejects({n: F.col(n) for n in rule.needs})
     df = df.withColumn("base_failed", failed)
-    return cascade(df, cheapest_first(docs, rules, text), text, "kept", unless=F.col("base_failed"), known=base)
+    return cascade(df, cheapest_first(docs, rules, text, known=base), text, "kept", unless=F.col("base_failed"), known=base)

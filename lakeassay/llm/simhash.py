@@ -198,8 +198,7 @@ def keep_one(docs: DataFrame, id_column: str = "doc_id", text: str = "text", shi
     Of rows with that same id, or without ids, the one with the smallest hash of all its columns stays; of rows
     equal in all columns, one. All columns of `docs` come back as they were, whatever their names.
     """
-    shown = docs.columns
-    docs, (id_column, text) = shielded(docs, id_column, text)
+    docs, (id_column, text), restored = shielded(docs, id_column, text)
     marked = docs.select("*", *row_key(docs, hashable(docs)))
     fp = staged(marked.select(F.col(f"`{id_column}`").alias("id"), fingerprint(F.col(f"`{text}`"), shingle).alias("fp"), *KEYS))
     found = simhash_components(fp, "id", distance)
@@ -207,4 +206,4 @@ def keep_one(docs: DataFrame, id_column: str = "doc_id", text: str = "text", shi
     kept = (fp.join(found, "fp").groupBy("root").agg(F.min(order).alias("first"))
             .select(*[F.col(f"first.{k}").alias(k) for k in KEYS]))
     # Rows equal in all columns pass the semi-join together; one of them is taken from the same partition.
-    return (marked.join(kept, KEYS, "left_semi").dropDuplicates(KEYS).drop(*KEYS).toDF(*shown))
+    return restored(marked.join(kept, KEYS, "left_semi").dropDuplicates(KEYS).drop(*KEYS))

@@ -38,3 +38,10 @@ def test_a_line_counts_once_for_each_document(spark):
     assert found == {1: "a\na\nA\nb", 2: "a\nc"}
     found = {r.doc_id: (r.text, r.n_dropped) for r in linededup.drop_shared_lines(docs, min_documents=2).collect()}
     assert found == {1: ("b", 3), 2: ("c", 1)}
+
+
+def test_names_that_the_operator_uses_itself(spark):
+    docs = spark.createDataFrame([(1, "a\nb", 5, "x"), (2, "a\nc", 6, "y")], "doc_id long, __llm_text string, __llm_k0 long, __llm_new string")
+    found = linededup.drop_shared_lines(docs, text="__llm_text", min_documents=2)
+    assert found.columns == [*docs.columns, "n_lines", "n_dropped"]
+    assert sorted(map(tuple, found.collect())) == [(1, "b", 5, "x", 2, 1), (2, "c", 6, "y", 2, 1)]

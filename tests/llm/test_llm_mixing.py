@@ -87,3 +87,11 @@ def test_copies_are_unbiased(spark):
 
 def test_only_dataframe_operations(spark):
     assert not python_nodes(queries.op3_mixing(spark, SF))
+
+
+def test_names_that_the_operator_uses_itself(spark):
+    docs = spark.createDataFrame([(i, "a b c", "s", i, "n") for i in range(20)], "doc_id long, text string, __llm_source string, __llm_k0 long, __llm_number string")
+    found = mixing.mix(docs, source="__llm_source").collect()
+    assert len(found) == 20 and all(r["__llm_k0"] == r.doc_id and r["__llm_number"] == "n" and r["__llm_source"] == "s" for r in found)
+    mixed = mixing.mixed(docs, source="__llm_source")
+    assert mixed.columns == docs.columns and mixed.count() == sum(r.copies for r in found)

@@ -1,4 +1,5 @@
 import re
+import time
 from collections import Counter
 
 import pytest
@@ -82,6 +83,31 @@ def test_order_puts_cheap_rejections_first(spark):
     assert rules.cheapest_first(empty(spark), (slow, good)) == [slow, good]
 
 
+def test_the_order_is_the_same_each_time_and_counts_what_is_known(spark):
+    docs = given(spark, "documents")
+    orders = [[r.name for r in rules.cheapest_first(docs)] for _ in range(3)]
+    assert orders[0] == orders[1] == orders[2] and sorted(orders[0]) == sorted(r.name for r in rules.RULES)
+    # Two rules that reject the same: the one whose measure is there already comes first.
+    dear = rules.Rule("a dear one", ("n_repeat_words",), lambda c: c["n_repeat_words"] >= 0)
+    cheap = rules.Rule("cheap", ("n_symbols",), lambda c: c["n_symbols"] >= 0)
+    assert [r.name for r in rules.cheapest_first(docs, (dear, cheap))] == ["cheap", "a dear one"]
+    assert [r.name for r in rules.cheapest_first(docs, (dear, cheap), known=("n_repeat_words",))] == ["a dear one", "cheap"]
+
+
+def test_texts_of_colliding_windows_take_about_linear_time(spark, monkeypatch):
+    monkeypatch.setattr(rules, "PLACE", 8)
+    text = " ".join(f"w{i % 9000}" for i in range(30_000))
+    start = time.time()
+    assert rules.measured(spark.createDataFrame([(text,)], "text string"), ["n_repeat_words"]).first().n_repeat_words == 30_000
+    assert time.time() - start < 30
+
+
+def test_names_that_the_rules_use_themselves(spark):
+    docs = given(spark, "documents").limit(50).withColumn("__llm_body", F.lit("own")).withColumn("__llm_words", F.col("doc_id"))
+    for found in (rules.base_and_verdict(docs), rules.cascade(docs, rules.RULES), rules.measured(docs, ["n_words"])):
+        assert {(r["__llm_body"], r["__llm_words"] == r.doc_id) for r in found.collect()} == {("own", True)}
+
+
 def test_later_measures_are_not_taken_for_rejected_texts(spark):
     """The second rule would fail on texts that the first rejects."""
     first = rules.Rule("first", ("n_words",), lambda c: c["n_words"] < 3)
