@@ -120,5 +120,5 @@ def still_hold(tails: DataFrame, spreads: DataFrame, limit: float) -> DataFrame:
 
     inside = [f"({c} IS NULL OR NOT {far(c)})" for c in ("inner_low", "inner_high")]
     outside = [f"({c} IS NULL OR ({far(c)} AND {c} {side} mean))" for c, side in (("outer_low", "<"), ("outer_high", ">"))]
-    return (tails.where(F.col("z_limit") == limit).join(F.broadcast(spreads), "column_name")
+    return (tails.where(F.col("z_limit") == limit).join(spreads, "column_name")
             .where(" AND ".join(inside + outside)).drop("mean", "std"))

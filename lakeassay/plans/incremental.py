@@ -39,7 +39,7 @@ class _Memory:
 
     def of(self, places: DataFrame) -> DataFrame | None:
         """Rows about the folders that the table has now."""
-        return self._spark.table(self.name).drop("part").join(F.broadcast(places), "folder") if tables.exists(self._spark, self.name) else None
+        return self._spark.table(self.name).drop("part").join(places, "folder") if tables.exists(self._spark, self.name) else None
 
     def keep(self, rows: DataFrame) -> None:
         tables.publish(rows, self.name)
@@ -81,7 +81,7 @@ def check_changed(spark: SparkSession, table: KeyedTable, spec: TableSpec, run:
     if stale:
         columns = list(dict.fromkeys([*nulls, *numbers]))
         fresh = (profile_parts(within(stale), BUCKET, columns, keys=KEY, timestamp=timestamp, active=active)
-                 .join(F.broadcast(places), "part").withColumn("layout", F.lit(layout)))
+                 .join(places, "part").withColumn("layout", F.lit(layout)))
         profiles = staging.stage(fresh if known is None else known.unionByName(fresh))
         memory.keep(profiles)
     else:
@@ -103,7 +103,7 @@ def check_changed(spark: SparkSession, table: KeyedTable, spec: TableSpec, run:
         counted = sorted(bucket for bucket, columns in missing.items() if columns)
         if counted:
             again = {c: spreads[c] for c in spreads if any(c in missing[bucket] for bucket in counted)}
-            fresh = (count_tails(within(counted), BUCKET, again, limits.outlier_zscore, active=active).join(F.broadcast(places), "part"))
+            fresh = (count_tails(within(counted), BUCKET, again, limits.outlier_zscore, active=active).join(places, "part"))
             if tails is not None:
                 redone = F.col("part").isin(counted) & F.col("column_name").isin(list(again))
                 fresh = tails.where(~redone).unionByName(fresh)
