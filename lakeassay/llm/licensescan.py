@@ -5,7 +5,7 @@ from __future__ import annotations
 import re
 from bisect import bisect_left
 from collections import Counter, defaultdict
-from collections.abc import Mapping
+from collections.abc import Iterator, Mapping
 
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -15,8 +15,6 @@ from pyspark.sql import functions as F
 WORDS = re.compile(r"[a-z0-9]+")
 #: A phrase of a template that a match must hold word for word.
 TELLING = re.compile(r"\[\[(.*?)\]\]", re.S)
-#: Templates of up to so many words are namings, of which every word tells licenses apart.
-NAMING = 20
 MATCH = "array<struct<license:string,coverage:double,matched:int,first_word:int,last_word:int,start_char:int,end_char:int>>"
 
 
@@ -95,6 +93,8 @@ class Scanner:
         self.min_coverage = min_coverage
         self.templates = {name: words for name, text in templates.items() if (words := WORDS.findall(text.lower()))}
         self.telling = {name: _telling(templates[name].lower()) for name in self.templates}
+        # A template that is one telling phrase from end to end is a naming: it must stand there word for word.
+        self.namings = {name for name, words in self.templates.items() if self.telling[name] == [(0, len(words))]}
         self.counts = {name: Counter(words) for name, words in self.templates.items()}
         self.vocabulary = set().union(*self.templates.values())
 
@@ -124,7 +124,7 @@ class Scanner:
     def _needed(self, name: str) -> int:
         """How many words of a template a match must hold."""
         size = len(self.templates[name])
-        return size if size <= NAMING else size - int((1 - self.min_coverage) * size + 1e-9)
+        return size if name in self.namings else size - int((1 - self.min_coverage) * size + 1e-9)
 
     def _matches(self, name: str, words: list[str], places: Mapping[str, list[int]]) -> list[tuple]:
         template = self.templates[name]
@@ -134,7 +134,7 @@ class Scanner:
             return []
         # An alignment that misses at most so many words holds one of any `may_miss` + 1 of them: the rarest here.
         seeds = sorted(range(size), key=lambda i: (len(places[template[i]]), i))[: may_miss + 1]
-        if size <= NAMING:
+        if name in self.namings:
             starts = (p - seeds[0] for p in places[template[seeds[0]]] if p >= seeds[0])
             return [(name, 1.0, size, p, p + size - 1) for p in starts if words[p : p + size] == template]
         slack = may_miss + 2
@@ -170,18 +170,20 @@ def license_matches(docs: DataFrame, templates: Mapping[str, str], text: str = "
     """The documents with the license texts found in them, as an array that replaces a column of that name.
 
     A match is a place of the text that aligns with at least `min_coverage` of a template's words, with as many other words
-    in between as may be missing. Phrases of a template in [[ ]] must stand there word for word, and so must
-    templates of up to NAMING words as a whole. Coverage is the share of the template's words
+    in between as may be missing. Phrases of a template in [[ ]] must stand there word for word, and so must a
+    template that is one such phrase, as namings are. Coverage is the share of the template's words
     that align, and places are given in words and in characters of the lower-cased text. A match within a longer
     one is left out. Whole texts are scanned, once each and row by row: nothing is shuffled, so copies and long texts
-    cost only themselves. Null and empty texts have no matches.
+    cost only themselves. Null and empty texts have no matches, an empty table no rows. Of templates that match the same place the
+    one with most words aligned stays, then the better covered, then the first by name.
     """
     held = dict(templates)
 
     @F.pandas_udf(MATCH)
-    def scanned(texts: pd.Series) -> pd.Series:
+    def scanned(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         names = ("license", "coverage", "matched", "first_word", "last_word", "start_char", "end_char")
         scanner = Scanner(held, min_coverage)
-        return pd.Series([[dict(zip(names, m)) for m in scanner.scan(t)] for t in texts], dtype=object)
+        for texts in batches:
+            yield pd.Series([[dict(zip(names, m)) for m in scanner.scan(t)] for t in texts], dtype=object)
 
     return docs.withColumn(column, scanned(F.col(f"`{text}`")))
