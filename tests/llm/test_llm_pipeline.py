@@ -32,7 +32,7 @@ def test_stages_are_registered(spark):
     assert [n for n, _ in corpus_pipeline.STAGES] == [
         "quality classifier", "line dedup", "SimHash near-dedup", "mixing sources to target weights", "byte-level BPE encoding and decoding"]
     assert set(driver.oracle_sql()) <= set(driver.queries())
-    assert {f"op{n}" for n in range(1, 11)} == {name.split("_")[0] for name in driver.queries() if name.startswith("op")}
+    assert {f"op{n}" for n in range(1, 14)} == {name.split("_")[0] for name in driver.queries() if name.startswith("op")}
 
 
 def test_quality_stage(spark, outputs):
