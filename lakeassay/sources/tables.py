@@ -23,10 +23,16 @@ ROW_LEVEL_FORMATS = ("delta", "iceberg")
 def shared_folder(spark: SparkSession) -> str:
     """The folder for intermediate data that every executor can reach.
 
-    A cluster names it in `spark.checkpoint.dir`; without that it is a folder in the warehouse.
+    A cluster names it in `spark.checkpoint.dir`; without that it is a folder in the warehouse, which must then be in a
+    store that the cluster shares: a path of the driver's machine is an error.
     """
     folder = spark.conf.get("spark.checkpoint.dir", None)
-    return (folder or f"{spark.conf.get('spark.sql.warehouse.dir')}/_shared").rstrip("/")
+    if folder is None:
+        warehouse, master = spark.conf.get("spark.sql.warehouse.dir"), spark.conf.get("spark.master", None) or "local"
+        if not master.startswith("local") and (warehouse.startswith("file:") or "://" not in warehouse):
+            raise ValueError(f"set spark.checkpoint.dir to a folder that all executors share; the warehouse {warehouse} is a local one")
+        folder = f"{warehouse}/_shared"
+    return folder.rstrip("/")
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:

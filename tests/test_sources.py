@@ -78,6 +78,14 @@ def test_shared_folder_comes_from_the_session(spark):
     assert tables.shared_folder(Session(spark__sql__warehouse__dir="hdfs://c/tables")) == "hdfs://c/tables/_shared"
 
 
+def test_a_cluster_needs_a_folder_that_it_shares():
+    for warehouse in ("file:///home/me/warehouse", "/home/me/warehouse", "spark-warehouse"):
+        with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+            tables.shared_folder(Session(spark__master="yarn", spark__sql__warehouse__dir=warehouse))
+        assert tables.shared_folder(Session(spark__master="local[8]", spark__sql__warehouse__dir=warehouse)) == f"{warehouse}/_shared"
+    assert tables.shared_folder(Session(spark__master="yarn", spark__sql__warehouse__dir="s3a://b/w")) == "s3a://b/w/_shared"
+
+
 def test_staged_copies_go_with_their_block(spark):
     with tables.Staging(spark) as one, tables.Staging(spark) as other:
         copies = [one.stage(spark.range(3)), other.stage(spark.range(4))]
