@@ -18,8 +18,13 @@ OWN = "__llm_"
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder that driver and executors share: `spark.checkpoint.dir`, else one in the warehouse."""
-    return (spark.conf.get("spark.checkpoint.dir", None) or f"{spark.conf.get('spark.sql.warehouse.dir')}/_shared").rstrip("/")
+    """The folder that driver and executors share: `spark.checkpoint.dir`, else one in the warehouse, if the cluster shares that."""
+    if folder := spark.conf.get("spark.checkpoint.dir", None):
+        return folder.rstrip("/")
+    warehouse, master = spark.conf.get("spark.sql.warehouse.dir"), spark.conf.get("spark.master", None) or "local"
+    if not master.startswith("local") and (warehouse.startswith("file:") or "://" not in warehouse):
+        raise ValueError(f"set spark.checkpoint.dir to a folder that all executors share; the warehouse {warehouse} is a local one")
+    return f"{warehouse}/_shared".rstrip("/")
 
 
 def staged(df: DataFrame) -> DataFrame:
