@@ -30,8 +30,7 @@ def test_agreement_is_the_lowered_footrule_distance():
     k, pivots = 6, 15
     orders = np.array([dice.sample(range(pivots), k) for _ in range(40)], np.int32)
     a, b = orders[:10], orders[10:]
-    postings = ann.inverted_file(b, pivots)
-    found = np.array([ann.agreement(order, postings) for order in a])
+    found = ann.agreement(a, ann.inverted_file(b, pivots))
     place = lambda order, p: list(order).index(p) if p in order else k
     for i in range(10):
         for j in range(30):
@@ -39,6 +38,23 @@ def test_agreement_is_the_lowered_footrule_distance():
             assert footrule == 2 * sum(k - x for x in range(k)) - 2 * found[i, j]
 
 
+def test_postings_hold_each_row_once_for_each_of_its_pivots():
+    dice = random.Random(3)
+    order = np.array([dice.sample(range(9), 4) for _ in range(25)], np.int32)
+    postings = ann.inverted_file(order, 9)
+    for p in range(9):
+        part = slice(postings.starts[p], postings.starts[p + 1])
+        wanted = {(i, 4 - list(row).index(p)) for i, row in enumerate(order) if p in row}
+        assert len(postings.rows[part]) == len(wanted) and set(zip(postings.rows[part], postings.weights[part])) == wanted
+
+
+def test_a_query_sees_the_postings_of_the_pivots_it_visits_only():
+    order = np.array([[0, 1], [2, 3], [3, 0]], np.int32)
+    postings = ann.inverted_file(order, 5)
+    assert ann.agreement(np.array([[0]]), postings).tolist() == [[2, 0, 1]]
+    assert ann.agreement(np.array([[4, 3], [3, 4]]), postings).tolist() == [[0, 1, 1], [0, 1, 2]]
+
+
 def test_nearest_pivots_are_in_order():
     dice = np.random.default_rng(9)
     x, pivots = dice.integers(-2, 3, (50, 4)).astype(float), dice.integers(-2, 3, (12, 4)).astype(float)
@@ -89,8 +105,9 @@ def test_odd_vectors(spark):
 
 
 def test_vectors_of_each_length_are_searched(spark, monkeypatch):
-    monkeypatch.setattr(ann, "BLOCK", 100)
+    monkeypatch.setattr(ann, "BLOCK", 50)
     monkeypatch.setattr(ann, "QUERY_BLOCK", 8)
+    monkeypatch.setattr(ann, "HELD", 100)
     dice = np.random.default_rng(7)
     rows = [(i, dice.normal(size=(4, 4, 6)[i % 3])) for i in range(600)]
     df = spark.createDataFrame([(i, v.tolist()) for i, v in rows], "vec_id long, embedding array<double>")
@@ -100,3 +117,30 @@ def test_vectors_of_each_length_are_searched(spark, monkeypatch):
         own = [r for r in rows if len(r[1]) == n]
         for q, near in plain(own, [r for r in own if r[0] % 10 == 0], top=5).items():
             assert [i for i, _ in found[q]] == [i for i, _ in near]
+
+
+def test_rows_of_one_vector_are_found_by_their_smallest_ids(spark, monkeypatch):
+    """A third of all rows hold one vector; no result needs more of them than the first few."""
+    monkeypatch.setattr(ann, "BLOCK", 100)
+    dice = np.random.default_rng(11)
+    same = dice.integers(-3, 4, 8).astype(float)
+    rows = [(i, same if i % 3 == 0 else dice.integers(-3, 4, 8).astype(float)) for i in range(900)]
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in rows if v.any()], "vec_id long, embedding array<double>")
+    rows = [r for r in rows if r[1].any()]
+    found = by_query(ann.nearest(df, F.col("vec_id") % 10 == 0, top=6).collect())
+    wanted = plain(rows, [r for r in rows if r[0] % 10 == 0], top=6)
+    assert found.keys() == wanted.keys()
+    for q in wanted:
+        if q % 3 == 0:
+            assert [i for i, _ in found[q]] == [i for i, _ in wanted[q]]
+    hits = [len({i for i, _ in found[q]} & {i for i, _ in wanted[q]}) / 6 for q in wanted]
+    assert np.mean(hits) >= 0.9
+
+
+def test_more_results_than_rows_reranked_at_once(spark, monkeypatch):
+    monkeypatch.setattr(ann, "RERANK", 4)
+    dice = np.random.default_rng(13)
+    rows = [(i, dice.normal(size=5)) for i in range(60)]
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in rows], "vec_id long, embedding array<double>")
+    found = by_query(ann.nearest(df, F.col("vec_id") == 7, top=100).collect())
+    assert [i for i, _ in found[7]] == [i for i, _ in plain(rows, [rows[7]], top=100)[7]]
