@@ -15,7 +15,24 @@ from lakeassay.llm.common import KEYS, OWN, hashable, row_key, shielded, staged,
 
 #: Fractions that one step of the tree rounds together, on average.
 FAN = 64
-DECIDED = f"array<struct<k0:bigint,k1:bigint,rank:int,extra:int>>"
+#: Equal rows that one task numbers, on average.
+EQUAL = 65536
+DECIDED = "array<struct<k0:bigint,k1:bigint,rank:bigint,extra:int>>"
+
+
+def _running(rows: DataFrame, order: Sequence[Column], sums: dict[str, Column]) -> DataFrame:
+    """`rows` with the sums over the rows before each in `order`, which tells all rows apart; no task gets all of them.
+
+    Rows are cut into ranges, whose sums are added up over the ranges, one row each, and then within each range. The sums are of whole
+    numbers, so they do not depend on the cuts.
+    """
+    ranged = staged(rows.repartitionByRange(*order).withColumn("range", F.spark_partition_id()))
+    before = Window.orderBy("range").rowsBetween(Window.unboundedPreceding, -1)
+    starts = staged(ranged.groupBy("range").agg(*[F.sum(v).alias(f"_{k}") for k, v in sums.items()]).select(
+        "range", *[F.coalesce(F.sum(f"_{k}").over(before), F.lit(0)).alias(f"_{k}") for k in sums]))
+    within = Window.partitionBy("range").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
+    return (ranged.join(starts, "range").withColumns({k: F.col(f"_{k}") + F.coalesce(F.sum(v).over(within), F.lit(0)) for k, v in sums.items()})
+            .drop("range", *[f"_{k}" for k in sums]))
 
 
 def source_targets(sources: DataFrame, weights: Sequence[float], share: float, cap: float) -> DataFrame:
@@ -23,20 +40,21 @@ def source_targets(sources: DataFrame, weights: Sequence[float], share: float, c
 
     Sources in order of code points, null last, have the weights in turn and share `share` times all sizes.
     No target passes `cap` times its source's size; what would is shared by the others by weight. That is the
-    level L at which min(cap * size, L * weight) adds up to the whole. The windows here run over one row per
-    source, not over documents.
+    level L at which min(cap * size, L * weight) adds up to the whole. Sources are ranked, and added up in the order in which they
+    reach their caps, by ranges, so their number has no bound. The driver gets three totals and the level.
     """
-    ranked = sources.withColumn("rank", F.row_number().over(Window.orderBy(F.col("source").asc_nulls_last())))
-    turn = F.array(*[F.lit(float(w)) for w in weights])
-    ranked = (ranked.withColumn("weight", F.get(turn, (F.col("rank") - 1) % len(weights)))
+    ranked = _running(sources, [F.col("source").asc_nulls_last()], {"rank": F.lit(1).cast("long")}).withColumn("rank", F.col("rank") + 1)
+    turn = (F.col("rank") - 1) % len(weights)
+    ranked = (ranked.withColumn("turn", turn).withColumn("weight", F.get(F.array(*[F.lit(float(w)) for w in weights]), "turn"))
               .withColumn("most", F.col("source_size") * F.lit(float(cap))))
-    by_need = Window.orderBy(F.col("most") / F.col("weight"), "rank")
-    up_to, onwards = by_need.rowsBetween(Window.unboundedPreceding, -1), by_need.rowsBetween(0, Window.unboundedFollowing)
-    every = Window.partitionBy()
-    left = F.sum("source_size").over(every) * F.lit(float(share)) - F.coalesce(F.sum("most").over(up_to), F.lit(0.0))
-    level = (ranked.withColumn("level", left / F.sum("weight").over(onwards))
-             .withColumn("capped", F.col("level") * F.col("weight") >= F.col("most")))
-    shared = F.max(F.when(~F.col("capped"), F.col("level"))).over(every) * F.col("weight")
+    # Weights are added up as counts of sources in each turn.
+    taken = {f"turn{i}": (F.col("turn") == i).cast("long") for i in range(len(weights))}
+    rows = _running(ranked, [F.col("most") / F.col("weight"), F.col("rank")], {**taken, "sizes": F.col("source_size")})
+    whole, *turns = ranked.agg(F.coalesce(F.sum("source_size"), F.lit(0)), *[F.coalesce(F.sum(v), F.lit(0)) for v in taken.values()]).first()
+    left = F.lit(float(whole) * float(share)) - F.col("sizes") * F.lit(float(cap))
+    onwards = sum(((F.lit(n) - F.col(f"turn{i}")) * F.lit(float(w)) for i, (n, w) in enumerate(zip(turns, weights))), F.lit(0.0))
+    level = staged(rows.withColumn("level", left / onwards).withColumn("capped", F.col("level") * F.col("weight") >= F.col("most")))
+    shared = F.lit(level.where("not capped").agg(F.max("level")).first()[0]).cast("double") * F.col("weight")
     return level.withColumn("target", F.when(F.col("capped"), F.col("most")).otherwise(shared)).select(
         "source", "source_size", "rank", "target")
 
@@ -99,16 +117,19 @@ def _rounded(fractions: DataFrame, chunks: int, seed: int) -> DataFrame:
 
 def _decided(docs: DataFrame, source: str, text: str, weights: Sequence[float], share: float, cap: float, seed: int) -> DataFrame:
     """The documents with the added columns under names of their own."""
-    # Equal rows are told apart by number only, so that any of them may take any of their shares.
-    sized = staged(docs.select(*row_key(docs, hashable(docs)), F.col(f"`{source}`").cast("string").alias("source"),
+    # Equal rows are told apart by number only, so that any of them may take any of their shares. Their places are written with
+    # them, so that they are the same whenever they are read.
+    docs = staged(docs.withColumn(f"{OWN}place", F.monotonically_increasing_id()))
+    columns = [c for c in hashable(docs) if c != f"{OWN}place"]
+    sized = staged(docs.select(*row_key(docs, columns), F.col(f"`{source}`").cast("string").alias("source"),
                                word_count(F.col(f"`{text}`")).alias("size")).groupBy(*KEYS, "source", "size")
                    .agg(F.count("*").alias("rows")))
     per_source = staged(sized.groupBy("source").agg(F.sum(F.col("size") * F.col("rows")).alias("source_size"),
-                                                    F.count("*").alias("distinct")))
+                                                    F.count("*").alias("distinct"), F.max("rows").alias("equal")))
     targets = staged(source_targets(per_source.select("source", "source_size"), weights, share, cap))
     # Whether they are broadcast is up to Spark, by the bytes it finds in the file, names included.
     targets = targets.withColumnRenamed("source", f"{OWN}source")
-    most = per_source.agg(F.max("distinct")).first()[0]
+    most, equal = per_source.agg(F.max("distinct"), F.max("equal")).first()
     rows = sized.join(targets, F.col("source").eqNullSafe(F.col(f"{OWN}source"))).drop(f"{OWN}source")
     ratio = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(0.0)
     rows = (rows.withColumn("base", F.floor(ratio).cast("int")).withColumn("fraction", (ratio - F.floor(ratio)) * F.col("rows"))
@@ -122,11 +143,18 @@ def _decided(docs: DataFrame, source: str, text: str, weights: Sequence[float],
             # A text without words has nothing to balance, so it is drawn by itself.
             .withColumn("extra", F.coalesce("extra", (_uniform(F.lit(seed), *KEYS) < F.col("p")).cast("int"))))
     shares = rows.select(*KEYS, *[F.col(c).alias(OWN + c) for c in ("size", "source_size", "target", "base", "whole", "extra")])
-    number = F.row_number().over(Window.partitionBy(*KEYS).orderBy(KEYS[0]))
-    numbered = docs.select("*", *row_key(docs, hashable(docs))).withColumn(f"{OWN}number", number)
+    # Equal rows are numbered within a salt each, on from the number of those in the salts before.
+    salt = F.pmod(F.col(f"{OWN}place"), F.lit(max(1, -(-(equal or 0) // EQUAL)))).alias(f"{OWN}salt")
+    salted = docs.select("*", *row_key(docs, columns), salt)
+    before = Window.partitionBy(*KEYS).orderBy(f"{OWN}salt").rowsBetween(Window.unboundedPreceding, -1)
+    starts = (salted.groupBy(*KEYS, f"{OWN}salt").agg(F.count("*").alias("n"))
+              .select(*KEYS, f"{OWN}salt", F.coalesce(F.sum("n").over(before), F.lit(0)).alias(f"{OWN}start")))
+    number = F.row_number().over(Window.partitionBy(*KEYS, f"{OWN}salt").orderBy(f"{OWN}place"))
+    numbered = salted.withColumn(f"{OWN}number", number).join(starts.join(shares, KEYS), [*KEYS, f"{OWN}salt"]).withColumn(
+        f"{OWN}number", F.col(f"{OWN}number") + F.col(f"{OWN}start"))
     more = (F.when(F.col(f"{OWN}number") <= F.col(f"{OWN}whole"), 1)
             .when(F.col(f"{OWN}number") == F.col(f"{OWN}whole") + 1, F.col(f"{OWN}extra")).otherwise(0))
-    return numbered.join(shares, KEYS).withColumn(f"{OWN}copies", F.col(f"{OWN}base") + more)
+    return numbered.withColumn(f"{OWN}copies", F.col(f"{OWN}base") + more)
 
 
 def mix(docs: DataFrame, source: str = "source", text: str = "text", weights: Sequence[float] = (3, 1, 2),

@@ -65,6 +65,29 @@ def test_one_hot_source_and_repeated_rows(spark):
     check(docs, mixing.mix(docs).collect())
 
 
+def test_equal_rows_are_numbered_by_salt(spark, monkeypatch):
+    """The shares of equal rows do not depend on how many tasks number them."""
+    rows = [(i, "a b " * (i % 5 + 1), "hot") for i in range(200)] + [(7, "x y z", "hot")] * 500 + [(8, "u v", "one")] * 77 + [(9, "", None)] * 9
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    key = lambda r: (r.doc_id, r.copies)
+    first = sorted(mixing.mix(docs).collect(), key=key)
+    monkeypatch.setattr(mixing, "EQUAL", 30)
+    again = mixing.mix(docs.repartition(5)).collect()
+    check(docs, again)
+    assert [key(r) for r in first] == [key(r) for r in sorted(again, key=key)]
+
+
+def test_many_sources_in_several_ranges(spark, conf):
+    conf(spark__sql__shuffle__partitions="6", spark__sql__adaptive__coalescePartitions__enabled="false")
+    rows = [(f"s{i:03d}" if i else None, (i * 37) % 91) for i in range(400)]
+    sources = spark.createDataFrame(rows, "source string, source_size long")
+    found = mixing.source_targets(sources, (3, 1, 2), 1.5, 2.0).collect()
+    wanted = targets(dict(rows))
+    order = sorted(s for s, _ in rows if s) + [None]
+    assert len(found) == len(rows) and all(r.target == pytest.approx(wanted[r.source]) and order[r["rank"] - 1] == r.source for r in found)
+    assert mixing.source_targets(sources.limit(0), (3, 1, 2), 1.5, 2.0).collect() == []
+
+
 def test_the_mix_repeats_documents(spark):
     docs = documents(spark, 3)
     copies = sum(r.copies for r in mixing.mix(docs).collect())
