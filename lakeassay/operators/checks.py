@@ -212,21 +212,23 @@ def freshness(df: DataFrame, subject: Subject, timestamp: str, limits: Threshold
     return _column_checks(df, subject, limits, timestamp=timestamp)
 
 
-def _compact(df: DataFrame, column: str) -> Column:
-    """The column, with any text replaced by its length and SHA-256, so that whole texts are not shuffled."""
-    value = quoted(column)
+def _compact(df: DataFrame, keys: Sequence[str]) -> list[Column]:
+    """What tells keys apart: the columns, with all texts among them replaced by 128 bits of one SHA-256, so that no text is shuffled."""
     # Texts of another collation may be equal without having the same bytes.
-    if df.schema[column].dataType != StringType():
-        return value
-    return F.struct(F.octet_length(value), F.unhex(F.sha2(value, 256)))
+    texts = [c for c in keys if df.schema[c].dataType == StringType()]
+    others = [quoted(c).alias(f"k{i}") for i, c in enumerate(keys) if c not in texts]
+    if not texts:
+        return others
+    # With its length before each text, and a mark for null, no two keys are written alike.
+    parts = [F.coalesce(F.concat(F.octet_length(quoted(c)).cast("string"), F.lit(":"), quoted(c)), F.lit("-")) for c in texts]
+    return [*others, F.unhex(F.substring(F.sha2(F.concat(*parts), 256), 1, 32)).alias("digest")]
 
 
 def duplicate_rate(df: DataFrame, subject: Subject, limits: Thresholds = Thresholds(), *,
                    keys: Sequence[str] = ()) -> DataFrame:
     """Share of rows beyond the first of their key, or of all data columns. Null equals null."""
     keys = list(keys) or business_columns(df)
-    compact = [_compact(df, c).alias(f"k{i}") for i, c in enumerate(keys)]
-    groups = df.groupBy(*compact).agg(F.count(F.lit(1)).alias("copies"))
+    groups = df.groupBy(*_compact(df, keys)).agg(F.count(F.lit(1)).alias("copies"))
     summary = groups.agg(F.expr("coalesce(sum(copies), 0) AS total"), F.expr("count(1) AS kinds"))
     return _emit(summary, subject, [_duplicate_measure(keys, limits)])
 

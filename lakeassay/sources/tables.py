@@ -70,7 +70,7 @@ class Staging:
     def stage(self, df: DataFrame) -> DataFrame:
         """Write `df` once and read it back."""
         path = f"{self.path}/{uuid.uuid4().hex}"
-        df.write.parquet(path)
+        df.write.parquet(path, compression="zstd")
         return self._spark.read.schema(df.schema).parquet(path)
 
     @property
