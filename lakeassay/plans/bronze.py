@@ -23,6 +23,9 @@ from lakeassay.operators.ingest import (
 from lakeassay.plans.jobs import run_together
 from lakeassay.sources import tables
 
+#: What the row hash adds to a row in memory.
+HASH_BYTES = 48
+
 
 @dataclass(frozen=True)
 class LoadResult:
@@ -59,8 +62,8 @@ def load(spark: SparkSession, spec: TableSpec, source: DataFrame, run: RunContex
     first load too, so keys are unique. What happens to columns that appear later is up to
     `new_columns`, as in `merge_snapshot`.
 
-    A table of plain files is cut into `buckets` by key, or into as many as hold `bucket_bytes` each; unless the number is given,
-    a merge that finds it four times too small writes the table anew with more.
+    A table of plain files is cut by key into as many buckets as hold `bucket_bytes` of rows in memory each, and into `buckets` at
+    least; a merge that finds the number four times too small writes the table anew with more.
     """
     if not spec.keys:
         raise ValueError(f"{spec.name} declares no key to load by")
@@ -71,19 +74,25 @@ def load(spark: SparkSession, spec: TableSpec, source: DataFrame, run: RunContex
 
     with tables.Staging(spark) as staging:
         extract = staging.stage(source)
-        read = extract.count()
+        stamped = stamp_lineage(
+            extract, system=origin.system, schema=origin.schema, table=origin.table, ingested_at=run.timestamp)
+        keyed = stamped.withColumn(tables.KEY, key_text(extract, spec.keys))
+        read, size = keyed.agg(F.count(F.lit(1)), F.coalesce(F.sum(tables.row_bytes(keyed)), F.lit(0))).first()
         if loaded and not read:
             return LoadResult(spec.name, "skipped", {})
-        size = staging.bytes
-        rows = with_row_hash(stamp_lineage(
-            extract, system=origin.system, schema=origin.schema, table=origin.table, ingested_at=run.timestamp), mode=hash_mode)
+        rows = with_row_hash(stamped, mode=hash_mode)
         latest = latest_per_key(rows, spec.keys).withColumn(tables.KEY, key_text(rows, spec.keys))
         table = tables.KeyedTable(spark, spec.name, fmt)
+
+        def wanted(rows: int) -> int:
+            """The buckets for so many rows of this size."""
+            return -(-rows * (size // max(read, 1) + HASH_BYTES) // bucket_bytes)
+
         if not loaded:
             if tables.supports_row_changes(fmt):
                 tables.publish(latest.drop(tables.KEY), spec.name, fmt=fmt)
             else:
-                table.create(latest, buckets or max(1, -(-size // bucket_bytes)), spec.keys)
+                table.create(latest, max(1, buckets or 1, wanted(read)), spec.keys)
             count = spark.table(spec.name).count()
             return LoadResult(spec.name, "initial", {"insert": count}, read - count)
         batch = staging.stage(latest)
@@ -92,10 +101,6 @@ def load(spark: SparkSession, spec: TableSpec, source: DataFrame, run: RunContex
         if tables.supports_row_changes(fmt):
             tables.merge_into(batch.drop(tables.KEY), spec.name, spec.keys, as_of=run.timestamp, full_extract=full, new_columns=new_columns)
             return LoadResult(spec.name, "merged", {}, surplus)
-
-        def wanted(rows: int) -> int:
-            return 0 if buckets else -(-rows * size // read) // bucket_bytes
-
         return LoadResult(spec.name, "merged", _merge(table, batch, run, full_extract=full, new_columns=new_columns, wanted=wanted), surplus)
 
 

@@ -10,9 +10,9 @@ from urllib.parse import quote, unquote
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructField
+from pyspark.sql.types import AtomicType, BinaryType, StringType, StructField
 
-from lakeassay.functions import latest_per_key
+from lakeassay.functions import latest_per_key, quoted
 from lakeassay.functions.text import name as quoted_name
 from lakeassay.operators.ingest import merged_columns
 
@@ -50,6 +50,10 @@ def scratch_folder(spark: SparkSession, name: str) -> str:
     return path
 
 
+#: Rows of a staged file. Tasks read at most about thirty files however well they compress, as Spark counts 4 MB for opening one.
+FILE_ROWS = 1 << 16
+
+
 class Staging:
     """A fresh place for copies that later steps read, removed with all of them when the block ends, or else the session.
 
@@ -70,15 +74,9 @@ class Staging:
     def stage(self, df: DataFrame) -> DataFrame:
         """Write `df` once and read it back."""
         path = f"{self.path}/{uuid.uuid4().hex}"
-        df.write.parquet(path, compression="zstd")
+        df.write.option("maxRecordsPerFile", FILE_ROWS).parquet(path, compression="zstd")
         return self._spark.read.schema(df.schema).parquet(path)
 
-    @property
-    def bytes(self) -> int:
-        """How much is staged here."""
-        path = self._spark._jvm.org.apache.hadoop.fs.Path(self.path)
-        return path.getFileSystem(self._spark._jsc.hadoopConfiguration()).getContentSummary(path).getLength()
-
     def remove(self) -> None:
         remove(self._spark, self.path)
 
@@ -170,12 +168,24 @@ def _versions(spark: SparkSession, database: str | None, table: str) -> list[int
 
 
 KEY, BUCKET = "_key", "_key_bucket"
-#: Buckets of a new table are cut to hold about so many bytes each.
-BUCKET_BYTES = 256 << 20
+#: Buckets of a new table are cut to hold about so many bytes each, as rows in memory: a merge sorts a bucket's old rows beside its new ones.
+BUCKET_BYTES = 128 << 20
 #: Partitions named in one statement.
 _AT_ONCE = 1000
 
 
+def row_bytes(df: DataFrame) -> Column:
+    """About how many bytes a row takes in a task's memory, however well files compress it."""
+    fixed, sizes = 8, []
+    for field in df.schema.fields:
+        fixed += 8
+        if not isinstance(field.dataType, AtomicType) or isinstance(field.dataType, (StringType, BinaryType)):
+            value = quoted(field.name)
+            sizes.append(F.coalesce(F.octet_length(value if isinstance(field.dataType, BinaryType) else value.cast("string")), F.lit(0)))
+            fixed += 4  # texts are filled up to eight bytes
+    return sum(sizes, F.lit(fixed)).cast("long")
+
+
 def with_bucket(df: DataFrame, buckets: int) -> DataFrame:
     """Add the bucket of each row's KEY: the one that Spark's own bucketing by that column puts it in."""
     return df.withColumn(BUCKET, F.pmod(F.hash(KEY), F.lit(buckets)))

@@ -170,6 +170,25 @@ def test_buckets_follow_the_size(spark):
     assert table.buckets > 2 and content(spark, "grown") == wanted(3000, [0])
 
 
+def test_buckets_count_rows_in_memory_not_files(spark):
+    alike = spark.range(20_000).selectExpr("concat('k', id) AS a", "1 AS b", "repeat('same ', 40) AS v")
+    options = {"bucket_bytes": 1 << 20}
+    load(spark, spec("alike"), alike, RUNS[0], FROM, **options)
+    load(spark, spec("named"), alike, RUNS[0], FROM, buckets=3, **options)  # three are the least
+    load(spark, spec("small"), alike, RUNS[0], FROM, buckets=3)
+    assert [tables.KeyedTable(spark, f"keyed.{t}").buckets > 6 for t in ("alike", "named", "small")] == [True, True, False]
+    assert tables.KeyedTable(spark, "keyed.small").buckets == 3
+    load(spark, spec("small"), alike, RUNS[1], FROM, **options)
+    assert load(spark, spec("small"), alike.where("a <> 'k7'"), RUNS[2], FROM, **options).changes["delete"] == 1
+    assert spark.table("keyed.small").where("NOT _is_deleted").count() == 19_999
+
+
+def test_staged_files_hold_a_bounded_number_of_rows(spark):
+    with tables.Staging(spark) as staging:
+        staged = staging.stage(spark.range(0, 3 * tables.FILE_ROWS, 1, 1).selectExpr("1 AS x"))
+        assert len(staged.inputFiles()) == 3 and staged.count() == 3 * tables.FILE_ROWS
+
+
 def test_surplus_rows_are_counted(spark):
     twice = rows(spark, 20).unionByName(rows(spark, 5, changed=range(5)))
     assert load(spark, spec("surplus"), twice, RUNS[0], FROM).surplus == 5
