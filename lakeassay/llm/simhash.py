@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import random
 from itertools import combinations
 
 import numpy as np
@@ -16,6 +17,8 @@ SEED = 42
 BITS = 64
 #: Shingles whose bits are counted at a time.
 CHUNK = 1 << 15
+#: Fingerprints that stand for a group in one turn, and joins of a turn that are too few for another.
+PIVOTS, FEW = 8, 64
 
 
 def fingerprint_of(text: bytes | None, shingle: int) -> int:
@@ -119,15 +122,53 @@ def outward_links(labelled: DataFrame, distance: int, distinct: int) -> DataFram
             .groupBy("fp").agg(F.min("label").alias("label"), F.min("other").alias("other")))
 
 
+def _pivot_links(fingerprints: DataFrame, distance: int, distinct: int, turn: int) -> DataFrame:
+    """Links `src`, `dst` of fingerprints to close ones among PIVOTS that stand for all who share a set of blocks.
+
+    Each row meets its group's pivots only, so a group has as many candidates as members. The pivots are those whose
+    bits come last after turning some of them over, which differ from turn to turn.
+    """
+    dice = random.Random(turn)
+    flips = [F.lit(_signed(dice.getrandbits(BITS))) for _ in range(PIVOTS)]
+    keyed = _keyed(fingerprints.select("fp"), *block_scheme(distinct, distance))
+    pivots = keyed.groupBy("blocks", "value").agg(*[F.max(F.col("fp").bitwiseXOR(f)).alias(f"p{i}") for i, f in enumerate(flips)])
+    pivots = staged(pivots.select("blocks", "value", F.array(*[F.col(f"p{i}").bitwiseXOR(f) for i, f in enumerate(flips)]).alias("pivots")))
+
+    def close(pivot: Column) -> Column:
+        return (pivot != F.col("fp")) & (F.bit_count(pivot.bitwiseXOR(F.col("fp"))) <= distance)
+
+    met = keyed.join(pivots, ["blocks", "value"]).select("fp", F.explode(F.array_distinct(F.filter("pivots", close))).alias("pivot"))
+    return met.select(F.greatest("fp", "pivot").alias("src"), F.least("fp", "pivot").alias("dst")).distinct()
+
+
+def pivot_components(fingerprints: DataFrame, distance: int, distinct: int) -> DataFrame:
+    """The distinct values of `fp`, each with a `label` that close ones share: most links of dense groups, found without their pairs.
+
+    Every turn takes other pivots, until one joins no more than FEW components; then those who are left have few close ones
+    of another label, however many there are of their own.
+    """
+    labelled, parts, joined, turn = fingerprints.select("fp", F.col("fp").alias("label")), distinct, distinct, 0
+    while joined > FEW:
+        known = labelled.where("fp <> label").select(F.col("fp").alias("src"), F.col("label").alias("dst"))
+        roots = staged(components(_pivot_links(fingerprints, distance, distinct, turn).unionByName(known)))
+        labelled = staged(fingerprints.join(roots, F.col("fp") == F.col("node"), "left").select("fp", F.coalesce("root", "fp").alias("label")))
+        left = labelled.where("fp = label").count()
+        parts, joined, turn = left, parts - left, turn + 1
+    return labelled
+
+
 def linked_components(fingerprints: DataFrame, distance: int, distinct: int) -> DataFrame:
     """The smallest fingerprint reachable from each of the distinct values of `fp` that has a close one: columns `node`, `root`.
 
-    As in a minimum spanning forest, every component names one component it is linked to and they merge, until none
-    has a link to another. Components that have a neighbour at least halve in number each time; mostly the first round joins
-    nearly all. Later rounds look only at fingerprints that have a close one at all.
+    Pivots join most of every dense group first. Then, as in a minimum spanning forest, every component names one component it is
+    linked to and they merge, until none has a link to another: all links count, whatever the pivots missed. Components that have
+    a neighbour at least halve in number each time. Later rounds look only at fingerprints that have a close one at all.
     """
-    found = staged(outward_links(fingerprints.select("fp", F.col("fp").alias("label")), distance, distinct))
-    rooted = found.select(F.col("fp").alias("node"), F.col("fp").alias("root"))
+    labelled = pivot_components(fingerprints.select("fp"), distance, distinct)
+    found = staged(outward_links(labelled, distance, distinct))
+    joined = labelled.where("fp <> label")
+    close = joined.select("fp").unionByName(joined.select(F.col("label").alias("fp"))).unionByName(found.select("fp")).distinct()
+    rooted = staged(labelled.join(close, "fp", "left_semi").select(F.col("fp").alias("node"), F.col("label").alias("root")))
     while not found.isEmpty():
         merged = components(found.select(F.greatest("label", "other").alias("src"), F.least("label", "other").alias("dst")))
         merged = staged(merged.select(F.col("node").alias("root"), F.col("root").alias("lower")))

@@ -85,6 +85,22 @@ def test_a_dense_group_has_few_links(spark):
     assert len(found) == 6000 and {r.root for r in found} == {min(values)}
 
 
+def test_pivots_join_a_dense_group_before_its_pairs_meet(spark):
+    dice, center = random.Random(3), random.Random(4).getrandbits(64)
+    group = {center ^ sum(1 << x for x in dice.sample(range(64), dice.randint(1, 3))) for _ in range(3000)}
+    values = [signed(v) for v in group | {dice.getrandbits(64) for _ in range(500)}]
+    df = spark.createDataFrame([(v,) for v in values], "fp long")
+    labelled = simhash.pivot_components(df, 4, len(values))
+    a, b = labelled.alias("a"), labelled.alias("b")
+    apart = a.join(b, F.expr("a.label <> b.label AND bit_count(a.fp ^ b.fp) <= 4")).count()
+    pairs = a.join(b, F.expr("a.fp <> b.fp AND bit_count(a.fp ^ b.fp) <= 4")).count()
+    assert labelled.count() == len(values) and pairs > 500_000 and apart < pairs / 100
+    assert labelled.where("label > fp").count() == 0
+    roots = components(dict.fromkeys(values) | {v: v for v in values}, lambda x, y: distance(x, y) <= 4)
+    found = {r.node: r.root for r in simhash.linked_components(df, 4, len(values)).collect()}
+    assert found == {v: roots[v] for v in found} and set(found) >= {signed(v) for v in group}
+
+
 def test_a_hub_is_split_over_tasks(spark, conf):
     conf(**{"spark__sql__autoBroadcastJoinThreshold": "-1", "spark__sql__adaptive__skewJoin__skewedPartitionThresholdInBytes": "20k",
             "spark__sql__adaptive__skewJoin__skewedPartitionFactor": "2", "spark__sql__adaptive__advisoryPartitionSizeInBytes": "16k",
