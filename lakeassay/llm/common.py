@@ -50,14 +50,6 @@ def scratch_folder(spark: SparkSession) -> str:
     return path
 
 
-def checkpointed(df: DataFrame) -> DataFrame:
-    """`df` computed now and kept in the checkpoint folder, which all executors share."""
-    context = df.sparkSession.sparkContext
-    if context.getCheckpointDir() is None:
-        context.setCheckpointDir(shared_folder(df.sparkSession))
-    return df.checkpoint()
-
-
 def row_key(df: DataFrame, columns: Sequence[str]) -> list[Column]:
     """Two 64-bit hashes of the named columns that tell rows apart, nulls included."""
     parts = [x for c in columns for x in (F.col(f"`{c}`").isNull(), F.col(f"`{c}`"))]

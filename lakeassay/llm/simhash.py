@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import random
 from itertools import combinations
 
 import numpy as np
@@ -11,14 +10,16 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lakeassay.llm.common import KEYS, checkpointed, hashable, row_key, shielded, staged
+from lakeassay.llm.common import KEYS, hashable, row_key, shielded, staged
 
 SEED = 42
 BITS = 64
 #: Shingles whose bits are counted at a time.
 CHUNK = 1 << 15
-#: Fingerprints that stand for a group in one turn, and joins of a turn that are too few for another.
-PIVOTS, FEW = 8, 64
+#: Fingerprints of a set of blocks that make it a dense group, and how many of them then stand for the group.
+DENSE, PIVOTS = 256, 32
+#: Edges that are worth a task of their own.
+EDGES_PER_TASK = 1 << 17
 
 
 def fingerprint_of(text: bytes | None, shingle: int) -> int:
@@ -122,45 +123,41 @@ def outward_links(labelled: DataFrame, distance: int, distinct: int) -> DataFram
             .groupBy("fp").agg(F.min("label").alias("label"), F.min("other").alias("other")))
 
 
-def _pivot_links(fingerprints: DataFrame, distance: int, distinct: int, turn: int) -> DataFrame:
-    """Links `src`, `dst` of fingerprints to close ones among PIVOTS that stand for all who share a set of blocks.
+def _pivot_links(keyed: DataFrame, dense: DataFrame, distance: int) -> DataFrame:
+    """Links `src`, `dst` of fingerprints in dense groups to close ones among PIVOTS that stand for the group.
 
-    Each row meets its group's pivots only, so a group has as many candidates as members. The pivots are those whose
-    bits come last after turning some of them over, which differ from turn to turn.
+    Each row meets its group's pivots only, so a group has as many candidates as members. Pivots are drawn by hash from all
+    members alike: those with the smallest or largest bits would be outliers, which have few close ones.
     """
-    dice = random.Random(turn)
-    flips = [F.lit(_signed(dice.getrandbits(BITS))) for _ in range(PIVOTS)]
-    keyed = _keyed(fingerprints.select("fp"), *block_scheme(distinct, distance))
-    pivots = keyed.groupBy("blocks", "value").agg(*[F.max(F.col("fp").bitwiseXOR(f)).alias(f"p{i}") for i, f in enumerate(flips)])
-    pivots = staged(pivots.select("blocks", "value", F.array(*[F.col(f"p{i}").bitwiseXOR(f) for i, f in enumerate(flips)]).alias("pivots")))
+    drawn = [F.min_by("fp", F.xxhash64("fp", F.lit(i))) for i in range(PIVOTS)]
+    pivots = staged(keyed.join(dense, ["blocks", "value"], "left_semi").groupBy("blocks", "value")
+                    .agg(F.array_distinct(F.array(*drawn)).alias("pivots")))
 
     def close(pivot: Column) -> Column:
         return (pivot != F.col("fp")) & (F.bit_count(pivot.bitwiseXOR(F.col("fp"))) <= distance)
 
-    met = keyed.join(pivots, ["blocks", "value"]).select("fp", F.explode(F.array_distinct(F.filter("pivots", close))).alias("pivot"))
-    return met.select(F.greatest("fp", "pivot").alias("src"), F.least("fp", "pivot").alias("dst")).distinct()
+    met = keyed.join(pivots, ["blocks", "value"]).select("fp", F.explode(F.filter("pivots", close)).alias("pivot"))
+    return met.select(F.greatest("fp", "pivot").alias("src"), F.least("fp", "pivot").alias("dst"))
 
 
 def pivot_components(fingerprints: DataFrame, distance: int, distinct: int) -> DataFrame:
     """The distinct values of `fp`, each with a `label` that close ones share: most links of dense groups, found without their pairs.
 
-    Every turn takes other pivots, until one joins no more than FEW components; then those who are left have few close ones
-    of another label, however many there are of their own.
+    Only groups of more than DENSE members are looked at, and once: in the others a fingerprint has at most DENSE candidates,
+    and of the dense ones the search for links between labels finds what the pivots missed.
     """
-    labelled, parts, joined, turn = fingerprints.select("fp", F.col("fp").alias("label")), distinct, distinct, 0
-    while joined > FEW:
-        known = labelled.where("fp <> label").select(F.col("fp").alias("src"), F.col("label").alias("dst"))
-        roots = staged(components(_pivot_links(fingerprints, distance, distinct, turn).unionByName(known)))
-        labelled = staged(fingerprints.join(roots, F.col("fp") == F.col("node"), "left").select("fp", F.coalesce("root", "fp").alias("label")))
-        left = labelled.where("fp = label").count()
-        parts, joined, turn = left, parts - left, turn + 1
-    return labelled
+    keyed = _keyed(fingerprints.select("fp"), *block_scheme(distinct, distance))
+    dense = staged(keyed.groupBy("blocks", "value").agg(F.count("*").alias("members")).where(F.col("members") > DENSE))
+    if dense.isEmpty():
+        return fingerprints.select("fp", F.col("fp").alias("label"))
+    roots = components(_pivot_links(keyed, dense, distance))
+    return staged(fingerprints.join(roots, F.col("fp") == F.col("node"), "left").select("fp", F.coalesce("root", "fp").alias("label")))
 
 
 def linked_components(fingerprints: DataFrame, distance: int, distinct: int) -> DataFrame:
     """The smallest fingerprint reachable from each of the distinct values of `fp` that has a close one: columns `node`, `root`.
 
-    Pivots join most of every dense group first. Then, as in a minimum spanning forest, every component names one component it is
+    Pivots join most of every dense group first, in one turn however large the input is. Then, as in a minimum spanning forest, every component names one component it is
     linked to and they merge, until none has a link to another: all links count, whatever the pivots missed. Components that have
     a neighbour at least halve in number each time. Later rounds look only at fingerprints that have a close one at all.
     """
@@ -171,7 +168,7 @@ def linked_components(fingerprints: DataFrame, distance: int, distinct: int) ->
     rooted = staged(labelled.join(close, "fp", "left_semi").select(F.col("fp").alias("node"), F.col("label").alias("root")))
     while not found.isEmpty():
         merged = components(found.select(F.greatest("label", "other").alias("src"), F.least("label", "other").alias("dst")))
-        merged = staged(merged.select(F.col("node").alias("root"), F.col("root").alias("lower")))
+        merged = merged.select(F.col("node").alias("root"), F.col("root").alias("lower"))
         rooted = staged(rooted.join(merged, "root", "left").select("node", F.coalesce("lower", "root").alias("root")))
         found = staged(outward_links(rooted.select(F.col("node").alias("fp"), F.col("root").alias("label")), distance, distinct))
     return rooted
@@ -181,26 +178,31 @@ def components(pairs: DataFrame) -> DataFrame:
     """The smallest node reachable from each linked node: columns `node`, `root`, without the smallest ones themselves.
 
     Rounds of large-star and small-star: every node hands its neighbours to the smallest one it knows, so
-    components become stars after about log(nodes) rounds; rounds end when nothing changes. Each round is cut by a checkpoint.
+    components become stars after about log(nodes) rounds; rounds end when all are stars. Each round is cut by staged copies.
     The smallest neighbours are written before they are joined, so that Spark can split the neighbours of a hub over many tasks.
+    Few edges take few tasks, whatever the number of shuffle partitions.
     """
-    edges = checkpointed(pairs.select("src", "dst").distinct())
-    state, before = _state(edges), None
-    while state != before:
+    edges = staged(pairs.select(F.greatest("src", "dst").alias("src"), F.least("src", "dst").alias("dst")).where("src > dst").distinct())
+    while tangled := _tangled(edges):
+        tasks = 1 + tangled // EDGES_PER_TASK
         both = edges.unionByName(edges.select(F.col("dst").alias("src"), F.col("src").alias("dst")))
-        least = staged(both.groupBy("src").agg(F.least("src", F.min("dst")).alias("low")))
-        large = checkpointed(both.where("dst > src").join(least, "src")
-                             .select(F.col("dst").alias("src"), F.col("low").alias("dst")).where("src > dst").distinct())
-        least = staged(large.groupBy("src").agg(F.min("dst").alias("low")))
-        edges = checkpointed(
+        least = staged(both.groupBy("src").agg(F.least("src", F.min("dst")).alias("low")).coalesce(tasks))
+        large = staged(both.where("dst > src").join(least, "src")
+                       .select(F.col("dst").alias("src"), F.col("low").alias("dst")).where("src > dst").distinct().coalesce(tasks))
+        least = staged(large.groupBy("src").agg(F.min("dst").alias("low")).coalesce(tasks))
+        edges = staged(
             large.join(least, "src").select(F.col("dst").alias("src"), F.col("low").alias("dst"))
-            .unionByName(least.select("src", F.col("low").alias("dst"))).where("src > dst").distinct())
-        before, state = state, _state(edges)
+            .unionByName(least.select("src", F.col("low").alias("dst"))).where("src > dst").distinct().coalesce(tasks))
     return edges.select(F.col("src").alias("node"), F.col("dst").alias("root"))
 
 
-def _state(edges: DataFrame) -> tuple:
-    return tuple(edges.agg(F.count("*"), F.sum(F.xxhash64("src", "dst").cast("decimal(20,0)"))).first())
+def _tangled(edges: DataFrame) -> int:
+    """The number of edges; 0 if they are stars already: every `src` has one `dst`, and none is another's."""
+    ends = edges.select(F.col("src").alias("node"), F.lit(1).alias("out"), F.lit(0).alias("in")).unionByName(
+        edges.select(F.col("dst").alias("node"), F.lit(0).alias("out"), F.lit(1).alias("in")))
+    nodes = ends.groupBy("node").agg(F.sum("out").alias("out"), F.max("in").alias("in"))
+    rows, bent = nodes.agg(F.sum("out"), F.count_if(F.col("out") + F.col("in") > 1)).first()
+    return rows if bent else 0
 
 
 def simhash_components(fingerprints: DataFrame, id_column: str, distance: int = 4) -> DataFrame:

@@ -101,6 +101,30 @@ def test_pivots_join_a_dense_group_before_its_pairs_meet(spark):
     assert found == {v: roots[v] for v in found} and set(found) >= {signed(v) for v in group}
 
 
+def test_dense_groups_meet_pivots_once_and_others_never(spark, monkeypatch):
+    dice, calls, whole = random.Random(11), [], simhash.components
+    monkeypatch.setattr(simhash, "components", lambda pairs: calls.append(pairs.count()) or whole(pairs))
+    base = [dice.getrandbits(64) for _ in range(400)]
+    pairs = {v ^ 1 << dice.randrange(64) for v in base} | set(base)
+    group = {base[0] ^ sum(1 << x for x in dice.sample(range(64), 2)) for _ in range(600)}
+    for values, turns in ((pairs, 0), (pairs | group, 1)):
+        calls.clear()
+        df = spark.createDataFrame([(signed(v),) for v in values], "fp long")
+        labelled = simhash.pivot_components(df, 4, len(values))
+        assert len(calls) == turns and labelled.count() == len(values)
+        assert all(n <= simhash.PIVOTS * 5 * len(values) for n in calls)
+        roots = components({signed(v): signed(v) for v in values}, lambda a, b: distance(a, b) <= 4)
+        found = {r.node: r.root for r in simhash.linked_components(df, 4, len(values)).collect()}
+        assert set(found) >= {signed(v) for v in values} and found == {v: roots[v] for v in found}
+
+
+def test_few_edges_take_one_task(spark, conf):
+    conf(**{"spark__sql__shuffle__partitions": "40", "spark__sql__adaptive__coalescePartitions__enabled": "false"})
+    chain = spark.range(200).select((F.col("id") + 1).alias("src"), F.col("id").alias("dst"))
+    found = simhash.components(chain)
+    assert len(found.inputFiles()) == 1 and found.groupBy("root").count().collect() == [(0, 200)]
+
+
 def test_a_hub_is_split_over_tasks(spark, conf):
     conf(**{"spark__sql__autoBroadcastJoinThreshold": "-1", "spark__sql__adaptive__skewJoin__skewedPartitionThresholdInBytes": "20k",
             "spark__sql__adaptive__skewJoin__skewedPartitionFactor": "2", "spark__sql__adaptive__advisoryPartitionSizeInBytes": "16k",
