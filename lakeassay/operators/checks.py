@@ -225,10 +225,14 @@ def _compact(df: DataFrame, keys: Sequence[str]) -> list[Column]:
 
 
 def duplicate_rate(df: DataFrame, subject: Subject, limits: Thresholds = Thresholds(), *,
-                   keys: Sequence[str] = ()) -> DataFrame:
-    """Share of rows beyond the first of their key, or of all data columns. Null equals null."""
+                   keys: Sequence[str] = (), gathered: str | None = None) -> DataFrame:
+    """Share of rows beyond the first of their key, or of all data columns. Null equals null.
+
+    Of a table in buckets of the key column `gathered` nothing is shuffled, so that column is grouped by as it is.
+    """
     keys = list(keys) or business_columns(df)
-    groups = df.groupBy(*_compact(df, keys)).agg(F.count(F.lit(1)).alias("copies"))
+    as_is = [quoted(gathered).alias("bucketed")] if gathered in keys else []
+    groups = df.groupBy(*as_is, *_compact(df, [c for c in keys if not as_is or c != gathered])).agg(F.count(F.lit(1)).alias("copies"))
     summary = groups.agg(F.expr("coalesce(sum(copies), 0) AS total"), F.expr("count(1) AS kinds"))
     return _emit(summary, subject, [_duplicate_measure(keys, limits)])
 
@@ -273,12 +277,16 @@ def referential_integrity(df: DataFrame, reference: DataFrame, subject: Subject,
         column, ref_table, ref_column, ref_include_deleted), limits)
 
 
-def _integrity(df: DataFrame, parents: DataFrame, subject: Subject, key: ForeignKey, limits: Thresholds) -> DataFrame:
+def _integrity(df: DataFrame, parents: DataFrame, subject: Subject, key: ForeignKey, limits: Thresholds,
+               gathered: str | None = None) -> DataFrame:
     """The check against distinct keys, as `reference_keys` gives them."""
     column = key.column
     children = (
         df.select(quoted(column).alias("fk")).where("fk IS NOT NULL")
         .groupBy("fk").agg(F.count(F.lit(1)).alias("rows")))
+    if column == gathered:
+        # Else all parents would be dealt out to the buckets of the children, which may be few.
+        children = children.repartition("fk")
     matched = children.join(parents, F.col("fk") == F.col("ref"), "left")
     summary = matched.agg(
         F.expr("coalesce(sum(rows), 0) AS checked"),
@@ -308,12 +316,14 @@ def run_checks(df: DataFrame, spec: TableSpec, run: RunContext, *,
                references: Mapping[str, DataFrame] | None = None,
                limits: Thresholds = Thresholds(),
                checks: Sequence[str] = CHECK_NAMES,
-               keys: Mapping[tuple[str, str, bool], DataFrame] | None = None) -> DataFrame:
+               keys: Mapping[tuple[str, str, bool], DataFrame] | None = None,
+               gathered: str | None = None) -> DataFrame:
     """Every check that applies to a table, as one DataFrame of one run.
 
     The schema check needs `spec.expected_schema`, freshness a `spec.timestamp` column
     that is there, and foreign keys their referenced tables in `references`, or their
-    distinct keys in `keys`, by table, column and whether deleted rows count.
+    distinct keys in `keys`, by table, column and whether deleted rows count. `gathered`
+    names the column by which the table is stored in buckets, if it is.
     """
     unknown = set(checks) - set(CHECK_NAMES)
     if unknown:
@@ -326,7 +336,7 @@ def run_checks(df: DataFrame, spec: TableSpec, run: RunContext, *,
     timestamp = spec.timestamp if "freshness_hours" in checks and spec.timestamp in rows.columns else None
     frames = _batched(rows, subject, limits, nulls, numbers, timestamp)
     if "duplicate_rate" in checks:
-        frames.append(duplicate_rate(rows, subject, limits, keys=spec.keys))
+        frames.append(duplicate_rate(rows, subject, limits, keys=spec.keys, gathered=gathered))
     if "schema_conformity" in checks and spec.expected_schema:
         frames.append(schema_conformity(rows, subject, spec.expected_schema, report_extra=spec.report_extra))
     if "referential_integrity" in checks:
@@ -336,5 +346,5 @@ def run_checks(df: DataFrame, spec: TableSpec, run: RunContext, *,
                 if fk.ref_table not in (references or {}):
                     raise KeyError(f"{spec.name}.{fk.column} refers to {fk.ref_table}, which was not given")
                 parents = reference_keys(references[fk.ref_table], fk.ref_column, fk.ref_include_deleted)
-            frames.append(_integrity(rows, parents, subject, fk, limits))
+            frames.append(_integrity(rows, parents, subject, fk, limits, gathered))
     return _union(frames) if frames else _empty(df)

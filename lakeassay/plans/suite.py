@@ -35,14 +35,15 @@ def _shared_keys(frames: Mapping[str, DataFrame], specs: Sequence[TableSpec]) ->
 
 def staged_suite(frames: Mapping[str, DataFrame], specs: Sequence[TableSpec], run: RunContext, *,
                  staging: tables.Staging, limits: Thresholds = Thresholds(), at_once: int = 4,
-                 keyed: Mapping[str, tables.KeyedTable] | None = None) -> DataFrame:
+                 keyed: Mapping[str, tables.KeyedTable] | None = None,
+                 gathered: Mapping[str, str] | None = None) -> DataFrame:
     """The same metrics, computed now, several tables at a time.
 
     One plan over many tables waits for each table's profile before it starts the next
     scan, and losing it means starting over. Here each table is a job of its own. Keys that
     tables refer to are made distinct and written once, before the checks. Of the tables in
-    `keyed` only buckets that changed since their last check are read. The result reads
-    what is in `staging`.
+    `keyed` only buckets that changed since their last check are read; `gathered` names the
+    column by which a table is stored in buckets. The result reads what is in `staging`.
     """
     planned = _shared_keys(frames, specs)
     staged = run_together([partial(staging.stage, keys) for keys in planned.values()], at_once)
@@ -52,7 +53,8 @@ def staged_suite(frames: Mapping[str, DataFrame], specs: Sequence[TableSpec], ru
         if spec.name in (keyed or {}):
             return check_changed(frames[spec.name].sparkSession, keyed[spec.name], spec, run, staging=staging,
                                  references=frames, limits=limits, keys=keys).metrics
-        metrics = run_checks(frames[spec.name], spec, run, references=frames, limits=limits, keys=keys)
+        metrics = run_checks(frames[spec.name], spec, run, references=frames, limits=limits, keys=keys,
+                             gathered=(gathered or {}).get(spec.name))
         return staging.stage(metrics.coalesce(1))
 
     return reduce(DataFrame.unionByName, run_together([partial(check, s) for s in specs], at_once))

@@ -3,14 +3,15 @@
 from __future__ import annotations
 
 import uuid
-from collections.abc import Mapping, Sequence
+from collections.abc import Iterator, Mapping, Sequence
+from contextlib import contextmanager
 from functools import reduce
 from operator import and_
 from urllib.parse import quote, unquote
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import AtomicType, BinaryType, StringType, StructField
+from pyspark.sql.types import AtomicType, BinaryType, IntegralType, StringType, StructField
 
 from lakeassay.functions import latest_per_key, quoted
 from lakeassay.functions.text import name as quoted_name
@@ -52,6 +53,48 @@ def scratch_folder(spark: SparkSession, name: str) -> str:
 
 #: Rows of a staged file. Tasks read at most about thirty files however well they compress, as Spark counts 4 MB for opening one.
 FILE_ROWS = 1 << 16
+#: Rows of a bucket of a staged table: what one task sorts, or groups, of it.
+BUCKET_ROWS = 1 << 20
+#: Slots in which rows are counted before they are dealt out, and so the largest number of buckets.
+SLOTS = 1 << 12
+#: Bytes of a file that a task which deals rows out to buckets reads: it sorts them by bucket, and should do so in memory.
+SPLIT_BYTES = 32 << 20
+
+
+def even_buckets(df: DataFrame, column: str) -> int:
+    """Into how many buckets of `column` to cut `df`, so that none is large; 0 if some value holds too many rows for that.
+
+    A bucket holds at most BUCKET_ROWS and an eighth of the rows, unless that is less than a file.
+    """
+    kind = df.schema[column].dataType
+    if not (isinstance(kind, IntegralType) or kind == StringType()):
+        return 0
+    slot = F.pmod(F.hash(quoted(column)), F.lit(SLOTS)).alias("slot")
+    counts = df.groupBy(slot).agg(F.count(F.lit(1)).alias("rows")).collect()
+    most = min(BUCKET_ROWS, max(sum(r["rows"] for r in counts) // 8, FILE_ROWS))
+    buckets = 1
+    while buckets <= SLOTS:
+        # The slots are a multiple of the buckets, and counted by the hash that Spark deals rows to buckets by.
+        held = dict.fromkeys(range(buckets), 0)
+        for r in counts:
+            held[r["slot"] % buckets] += r["rows"]
+        if max(held.values()) <= most:
+            return buckets
+        buckets *= 2
+    return 0
+
+
+@contextmanager
+def small_splits(spark: SparkSession) -> Iterator[None]:
+    """Let tasks read files in pieces of SPLIT_BYTES at most, for all jobs of the session meanwhile."""
+    option = "spark.sql.files.maxPartitionBytes"
+    before = spark.conf.get(option)
+    read = spark._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(before)
+    spark.conf.set(option, str(min(read, SPLIT_BYTES)))
+    try:
+        yield
+    finally:
+        spark.conf.set(option, before)
 
 
 class Staging:
@@ -63,6 +106,7 @@ class Staging:
 
     def __init__(self, spark: SparkSession) -> None:
         self._spark = spark
+        self._tables: list[str] = []
         self.path = scratch_folder(spark, "staged")
 
     def __enter__(self) -> Staging:
@@ -71,13 +115,25 @@ class Staging:
     def __exit__(self, *_) -> None:
         self.remove()
 
-    def stage(self, df: DataFrame) -> DataFrame:
-        """Write `df` once and read it back."""
-        path = f"{self.path}/{uuid.uuid4().hex}"
-        df.write.option("maxRecordsPerFile", FILE_ROWS).parquet(path, compression="zstd")
-        return self._spark.read.schema(df.schema).parquet(path)
+    def stage(self, df: DataFrame, by: str | None = None, buckets: int = 0) -> DataFrame:
+        """Write `df` once and read it back; with `buckets`, cut into as many by the column `by`.
+
+        Rows are dealt out as they are written, so steps that bring equal values of `by` together need no shuffle.
+        """
+        name = uuid.uuid4().hex
+        path = f"{self.path}/{name}"
+        writer = df.write.option("maxRecordsPerFile", FILE_ROWS).option("compression", "zstd")
+        if not buckets:
+            writer.parquet(path)
+            return self._spark.read.schema(df.schema).parquet(path)
+        table = f"{quoted_name(self._spark.catalog.currentDatabase())}.staged_{name}"
+        self._tables.append(table)
+        writer.format("parquet").bucketBy(buckets, by).option("path", path).saveAsTable(table)
+        return self._spark.table(table)
 
     def remove(self) -> None:
+        while self._tables:
+            self._spark.sql(f"DROP TABLE IF EXISTS {self._tables.pop()}")
         remove(self._spark, self.path)
 
 

@@ -319,14 +319,25 @@ def dq_suite_given(spark, sf):
 
 
 def staged_layers(spark, sf, staging):
-    """The nineteen tables of the project, built from the given ones and written once."""
-    def together(planned):
-        results = run_together([partial(staging.stage, df) for df in planned.values()])
+    """The nineteen tables of the project, built from the given ones and written once, and the columns by which some are in buckets.
+
+    Loaded and cleaned tables are in buckets of their first key column if its values are even enough. Then neither cleaning
+    nor checks of keys shuffle them.
+    """
+    def together(planned, buckets=None):
+        results = run_together([
+            partial(staging.stage, df, *(buckets or {}).get(short.partition("_")[2], ())) for short, df in planned.items()])
         return dict(zip(planned, results))
 
-    bronze = together({f"bronze_{t}": frames.bronze(spark, sf, t) for t in project.KEYS})
+    def bucketed(table, df):
+        return project.KEYS[table][0], tables.even_buckets(df, project.KEYS[table][0])
+
+    loaded = {t: frames.bronze(spark, sf, t) for t in project.KEYS}
+    buckets = dict(zip(loaded, run_together([partial(bucketed, t, df) for t, df in loaded.items()])))
+    with tables.small_splits(spark):
+        bronze = together({f"bronze_{t}": df for t, df in loaded.items()}, buckets)
     clean = together({
-        f"silver_{t}": silver.standardise(bronze[f"bronze_{t}"], spec) for t, spec in project.SILVER.items()})
+        f"silver_{t}": silver.standardise(bronze[f"bronze_{t}"], spec) for t, spec in project.SILVER.items()}, buckets)
     studies = clean["silver_studies"]
     totals = together({
         "gold_study_status_counts": gold.study_status_counts(studies),
@@ -334,7 +345,10 @@ def staged_layers(spark, sf, staging):
         "gold_condition_intervention_summary": gold.condition_intervention_summary(
             studies, clean["silver_conditions"], clean["silver_interventions"]),
     })
-    return {project.table_name(short): df for short, df in {**bronze, **clean, **totals}.items()}
+    gathered = {
+        project.table_name(f"{stage}_{t}"): column
+        for t, (column, count) in buckets.items() if count for stage in ("bronze", "silver")}
+    return {project.table_name(short): df for short, df in {**bronze, **clean, **totals}.items()}, gathered
 
 
 def dq_suite(spark, sf):
@@ -344,8 +358,8 @@ def dq_suite(spark, sf):
     """
     kept = tables.Staging(spark)
     with tables.Staging(spark) as staging:
-        layers = staged_layers(spark, sf, staging)
-        metrics = staged_suite(layers, project.quality_specs(expected=project.LAYOUTS), RUN, staging=staging)
+        layers, gathered = staged_layers(spark, sf, staging)
+        metrics = staged_suite(layers, project.quality_specs(expected=project.LAYOUTS), RUN, staging=staging, gathered=gathered)
         return plain(kept.stage(metrics.coalesce(1)))
 
 

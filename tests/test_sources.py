@@ -2,14 +2,17 @@ from datetime import datetime
 from pathlib import Path
 
 import pytest
+from conftest import planned
 from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, StringType, StructField, StructType
 
 from lakeassay import project
 from lakeassay.functions import with_row_hash
-from lakeassay.model import RunContext, instant
+from lakeassay.model import RunContext, SilverSpec, instant
+from lakeassay.operators import checks
 from lakeassay.operators.ingest import stamp_lineage
+from lakeassay.operators.silver import standardise
 from lakeassay.plans import bronze
 from lakeassay.sources import csv, jdbc, tables
 
@@ -94,6 +97,64 @@ def test_staged_copies_go_with_their_block(spark):
     assert not Path(one.path).exists() and not Path(other.path).exists()
 
 
+def keyed_rows(spark):
+    """Rows of which some repeat a key and some lack one, as a load stamps them."""
+    key = F.when(F.col("id") % 50 != 0, F.concat(F.lit("k"), (F.col("id") % 700).cast("string")))
+    rows = spark.range(2000).select(key.alias("key"), (F.col("id") % 3).cast("string").alias("name"), "id")
+    return with_row_hash(stamp_lineage(rows, system="s", schema="c", table="t", ingested_at=instant(datetime(2024, 1, 1))))
+
+
+def test_neither_cleaning_nor_checks_of_keys_shuffle_a_table_staged_in_buckets(spark, subject):
+    rows, spec = keyed_rows(spark), SilverSpec(keys=("key", "name"), required=("key",), trim=("name",))
+    with tables.Staging(spark) as staging:
+        plain, cut = staging.stage(rows), staging.stage(rows, "key", 4)
+        assert sorted(map(str, cut.collect())) == sorted(map(str, rows.collect()))
+        clean = staging.stage(standardise(cut, spec), "key", 4)
+        assert "Exchange" in planned(standardise(plain, spec)) and "Exchange" not in planned(standardise(cut, spec))
+        assert sorted(map(str, clean.collect())) == sorted(map(str, standardise(rows, spec).collect()))
+        for staged, same in ((cut, rows), (clean, standardise(rows, spec))):
+            for keys in (["key", "name"], ["key"], ["name", "key"], ["name"]):
+                found = checks.duplicate_rate(staged, subject, keys=keys, gathered="key")
+                assert ("hashpartitioning" in planned(found)) == ("key" not in keys)
+                assert found.collect() == checks.duplicate_rate(same, subject, keys=keys).collect()
+
+
+def test_tables_staged_in_buckets_go_with_their_block(spark):
+    before = {t.name for t in spark.catalog.listTables()}
+    with tables.Staging(spark) as staging:
+        assert staging.stage(spark.range(9), "id", 2).count() == 9
+        assert {t.name for t in spark.catalog.listTables()} > before
+    assert {t.name for t in spark.catalog.listTables()} == before and not Path(staging.path).exists()
+
+
+def test_buckets_are_as_many_as_keep_each_small(spark, monkeypatch):
+    monkeypatch.setattr(tables, "FILE_ROWS", 10)
+    monkeypatch.setattr(tables, "BUCKET_ROWS", 100)
+    rows = spark.range(2000).select("id", F.col("id").cast("string").alias("text"), F.col("id").cast("double").alias("x"))
+    for column in ("id", "text"):
+        buckets = tables.even_buckets(rows, column)
+        held = rows.groupBy(F.pmod(F.hash(column), F.lit(buckets))).count().agg(F.max("count")).first()[0]
+        assert 20 <= buckets <= 64 and held <= 100
+    assert tables.even_buckets(rows, "x") == 0
+    assert tables.even_buckets(rows.limit(5), "id") == 1 and tables.even_buckets(rows.limit(0), "id") == 1
+
+
+@pytest.mark.parametrize("hot", [7, None])
+def test_a_table_with_a_hot_key_is_not_cut_into_buckets(spark, monkeypatch, hot):
+    monkeypatch.setattr(tables, "FILE_ROWS", 10)
+    rows = spark.range(2000).select(F.when(F.col("id") % 3 != 0, F.col("id")).otherwise(F.lit(hot)).alias("key"))
+    assert tables.even_buckets(rows, "key") == 0
+
+
+def test_tasks_that_deal_rows_out_read_small_pieces_meanwhile(spark):
+    option = "spark.sql.files.maxPartitionBytes"
+    before = spark.conf.get(option)
+    with pytest.raises(KeyError), tables.small_splits(spark):
+        assert int(spark.conf.get(option)) == tables.SPLIT_BYTES
+        raise KeyError
+    assert spark.conf.get(option) == before
+
+
 def test_snapshots_stay_until_they_are_dropped(spark):
     spark.sql("CREATE DATABASE IF NOT EXISTS store")
     names = [tables.publish(spark.range(n), "store.kept") for n in (1, 2, 3, 4)]
