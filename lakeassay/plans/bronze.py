@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lakeassay import project
-from lakeassay.functions import key_text, latest_per_key, with_row_hash
+from lakeassay.functions import key_text, latest_per_key, quoted, with_row_hash
 from lakeassay.model import RunContext, TableSpec
 from lakeassay.operators.ingest import (
     OPERATIONS,
@@ -63,7 +63,8 @@ def load(spark: SparkSession, spec: TableSpec, source: DataFrame, run: RunContex
     `new_columns`, as in `merge_snapshot`.
 
     A table of plain files is cut by key into as many buckets as hold `bucket_bytes` of rows in memory each, and into `buckets` at
-    least; a merge that finds the number four times too small writes the table anew with more.
+    least; a merge that finds the number four times too small writes the table anew with more. The extract is dealt out to the
+    table's buckets as it is written, as the source has it, so that neither choosing the latest rows nor merging shuffles them.
     """
     if not spec.keys:
         raise ValueError(f"{spec.name} declares no key to load by")
@@ -72,36 +73,55 @@ def load(spark: SparkSession, spec: TableSpec, source: DataFrame, run: RunContex
         newest = high_watermark(spark.table(spec.name), spec.watermark).first()["max_watermark"]
         source = after_watermark(source, spec.watermark, newest, inclusive=inclusive)
 
-    with tables.Staging(spark) as staging:
-        extract = staging.stage(source)
-        stamped = stamp_lineage(
-            extract, system=origin.system, schema=origin.schema, table=origin.table, ingested_at=run.timestamp)
-        keyed = stamped.withColumn(tables.KEY, key_text(extract, spec.keys))
-        read, size = keyed.agg(F.count(F.lit(1)), F.coalesce(F.sum(tables.row_bytes(keyed)), F.lit(0))).first()
+    def stamped(df: DataFrame) -> DataFrame:
+        return stamp_lineage(df, system=origin.system, schema=origin.schema, table=origin.table, ingested_at=run.timestamp)
+
+    with tables.Staging(spark) as whole, tables.Staging(spark) as staging:
+        extract = whole.stage(source)
+        keyed = extract.withColumn(tables.KEY, key_text(extract, spec.keys))
+        sizes = tables.slot_sizes(stamped(keyed), tables.KEY)
+        read, size = sum(rows for rows, _ in sizes), sum(held for _, held in sizes)
         if loaded and not read:
             return LoadResult(spec.name, "skipped", {})
-        rows = with_row_hash(stamped, mode=hash_mode)
-        latest = latest_per_key(rows, spec.keys).withColumn(tables.KEY, key_text(rows, spec.keys))
-        table = tables.KeyedTable(spark, spec.name, fmt)
+        table, full = tables.KeyedTable(spark, spec.name, fmt), spec.watermark is None
+
+        def latest(df: DataFrame) -> DataFrame:
+            # All rows of a key have one KEY, so rows dealt out by it stay where they are.
+            return latest_per_key(with_row_hash(stamped(df), mode=hash_mode), [tables.KEY, *spec.keys])
+
+        if tables.supports_row_changes(fmt):
+            if not loaded:
+                tables.publish(latest(keyed).drop(tables.KEY), spec.name, fmt=fmt)
+                count = spark.table(spec.name).count()
+                return LoadResult(spec.name, "initial", {"insert": count}, read - count)
+            batch = staging.stage(latest(keyed))
+            tables.merge_into(batch.drop(tables.KEY), spec.name, spec.keys, as_of=run.timestamp, full_extract=full, new_columns=new_columns)
+            return LoadResult(spec.name, "merged", {}, read - batch.count())
 
         def wanted(rows: int) -> int:
             """The buckets for so many rows of this size."""
             return -(-rows * (size // max(read, 1) + HASH_BYTES) // bucket_bytes)
 
+        cut = table.buckets if loaded else max(1, buckets or 1, wanted(read))
+        # A batch that has outgrown the table is not sorted in the table's few buckets.
+        parts = wanted(read) if wanted(read) >= 4 * cut else cut
+        rows = keyed
+        if max((held for _, held in sizes), default=0) > max(size // min(parts, tables.SLOTS // 2), bucket_bytes):
+            # A key has more rows than a bucket should. Spark limits each task to one of them before it shuffles the rest.
+            rows = latest(keyed).select(*map(quoted, keyed.columns))
+        dealt = staging.stage(tables.spread(rows, tables.KEY, parts, read, size), tables.KEY, parts)
+        whole.remove()
         if not loaded:
-            if tables.supports_row_changes(fmt):
-                tables.publish(latest.drop(tables.KEY), spec.name, fmt=fmt)
-            else:
-                table.create(latest, max(1, buckets or 1, wanted(read)), spec.keys)
+            table.create(latest(dealt), cut, spec.keys)
             count = spark.table(spec.name).count()
             return LoadResult(spec.name, "initial", {"insert": count}, read - count)
-        batch = staging.stage(latest)
-        surplus = read - batch.count()
-        full = spec.watermark is None
-        if tables.supports_row_changes(fmt):
-            tables.merge_into(batch.drop(tables.KEY), spec.name, spec.keys, as_of=run.timestamp, full_extract=full, new_columns=new_columns)
-            return LoadResult(spec.name, "merged", {}, surplus)
-        return LoadResult(spec.name, "merged", _merge(table, batch, run, full_extract=full, new_columns=new_columns, wanted=wanted), surplus)
+        surplus = read - dealt.select(tables.KEY, *map(quoted, spec.keys)).distinct().count()
+        within = None
+        if not full:
+            # Nothing outside the batch's own buckets can change.
+            within = [r[0] for r in tables.with_bucket(dealt, cut).select(tables.BUCKET).distinct().collect()]
+        changes = _merge(table, latest(dealt), run, within, full_extract=full, new_columns=new_columns, wanted=wanted)
+        return LoadResult(spec.name, "merged", changes, surplus)
 
 
 def load_table(spark: SparkSession, table: str, source: DataFrame, run: RunContext, *, database: str = project.DATABASE, **options) -> LoadResult:
@@ -135,18 +155,16 @@ def merged_buckets(table: tables.KeyedTable, batch: DataFrame, run: RunContext,
                        full_extract=full_extract, new_columns=new_columns).drop("_op")
 
 
-def _merge(table: tables.KeyedTable, batch: DataFrame, run: RunContext, *, full_extract: bool, new_columns: str,
-           wanted: Callable[[int], int]) -> dict[str, int]:
+def _merge(table: tables.KeyedTable, batch: DataFrame, run: RunContext, within: Sequence[int] | None, *, full_extract: bool,
+           new_columns: str, wanted: Callable[[int], int]) -> dict[str, int]:
     """Merge a batch, writing only buckets with a change anew; returns the rows per kind of change.
 
+    Only the buckets `within`, or all, are looked at.
+
     The first pass says which buckets change, the second reads those whole. Where the table has outgrown its buckets, the
     second pass takes all of them and cuts the table anew.
     """
     merged_columns(table.rows.drop(tables.BUCKET), batch, new_columns)
-    within = None
-    if not full_extract:
-        # Nothing outside the batch's own buckets can change.
-        within = [r[0] for r in tables.with_bucket(batch, table.buckets).select(tables.BUCKET).distinct().collect()]
     found = changes_by_bucket(table, batch, run, within, full_extract=full_extract).collect()
     changes = {op: sum(r["n"] for r in found if r["_op"] == op) for op in OPERATIONS}
     if within is not None:

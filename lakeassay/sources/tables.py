@@ -226,6 +226,10 @@ def _versions(spark: SparkSession, database: str | None, table: str) -> list[int
 KEY, BUCKET = "_key", "_key_bucket"
 #: Buckets of a new table are cut to hold about so many bytes each, as rows in memory: a merge sorts a bucket's old rows beside its new ones.
 BUCKET_BYTES = 128 << 20
+#: Bytes of rows in memory that a task deals out to buckets as it writes them: it sorts them by bucket first.
+DEAL_BYTES = 256 << 20
+#: Rows of a file that such a task writes for a bucket, at least, on average.
+DEALT_ROWS = 1000
 #: Partitions named in one statement.
 _AT_ONCE = 1000
 
@@ -242,6 +246,25 @@ def row_bytes(df: DataFrame) -> Column:
     return sum(sizes, F.lit(fixed)).cast("long")
 
 
+def slot_sizes(df: DataFrame, column: str) -> list[tuple[int, int]]:
+    """How many rows, and bytes of them in memory, there are in each slot of `column` that has any."""
+    slot = F.pmod(F.hash(quoted(column)), F.lit(SLOTS)).alias("slot")
+    counts = df.groupBy(slot).agg(F.count(F.lit(1)).alias("rows"), F.sum(row_bytes(df)).alias("bytes"))
+    return [(r["rows"], r["bytes"]) for r in counts.collect()]
+
+
+def spread(df: DataFrame, column: str, buckets: int, rows: int, size: int) -> DataFrame:
+    """`df`, of so many rows and bytes in memory, over as many tasks as can write it in `buckets` of `column`.
+
+    Each task writes a file for each bucket, which takes about a third of the disk that shuffling the rows takes. Where that made tiny
+    files, the rows are shuffled to their bucket.
+    """
+    fewest, most = -(-size // DEAL_BYTES), rows // (DEALT_ROWS * buckets)
+    if fewest > most or not most:
+        return df.repartition(buckets, column)
+    return df.coalesce(max(fewest, min(most, df.sparkSession.sparkContext.defaultParallelism)))
+
+
 def with_bucket(df: DataFrame, buckets: int) -> DataFrame:
     """Add the bucket of each row's KEY: the one that Spark's own bucketing by that column puts it in."""
     return df.withColumn(BUCKET, F.pmod(F.hash(KEY), F.lit(buckets)))
@@ -297,6 +320,8 @@ class KeyedTable:
         base = catalog.getDatabase(database or catalog.currentDatabase()).locationUri.rstrip("/")
         folder = f"{base}/{table}__files/{split_name(snapshot)[1]}-{uuid.uuid4().hex}"
         writer = df.write.format(self._fmt).partitionBy(BUCKET).bucketBy(buckets, KEY).option("path", folder)
+        if self._fmt == "parquet":
+            writer = writer.option("compression", "zstd")
         try:
             writer.saveAsTable(snapshot)
         except Exception:

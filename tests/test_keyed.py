@@ -6,7 +6,7 @@ from decimal import Decimal
 from pathlib import Path
 
 import pytest
-from conftest import executed_plan
+from conftest import executed_plan, planned
 from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
@@ -157,6 +157,83 @@ def test_neither_pass_shuffles_the_table(spark, conf):
     assert exchanges_over_files(executed_plan(table.rows.groupBy("v").count())) != []  # the helper finds what it looks for
 
 
+def written(monkeypatch, spark):
+    """What later loads write into tables: the final plan, and how many folders hold staged rows meanwhile."""
+    found, write, shared = [], tables.KeyedTable._write, Path(tables.shared_folder(spark))
+    before = set(shared.glob("staged-*"))
+
+    def noted(table, df, *rest):
+        found.append((executed_plan(df).split("== Initial Plan ==")[0], sum(any(f.rglob("*.parquet")) for f in set(shared.glob("staged-*")) - before)))
+        write(table, df, *rest)
+
+    monkeypatch.setattr(tables.KeyedTable, "_write", noted)
+    return found
+
+
+def test_loads_shuffle_no_rows(spark, monkeypatch):
+    monkeypatch.setattr(tables, "DEALT_ROWS", 1)
+    found = written(monkeypatch, spark)
+    twice = rows(spark, 500).unionByName(rows(spark, 100, changed=range(50)))
+    assert load(spark, spec("dealt"), twice, RUNS[0], FROM, buckets=4).surplus == 100
+    done = load(spark, spec("dealt"), rows(spark, 500, changed=range(400), without=[7]), RUNS[1], FROM)
+    assert done.changes["delete"] == 1 and done.changes["update"] > 300 and done.surplus == 0
+    assert len(content(spark, "dealt")) == 500 and {r for r in content(spark, "dealt") if r[3]} <= {("k7", 7, v, True) for v in ("old", "new")}
+    assert {r for r in content(spark, "dealt") if not r[3]} == {r for r in wanted(500, range(400)) if r[0] != "k7"}
+    assert len(found) == 2
+    for plan, staged in found:
+        assert "Bucketed: true" in plan and "Exchange" not in plan
+        assert staged == 1  # the extract as read is gone by then
+    files = [p.name for f in tables.KeyedTable(spark, "keyed.dealt").folders.values() for p in Path(f.removeprefix("file:")).glob("*.parquet")]
+    assert len(files) == 4 and all(name.endswith(".zstd.parquet") for name in files)
+
+
+def test_rows_are_shuffled_where_dealing_them_out_makes_tiny_files(spark, monkeypatch):
+    data = spark.range(4000).withColumn("k", F.col("id").cast("string"))
+    monkeypatch.setattr(tables, "DEALT_ROWS", 100)
+    assert tables.spread(data, "k", 8, 4000, 100_000).rdd.getNumPartitions() == 5
+    assert tables.spread(data, "k", 2, 4000, 100_000).rdd.getNumPartitions() == 8
+    for buckets, size in ((41, 100_000), (8, 6 * tables.DEAL_BYTES)):
+        few = tables.spread(data, "k", buckets, 4000, size)
+        assert "hashpartitioning(k#" in planned(few) and few.rdd.getNumPartitions() == buckets
+
+
+def test_a_hot_key_is_cut_down_before_it_is_dealt_out(spark, monkeypatch):
+    staged, stage = [], tables.Staging.stage
+
+    def noted(self, df, by=None, buckets=0):
+        copy = stage(self, df, by, buckets)
+        if by:
+            staged.append((copy.count(), buckets))
+        return copy
+
+    monkeypatch.setattr(tables.Staging, "stage", noted)
+    even = spark.range(3000).selectExpr("concat('k', id) AS a", "1 AS b", "cast(id AS string) AS v")
+    hot = even.unionByName(spark.range(3000).selectExpr("'k7' AS a", "1 AS b", "concat('more', id) AS v"))
+    stamped = with_row_hash(hot)
+    kept = sorted(map(tuple, latest_per_key(stamped, ("a", "b")).select("a", "b", "v").collect()))
+    for name, data, surplus in (("even", even, 0), ("hot", hot, 3000)):
+        assert load(spark, spec(name), data, RUNS[0], FROM, bucket_bytes=10_000).surplus == surplus
+        again = load(spark, spec(name), data, RUNS[1], FROM, bucket_bytes=10_000)
+        assert again.changes["unchanged"] == 3000 and again.surplus == surplus
+    assert [n for n, _ in staged] == [3000] * 4 and min(buckets for _, buckets in staged) > 20
+    assert sorted(map(tuple, spark.table("keyed.hot").select("a", "b", "v").collect())) == kept
+
+
+def test_a_batch_that_outgrew_the_table_is_dealt_out_by_its_size(spark, monkeypatch):
+    load(spark, spec("outgrown"), rows(spark, 10), RUNS[0], FROM, bucket_bytes=1 << 20)
+    asked, spread = [], tables.spread
+    monkeypatch.setattr(tables, "spread", lambda df, column, buckets, *rest: asked.append(buckets) or spread(df, column, buckets, *rest))
+    done = load(spark, spec("outgrown"), rows(spark, 900, changed=[3]), RUNS[1], FROM, bucket_bytes=10_000)
+    assert done.changes == {"insert": 890, "update": 1, "resurrect": 0, "delete": 0, "unchanged": 9}
+    assert asked[0] >= 4 and content(spark, "outgrown") == wanted(900, [3])
+
+
+def test_a_first_extract_may_be_empty(spark):
+    assert load(spark, spec("nothing"), rows(spark, 5).where("a = ''"), RUNS[0], FROM).changes == {"insert": 0}
+    assert load(spark, spec("nothing"), rows(spark, 5), RUNS[1], FROM).changes["insert"] == 5
+    assert content(spark, "nothing") == wanted(5)
+
+
 def test_buckets_follow_the_size(spark):
     load(spark, spec("grown"), rows(spark, 100), RUNS[0], FROM, bucket_bytes=1 << 30)
     table = tables.KeyedTable(spark, "keyed.grown")
