@@ -160,7 +160,12 @@ def publish(df: DataFrame, name: str, *, fmt: str = "parquet", partition_by: tup
         (writer.partitionBy(*partition_by) if partition_by else writer).saveAsTable(name)
         return name
     database, table = split_name(name)
-    snapshot = f"{name}__v{max(_versions(spark, database, table), default=0) + 1:08d}"
+    catalog, version = spark.catalog, max(_versions(spark, database, table), default=0) + 1
+    base = catalog.getDatabase(database or catalog.currentDatabase()).locationUri.rstrip("/")
+    # Tasks that outlive a failed write may leave its folder behind, which no table can be written to.
+    while _is_there(spark, f"{base}/{table.lower()}__v{version:08d}"):
+        version += 1
+    snapshot = f"{name}__v{version:08d}"
     writer = df.write.format(fmt).mode("overwrite")
     (writer.partitionBy(*partition_by) if partition_by else writer).saveAsTable(snapshot)
     _show(spark, name, snapshot, "*")
@@ -212,6 +217,11 @@ def expire(spark: SparkSession, name: str, keep: int) -> list[str]:
     return old
 
 
+def _is_there(spark: SparkSession, path: str) -> bool:
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark._jsc.hadoopConfiguration()).exists(place)
+
+
 def remove(spark: SparkSession, path: str) -> None:
     place = spark._jvm.org.apache.hadoop.fs.Path(path)
     place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)

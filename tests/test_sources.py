@@ -47,6 +47,15 @@ def test_failed_write_leaves_the_table(spark):
     assert spark.table("store.safe").count() == 5
 
 
+def test_a_folder_that_a_failed_write_left_is_passed_over(spark):
+    spark.sql("CREATE DATABASE IF NOT EXISTS store")
+    assert tables.publish(spark.range(3), "store.Left") == "store.Left__v00000001"
+    left = Path(spark.catalog.getDatabase("store").locationUri.removeprefix("file:")) / "left__v00000002" / "_temporary"
+    left.mkdir(parents=True)
+    assert tables.publish(spark.range(5), "store.Left") == "store.Left__v00000003"
+    assert spark.table("store.left").count() == 5 and left.exists()
+
+
 def test_append(spark):
     spark.sql("CREATE DATABASE IF NOT EXISTS store")
     tables.append(spark.range(2), "store.log")
